@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The checked workload is batch only: rules are evaluated over whole tables (or
+their filtered part) and produce one result row per rule. There is no stream,
+watermark or state to carry, so nothing is built here.
+"""
