@@ -319,8 +319,9 @@ def assemble(metrics: DataFrame, *, policy: str = "strict", as_of: _dt.datetime
     if as_of is None:
         periodo, fecha = F.current_date(), F.current_timestamp()
     else:
-        periodo = F.lit(as_of.date()).cast("date")
-        fecha = F.lit(as_of).cast("timestamp")
+        # from text, so the stamp reads the same in any session time zone
+        periodo = F.to_date(F.lit(as_of.date().isoformat()))
+        fecha = F.to_timestamp(F.lit(as_of.isoformat(sep=" ")))
     res = res.withColumns({"periodo": periodo, "fecha_proceso": fecha})
     cols = list(RESULT_COLUMNS if stamps else RESULT_BODY_COLUMNS)
     if wide:

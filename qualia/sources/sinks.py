@@ -71,4 +71,6 @@ def read_result_csv(spark: SparkSession, path: str) -> DataFrame:
     ddl = ("periodo string, fecha_proceso string, id_calidad_tabla string, columna string, "
            "parametros string, umbral double, estado_calidad string, total_registros long, "
            "registros_fallidos long, porcentaje_cumplimiento double, observacion_tecnica string")
-    return spark.read.schema(ddl).option("header", True).csv(path)
+    # CSV cannot tell an empty text from NULL; a result's parameters are never NULL.
+    return (spark.read.schema(ddl).option("header", True).csv(path)
+            .withColumn("parametros", F.coalesce(F.col("parametros"), F.lit(""))))
