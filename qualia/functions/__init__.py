@@ -3,11 +3,12 @@ from qualia.functions.text import (
     normalize_method,
     normalize_method_col,
     percent_text,
-    py_float_str,
+    percent_text_sql,
     quote_ident,
     split_params,
     split_params_col,
     strip_ws,
+    with_py_float_text,
 )
 
 __all__ = [
@@ -15,9 +16,10 @@ __all__ = [
     "normalize_method",
     "normalize_method_col",
     "percent_text",
-    "py_float_str",
+    "percent_text_sql",
     "quote_ident",
     "split_params",
     "split_params_col",
     "strip_ws",
+    "with_py_float_text",
 ]

@@ -39,6 +39,7 @@ from pyspark.sql.types import (
     DateType,
     NumericType,
     StringType,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
@@ -65,13 +66,18 @@ class CheckContext:
     df: DataFrame
     column: str
     params: str
+    schema: StructType | None = None   # df.schema, read once per group by the caller
 
     @property
     def col(self) -> Column:
         return col_of(self.column)
 
     def dtype(self) -> DataType:
-        """Type of the rule's column (analysis only, no job); unknown column raises."""
+        """Type of the rule's column; an unknown column raises (analysis, no job)."""
+        if self.schema is not None:
+            hits = [f for f in self.schema.fields if f.name.lower() == self.column.lower()]
+            if len(hits) == 1:
+                return hits[0].dataType
         return self.df.select(self.col).schema.fields[0].dataType
 
     def types_of(self, *cols: Column) -> list[DataType]:
@@ -118,27 +124,41 @@ def _non_negative(ctx: CheckContext) -> Check:
                  F.coalesce(x >= 0, F.lit(True)))
 
 
-_REGEX_OK: dict[str, bool] = {}
+_REGEX: dict[str, str | None] = {}   # pattern -> None (compiles) or the error text
 _REGEX_LOCK = threading.Lock()
 
 
-def _validate_regex(ctx: CheckContext, pattern: str) -> None:
-    """Compile the pattern once, on the driver: a one-row local relation is folded
-    by the optimizer, so no task runs. A bad pattern raises here, not in the scan."""
+def validate_patterns(spark, patterns) -> None:
+    """Compile patterns on the driver, all in one go: a one-row local relation is
+    folded by the optimizer, so no task runs. A pattern that does not compile is
+    remembered with its error, and its rule fails alone instead of the scan."""
     with _REGEX_LOCK:
-        if pattern in _REGEX_OK:
-            return
-    spark = ctx.df.sparkSession
-    spark.createDataFrame([("",)], "s string").select(F.regexp_extract("s", pattern, 0)).collect()
+        todo = sorted({p for p in patterns if p and p not in _REGEX})
+    if not todo:
+        return
+    probe = spark.createDataFrame([("",)], "s string")
+    try:
+        probe.select(*[F.regexp_extract("s", p, 0) for p in todo]).collect()
+        found = {p: None for p in todo}
+    except Exception:
+        found = {}
+        for p in todo:
+            try:
+                probe.select(F.regexp_extract("s", p, 0)).collect()
+                found[p] = None
+            except Exception as e:
+                found[p] = " ".join(str(e).split())
     with _REGEX_LOCK:
-        _REGEX_OK[pattern] = True
+        _REGEX.update(found)
 
 
 def _pattern(ctx: CheckContext) -> Check | None:
     pattern = ctx.params
     if not pattern or not pattern.strip():
         return None
-    _validate_regex(ctx, pattern)
+    validate_patterns(ctx.df.sparkSession, [pattern])
+    if _REGEX.get(pattern):
+        raise ValueError(_REGEX[pattern])
     # A row passes when the pattern *finds* a non-empty match (not rlike: a pattern
     # that matches the empty string would pass every row with rlike).
     pred = F.coalesce(F.regexp_extract(ctx.text(), pattern, 0) != "", F.lit(False))
@@ -221,16 +241,18 @@ register_check("notnullorempty", _not_blank)
 register_check("satisfies", _satisfies)
 
 
-def build_check(method_key: str, df: DataFrame, column: str | None, params: str | None) -> Check | None:
+def build_check(method_key: str, df: DataFrame, column: str | None, params: str | None,
+                schema: StructType | None = None, *, resolve: bool = True) -> Check | None:
     """Check of one rule, or ``None`` for unusable parameters (also: no column).
 
     Raises ``KeyError`` for an unknown method, and Spark's analysis errors for a
-    column or expression that does not resolve on ``df``.
+    column or expression that does not resolve on ``df``. ``resolve=False`` leaves
+    the predicate unresolved, for a caller that resolves many at once.
     """
     builder = REGISTRY[method_key]
     if column is None:
         return None
-    check = builder(CheckContext(df, column, params or ""))
-    if check is not None and check.predicate is not None:
+    check = builder(CheckContext(df, column, params or "", schema))
+    if resolve and check is not None and check.predicate is not None:
         df.select(check.predicate)  # resolve now, so a bad rule fails alone
     return check

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from qualia.functions.text import percent_text, py_float_str
+from qualia.functions.text import percent_text_sql, with_py_float_text
 from qualia.schema import (
     CUMPLE,
     ERROR_EJECUCION,
@@ -59,6 +59,10 @@ def metric_value() -> Column:
     return F.when(F.col("denom") > 0, F.col("passed").cast("double") / F.col("denom"))
 
 
+def _sql_lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def classify(metrics: DataFrame, policy: str = "strict") -> DataFrame:
     """Add ``estado_calidad, registros_fallidos, porcentaje_cumplimiento,
     observacion_tecnica`` (and ``umbral``, ``parametros``) to a metrics relation.
@@ -66,54 +70,45 @@ def classify(metrics: DataFrame, policy: str = "strict") -> DataFrame:
     ``policy="strict"`` (default): a rule passes only if every row passes, whatever
     its threshold; the threshold is shown in the remark. ``policy="threshold"``:
     a rule passes when its percentage reaches the threshold.
+
+    Each rule falls in one case (``__k``): E error, S skipped, Z no rows after the
+    filter, N no metric (nothing to measure), C passed, F failed. The expressions
+    are SQL text, one per column, so building them costs a handful of calls.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
-    m = metric_value()
-    outcome, total = F.col("outcome"), F.col("total")
-    umbral = F.coalesce(F.col("threshold"), F.lit(0.0))
-    pct = m * F.lit(100)
-    if policy == "strict":
-        passes = F.col("passed") == F.col("denom")
-    else:
-        passes = pct >= umbral
-    is_err, is_skip = outcome == ERROR, outcome == SKIPPED
-    empty, no_metric = total == 0, m.isNull()
-
-    status = (F.when(is_err, F.lit(ERROR_EJECUCION))
-              .when(is_skip, F.lit(NO_EVALUADA))
-              .when(empty, F.lit(CUMPLE))
-              .when(no_metric, F.lit(NO_EVALUADA))
-              .when(passes, F.lit(CUMPLE))
-              .otherwise(F.lit(NO_CUMPLE)))
-    failing = (F.when(is_err, F.lit(0))
-               .when(is_skip, total)
-               .when(empty, F.lit(0))
-               .when(no_metric, total)
-               .otherwise(F.bround(total * (F.lit(1.0) - m), 0))).cast("long")
-    percent = (F.when(is_err | is_skip, F.lit(0.0))
-               .when(empty, F.lit(100.0))
-               .when(no_metric, F.lit(0.0))
-               .otherwise(pct)).cast("double")
-    alert = F.concat(F.lit(MSG_ALERT_HEAD), percent_text(pct), F.lit(MSG_ALERT_MID),
-                     py_float_str(umbral), F.lit(MSG_ALERT_TAIL))
-    remark = (F.when(is_err, F.substring(F.col("message"), 1, MAX_ERROR_CHARS))
-              .when(is_skip, F.col("message"))
-              .when(empty, F.lit(MSG_EMPTY))
-              .when(no_metric, F.coalesce(F.col("message"), F.lit(MSG_NO_VALUES)))
-              .when(passes, F.lit(MSG_OK))
-              .otherwise(alert))
-    return metrics.withColumns({
+    ok = "passed = denom" if policy == "strict" else "__m * 100 >= umbral"
+    m = metrics.withColumns({
+        "__m": F.expr("CASE WHEN denom > 0 THEN CAST(passed AS DOUBLE) / denom END"),
+        "umbral": F.expr("CAST(coalesce(threshold, 0.0D) AS DOUBLE)"),
+    })
+    m = m.withColumn("__k", F.expr(
+        f"CASE WHEN outcome = '{ERROR}' THEN 'E' WHEN outcome = '{SKIPPED}' THEN 'S' "
+        f"WHEN total = 0 THEN 'Z' WHEN __m IS NULL THEN 'N' WHEN {ok} THEN 'C' ELSE 'F' END"))
+    m = with_py_float_text(m, "umbral", "__thr_text")
+    alert = (f"concat({_sql_lit(MSG_ALERT_HEAD)}, {percent_text_sql('__m * 100')}, "
+             f"{_sql_lit(MSG_ALERT_MID)}, __thr_text, {_sql_lit(MSG_ALERT_TAIL)})")
+    return m.withColumns({
         "id_calidad_tabla": F.col("table_name"),
         "columna": F.col("column_name"),
-        "parametros": F.coalesce(F.col("params"), F.lit("")),
-        "umbral": umbral.cast("double"),
-        "estado_calidad": status,
-        "total_registros": F.when(is_err, F.lit(0)).otherwise(total).cast("long"),
-        "registros_fallidos": failing,
-        "porcentaje_cumplimiento": percent,
-        "observacion_tecnica": remark,
-    })
+        "parametros": F.expr("coalesce(params, '')"),
+        "estado_calidad": F.expr(
+            f"CASE __k WHEN 'E' THEN '{ERROR_EJECUCION}' WHEN 'S' THEN '{NO_EVALUADA}' "
+            f"WHEN 'Z' THEN '{CUMPLE}' WHEN 'N' THEN '{NO_EVALUADA}' WHEN 'C' THEN '{CUMPLE}' "
+            f"ELSE '{NO_CUMPLE}' END"),
+        "total_registros": F.expr("CAST(CASE WHEN __k = 'E' THEN 0 ELSE total END AS BIGINT)"),
+        # failing rows as the metric implies: round half to even of total * (1 - metric)
+        "registros_fallidos": F.expr(
+            "CAST(CASE WHEN __k IN ('E', 'Z') THEN 0 WHEN __k IN ('S', 'N') THEN total "
+            "ELSE bround(total * (1.0D - __m), 0) END AS BIGINT)"),
+        "porcentaje_cumplimiento": F.expr(
+            "CAST(CASE WHEN __k = 'Z' THEN 100.0D WHEN __k IN ('E', 'S', 'N') THEN 0.0D "
+            "ELSE __m * 100 END AS DOUBLE)"),
+        "observacion_tecnica": F.expr(
+            f"CASE __k WHEN 'E' THEN substring(message, 1, {MAX_ERROR_CHARS}) WHEN 'S' THEN message "
+            f"WHEN 'Z' THEN {_sql_lit(MSG_EMPTY)} WHEN 'N' THEN coalesce(message, {_sql_lit(MSG_NO_VALUES)}) "
+            f"WHEN 'C' THEN {_sql_lit(MSG_OK)} ELSE {alert} END"),
+    }).drop("__m", "__k", "__thr_text")
 
 
 def metric_report(metrics: DataFrame) -> DataFrame:

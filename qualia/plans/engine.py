@@ -30,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualia.operators.checks import REGISTRY, UNIQUE, Check, build_check
+from qualia.operators.checks import REGISTRY, UNIQUE, Check, build_check, validate_patterns
 from qualia.operators.classify import (
     ERROR,
     EVALUATED,
@@ -86,13 +86,14 @@ class _Planned:
 
 def _plan_group(df: DataFrame, group: RuleGroup) -> _Planned:
     p = _Planned(group, None)
+    schema = df.schema
     for r in group.rules:
         key = r.method_key or ""
         if key not in REGISTRY:
             p.skipped.append((r, MSG_UNSUPPORTED.format(method=r.metodo)))
             continue
         try:
-            check = build_check(key, df, r.column_name, r.params)
+            check = build_check(key, df, r.column_name, r.params, schema, resolve=False)
         except Exception as e:  # analysis error of this rule only
             p.broken.append((r, MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]))
             continue
@@ -102,6 +103,20 @@ def _plan_group(df: DataFrame, group: RuleGroup) -> _Planned:
             p.unique.append((r, check))
         else:
             p.row.append((r, check))
+    # Resolve all pass predicates of the group at once (analysis only, no job); if
+    # that fails, one by one, so that only the rules at fault are set aside.
+    if p.row:
+        try:
+            df.select(*[c.predicate for _, c in p.row])
+        except Exception:
+            good = []
+            for r, c in p.row:
+                try:
+                    df.select(c.predicate)
+                    good.append((r, c))
+                except Exception as e:
+                    p.broken.append((r, MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]))
+            p.row = good
     return p
 
 
@@ -109,7 +124,7 @@ def _run_row_level(base: DataFrame, plans: list[_Planned]) -> None:
     """Fill ``total`` and ``passed`` of each plan; one job for the whole table."""
     groups = [RowGroup(p.fcol, [c.predicate for _, c in p.row]) for p in plans]
     try:
-        row = row_metrics(base, groups).first()
+        row = row_metrics(base, groups).collect()[0]
         for gi, p in enumerate(plans):
             p.total = row[f"__n{gi}"]
             p.passed = {r.index: row[f"__p{gi}_{i}"] for i, (r, _) in enumerate(p.row)}
@@ -118,20 +133,20 @@ def _run_row_level(base: DataFrame, plans: list[_Planned]) -> None:
         pass
     for p in plans:  # fallback: filter by filter, then rule by rule
         try:
-            row = row_metrics(base, [RowGroup(p.fcol, [c.predicate for _, c in p.row])]).first()
+            row = row_metrics(base, [RowGroup(p.fcol, [c.predicate for _, c in p.row])]).collect()[0]
             p.total = row["__n0"]
             p.passed = {r.index: row[f"__p0_{i}"] for i, (r, _) in enumerate(p.row)}
             continue
         except Exception:
             pass
         try:
-            p.total = row_metrics(base, [RowGroup(p.fcol, [])]).first()["__n0"]
+            p.total = row_metrics(base, [RowGroup(p.fcol, [])]).collect()[0]["__n0"]
         except Exception as e:
             p.error = _err_text(e)
             continue
         for r, c in p.row:
             try:
-                p.passed[r.index] = row_metrics(base, [RowGroup(p.fcol, [c.predicate])]).first()["__p0_0"]
+                p.passed[r.index] = row_metrics(base, [RowGroup(p.fcol, [c.predicate])]).collect()[0]["__p0_0"]
             except Exception as e:
                 p.rule_error[r.index] = MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]
 
@@ -151,12 +166,12 @@ def _run_unique(base: DataFrame, plans: list[_Planned]) -> None:
         return
     results: dict[int, tuple[int, int] | str] = {}
     try:
-        row = unique_metrics(base, spec_list).first()
+        row = unique_metrics(base, spec_list).collect()[0]
         results = {j: (row[f"__u{j}"], row[f"__d{j}"]) for j in range(len(spec_list))}
     except Exception:
         for j, s in enumerate(spec_list):
             try:
-                row = unique_metrics(base, [s]).first()
+                row = unique_metrics(base, [s]).collect()[0]
                 results[j] = (row["__u0"], row["__d0"])
             except Exception as e:
                 results[j] = MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]
@@ -224,8 +239,14 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
         data = (data.select(*[F.col(f"`{c}`") for c in keep]) if keep else data).persist(
             StorageLevel.MEMORY_AND_DISK)
     try:
-        _run_row_level(data, live)
-        _run_unique(data, live)
+        if any(p.unique for p in live):
+            # the two queries of a table are independent: run them side by side
+            with ThreadPoolExecutor(max_workers=2) as pool:
+                jobs = [pool.submit(_run_row_level, data, live), pool.submit(_run_unique, data, live)]
+                for j in jobs:
+                    j.result()
+        else:
+            _run_row_level(data, live)
     finally:
         if cache:
             data.unpersist()
@@ -292,6 +313,7 @@ def evaluate_rules(
     active = collect_rules(plan)
     groups = group_rules(active)
     resolver = TableResolver(spark, tables)
+    validate_patterns(spark, [r.params for r in active if r.method_key == "haspattern"])
 
     units: dict[tuple, list[RuleGroup]] = {}
     for g in groups:
