@@ -152,6 +152,96 @@ def validate_patterns(spark, patterns) -> None:
         _REGEX.update(found)
 
 
+_SPECIAL = set("\\^$.|?*+()[]{}")
+# escapes that stand for one non-literal atom and carry no argument
+_CLASS_ESCAPES = set("dDwWsSbBAzZGhHvVRX")
+
+
+def required_literal(pattern: str) -> str | None:
+    """Longest text that every match of ``pattern`` must contain, or ``None``.
+
+    Conservative reading of a Java regex: only top-level literals that are not
+    made optional by a quantifier count, and any construct that could change that
+    (alternation, inline flags, groups' contents, quoting, nested classes, escapes
+    with arguments) ends the search with ``None`` or is skipped as a non-literal.
+    Used to skip the regex on text that lacks the literal: same result, less work.
+    """
+    if "|" in pattern or "(?" in pattern or "\\Q" in pattern:
+        return None
+    runs: list[str] = []
+    run = ""
+    depth = 0
+    i, n = 0, len(pattern)
+    while i < n:
+        ch = pattern[i]
+        lit = None          # literal char of this atom, if it is one at depth 0
+        if ch == "\\":
+            if i + 1 >= n:
+                return None
+            nxt = pattern[i + 1]
+            if nxt.isalnum():
+                if nxt not in _CLASS_ESCAPES:
+                    return None
+            elif depth == 0:
+                lit = nxt
+            i += 2
+        elif ch == "[":
+            j = i + 1
+            if j < n and pattern[j] == "^":
+                j += 1
+            if j < n and pattern[j] == "]":
+                return None  # a leading "]" reads differently across regex dialects
+            while j < n and pattern[j] != "]":
+                if pattern[j] == "[":
+                    return None
+                j += 2 if pattern[j] == "\\" else 1
+            if j >= n:
+                return None
+            i = j + 1
+        elif ch == "(":
+            depth += 1
+            i += 1
+        elif ch == ")":
+            depth -= 1
+            i += 1
+        elif ch in "^$.":
+            i += 1
+        elif ch in _SPECIAL:
+            return None      # a quantifier with no atom, or a stray brace
+        else:
+            lit = ch if depth == 0 else None
+            i += 1
+        # quantifier of this atom
+        optional, repeated = False, False
+        if i < n and pattern[i] in "?*+{":
+            q = pattern[i]
+            if q == "{":
+                m = re.match(r"\{(\d+)(,\d*)?\}", pattern[i:])
+                if not m:
+                    return None
+                optional = int(m.group(1)) == 0
+                repeated = True
+                i += m.end()
+            else:
+                optional = q in "?*"
+                repeated = True
+                i += 1
+            if i < n and pattern[i] in "?+":
+                i += 1       # lazy or possessive form of the quantifier
+        if lit is not None and not optional:
+            run += lit
+            if repeated:
+                runs.append(run)
+                run = ""
+        else:
+            if run:
+                runs.append(run)
+            run = ""
+    if run:
+        runs.append(run)
+    return max(runs, key=len) if runs else None
+
+
 def _pattern(ctx: CheckContext) -> Check | None:
     pattern = ctx.params
     if not pattern or not pattern.strip():
@@ -161,8 +251,12 @@ def _pattern(ctx: CheckContext) -> Check | None:
         raise ValueError(_REGEX[pattern])
     # A row passes when the pattern *finds* a non-empty match (not rlike: a pattern
     # that matches the empty string would pass every row with rlike).
-    pred = F.coalesce(F.regexp_extract(ctx.text(), pattern, 0) != "", F.lit(False))
-    return Check(ROW, ctx.column, "PatternMatch", ctx.column, pred)
+    text = ctx.text()
+    found = F.regexp_extract(text, pattern, 0) != ""
+    literal = required_literal(pattern)
+    if literal:
+        found = text.contains(literal) & found
+    return Check(ROW, ctx.column, "PatternMatch", ctx.column, F.coalesce(found, F.lit(False)))
 
 
 _DATETIME = (DateType, TimestampType, TimestampNTZType)
