@@ -7,6 +7,7 @@ one result row per rule.
 
 from qualia.operators.checks import register_check
 from qualia.plans.engine import assemble, evaluate_rules, run_rules, verification_report
+from qualia.plans.inputs import transform
 from qualia.schema import RESULT_BODY_COLUMNS, RESULT_COLUMNS, RESULT_SCHEMA
 from qualia.sources.catalog import DEFAULT_CATALOG, default_catalog, read_catalog_csv
 
@@ -21,5 +22,6 @@ __all__ = [
     "read_catalog_csv",
     "register_check",
     "run_rules",
+    "transform",
     "verification_report",
 ]

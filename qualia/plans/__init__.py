@@ -1,4 +1,5 @@
 from qualia.plans.engine import assemble, evaluate_rules, run_rules, verification_report
+from qualia.plans.inputs import pick_inputs, transform
 from qualia.plans.rules import (
     active_rules,
     check_groups,
@@ -18,7 +19,9 @@ __all__ = [
     "group_rules",
     "join_catalog",
     "param_list",
+    "pick_inputs",
     "run_rules",
     "standardize_rules",
+    "transform",
     "verification_report",
 ]

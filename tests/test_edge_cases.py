@@ -232,3 +232,16 @@ def test_execution_options_do_not_change_results(spark, catalog, opts):
     base = run(spark, rules, catalog, {"t": df, "u": df2})
     other = run(spark, rules, catalog, {"t": df, "u": df2}, **opts)
     assert base == other
+
+
+def test_bisection_finds_every_faulty_rule(spark, catalog):
+    df = spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "a int, b int")
+    rules = [rule("a", "COM_NULOS", table="t", schema=None)]
+    rules += [rule("a", "COM_PREDICADO", f"a + {i} > 0", table="t", schema=None) for i in range(6)]
+    rules.insert(3, rule("a", "COM_PREDICADO", "a / b > 0", table="t", schema=None))
+    rules.append(rule("a", "COM_PREDICADO", "b / (b - b) > 0", table="t", schema=None))
+    rows = run(spark, rules, catalog, {"t": df})
+    status = [r["estado_calidad"] for r in rows]
+    assert status.count("NO_EVALUADA") == 2
+    assert status[3] == "NO_EVALUADA" and status[-1] == "NO_EVALUADA"
+    assert all(s == "CUMPLE" for i, s in enumerate(status) if i not in (3, len(status) - 1))
