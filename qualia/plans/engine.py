@@ -251,6 +251,7 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
     spark = base.sparkSession
     spark.sparkContext.setJobDescription(f"quality checks on {full}")
     data = base
+    cache = cache and any(p.unique for p in live) and any(p.row for p in live)
     if cache:
         # Opt-in: keep only the named columns of the rows under any filter, for the
         # two queries below. Without it each query prunes its own scan.
