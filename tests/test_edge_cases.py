@@ -245,3 +245,21 @@ def test_bisection_finds_every_faulty_rule(spark, catalog):
     assert status.count("NO_EVALUADA") == 2
     assert status[3] == "NO_EVALUADA" and status[-1] == "NO_EVALUADA"
     assert all(s == "CUMPLE" for i, s in enumerate(status) if i not in (3, len(status) - 1))
+
+
+def test_many_rules_are_chunked_with_same_results(spark, catalog, monkeypatch):
+    import qualia.plans.engine as engine
+
+    df = spark.createDataFrame([(i, i % 7, f"v{i % 5}") for i in range(60)], "a int, b int, v string")
+    rules = [rule("a", "VAL_RANGO_VALORES", f"{i},{i + 30}", table="t", schema=None) for i in range(12)]
+    rules += [rule("b", "COM_PREDICADO", f"b <> {i}", table="t", schema=None, filters="a > 10")
+              for i in range(5)]
+    rules += [rule("v", "COM_PREDICADO", "a / (b - b) > 0", table="t", schema=None),
+              rule("v", "COM_DUPLICADOS", table="t", schema=None)]
+    whole = run(spark, rules, catalog, {"t": df})
+    monkeypatch.setattr(engine, "MAX_AGGS_PER_SCAN", 4)
+    chunked = run(spark, rules, catalog, {"t": df})
+    assert chunked == whole
+    assert [r["estado_calidad"] for r in whole].count("NO_EVALUADA") == 1
+    filtered = next(r for r in whole if r["parametros"] == "b <> 0")
+    assert whole[0]["registros_fallidos"] == 29 and filtered["total_registros"] == 49
