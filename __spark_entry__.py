@@ -32,7 +32,6 @@ from qualia.sources import (  # noqa: E402
     read_catalog_csv,
     read_result_csv,
     save_table,
-    shared_dir,
     write_catalog_csv,
     write_result_csv,
 )
