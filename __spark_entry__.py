@@ -604,6 +604,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for key, (rules, kw) in Q.items():
         out[key] = _run(rules, **kw)
     out["report_missing_table"] = q_report_missing_table
+    out["report_lazy_two_groups"] = _run(Q["report_two_groups"][0] + CUSTOMER_RULES, eager=False)
     out["report_no_catalog"] = _run(_NO_CAT, catalog="none")
     out["rules_standardize"] = q_rules_standardize
     out["catalog_standardize"] = q_catalog_standardize
@@ -623,6 +624,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     out = {key: _oracle(rules, kw.get("policy", "strict")) for key, (rules, kw) in Q.items()}
     out["report_missing_table"] = o_report_missing_table()
+    out["report_lazy_two_groups"] = _oracle(Q["report_two_groups"][0] + CUSTOMER_RULES)
     out["report_no_catalog"] = _oracle(_NO_CAT)
     out["rules_standardize"] = _oracle(_standardize_rules()[1])
     out["catalog_standardize"] = _oracle(_CAT_STD)

@@ -29,6 +29,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from qualia.operators.checks import REGISTRY, UNIQUE, Check, build_check, validate_patterns
 from qualia.operators.classify import (
@@ -263,16 +264,16 @@ def _referenced_columns(base: DataFrame, plans: list[_Planned]) -> list[str]:
     return [c for c in base.columns if c.lower() in words]
 
 
-def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: bool) -> list[_Planned]:
+def _plan_table(resolver: TableResolver, groups: list[RuleGroup]
+                ) -> tuple[DataFrame | None, list[_Planned], list[_Planned]]:
+    """Resolve a table and plan its rule groups (analysis only, no job).
+    Returns (table, all plans, plans that can run)."""
     g0 = groups[0]
-    full = full_table_name(g0.schema, g0.table_name)
     plans: list[_Planned] = []
     try:
         base = resolver(g0.schema, g0.table_name)
     except Exception as e:
-        for g in groups:
-            plans.append(_Planned(g, None, error=_err_text(e)))
-        return plans
+        return None, [_Planned(g, None, error=_err_text(e)) for g in groups], []
     live: list[_Planned] = []
     for g in groups:
         try:
@@ -285,10 +286,16 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
         p.fcol = fcol
         plans.append(p)
         live.append(p)
+    return base, plans, live
+
+
+def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: bool) -> list[_Planned]:
+    base, plans, live = _plan_table(resolver, groups)
     if not live:
         return plans
+    g0 = groups[0]
     spark = base.sparkSession
-    spark.sparkContext.setJobDescription(f"quality checks on {full}")
+    spark.sparkContext.setJobDescription(f"quality checks on {full_table_name(g0.schema, g0.table_name)}")
     data = base
     cache = cache and any(p.unique for p in live) and any(p.row for p in live)
     if cache:
@@ -315,6 +322,47 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
     return plans
 
 
+_NULL_LONG = "CAST(NULL AS BIGINT)"
+
+
+def _count_rows(agg: DataFrame, cells: list[tuple[int, str, str, str]]) -> DataFrame:
+    """One-row aggregate -> one row per rule: (rule_index, total, passed, denom)."""
+    structs = ", ".join(f"named_struct('rule_index', CAST({i} AS BIGINT), 'total', {t}, "
+                        f"'passed', {p}, 'denom', {d})" for i, t, p, d in cells)
+    return agg.select(F.expr(f"inline(array({structs}))"))
+
+
+def _lazy_counts(base: DataFrame, live: list[_Planned]) -> list[DataFrame]:
+    """The table's aggregates as unexecuted plans, reshaped to per-rule count rows."""
+    frames = []
+    with_total: set[int] = set()
+    for chunk in _chunks(live):
+        agg = row_metrics(base, [RowGroup(p.fcol, [c.predicate for _, c in items]) for p, items in chunk])
+        cells = []
+        for gi, (p, items) in enumerate(chunk):
+            n = f"__n{gi}"
+            cells += [(r.index, n, f"__p{gi}_{i}", n) for i, (r, _) in enumerate(items)]
+            if id(p) not in with_total:  # the group's total, for its other rules
+                with_total.add(id(p))
+                others = [r for r, _ in p.unique] + [r for r, _ in p.broken] + [r for r, _ in p.skipped]
+                cells += [(r.index, n, _NULL_LONG, _NULL_LONG) for r in others]
+        if cells:
+            frames.append(_count_rows(agg, cells))
+    specs: dict[tuple[int, str], int] = {}
+    spec_list: list[UniqueSpec] = []
+    cells = []
+    for pi, p in enumerate(live):
+        for r, c in p.unique:
+            if (pi, c.column) not in specs:
+                specs[(pi, c.column)] = len(spec_list)
+                spec_list.append(UniqueSpec(c.column, p.fcol))
+            j = specs[(pi, c.column)]
+            cells.append((r.index, _NULL_LONG, f"__u{j}", f"__d{j}"))
+    if spec_list:
+        frames.append(_count_rows(unique_metrics(base, spec_list), cells))
+    return frames
+
+
 def _metric_rows(plans: list[_Planned]) -> list[tuple[tuple, dict]]:
     out = []
     for p in plans:
@@ -325,7 +373,7 @@ def _metric_rows(plans: list[_Planned]) -> list[tuple[tuple, dict]]:
         def row(r: Rule, phase: int, outcome: str, total=None, passed=None, denom=None,
                 message=None, check: Check | None = None) -> tuple[tuple, dict]:
             return ((g.index, phase, r.index), {
-                "schema": r.schema, "table_name": r.table_name, "column_name": r.column_name,
+                "rule_index": r.index, "schema": r.schema, "table_name": r.table_name, "column_name": r.column_name,
                 "rule_code": r.rule_code, "dimension": r.dimension, "metodo": r.metodo,
                 "params": r.params, "threshold": r.threshold, "outcome": outcome,
                 "total": total, "passed": passed, "denom": denom, "message": message,
@@ -342,10 +390,10 @@ def _metric_rows(plans: list[_Planned]) -> list[tuple[tuple, dict]]:
             if r.index in p.rule_error:
                 out.append(row(r, 0, SKIPPED, total=p.total, message=p.rule_error[r.index], check=c))
             elif c.kind == UNIQUE:
-                u, d = p.uniq[r.index]
+                u, d = p.uniq.get(r.index, (None, None))
                 out.append(row(r, 0, EVALUATED, p.total, u, d, check=c))
             else:
-                out.append(row(r, 0, EVALUATED, p.total, p.passed[r.index], p.total, check=c))
+                out.append(row(r, 0, EVALUATED, p.total, p.passed.get(r.index), p.total, check=c))
         out += [row(r, 0, SKIPPED, total=p.total, message=m) for r, m in p.broken]
         out += [row(r, 1, SKIPPED, total=p.total, message=m) for r, m in p.skipped]
     return out
@@ -361,6 +409,7 @@ def evaluate_rules(
     fuse_filters: bool = True,
     parallelism: int = 4,
     cache: bool = False,
+    eager: bool = True,
 ) -> DataFrame:
     """Run the active rules and return the *metrics relation*: one row per rule with
     its counts (``total``, ``passed``, ``denom``) and outcome, in result order.
@@ -369,6 +418,10 @@ def evaluate_rules(
     one scan per (table, filter) as the rule groups are written. ``parallelism``:
     how many tables are checked at the same time (Spark jobs from driver threads).
     ``cache``: persist the needed columns of each table between its two queries.
+    ``eager=False``: run nothing yet; return the unexecuted plan of every table's
+    aggregates, so that the caller's action checks all tables in one Spark job.
+    Analysis faults are still isolated per rule and per group, but a run-time error
+    then fails that action (no re-run, no cache).
     """
     plan = active_rules(join_catalog(standardize_rules(rules), catalog), dataset)
     active = collect_rules(plan)
@@ -381,6 +434,8 @@ def evaluate_rules(
         key = (g.schema, g.table_name) if fuse_filters else (g.schema, g.table_name, g.index)
         units.setdefault(key, []).append(g)
     work = list(units.values())
+    if not eager:
+        return _lazy_metrics(spark, resolver, work)
 
     if parallelism > 1 and len(work) > 1:
         with ThreadPoolExecutor(max_workers=min(parallelism, len(work))) as pool:
@@ -388,10 +443,39 @@ def evaluate_rules(
     else:
         done = [_evaluate_table(resolver, gs, cache) for gs in work]
 
+    return _metrics_frame(spark, done)
+
+
+def _metrics_frame(spark: SparkSession, done: list[list[_Planned]], schema=METRICS_SCHEMA) -> DataFrame:
     rows = sorted((r for plans in done for r in _metric_rows(plans)), key=lambda kv: kv[0])
     data = [dict(d, seq=i) for i, (_, d) in enumerate(rows)]
-    return spark.createDataFrame([tuple(d[f] for f in METRICS_SCHEMA.fieldNames()) for d in data],
-                                 METRICS_SCHEMA)
+    return spark.createDataFrame([tuple(d[f] for f in schema.fieldNames()) for d in data], schema)
+
+
+_LAZY_SCHEMA = StructType(METRICS_SCHEMA.fields + [StructField("rule_index", LongType(), False)])
+
+
+def _lazy_metrics(spark: SparkSession, resolver: TableResolver, work: list[list[RuleGroup]]) -> DataFrame:
+    """Metrics relation as one plan: per-rule rows of every table's aggregates, merged
+    by rule (a group-by over one row per rule and query), joined to the rule rows."""
+    done, frames = [], []
+    for groups in work:
+        base, plans, live = _plan_table(resolver, groups)
+        done.append(plans)
+        if live:
+            frames += _lazy_counts(base, live)
+    meta = _metrics_frame(spark, done, _LAZY_SCHEMA)
+    if not frames:
+        return meta.drop("rule_index")
+    counts = (reduce(DataFrame.unionByName, frames).groupBy("rule_index")
+              .agg(F.max("total").alias("c_total"), F.max("passed").alias("c_passed"),
+                   F.max("denom").alias("c_denom")))
+    merged = meta.join(counts, "rule_index", "left").withColumns({
+        "total": F.coalesce("c_total", "total"),
+        "passed": F.coalesce("c_passed", "passed"),
+        "denom": F.coalesce("c_denom", "denom"),
+    })
+    return merged.select(*METRICS_SCHEMA.fieldNames()).orderBy("seq")
 
 
 def assemble(metrics: DataFrame, *, policy: str = "strict", as_of: _dt.datetime | None = None,
@@ -427,6 +511,7 @@ def run_rules(
     fuse_filters: bool = True,
     parallelism: int = 4,
     cache: bool = False,
+    eager: bool = True,
 ) -> DataFrame:
     """Check a table's data against its rules: one result row per active rule.
 
@@ -437,9 +522,12 @@ def run_rules(
     ``tables``: DataFrames by ``schema.table`` or ``table`` name, instead of the
     session catalog. ``policy``: ``"strict"`` (every row must pass) or
     ``"threshold"`` (percentage >= ``umbral``). ``as_of``: fixed run stamp.
+    ``eager=False`` returns an unexecuted plan that checks all tables in one job
+    (see :func:`evaluate_rules`).
     """
     metrics = evaluate_rules(spark, rules, catalog, dataset=dataset, tables=tables,
-                             fuse_filters=fuse_filters, parallelism=parallelism, cache=cache)
+                             fuse_filters=fuse_filters, parallelism=parallelism, cache=cache,
+                             eager=eager)
     return assemble(metrics, policy=policy, as_of=as_of, wide=wide, stamps=stamps)
 
 

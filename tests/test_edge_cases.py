@@ -218,7 +218,8 @@ def test_no_catalog(spark):
     assert rows[0]["registros_fallidos"] == 2
 
 
-@pytest.mark.parametrize("opts", [{"fuse_filters": False}, {"parallelism": 1}, {"cache": True}])
+@pytest.mark.parametrize("opts", [{"fuse_filters": False}, {"parallelism": 1}, {"cache": True},
+                                  {"eager": False}])
 def test_execution_options_do_not_change_results(spark, catalog, opts):
     df = spark.createDataFrame([(i, i % 3, None if i % 5 == 0 else f"v{i % 7}") for i in range(50)],
                                "k int, g int, v string")
@@ -228,7 +229,11 @@ def test_execution_options_do_not_change_results(spark, catalog, opts):
              rule("v", "VAL_PERMITIDOS", "v1,v2", table="t", schema=None, filters="g = 1"),
              rule("k", "VAL_RANGO_VALORES", "5,40", table="t", schema=None, filters="g = 2"),
              rule("v", "COM_DUPLICADOS", table="t", schema=None),
-             rule("k", "COM_DUPLICADOS", table="u", schema=None)]
+             rule("k", "COM_DUPLICADOS", table="u", schema=None),
+             rule("nope", "COM_NULOS", table="t", schema=None),
+             rule("k", "NO_EXISTE", table="t", schema=None),
+             rule("k", "COM_NULOS", table="missing_table", schema=None),
+             rule("k", "COM_NULOS", table="t", schema=None, filters="g = 9")]
     base = run(spark, rules, catalog, {"t": df, "u": df2})
     other = run(spark, rules, catalog, {"t": df, "u": df2}, **opts)
     assert base == other

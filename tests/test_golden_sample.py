@@ -79,3 +79,8 @@ def test_wide_result_names_rule_code_and_dimension(spark, catalog):
     assert rows[0]["id_calidad_regla"] == "COM_NULOS"
     assert rows[0]["dimension"] == "completitud"
     assert rows[0]["coleccion"] == S.SCHEMA
+
+
+def test_lazy_run_gives_the_same_result(spark, catalog, result):
+    tables = {f"{S.SCHEMA}.{S.TABLE}": S.logs_df(spark)}
+    assert run(spark, S.SAMPLE_RULES, catalog, tables, eager=False) == result
