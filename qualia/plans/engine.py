@@ -212,8 +212,16 @@ def _bisect(base: DataFrame, p: _Planned, items: list[tuple[Rule, Check]]) -> No
     _bisect(base, p, items[half:])
 
 
-def _run_unique(base: DataFrame, plans: list[_Planned]) -> None:
-    """Fill ``uniq`` of each plan; one GROUPING SETS job for the whole table."""
+# Uniqueness columns per GROUPING SETS query. Expand writes one copy of each row per
+# column, padded with NULLs for the others, so a query over many columns has wide
+# rows (and past ~50 columns its final aggregate leaves whole-stage codegen). Each
+# column is read once either way, so wide rule sets are split into queries of
+# this many columns, run side by side.
+MAX_UNIQUE_PER_QUERY = 8
+
+
+def _unique_specs(plans: list[_Planned]) -> tuple[list[UniqueSpec], dict[tuple[int, str], int]]:
+    """One spec per distinct (filter, column) of the uniqueness rules."""
     specs: dict[tuple[int, str], int] = {}
     spec_list: list[UniqueSpec] = []
     for pi, p in enumerate(plans):
@@ -223,19 +231,40 @@ def _run_unique(base: DataFrame, plans: list[_Planned]) -> None:
             if (pi, c.column) not in specs:
                 specs[(pi, c.column)] = len(spec_list)
                 spec_list.append(UniqueSpec(c.column, p.fcol))
+    return spec_list, specs
+
+
+def _unique_chunk(base: DataFrame, specs: list[UniqueSpec], first: int) -> dict[int, tuple[int, int] | str]:
+    try:
+        row = unique_metrics(base, specs).collect()[0]
+        return {first + j: (row[f"__u{j}"], row[f"__d{j}"]) for j in range(len(specs))}
+    except Exception:
+        pass
+    out: dict[int, tuple[int, int] | str] = {}
+    for j, s in enumerate(specs):
+        try:
+            row = unique_metrics(base, [s]).collect()[0]
+            out[first + j] = (row["__u0"], row["__d0"])
+        except Exception as e:
+            out[first + j] = MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]
+    return out
+
+
+def _run_unique(base: DataFrame, plans: list[_Planned]) -> None:
+    """Fill ``uniq`` of each plan: one GROUPING SETS job for the table's uniqueness
+    rules (several, side by side, past ``MAX_UNIQUE_PER_QUERY`` columns)."""
+    spec_list, specs = _unique_specs(plans)
     if not spec_list:
         return
+    step = MAX_UNIQUE_PER_QUERY
+    starts = list(range(0, len(spec_list), step))
     results: dict[int, tuple[int, int] | str] = {}
-    try:
-        row = unique_metrics(base, spec_list).collect()[0]
-        results = {j: (row[f"__u{j}"], row[f"__d{j}"]) for j in range(len(spec_list))}
-    except Exception:
-        for j, s in enumerate(spec_list):
-            try:
-                row = unique_metrics(base, [s]).collect()[0]
-                results[j] = (row["__u0"], row["__d0"])
-            except Exception as e:
-                results[j] = MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]
+    if len(starts) == 1:
+        results = _unique_chunk(base, spec_list, 0)
+    else:
+        with ThreadPoolExecutor(max_workers=min(len(starts), 8)) as pool:
+            for part in pool.map(lambda i: _unique_chunk(base, spec_list[i:i + step], i), starts):
+                results.update(part)
     for (pi, column), j in specs.items():
         p = plans[pi]
         for r, c in p.unique:
@@ -348,18 +377,16 @@ def _lazy_counts(base: DataFrame, live: list[_Planned]) -> list[DataFrame]:
                 cells += [(r.index, n, _NULL_LONG, _NULL_LONG) for r in others]
         if cells:
             frames.append(_count_rows(agg, cells))
-    specs: dict[tuple[int, str], int] = {}
-    spec_list: list[UniqueSpec] = []
-    cells = []
-    for pi, p in enumerate(live):
-        for r, c in p.unique:
-            if (pi, c.column) not in specs:
-                specs[(pi, c.column)] = len(spec_list)
-                spec_list.append(UniqueSpec(c.column, p.fcol))
-            j = specs[(pi, c.column)]
-            cells.append((r.index, _NULL_LONG, f"__u{j}", f"__d{j}"))
-    if spec_list:
-        frames.append(_count_rows(unique_metrics(base, spec_list), cells))
+    spec_list, specs = _unique_specs(live)
+    step = MAX_UNIQUE_PER_QUERY
+    for start in range(0, len(spec_list), step):
+        cells = []
+        for pi, p in enumerate(live):
+            for r, c in p.unique:
+                j = specs[(pi, c.column)]
+                if start <= j < start + step:
+                    cells.append((r.index, _NULL_LONG, f"__u{j - start}", f"__d{j - start}"))
+        frames.append(_count_rows(unique_metrics(base, spec_list[start:start + step]), cells))
     return frames
 
 

@@ -268,3 +268,20 @@ def test_many_rules_are_chunked_with_same_results(spark, catalog, monkeypatch):
     assert [r["estado_calidad"] for r in whole].count("NO_EVALUADA") == 1
     filtered = next(r for r in whole if r["parametros"] == "b <> 0")
     assert whole[0]["registros_fallidos"] == 29 and filtered["total_registros"] == 49
+
+
+@pytest.mark.parametrize("eager", [True, False])
+def test_many_uniqueness_columns_are_chunked(spark, catalog, monkeypatch, eager):
+    import qualia.plans.engine as engine
+
+    cols = [f"c{i}" for i in range(7)]
+    df = spark.createDataFrame([tuple((r * (i + 1)) % (3 + i) for i in range(7)) for r in range(40)],
+                               ", ".join(f"{c} int" for c in cols))
+    rules = [rule(c, "COM_DUPLICADOS", table="t", schema=None) for c in cols]
+    rules += [rule(c, "COM_DUPLICADOS", table="t", schema=None, filters="c0 = 1") for c in cols[:3]]
+    whole = run(spark, rules, catalog, {"t": df}, eager=eager)
+    monkeypatch.setattr(engine, "MAX_UNIQUE_PER_QUERY", 3)
+    chunked = run(spark, rules, catalog, {"t": df}, eager=eager)
+    assert chunked == whole
+    alone = [run(spark, [x], catalog, {"t": df})[0] for x in rules]
+    assert alone == whole
