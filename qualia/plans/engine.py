@@ -68,6 +68,19 @@ def _err_text(e: BaseException) -> str:
     return " ".join(str(e).split())
 
 
+def _rule_fault(e: BaseException) -> bool:
+    """True for a data error raised by an expression (SQLSTATE class 22: division
+    by zero, invalid cast, bad pattern ...), which re-running a subset of the rules
+    can pin down. Anything else (lost executors past Spark's own retries, I/O) is a
+    failure of the group as a whole and is not re-run rule by rule."""
+    get = getattr(e, "getSqlState", None)
+    try:
+        state = get() if callable(get) else None
+    except Exception:
+        state = None
+    return bool(state) and state.startswith("22")
+
+
 @dataclass
 class _Planned:
     """A group after planning: its filter and what each rule became."""
@@ -164,9 +177,14 @@ def _run_chunk(base: DataFrame, chunk: list[_Part]) -> None:
             for i, (r, _) in enumerate(items):
                 p.passed[r.index] = row[f"__p{gi}_{i}"]
         return
-    except Exception:
-        pass
+    except Exception as e:
+        if not _rule_fault(e):
+            for p, _ in chunk:
+                p.error = _err_text(e)
+            return
     for p, items in chunk:
+        if p.error is not None:
+            continue
         if p.total is None:
             try:
                 p.total = row_metrics(base, [RowGroup(p.fcol, [])]).collect()[0]["__n0"]
@@ -204,6 +222,9 @@ def _bisect(base: DataFrame, p: _Planned, items: list[tuple[Rule, Check]]) -> No
             p.passed[r.index] = row[f"__p0_{i}"]
         return
     except Exception as e:
+        if not _rule_fault(e):
+            p.error = _err_text(e)
+            return
         if len(items) == 1:
             p.rule_error[items[0][0].index] = MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]
             return
@@ -238,8 +259,9 @@ def _unique_chunk(base: DataFrame, specs: list[UniqueSpec], first: int) -> dict[
     try:
         row = unique_metrics(base, specs).collect()[0]
         return {first + j: (row[f"__u{j}"], row[f"__d{j}"]) for j in range(len(specs))}
-    except Exception:
-        pass
+    except Exception as e:
+        if not _rule_fault(e):
+            raise
     out: dict[int, tuple[int, int] | str] = {}
     for j, s in enumerate(specs):
         try:
@@ -259,12 +281,17 @@ def _run_unique(base: DataFrame, plans: list[_Planned]) -> None:
     step = MAX_UNIQUE_PER_QUERY
     starts = list(range(0, len(spec_list), step))
     results: dict[int, tuple[int, int] | str] = {}
-    if len(starts) == 1:
-        results = _unique_chunk(base, spec_list, 0)
-    else:
-        with ThreadPoolExecutor(max_workers=min(len(starts), 8)) as pool:
-            for part in pool.map(lambda i: _unique_chunk(base, spec_list[i:i + step], i), starts):
-                results.update(part)
+    try:
+        if len(starts) == 1:
+            results = _unique_chunk(base, spec_list, 0)
+        else:
+            with ThreadPoolExecutor(max_workers=min(len(starts), 8)) as pool:
+                for part in pool.map(lambda i: _unique_chunk(base, spec_list[i:i + step], i), starts):
+                    results.update(part)
+    except Exception as e:
+        for pi, _ in specs:
+            plans[pi].error = _err_text(e)
+        return
     for (pi, column), j in specs.items():
         p = plans[pi]
         for r, c in p.unique:

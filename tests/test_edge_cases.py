@@ -285,3 +285,17 @@ def test_many_uniqueness_columns_are_chunked(spark, catalog, monkeypatch, eager)
     assert chunked == whole
     alone = [run(spark, [x], catalog, {"t": df})[0] for x in rules]
     assert alone == whole
+
+
+def test_only_data_errors_are_pinned_to_rules(spark):
+    from qualia.plans.engine import _rule_fault
+
+    df = spark.createDataFrame([(1, 0)], "a int, b int")
+    try:
+        df.selectExpr("a / b").collect()
+    except Exception as e:
+        assert _rule_fault(e)
+    else:
+        raise AssertionError("expected a division by zero")
+    assert not _rule_fault(RuntimeError("executor lost"))
+    assert not _rule_fault(ValueError("x"))
