@@ -99,7 +99,7 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
 def _tables(spark: SparkSession, d: str) -> dict[str, Callable[[SparkSession], DataFrame]]:
     """Checked tables by name: the driver tables, plus three derived by Spark."""
     base = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-            "events", "documents", "pages", "labels", "conversations", "benchmark"]
+            "events", "documents", "pages", "labels", "conversations", "benchmark", "embeddings"]
     out: dict[str, Callable[[SparkSession], DataFrame]] = {
         n: (lambda s, n=n: _read(s, d, n)) for n in base}
 
@@ -345,6 +345,40 @@ Q: dict[str, tuple[list[R], dict]] = {
                         R("orders", "o_orderstatus", "VAL_PERMITIDOS", "O,P", 1e16,
                           pred="o_orderstatus IS NULL OR o_orderstatus IN ('O', 'P')"),
                         R("orders", "o_custkey", "COM_DUPLICADOS", threshold=5.0, kind="unique")], {}),
+    "report_events": ([R("events", "event_id", "COM_DUPLICADOS", kind="unique"),
+                       R("events", "event_type", "VAL_PERMITIDOS", "view,click,purchase", 60.0,
+                         pred="event_type IS NULL OR event_type IN ('view', 'click', 'purchase')"),
+                       R("events", "value", "VAL_RANGO_VALORES", "1,400", 90.0, pred="value BETWEEN 1 AND 400"),
+                       R("events", "value", "VAL_POSITIVOS", pred="value IS NULL OR value >= 0"),
+                       R("events", "props", "CONF_REGEX", r'^\{"k": [0-9]+\}$', 99.0,
+                         pred=r"""regexp_extract(props, '^\{"k": [0-9]+\}$', 0) <> ''"""),
+                       R("events", "ts", "VAL_RANGO_VALORES", "'2024-01-01','2024-01-15'", 50.0,
+                         filters="event_type = 'error'",
+                         pred="ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-15'"),
+                       R("events", "user_id", "COM_DUPLICADOS", threshold=0.0, filters="event_type = 'purchase'",
+                         kind="unique")], {}),
+    "report_conversations": ([R("conversations", "role", "VAL_PERMITIDOS", "user,assistant", 95.0,
+                                pred="role IS NULL OR role IN ('user', 'assistant')"),
+                              R("conversations", "text", "COM_OBLIGATORIO",
+                                pred="trim(text) <> '' AND text IS NOT NULL"),
+                              R("conversations", "turn", "VAL_POSITIVOS", pred="turn IS NULL OR turn >= 0"),
+                              R("conversations", "turn", "VAL_RANGO_VALORES", "0,5", 90.0, pred="turn BETWEEN 0 AND 5"),
+                              R("conversations", "text", "CONF_REGEX", r"\?", 10.0,
+                                pred=r"regexp_extract(text, '\?', 0) <> ''"),
+                              R("conversations", "conv_id", "COM_DUPLICADOS", threshold=0.0, kind="unique")], {}),
+    "report_pages": ([R("pages", "page_id", "COM_DUPLICADOS", kind="unique"),
+                      R("pages", "url", "COM_DUPLICADOS", kind="unique"),
+                      R("pages", "url", "CONF_REGEX", "^https://", 50.0,
+                        pred="regexp_extract(url, '^https://', 0) <> ''"),
+                      R("pages", "html", "CONF_REGEX", "<title>[^<]+</title>",
+                        pred="regexp_extract(html, '<title>[^<]+</title>', 0) <> ''"),
+                      R("pages", "html", "CONF_REGEX", EMAIL, 0.0, pred=f"regexp_extract(html, '{EMAIL}', 0) <> ''"),
+                      R("pages", "html", "COM_OBLIGATORIO", pred="trim(html) <> '' AND html IS NOT NULL")], {}),
+    "report_embeddings": ([R("embeddings", "vec_id", "COM_DUPLICADOS", kind="unique"),
+                           R("embeddings", "embedding", "COM_NULOS", pred="embedding IS NOT NULL"),
+                           R("embeddings", "label", "VAL_RANGO_VALORES", "0,8", 80.0, pred="label BETWEEN 0 AND 8"),
+                           R("embeddings", "label", "VAL_PERMITIDOS", "1,3,5,7,9", 40.0,
+                             pred="label IS NULL OR CAST(label AS VARCHAR) IN ('1', '3', '5', '7', '9')")], {}),
     "report_threshold_policy": ([R("customer", "c_acctbal", "VAL_POSITIVOS", threshold=90.0,
                                    pred="c_acctbal IS NULL OR c_acctbal >= 0"),
                                  R("customer", "c_acctbal", "VAL_POSITIVOS", threshold=95.0,
