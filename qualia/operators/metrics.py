@@ -67,12 +67,14 @@ class UniqueSpec:
 def unique_metrics(base: DataFrame, specs: list[UniqueSpec]) -> DataFrame:
     """One-row aggregate: ``__u{j}`` values seen exactly once, ``__d{j}`` non-NULL rows,
     for each spec j. ``__d{j}`` is 0 when the column holds no value at all."""
-    keys = []
+    keys, wanted = [], []
     for j, s in enumerate(specs):
         c = col_of(s.column)
         keys.append((c if s.filter is None else F.when(s.filter, c)).alias(f"__k{j}"))
+        wanted.append(c.isNotNull() if s.filter is None else (s.filter & c.isNotNull()))
     names = [f"__k{j}" for j in range(len(specs))]
-    proj = base.select(*keys).where(_any([F.col(n).isNotNull() for n in names]))
+    # rows that give no key to any spec are dropped at the scan (pushed down)
+    proj = base.where(_any(wanted)).select(*keys)
     if len(specs) == 1:
         freq = proj.groupBy(names[0]).agg(F.count(F.lit(1)).alias("__c"))
         in_set = [F.lit(True)]
