@@ -82,3 +82,11 @@ def test_pattern_with_required_literal_is_guarded(spark):
     pred = build_check("haspattern", docs, "text", r"[a-z]+@[a-z]+\.[a-z]{2,}").predicate
     text = plan_text(docs.select(pred))
     assert "Contains(text, @)" in text or "contains(text, @)" in text.lower()
+
+
+def test_uniqueness_filters_reach_the_scan(spark):
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    text = plan_text(unique_metrics(o, [UniqueSpec("o_custkey", F.expr("o_orderstatus = 'F'")),
+                                        UniqueSpec("o_orderkey")]))
+    pushed = next(line for line in text.splitlines() if line.startswith("PushedFilters"))
+    assert "EqualTo(o_orderstatus,F)" in pushed and "IsNotNull(o_orderkey)" in pushed
