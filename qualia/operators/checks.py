@@ -129,14 +129,16 @@ _REGEX_LOCK = threading.Lock()
 
 
 def validate_patterns(spark, patterns) -> None:
-    """Compile patterns on the driver, all in one go: a one-row local relation is
-    folded by the optimizer, so no task runs. A pattern that does not compile is
-    remembered with its error, and its rule fails alone instead of the scan."""
+    """Compile patterns on the driver, all in one go, without a Spark job. A pattern
+    that does not compile is remembered with its error, and its rule fails alone
+    instead of the scan."""
     with _REGEX_LOCK:
         todo = sorted({p for p in patterns if p and p not in _REGEX})
     if not todo:
         return
-    probe = spark.createDataFrame([("",)], "s string")
+    # an inline table is a local relation: the projection is folded into it and
+    # evaluated on the driver (no job); a bad pattern raises right here
+    probe = spark.sql("SELECT * FROM VALUES ('') AS t(s)")
     try:
         probe.select(*[F.regexp_extract("s", p, 0) for p in todo]).collect()
         found = {p: None for p in todo}
