@@ -26,6 +26,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -500,10 +501,17 @@ def evaluate_rules(
     return _metrics_frame(spark, done)
 
 
+_ARROW_TYPES = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
+
+
 def _metrics_frame(spark: SparkSession, done: list[list[_Planned]], schema=METRICS_SCHEMA) -> DataFrame:
+    """The per-rule rows as a local relation (built from an Arrow table): the
+    classification on top of it is folded into it and evaluated on the driver."""
     rows = sorted((r for plans in done for r in _metric_rows(plans)), key=lambda kv: kv[0])
     data = [dict(d, seq=i) for i, (_, d) in enumerate(rows)]
-    return spark.createDataFrame([tuple(d[f] for f in schema.fieldNames()) for d in data], schema)
+    table = pa.table({f.name: pa.array([d[f.name] for d in data], type=_ARROW_TYPES[f.dataType.typeName()])
+                      for f in schema.fields})
+    return spark.createDataFrame(table, schema)
 
 
 _LAZY_SCHEMA = StructType(METRICS_SCHEMA.fields + [StructField("rule_index", LongType(), False)])
