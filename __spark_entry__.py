@@ -18,6 +18,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
+import pyarrow as pa  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -85,7 +86,13 @@ def _rule_rows(rules: list[R]) -> list[tuple]:
 
 
 def _rules_df(spark: SparkSession, rules: list[R]) -> DataFrame:
-    return spark.createDataFrame(_rule_rows(rules), RULE_DDL)
+    """The rule rows as a local relation (via an Arrow table)."""
+    schema = spark.createDataFrame([], RULE_DDL).schema
+    arrow = {"string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
+    rows = _rule_rows(rules)
+    table = pa.table({f.name: pa.array([r[i] for r in rows], type=arrow[f.dataType.typeName()])
+                      for i, f in enumerate(schema.fields)})
+    return spark.createDataFrame(table, schema)
 
 
 def _catalog(spark: SparkSession) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +24,21 @@ DEFAULT_CATALOG = [
 ]
 
 
+def _local(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Catalog rows as a local relation (from an Arrow table): its size is known to
+    the optimizer, which can then pick a broadcast join by measured size."""
+    cols = list(zip(*rows)) if rows else [[] for _ in CATALOG_SCHEMA.fields]
+    table = pa.table({f.name: pa.array(list(c), type=pa.string()) for f, c in zip(CATALOG_SCHEMA.fields, cols)})
+    return spark.createDataFrame(table, CATALOG_SCHEMA)
+
+
 def default_catalog(spark: SparkSession, extra: list[tuple] | None = None) -> DataFrame:
     """The shipped catalog as a DataFrame (plus optional extra rows)."""
-    return spark.createDataFrame(DEFAULT_CATALOG + list(extra or []), CATALOG_SCHEMA)
+    return _local(spark, DEFAULT_CATALOG + list(extra or []))
 
 
 def empty_catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], CATALOG_SCHEMA)
+    return _local(spark, [])
 
 
 def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
