@@ -1,7 +1,8 @@
 """From per-rule counts to the result row: status, failing rows, percentage, remark.
 
 Input: the *metrics relation*, one row per rule (see ``METRICS_SCHEMA``). All of the
-classification is Column expressions, so it runs wherever the metrics are.
+classification is Spark SQL expressions, so it runs wherever the metrics are (on
+the driver, folded into a local relation, in the default eager mode).
 """
 
 from __future__ import annotations

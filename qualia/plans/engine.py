@@ -6,15 +6,18 @@ Plan of a run::
       -> group by (schema, table, filter)
       -> per table (in parallel threads):
            one fused scan aggregate for every row-level rule of every filter
+             (chunks of MAX_AGGS_PER_SCAN aggregates, side by side)
            one GROUPING SETS query for every uniqueness rule of every filter
-      -> per-rule counts (a few rows) -> classification (Column expressions)
+             (chunks of MAX_UNIQUE_PER_QUERY columns, side by side)
+      -> per-rule counts (a local relation) -> classification (SQL expressions)
 
 Data never reaches the driver: each table returns one aggregate row per query.
 Faults stay local: a missing table or a bad filter turns its own rules into
 ``ERROR_EJECUCION``; a rule whose column or expression does not resolve, or whose
 parameters are unusable, becomes ``NO_EVALUADA`` alone. If a fused job fails at
-run time, the table is re-run filter by filter and then rule by rule, so the
-failure is pinned to the rules that cause it.
+run time with a data error, its rules are bisected down to the ones at fault;
+any other job failure fails the affected groups. ``eager=False`` builds all of
+this as one unexecuted plan instead.
 """
 
 from __future__ import annotations
