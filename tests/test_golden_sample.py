@@ -84,3 +84,19 @@ def test_wide_result_names_rule_code_and_dimension(spark, catalog):
 def test_lazy_run_gives_the_same_result(spark, catalog, result):
     tables = {f"{S.SCHEMA}.{S.TABLE}": S.logs_df(spark)}
     assert run(spark, S.SAMPLE_RULES, catalog, tables, eager=False) == result
+
+
+def test_verification_report(spark, catalog):
+    from qualia import verification_report
+    from helpers import rules_df
+
+    metrics, outcomes = verification_report(spark, rules_df(spark, S.SAMPLE_RULES), catalog,
+                                            tables={f"{S.SCHEMA}.{S.TABLE}": S.logs_df(spark)})
+    m = {r["name"] + ":" + r["check"].split(":")[1]: r["value"] for r in metrics.collect()}
+    assert m["Completeness:remitenteNotificador"] == pytest.approx(5 / 6)
+    assert m["Uniqueness:guid"] == 1.0
+    assert m["PatternMatch:emailOrigen"] == 0.0
+    o = {r["check"].split(":")[1]: r for r in outcomes.collect()}
+    assert o["guid"]["constraint_status"] == "Success" and o["guid"]["constraint_message"] == ""
+    assert o["montoTransaccion"]["constraint_status"] == "Failure"
+    assert o["montoTransaccion"]["constraint_message"].startswith("Value: 0.8333")
