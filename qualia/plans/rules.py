@@ -6,6 +6,7 @@ It is read once; its rows then steer one Spark job or two per checked table.
 
 from __future__ import annotations
 
+import warnings
 from collections import OrderedDict
 from dataclasses import dataclass, field
 
@@ -105,9 +106,18 @@ _RULE_FIELDS = ["table_name", "schema", "column_name", "rule_code", "params", "f
 
 
 def collect_rules(plan: DataFrame) -> list[Rule]:
-    """Bring the (small) active rule set to the driver, in rule-table order."""
+    """Bring the (small) active rule set to the driver, in rule-table order.
+
+    A rule code listed twice in the catalog makes its rules appear twice (left
+    join); they are kept, as the join says, and a warning names the codes."""
     rows = plan.select("seq", *_RULE_FIELDS).collect()
     rows = sorted(rows, key=lambda r: r["seq"])
+    seen, doubled = set(), set()
+    for r in rows:
+        (doubled if r["seq"] in seen else seen).add(r["seq"])
+    if doubled:
+        codes = sorted({r["rule_code"] for r in rows if r["seq"] in doubled})
+        warnings.warn(f"rule codes listed more than once in the catalog: {', '.join(codes)}", stacklevel=2)
     return [Rule(i, *[r[f] for f in _RULE_FIELDS]) for i, r in enumerate(rows)]
 
 

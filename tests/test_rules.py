@@ -113,3 +113,18 @@ def test_input_bundle(spark, catalog):
                     {"dataset": S.TABLE}, tables=tables, stamps=False).collect()
     assert [r["estado_calidad"] for r in res] == ["NO_CUMPLE", "CUMPLE"]
     assert transform(spark, rules, {"dataset": "other"}, tables=tables).count() == 0
+
+
+def test_duplicate_catalog_codes_warn_and_multiply(spark):
+    import warnings as w
+
+    from qualia.plans.rules import collect_rules
+
+    raw = spark.createDataFrame([("t", "db", "c", "A", "", "", "true", "1")], RAW_DDL)
+    cat = spark.createDataFrame([("A", "d", "x", "isComplete()"), ("A", "d", "y", "isUnique()")],
+                                "id_calidad_regla string, dimension string, descripcion string, metodo string")
+    with w.catch_warnings(record=True) as caught:
+        w.simplefilter("always")
+        rules = collect_rules(active_rules(join_catalog(standardize_rules(raw), cat)))
+    assert len(rules) == 2
+    assert any("A" in str(c.message) for c in caught)
