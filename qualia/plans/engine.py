@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from qualia.functions.text import col_of, quote_ident
 from qualia.operators.checks import REGISTRY, UNIQUE, Check, build_check, validate_patterns
 from qualia.operators.classify import (
     ERROR,
@@ -364,8 +365,15 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
         keep = _referenced_columns(base, live)
         filters = [p.fcol for p in live]
         data = base.where(reduce(lambda a, b: a | b, filters)) if all(f is not None for f in filters) else base
-        data = (data.select(*[F.col(f"`{c}`") for c in keep]) if keep else data).persist(
-            StorageLevel.MEMORY_AND_DISK)
+        pruned = data.select(*[F.col(quote_ident(c)) for c in keep]) if keep else data
+        try:  # everything must still resolve on the pruned columns (analysis only)
+            pruned.select(*[f for f in filters if f is not None],
+                          *[c.predicate for p in live for _, c in p.row],
+                          *[col_of(c.column) for p in live for _, c in p.unique])
+            data = pruned
+        except Exception:
+            pass  # keep every column rather than guess
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if any(p.unique for p in live):
             # the two queries of a table are independent: run them side by side

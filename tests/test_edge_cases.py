@@ -299,3 +299,10 @@ def test_only_data_errors_are_pinned_to_rules(spark):
         raise AssertionError("expected a division by zero")
     assert not _rule_fault(RuntimeError("executor lost"))
     assert not _rule_fault(ValueError("x"))
+
+
+def test_cache_keeps_columns_named_only_inside_expressions(spark, catalog):
+    df = spark.createDataFrame([(1, 2, "a"), (3, 0, "b")], "`x y` int, b int, v string")
+    rules = [rule("v", "COM_PREDICADO", "`x y` + b > 2", table="t", schema=None, filters="b >= 0"),
+             rule("v", "COM_DUPLICADOS", table="t", schema=None, filters="b >= 0")]
+    assert run(spark, rules, catalog, {"t": df}, cache=True) == run(spark, rules, catalog, {"t": df})
