@@ -5,12 +5,16 @@ scan: ``count_if(filter)`` per filter and ``count_if(filter AND pass)`` per rule
 The plan is scan -> (pushed-down OR of the filters) -> partial hash aggregate ->
 one-row final aggregate; no data shuffle, only one partial row per task.
 
-*Uniqueness* needs the frequency of each value. All uniqueness checks of a table
+*Uniqueness* needs the frequency of each value. The uniqueness checks of a table
 go into one ``GROUPING SETS`` query: Expand (one copy of a row per checked column)
 -> partial count per value -> shuffle by value -> final count -> a second,
 one-row aggregate that turns the frequencies into (values seen once, non-NULL
 rows). A filter is applied per check as ``CASE WHEN filter THEN column END``:
-rows outside the filter become NULL, and NULLs are left out of uniqueness anyway.
+rows outside the filter become NULL, and NULLs are left out of uniqueness anyway;
+rows that give no value to any check are dropped at the scan.
+
+How many checks go into one query is the engine's choice (see ``MAX_AGGS_PER_SCAN``
+and ``MAX_UNIQUE_PER_QUERY`` in :mod:`qualia.plans.engine`).
 
 Skew: both aggregates are algebraic (counts), so a hot value is collapsed by the
 map-side partial aggregate to one row per task before the shuffle; a value that
@@ -90,8 +94,3 @@ def unique_metrics(base: DataFrame, specs: list[UniqueSpec]) -> DataFrame:
         aggs.append(F.count_if(seen & (F.col("__c") == 1)).alias(f"__u{j}"))
         aggs.append(F.coalesce(F.sum(F.when(seen, F.col("__c"))), F.lit(0)).cast("long").alias(f"__d{j}"))
     return freq.agg(*aggs)
-
-
-def unique_metrics_separately(base: DataFrame, specs: list[UniqueSpec]) -> list[DataFrame]:
-    """The same metrics, one group-by per spec (baseline for the bench and fallback)."""
-    return [unique_metrics(base, [s]) for s in specs]
