@@ -511,7 +511,7 @@ def q_catalog_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CAT_CSV = [
     R("part", "p_brand", "CONF_LONG_EXACTA", "8", 60.0, pred="length(p_brand) = 8"),
-    R("part", "p_size", "CONF_PREDICADO", "p_size % 2 = 0", 40.0, pred="p_size % 2 = 0"),
+    R("part", "p_size", "CONF_PREDICADO", "p_retailprice > p_size * 30", 40.0, pred="p_retailprice > p_size * 30"),
     R("part", "p_name", "COM_NULOS_LISTA", pred="p_name IS NOT NULL"),
 ]
 
