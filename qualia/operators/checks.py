@@ -70,7 +70,7 @@ class CheckContext:
 
     @property
     def col(self) -> Column:
-        return col_of(self.column)
+        return col_of(self.column, self.schema.fieldNames() if self.schema is not None else self.df.columns)
 
     def dtype(self) -> DataType:
         """Type of the rule's column; an unknown column raises (analysis, no job)."""

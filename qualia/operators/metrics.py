@@ -72,8 +72,9 @@ def unique_metrics(base: DataFrame, specs: list[UniqueSpec]) -> DataFrame:
     """One-row aggregate: ``__u{j}`` values seen exactly once, ``__d{j}`` non-NULL rows,
     for each spec j. ``__d{j}`` is 0 when the column holds no value at all."""
     keys, wanted = [], []
+    columns = base.columns
     for j, s in enumerate(specs):
-        c = col_of(s.column)
+        c = col_of(s.column, columns)
         keys.append((c if s.filter is None else F.when(s.filter, c)).alias(f"__k{j}"))
         wanted.append(c.isNotNull() if s.filter is None else (s.filter & c.isNotNull()))
     names = [f"__k{j}" for j in range(len(specs))]

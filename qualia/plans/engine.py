@@ -318,7 +318,9 @@ def _referenced_columns(base: DataFrame, plans: list[_Planned]) -> list[str]:
     words: set[str] = set()
     for p in plans:
         texts = [p.group.filter] + [r.params or "" for r in p.group.rules]
-        words.update((r.column_name or "").lower() for r in p.group.rules)
+        for r in p.group.rules:
+            name = (r.column_name or "").lower()
+            words.update((name, name.split(".")[0]))  # a nested path needs its struct
         for t in texts:
             for m in _IDENT.finditer(t):
                 words.add((m.group(1).replace("``", "`") if m.group(1) else m.group(2)).lower())
@@ -369,7 +371,7 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
         try:  # everything must still resolve on the pruned columns (analysis only)
             pruned.select(*[f for f in filters if f is not None],
                           *[c.predicate for p in live for _, c in p.row],
-                          *[col_of(c.column) for p in live for _, c in p.unique])
+                          *[col_of(c.column, base.columns) for p in live for _, c in p.unique])
             data = pruned
         except Exception:
             pass  # keep every column rather than guess

@@ -306,3 +306,12 @@ def test_cache_keeps_columns_named_only_inside_expressions(spark, catalog):
     rules = [rule("v", "COM_PREDICADO", "`x y` + b > 2", table="t", schema=None, filters="b >= 0"),
              rule("v", "COM_DUPLICADOS", table="t", schema=None, filters="b >= 0")]
     assert run(spark, rules, catalog, {"t": df}, cache=True) == run(spark, rules, catalog, {"t": df})
+
+
+def test_nested_field_and_dotted_name(spark, catalog):
+    df = spark.sql("SELECT named_struct('city', c) AS address, c AS `a.b` FROM VALUES ('x'), ('y'), ('x'), (NULL) AS t(c)")
+    nested = one(spark, "address.city", "COM_NULOS", "", catalog, df)
+    dotted = one(spark, "a.b", "COM_NULOS", "", catalog, df)
+    assert nested["registros_fallidos"] == dotted["registros_fallidos"] == 1
+    uniq = one(spark, "address.city", "COM_DUPLICADOS", "", catalog, df)
+    assert uniq["porcentaje_cumplimiento"] == pytest.approx(100 / 3)
