@@ -4,6 +4,7 @@ from qualia.functions.text import (
     normalize_method_col,
     percent_text,
     percent_text_sql,
+    py_float_sql,
     quote_ident,
     split_params,
     split_params_col,
@@ -17,6 +18,7 @@ __all__ = [
     "normalize_method_col",
     "percent_text",
     "percent_text_sql",
+    "py_float_sql",
     "quote_ident",
     "split_params",
     "split_params_col",

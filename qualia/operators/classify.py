@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from qualia.functions.text import percent_text_sql, with_py_float_text
+from qualia.functions.text import PY_FLOAT_HELPERS, percent_text_sql, py_float_sql
 from qualia.schema import (
     CUMPLE,
     ERROR_EJECUCION,
@@ -79,16 +79,21 @@ def classify(metrics: DataFrame, policy: str = "strict") -> DataFrame:
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
     ok = "passed = denom" if policy == "strict" else "__m * 100 >= umbral"
+    umbral = "CAST(coalesce(threshold, 0.0D) AS DOUBLE)"
+    _, helpers, thr_text = py_float_sql("umbral")
+    # three projections: metric and threshold; case and number-text parts; outputs
     m = metrics.withColumns({
         "__m": F.expr("CASE WHEN denom > 0 THEN CAST(passed AS DOUBLE) / denom END"),
-        "umbral": F.expr("CAST(coalesce(threshold, 0.0D) AS DOUBLE)"),
+        "umbral": F.expr(umbral),
+        PY_FLOAT_HELPERS[0]: F.expr(py_float_sql(umbral)[0]),
+    })
+    m = m.withColumns({
+        "__k": F.expr(f"CASE WHEN outcome = '{ERROR}' THEN 'E' WHEN outcome = '{SKIPPED}' THEN 'S' "
+                      f"WHEN total = 0 THEN 'Z' WHEN __m IS NULL THEN 'N' WHEN {ok} THEN 'C' ELSE 'F' END"),
+        **{k: F.expr(v) for k, v in helpers.items()},
     })
-    m = m.withColumn("__k", F.expr(
-        f"CASE WHEN outcome = '{ERROR}' THEN 'E' WHEN outcome = '{SKIPPED}' THEN 'S' "
-        f"WHEN total = 0 THEN 'Z' WHEN __m IS NULL THEN 'N' WHEN {ok} THEN 'C' ELSE 'F' END"))
-    m = with_py_float_text(m, "umbral", "__thr_text")
     alert = (f"concat({_sql_lit(MSG_ALERT_HEAD)}, {percent_text_sql('__m * 100')}, "
-             f"{_sql_lit(MSG_ALERT_MID)}, __thr_text, {_sql_lit(MSG_ALERT_TAIL)})")
+             f"{_sql_lit(MSG_ALERT_MID)}, {thr_text}, {_sql_lit(MSG_ALERT_TAIL)})")
     return m.withColumns({
         "id_calidad_tabla": F.col("table_name"),
         "columna": F.col("column_name"),
@@ -109,7 +114,7 @@ def classify(metrics: DataFrame, policy: str = "strict") -> DataFrame:
             f"CASE __k WHEN 'E' THEN substring(message, 1, {MAX_ERROR_CHARS}) WHEN 'S' THEN message "
             f"WHEN 'Z' THEN {_sql_lit(MSG_EMPTY)} WHEN 'N' THEN coalesce(message, {_sql_lit(MSG_NO_VALUES)}) "
             f"WHEN 'C' THEN {_sql_lit(MSG_OK)} ELSE {alert} END"),
-    }).drop("__m", "__k", "__thr_text")
+    }).drop("__m", "__k", *PY_FLOAT_HELPERS)
 
 
 def metric_report(metrics: DataFrame) -> DataFrame:
