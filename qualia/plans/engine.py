@@ -31,6 +31,7 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark import StorageLevel
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -73,6 +74,13 @@ def _err_text(e: BaseException) -> str:
     return " ".join(str(e).split())
 
 
+def _inherit(src: DataFrame | SparkSession, fn):
+    """``fn`` for a helper thread that keeps this thread's Spark job properties
+    (description, tags), so its jobs are labelled like the caller's."""
+    spark = src.sparkSession if isinstance(src, DataFrame) else src
+    return inheritable_thread_target(spark)(fn)
+
+
 def _rule_fault(e: BaseException) -> bool:
     """True for a data error raised by an expression (SQLSTATE class 22: division
     by zero, invalid cast, bad pattern ...), which re-running a subset of the rules
@@ -217,7 +225,7 @@ def _run_row_level(base: DataFrame, plans: list[_Planned]) -> None:
         _run_chunk(base, chunks[0])
     else:
         with ThreadPoolExecutor(max_workers=min(len(chunks), 8)) as pool:
-            list(pool.map(lambda ch: _run_chunk(base, ch), chunks))
+            list(pool.map(_inherit(base, lambda ch: _run_chunk(base, ch)), chunks))
 
 
 def _bisect(base: DataFrame, p: _Planned, items: list[tuple[Rule, Check]]) -> None:
@@ -293,7 +301,8 @@ def _run_unique(base: DataFrame, plans: list[_Planned]) -> None:
             results = _unique_chunk(base, spec_list, 0)
         else:
             with ThreadPoolExecutor(max_workers=min(len(starts), 8)) as pool:
-                for part in pool.map(lambda i: _unique_chunk(base, spec_list[i:i + step], i), starts):
+                run = _inherit(base, lambda i: _unique_chunk(base, spec_list[i:i + step], i))
+                for part in pool.map(run, starts):
                     results.update(part)
     except Exception as e:
         for pi, _ in specs:
@@ -360,6 +369,7 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
         return plans
     g0 = groups[0]
     spark = base.sparkSession
+    # the description reaches the jobs of the helper threads below (event logs)
     spark.sparkContext.setJobDescription(f"quality checks on {full_table_name(g0.schema, g0.table_name)}")
     data = base
     cache = cache and any(p.unique for p in live) and any(p.row for p in live)
@@ -382,7 +392,8 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
         if any(p.unique for p in live):
             # the two queries of a table are independent: run them side by side
             with ThreadPoolExecutor(max_workers=2) as pool:
-                jobs = [pool.submit(_run_row_level, data, live), pool.submit(_run_unique, data, live)]
+                jobs = [pool.submit(_inherit(data, _run_row_level), data, live),
+                        pool.submit(_inherit(data, _run_unique), data, live)]
                 for j in jobs:
                     j.result()
         else:
@@ -509,7 +520,7 @@ def evaluate_rules(
 
     if parallelism > 1 and len(work) > 1:
         with ThreadPoolExecutor(max_workers=min(parallelism, len(work))) as pool:
-            done = list(pool.map(lambda gs: _evaluate_table(resolver, gs, cache), work))
+            done = list(pool.map(_inherit(spark, lambda gs: _evaluate_table(resolver, gs, cache)), work))
     else:
         done = [_evaluate_table(resolver, gs, cache) for gs in work]
 
