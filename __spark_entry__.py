@@ -6,7 +6,6 @@ is the scan and aggregation of the checked tables. Each oracle is written by han
 in DuckDB SQL from the meaning of the check, not from the engine's code.
 """
 
-from __future__ import annotations
 
 import datetime as _dt
 import os

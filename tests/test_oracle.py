@@ -27,3 +27,15 @@ def outcomes(spark):
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query_matches_oracle(outcomes, key):
     assert outcomes[key] is None, outcomes[key]
+
+
+def test_entry_file_loads_by_path_without_registration():
+    # a driver may execute the file without adding it to sys.modules
+    import importlib.util
+    import os
+
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    spec = importlib.util.spec_from_file_location("entry_by_path", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    assert set(mod.queries()) == set(mod.oracle_sql())
