@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualia.llm import decontam
+from qualia.llm import decontam, neardup
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,5 +23,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("leak_n_hit") > 0).alias("contaminated"), F.col("leak_longest").alias("longest_match"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate}
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its component of documents with a Jaccard similarity of 0.75 or more."""
+    found = neardup.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
+                        (F.col("id") == F.col("component")).alias("kept"))
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op9_near_duplicates": op9_near_duplicates}
 ORACLES: dict[str, str] = {}
