@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualia.llm import decontam, neardup
+from qualia.llm import decontam, lengths, mixing, neardup, tokenbin, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,35 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("leak_n_hit") > 0).alias("contaminated"), F.col("leak_longest").alias("longest_match"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each context limit that is some document's length: tokens kept and cut there."""
+    docs = read(spark, sf_dir, "documents").select("text")
+    return lengths.at_every_limit(lengths.histogram(lengths.token_counts(docs, tokenizer_path())))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document, from the files read back: where its ids start, how many, and their checksum."""
+    found = tokenbin.encode_and_read_back(read(spark, sf_dir, "documents"), tokenizer_path())
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its size and the words that the mix takes of it."""
+    return mixing.taken(read(spark, sf_dir, "documents"), key=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per page, from the archives read back."""
+    found = warc.write_and_read_back(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its component of documents with a Jaccard similarity of 0.75 or more."""
     found = neardup.near_duplicates(read(spark, sf_dir, "documents"))
@@ -30,5 +59,5 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("id") == F.col("component")).alias("kept"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op9_near_duplicates": op9_near_duplicates}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op3_token_counts, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates)}
 ORACLES: dict[str, str] = {}
