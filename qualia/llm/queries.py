@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualia.llm import decontam, lengths, mixing, neardup, tokenbin, warc
+from qualia.llm import annsearch, decontam, htmlcut, lengths, mixing, neardup, tokenbin, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,12 +29,25 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = htmlcut.extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.col("main_chars").alias("n_chars"), "main_blocks", "page_blocks")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each context limit that is some document's length: tokens kept and cut there."""
     docs = read(spark, sf_dir, "documents").select("text")
     return lengths.at_every_limit(lengths.histogram(lengths.token_counts(docs, tokenizer_path())))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for each vector whose id is divisible by 20."""
+    vectors = read(spark, sf_dir, "embeddings")
+    found = annsearch.search(vectors, vectors.where("vec_id % 20 = 0"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document, from the files read back: where its ids start, how many, and their checksum."""
     found = tokenbin.encode_and_read_back(read(spark, sf_dir, "documents"), tokenizer_path())
@@ -59,5 +72,5 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("id") == F.col("component")).alias("kept"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op3_token_counts, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates)}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates)}
 ORACLES: dict[str, str] = {}
