@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualia.llm import annsearch, decontam, htmlcut, lengths, mixing, neardup, tokenbin, warc
+from qualia.llm import annsearch, decontam, htmlcut, lengths, mixing, neardup, ordinal, tokenbin, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.at_every_limit(lengths.histogram(lengths.token_counts(docs, tokenizer_path())))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: how likely its label is toxic."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held = lambda c: F.coalesce(F.crc32(F.col(c).cast("string")) % 4 == 2, F.lit(True))
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), F.col("toxic"), allowed=~held("id"))
+    return toxicity.score(docs, model).select("doc_id", held("doc_id").alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for each vector whose id is divisible by 20."""
     vectors = read(spark, sf_dir, "embeddings")
@@ -72,5 +80,14 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("id") == F.col("component")).alias("kept"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates)}
+def op10_ordinal_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: expected grade, tail probabilities, and whether it is kept."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal.train(docs, read(spark, sf_dir, "labels"), ordinal.label_grade(), ordinal.LEVELS)
+    found = ordinal.score(docs.select("doc_id", "text"), model)
+    tail = F.col("tail_probability")
+    return found.select("doc_id", "expected_grade", tail[0].alias("p_grade_1"), tail[1].alias("p_grade_2"), (tail[0] >= 0.5).alias("kept"))
+
+
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op4_toxicity, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates, op10_ordinal_grades)}
 ORACLES: dict[str, str] = {}
