@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualia.llm.shared import ship
+from qualia.llm.shared import plain_names, ship
 from qualia.llm.textops import ALNUM, span_hashes, text_slices, word_spans, words_of
 
 SHARD_WORDS = 1 << 19
@@ -251,6 +251,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, *, text_col: str = "text", ite
     strings) and ``leak_longest`` (words of the longest verbatim match, if it reaches a window, else 0)."""
     spark = docs.sparkSession
     ship(spark)
+    docs = docs.drop(*ADDED.names)  # columns so named are replaced
     names = docs.columns
     out, again = docs, False
     blocks = list(_blocks(bench, item_id, item_text, block_bytes)) or [(np.zeros(0, np.uint64), np.zeros(1, np.int64), [])]
@@ -267,6 +268,8 @@ def with_hits(leaks: DataFrame) -> DataFrame:
     return leaks.withColumn("leak_n_hit", n)
 
 
-def remove_leaks(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
+def remove_leaks(docs: DataFrame, bench: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
     """The documents without any word inside a benchmark window; same columns."""
-    return with_hits(find_leaks(docs, bench, **options)).where("leak_n_hit = 0").select(*docs.columns)
+    plain, name = plain_names(docs)
+    clean = with_hits(find_leaks(plain, bench, text_col=name[text_col], **options)).where("leak_n_hit = 0")
+    return clean.select(*plain.columns).toDF(*docs.columns)

@@ -340,5 +340,6 @@ ADDED = T.StructType([T.StructField("main_text", T.StringType()), T.StructField(
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` without the html, with ``main_text``, its code points, its blocks and the page's blocks."""
     ship(pages.sparkSession)
+    pages = pages.drop(*ADDED.names)  # columns so named are replaced
     fields = [f for f in pages.schema.fields if f.name != html_col]
     return pages.mapInArrow(_extractor(pages.columns.index(html_col)), T.StructType(fields + ADDED.fields))

@@ -44,6 +44,7 @@ def _counter(path: str, at: int):
 def token_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
     """The other columns of ``docs`` and ``n_tokens``, by the tokenizer file at that path."""
     ship(docs.sparkSession)
+    docs = docs.drop("n_tokens")  # a column so named is replaced
     at = docs.columns.index(text_col)
     fields = [f for f in docs.schema.fields if f.name != text_col]
     return docs.mapInArrow(_counter(tokenizer, at), T.StructType([*fields, T.StructField("n_tokens", T.LongType())]))

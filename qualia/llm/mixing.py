@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from qualia.llm.shared import staged
+from qualia.llm.shared import plain_names, staged
 
 WEIGHTS = (5, 2, 1)
 #: Words in a block, rows in a piece of a source's line, slots in a piece of the schedule.
@@ -66,10 +66,11 @@ def targets(sizes: DataFrame, share: tuple[int, int], most: int, weights: tuple[
 
 def line(rows: DataFrame, key: list[str]) -> DataFrame:
     """``rows`` (with source, size) and ``start``: words before the row in its source's shuffled order."""
-    piece_of = F.pmod(F.shiftrightunsigned("_h", 20), F.greatest(F.lit(1), F.expr(f"_n div {PIECE_ROWS} + 1")))
+    # pieces are ranges of the hash: the order on the line is that of the hashes, whatever the pieces
+    piece_of = F.expr(f"shiftright(cast(conv(substring(_h, 1, 8), 16, 10) as long) * (_n div {PIECE_ROWS} + 1), 32)")
     n = rows.groupBy("source").agg(F.count("*").alias("_n"))
-    rows = rows.withColumn("_h", F.xxhash64(F.lit("line"), *key)).join(n.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).withColumn("_p", piece_of).drop("_s", "_n")
-    inside = W.partitionBy("source", "_p").orderBy("_h", *key).rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("_h", F.md5(F.concat_ws("/", F.lit("line"), *[F.col(k).cast("string") for k in key]))).join(n.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).withColumn("_p", piece_of).drop("_s", "_n")
+    inside = W.partitionBy("source", "_p").orderBy("_h", *key, "size").rowsBetween(W.unboundedPreceding, -1)
     pieces = rows.groupBy("source", "_p").agg(F.sum("size").alias("_w"))
     over = W.partitionBy("source").orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
     pieces = pieces.select(F.col("source").alias("_s"), F.col("_p").alias("_q"), F.coalesce(F.sum("_w").over(over), F.lit(0)).alias("_before"))
@@ -138,8 +139,13 @@ def taken(docs: DataFrame, *, key: list[str], **options) -> DataFrame:
     return out.join(g, F.col("source").eqNullSafe(F.col("_g"))).select(*key, "source", "size", "source_size", "target", F.coalesce("_t", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed(docs: DataFrame, *, key: list[str], **options) -> DataFrame:
+def mixed(docs: DataFrame, *, key: list[str], source: str = "source", text: str = "text", **options) -> DataFrame:
     """``docs`` as the mix reads them: a row for each reading that takes at least half of its words; same columns."""
+    plain, name = plain_names(docs)
+    return _mixed(plain, key=[name[k] for k in key], source=name[source], text=name[text], **options).toDF(*docs.columns)
+
+
+def _mixed(docs: DataFrame, *, key: list[str], **options) -> DataFrame:
     rows, _, pieces = mix(docs, key=key, **options)
     got = pieces.groupBy(*[F.col(k).alias(f"_{i}") for i, k in enumerate(key)], "source", "start", "size", "epoch").agg(F.sum(F.expr("to_word - from_word")).alias("t"))
     got = got.where("2 * t >= size")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualia.llm.shared import ship, staged
+from qualia.llm.shared import plain_names, ship, staged
 from qualia.llm.textops import BASE, NON_SPACE, U64, mix64, span_hashes, text_slices, word_spans
 
 SHINGLE = 5
@@ -237,8 +237,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"))
 
 
-def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each component: the one whose id names it (one row, if that id repeats); same columns."""
-    found = near_duplicates(docs, id_col=id_col, **options).where("id <=> component").select(F.col("id").alias("_kept")).distinct()
-    kept = docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    plain, name = plain_names(docs)
+    key = name[id_col]
+    found = near_duplicates(plain, id_col=key, text_col=name[text_col], **options).where("id <=> component").select(F.col("id").alias("_kept")).distinct()
+    kept = plain.join(found, F.col(key).cast("long").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([key])
+    return kept.select(*plain.columns).toDF(*docs.columns)

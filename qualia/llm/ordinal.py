@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualia.llm.sample import labelled
-from qualia.llm.shared import ship
+from qualia.llm.shared import plain_names, ship
 from qualia.llm.textops import NON_SPACE, U64, mix64, span_hashes, text_slices, word_spans
 
 BITS = 15
@@ -148,15 +148,18 @@ ADDED = T.StructType([T.StructField("expected_grade", T.DoubleType()), T.StructF
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``expected_grade`` and ``tail_probability``: P(grade >= k) for k = 1, 2, ..."""
+    """``docs`` with ``expected_grade`` and ``tail_probability``: P(grade >= k) for k = 1, 2, ... (columns so named are replaced)."""
     ship(docs.sparkSession)
+    docs = docs.drop(*ADDED.names)
     run = _scorer(docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col))
     return docs.mapInArrow(run, T.StructType(docs.schema.fields + ADDED.fields))
 
 
 def select(docs: DataFrame, model: Model, at_least: int = 1, probability: float = 0.5, text_col: str = "text") -> DataFrame:
     """The documents whose grade is ``at_least`` that with the probability given; same columns."""
-    return score(docs, model, text_col).where(F.element_at("tail_probability", at_least) >= probability).select(*docs.columns)
+    plain, name = plain_names(docs)
+    kept = score(plain, model, name[text_col]).where(F.element_at("tail_probability", at_least) >= probability)
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 # -- the given labels as grades ----------------------------------------------------------

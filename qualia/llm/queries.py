@@ -20,7 +20,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("leak_n_words").alias("n_words"), F.col("leak_n_hit").alias("n_hit"),
         F.size("leak_items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("leak_items")), 256).alias("items_sha256"),
-        (F.col("leak_n_hit") > 0).alias("contaminated"), F.col("leak_longest").alias("longest_match"))
+        (F.col("leak_n_hit") > 0).alias("contaminated"))
 
 
 def tokenizer_path() -> str:
@@ -64,7 +64,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its size and the words that the mix takes of it."""
-    return mixing.taken(read(spark, sf_dir, "documents"), key=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mixing.taken(read(spark, sf_dir, "documents"), key=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,4 +90,54 @@ def op10_ordinal_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op4_toxicity, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates, op10_ordinal_grades)}
-ORACLES: dict[str, str] = {}
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS k
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT doc_id, dw.n, i, item_id FROM dw JOIN win ON dw.n = win.n AND dw.k = win.k),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s FROM hit GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)] AS weight, 2 * source_size AS cap, sum(source_size) OVER () * 1.5 AS total FROM s),
+l AS (SELECT w.*, lo.level FROM w, (SELECT max(CASE WHEN (total - f) / o <= cap / weight THEN (total - f) / o END) AS level
+        FROM (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS f,
+                     sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS o FROM w)) lo),
+g AS (SELECT source, source_size, least(cap, coalesce(level * weight, cap))::DOUBLE AS target FROM l),
+line AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('line/' || doc_id), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM d)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(a + size, round(target)) - a) + greatest(0, least(a + size, round(target) - source_size) - a))::BIGINT AS taken
+FROM line JOIN g ON line.source IS NOT DISTINCT FROM g.source"""
+
+OP8_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+x AS (SELECT page_id, h, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, (k // 8)::BIGINT * 10 + 1, 10))::BIGINT >> (35 - 5 * (k % 8))::INTEGER) & 31)::BIGINT, 1) FOR k IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM x"""
+
+OP9_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*)::BIGINT AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = d.doc_id"""
+
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op7_mix_sources": OP7_SQL, "op8_warc": OP8_SQL, "op9_near_duplicates": OP9_SQL}

@@ -58,6 +58,8 @@ def ship(spark: SparkSession) -> None:
     sc._qualia_llm_shipped = True
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a relation, without a job (used to pick partition counts)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns col_0, col_1, ... and the new name of each, so that a function that gives
+    the same columns back can add its own whatever the table's are called."""
+    names = {c: f"col_{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names

@@ -325,7 +325,8 @@ def _scorer(model, at: int):
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The other columns of ``docs`` and ``toxicity``, 0 to 1."""
+    """The other columns of ``docs`` and ``toxicity``, 0 to 1 (a column so named is replaced)."""
     ship(docs.sparkSession)
+    docs = docs.drop("toxicity")
     run = _scorer(docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col))
     return docs.mapInArrow(run, T.StructType([f for f in docs.schema.fields if f.name != text_col] + [T.StructField("toxicity", T.DoubleType())]))
