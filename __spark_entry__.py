@@ -36,6 +36,14 @@ from qualia.sources import (  # noqa: E402
     write_result_csv,
 )
 
+try:  # the corpus operators and their pipeline are optional parts
+    import corpus_pipeline as _pipeline  # noqa: E402
+    from qualia.llm import queries as _corpus  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "qualia.llm"):
+        raise
+    _pipeline = _corpus = None
+
 SCHEMA = "tpch"
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = _dt.datetime(2026, 1, 31, 8, 30, 0)
@@ -658,6 +666,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["result_export_format"] = q_result_export_format
     out["table_roundtrip"] = q_table_roundtrip
     out["result_csv_roundtrip"] = q_result_csv_roundtrip
+    if _corpus is not None:
+        out.update(_corpus.QUERIES)
+        out["pipeline"] = _pipeline.run
     return out
 
 
@@ -678,4 +689,8 @@ def oracle_sql() -> dict[str, str]:
     out["result_export_format"] = o_result_export_format()
     out["table_roundtrip"] = _oracle(_ROUNDTRIP)
     out["result_csv_roundtrip"] = _oracle(_ROUNDTRIP)
+    if _corpus is not None:
+        out.update(_corpus.ORACLES)
+        if _pipeline.ORACLE_SQL is not None:
+            out["pipeline"] = _pipeline.ORACLE_SQL
     return out
