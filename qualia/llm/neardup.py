@@ -5,7 +5,7 @@
    Texts of equal sets are one class, whatever their number.
 2. Bands of registers are bucket keys. In each bucket the members are linked to one
    centre (no pairs), the collision-corrected Jaccard estimate of the sketches drops the
-   hopeless, and full sets decide.
+   hopeless, and full sets decide. Empty registers of short texts are filled from others.
 3. Buckets that still hold several components go on: small ones give the pairs between
    different components, larger ones are split by further bands until they are small.
 4. Components by alternating large-star and small-star steps over tables.
@@ -76,6 +76,22 @@ def registers(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.where(full, ((zeros + 1) << MANTISSA) | rest.astype(np.int64), 0).astype(np.uint16)
 
 
+def filled(regs: np.ndarray) -> np.ndarray:
+    """Registers (a row each set) whose empty buckets take the value of another bucket of the set, in an order fixed for
+    each bucket, so that bands of short texts tell as much as those of long ones."""
+    out, n = regs.copy(), regs.shape[1]
+    row, col = np.nonzero((regs == 0) & (regs != 0).any(1)[:, None])
+    turn = 0
+    while len(row):
+        turn += 1
+        other = (mix64((col * 4096 + turn % 4096).astype(U64) + U64(turn // 4096 << 32)) % U64(n)).astype(np.int64)
+        got = regs[row, other]
+        out[row, col] = got
+        left = got == 0
+        row, col = row[left], col[left]
+    return out
+
+
 def _sketcher(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = ROWS * BANDS
@@ -88,7 +104,7 @@ def _sketcher(size: int):
                     count.append(len(h))
                     digest.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
                     regs.append(registers(h, n))
-                r = np.array(regs, np.uint16).reshape(-1, BANDS, ROWS).astype(np.int64)
+                r = filled(np.array(regs, np.uint16).reshape(-1, n)).reshape(-1, BANDS, ROWS).astype(np.int64)
                 key = (r[:, :, 0] << 32) | (r[:, :, 1] << 16) | r[:, :, 2]
                 key = np.where(key > 0, key | tag, -1).ravel()
                 bands = pa.ListArray.from_arrays(np.arange(0, len(key) + 1, BANDS, dtype=np.int32), pa.array(key))
@@ -164,7 +180,7 @@ class Matcher:
                 .where(f"{self.den} * least(na, nb) >= {self.num} * greatest(na, nb)")
                 .withColumn("s", F.expr(_estimate("ra", "rb"))))
         j = f"((s.m / s.u - {CHANCE}) / (1 - {CHANCE}))"
-        return both.where(f"{j} >= {t} - {SLACK} * sqrt({t * (1 - t)} / s.u)").select("a", "b")
+        return both.where(f"{j} >= {t} - {SLACK} * sqrt({t * (1 - t)} / least(na, nb, s.u))").select("a", "b")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes whose full sets are similar enough; written once."""
