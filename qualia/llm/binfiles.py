@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_records(df: DataFrame, column: str, path: str, end: str = "\n") -> None:
-    df.select(F.col(column).cast("string").alias("value")).write.option("lineSep", end).text(path)
+def write_records(df: DataFrame, column: str, path: str, end: str = "\n", most: int = 0) -> None:
+    """``most``: records of a file, if over 0."""
+    out = df.select(F.col(column).cast("string").alias("value")).write.option("lineSep", end)
+    out.option("maxRecordsPerFile", most).text(path)
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:

@@ -10,8 +10,8 @@ chunked framing.
 
 Defined results: a null html is an empty payload; a null page id is a record like others
 (refers_to may not name it: the largest id that is not null does); repeated rows are written
-each, the first of equal ids and payloads being the response, the others revisits; an empty
-table gives no records.
+each, and those that equal the response in id and payload are responses too; an empty table
+gives no records.
 """
 
 from __future__ import annotations
@@ -23,15 +23,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from qualia.llm.binfiles import read_files, write_records
-from qualia.llm.shared import fresh_path, ship, staged
+from qualia.llm.shared import fresh_path, ship
 
 VERSION = b"WARC/1.1"
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
-FILE_BYTES = 4 << 20
+#: Records of a file, each at most a segment and its head.
+FILE_RECORDS = 2000
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 
@@ -100,7 +100,7 @@ def _writer(segment_bytes: int, chunk_bytes: int, date: str):
                 revisit = not cols["is_response"][k].as_py()
                 name = f"<urn:uuid:{cols['uuid'][k].as_py()}>"
                 head = [("WARC-Record-ID", name), ("WARC-Date", date), ("WARC-Target-URI", "".join((url or "urn:none").split())),
-                        ("WARC-Payload-Digest", f"sha1:{cols['digest'][k].as_py()}"), ("Content-Type", "application/http;msgtype=response"),
+                        ("WARC-Payload-Digest", f"sha1:{payload_digest(body)}"), ("Content-Type", "application/http;msgtype=response"),
                         ("X-Payload-Bytes", str(len(body)))]
                 if page is not None:
                     head.append(("X-Page-ID", str(page)))
@@ -111,6 +111,7 @@ def _writer(segment_bytes: int, chunk_bytes: int, date: str):
                     out.append(record(head, HTTP_HEAD))
                 else:
                     block = HTTP_HEAD + chunked(body, chunk_bytes)
+                    size += len(block)
                     head.append(("WARC-Type", "response"))
                     parts = [block[a:a + segment_bytes] for a in range(0, len(block), segment_bytes)]
                     if len(parts) > 1:
@@ -122,7 +123,6 @@ def _writer(segment_bytes: int, chunk_bytes: int, date: str):
                         if number == len(parts):
                             more.append(("WARC-Segment-Total-Length", str(len(block))))
                         out.append(record(more, part))
-                size += len(body)
                 if size > 1 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
                     out, size = [], 0
@@ -131,10 +131,12 @@ def _writer(segment_bytes: int, chunk_bytes: int, date: str):
     return run
 
 
-_SEGMENTS = ("origin string, number long, total long, type string, page_id long, payload_bytes long, payload_digest string, refers_to long, block binary")
+_KEPT = ["page_id", "record_type", "payload_bytes", "payload_digest", "refers_to"]
+_SEGMENTS = ("origin string, number long, total long, record_type string, page_id long, payload_bytes long, payload_digest string, refers_to long, block binary")
 
 
-def _reader():
+def _reader(segmented: bool):
+    """Rows of the records that are whole, or of those that are segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = lambda h, k: int(h[k]) if k in h else None
         names = [x.split()[0] for x in _SEGMENTS.split(", ")]
@@ -151,6 +153,8 @@ def _reader():
                     kind = h["warc-type"]
                     if kind not in ("response", "revisit", "continuation"):
                         continue
+                    if ("warc-segment-number" in h) != segmented:
+                        continue
                     origin = h["warc-segment-origin-id"] if kind == "continuation" else h["warc-record-id"]
                     rows.append((origin, whole(h, "warc-segment-number") or 1, whole(h, "warc-segment-total-length"), kind, whole(h, "x-page-id"),
                                  whole(h, "x-payload-bytes"), h.get("warc-payload-digest", "").removeprefix("sha1:"), whole(h, "x-refers-to-page-id"), block))
@@ -182,59 +186,50 @@ def _finisher():
     return run
 
 
-def _base32(hex_col: str):
-    """SQL: base32 text of a SHA-1 given as 40 hex digits (eight groups of five bits from each 40 bits)."""
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    part = f"cast(conv(substring({hex_col}, g * 10 + 1, 10), 16, 10) as long)"
-    return (f"concat_ws('', flatten(transform(sequence(0, 3), g -> transform(sequence(0, 7), k -> "
-            f"substring('{letters}', cast((shiftright({part}, 35 - 5 * k) & 31) + 1 as int), 1)))))")
-
-
 def plan_records(pages: DataFrame, *, min_bytes: int = 0, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(page, url, payload, digest, uuid, is_response, refers_to): of equal payloads of at least
+    """(page, url, payload, uuid, is_response, refers_to): of equal payloads of at least
     ``min_bytes`` the one with the largest id is the response, the others revisit it."""
     p = pages.select(F.col(page_id).cast("long").alias("page"), F.col(url).cast("string").alias("url"),
                      F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
-    p = p.withColumn("digest", F.expr(_base32("sha1(payload)")))
+    p = p.withColumn("digest", F.unhex(F.sha1("payload")))
     light = p.select("page", "digest", F.octet_length("payload").alias("size"))
     same = light.where(f"size >= {min_bytes}").groupBy("digest").agg(F.max("page").alias("last"), F.count("*").alias("n")).where("n > 1")
     # only payloads that repeat are looked up, so that the join stays small
     out = p.join(same.withColumnRenamed("digest", "_d"), F.col("digest") == F.col("_d"), "left").drop("_d")
     first = F.col("last").isNull() | (F.col("page") == F.col("last"))
     return out.withColumn("is_response", F.coalesce(first & (F.col("n").isNull() | F.col("page").isNotNull()), F.lit(True))).select(
-        "page", "url", "payload", "digest", F.expr("uuid()").alias("uuid"), "is_response", F.when(~F.col("is_response"), F.col("last")).alias("refers_to"))
+        "page", "url", "payload", F.expr("uuid()").alias("uuid"), "is_response", F.when(~F.col("is_response"), F.col("last")).alias("refers_to"))
 
 
 def write_warc(pages: DataFrame, path: str, *, min_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES,
-               file_bytes: int = FILE_BYTES, date: str = "2026-01-31T00:00:00Z", **columns) -> None:
-    """One response or revisit for each row, as WARC/1.1 files of about ``file_bytes``."""
-    spark = pages.sparkSession
-    ship(spark)
-    html = columns.get("html", "html")
-    n = int((pages.agg(F.sum(F.octet_length(html))).first()[0] or 0) // file_bytes) + 1
-    plan = plan_records(pages, min_bytes=min_bytes, **columns)
-    made = plan.mapInArrow(_writer(segment_bytes, chunk_bytes, date), "record binary")
-    write_records(made.repartition(n), "record", path, end="\r\n\r\n")
+               file_records: int = FILE_RECORDS, date: str = "2026-01-31T00:00:00Z", **columns) -> None:
+    """One response or revisit for each row, as WARC/1.1 files of at most ``file_records`` records (so of bounded size).
+
+    The lookup of equal payloads deals the pages out; its partitions are written as they are.
+    """
+    ship(pages.sparkSession)
+    made = plan_records(pages, min_bytes=min_bytes, **columns).mapInArrow(_writer(segment_bytes, chunk_bytes, date), "record binary")
+    write_records(made, "record", path, end="\r\n\r\n", most=file_records)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, record_type, payload_bytes, payload_digest, refers_to, payload) of every response and revisit.
 
-    Whole records pass straight on; only those in segments are grouped.
+    Whole records pass straight on; only those in segments are grouped, by their origin.
     """
     ship(spark)
-    seg = read_files(spark, path).mapInArrow(_reader(), _SEGMENTS)
-    part = F.struct("number", "total", "type", "page_id", "payload_bytes", "payload_digest", "refers_to", "block")
+    whole = read_files(spark, path).mapInArrow(_reader(False), _SEGMENTS).select(*_KEPT, "block")
+    seg = read_files(spark, path).mapInArrow(_reader(True), _SEGMENTS)
+    part = F.struct("number", "total", F.col("record_type").alias("type"), *[c for c in _KEPT if c != "record_type"], "block")
     joined = seg.groupBy("origin").agg(F.sort_array(F.collect_list(part)).alias("s"))
-    ok = F.expr("transform(s, x -> x.number) = sequence(1L, cast(size(s) as long)) and (size(s) = 1 or element_at(s, -1).total = "
-                "aggregate(s, 0L, (a, x) -> a + octet_length(x.block)))")
-    joined = joined.withColumn("block", F.when(ok, F.expr("aggregate(s, cast('' as binary), (a, x) -> a || x.block)")).otherwise(
-        F.raise_error(F.concat(F.lit("segments are missing or too short: "), F.col("origin")))))
+    ok = F.expr("transform(s, x -> x.number) = sequence(1L, cast(size(s) as long)) and element_at(s, -1).total = "
+                "aggregate(s, 0L, (a, x) -> a + octet_length(x.block))")
+    joined = joined.withColumn("block", F.when(F.coalesce(ok, F.lit(False)), F.expr("aggregate(s, cast('' as binary), (a, x) -> a || x.block)")).otherwise(
+        F.raise_error(F.concat(F.lit("segments are missing or too short: "), F.col("origin"))).cast("binary")))
     first = F.col("s")[0]
-    out = joined.select(first["page_id"].alias("page_id"), first["type"].alias("record_type"), first["payload_bytes"].alias("payload_bytes"),
-                        first["payload_digest"].alias("payload_digest"), first["refers_to"].alias("refers_to"), "block")
+    out = joined.select(*[first["type" if c == "record_type" else c].alias(c) for c in _KEPT], "block")
     schema = "page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
-    return out.mapInArrow(_finisher(), schema)
+    return whole.union(out).mapInArrow(_finisher(), schema)
 
 
 def write_and_read_back(pages: DataFrame, **options) -> DataFrame:
