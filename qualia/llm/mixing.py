@@ -30,7 +30,7 @@ from qualia.llm.shared import plain_names, staged
 WEIGHTS = (5, 2, 1)
 #: Words in a block, rows in a piece of a source's line, slots in a piece of the schedule.
 BLOCK_WORDS = 1024
-PIECE_ROWS = 20_000
+PIECE_ROWS = 2048
 PIECE_SLOTS = 1 << 16
 GOLDEN = (math.sqrt(5) - 1) / 2
 #: The fractional part of 2**20 times the golden ratio.
