@@ -6,8 +6,10 @@
 2. Bands of registers are bucket keys. In each bucket the members are linked to one
    centre (no pairs), the collision-corrected Jaccard estimate of the sketches drops the
    hopeless, and full sets decide. Empty registers of short texts are filled from others.
-3. Buckets that still hold several components go on: small ones give the pairs between
-   different components, larger ones are split by further bands until they are small.
+3. In buckets that still hold several components, every member is compared with a pivot, the
+   best linked node of the largest component. By the triangle inequality of the Jaccard
+   distance and by the sketches, nearly all other pairs are ruled out inside blocks of a
+   bucket; the few that remain are compared on full sets.
 4. Components by alternating large-star and small-star steps over tables.
 
 Defined results: a text without words is linked with nothing; fewer words than a shingle
@@ -24,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from qualia.llm.shared import plain_names, ship, staged
 from qualia.llm.textops import BASE, NON_SPACE, U64, mix64, span_hashes, text_slices, word_spans
@@ -35,8 +38,8 @@ ROWS, BANDS, MANTISSA = 3, 32, 10
 CHANCE = 0.169919487159739093975 / 2**MANTISSA
 #: Standard deviations by which an estimate may fall short of the threshold.
 SLACK = 5.0
-#: Members of a bucket whose cross-component pairs are formed directly.
-SMALL_BUCKET = 64
+#: Rows of a part of a bucket; larger buckets are compared part against part.
+BLOCK_ROWS = 512
 
 
 def shingle_sets(col: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -120,12 +123,11 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     return docs.mapInArrow(_sketcher(size), "id long, n long, node binary, bands array<long>")
 
 
-def _estimate(a: str, b: str):
-    """SQL: whether the sketches allow a similarity of the threshold (given as t)."""
-    regs = f"""aggregate(sequence(0, {BANDS - 1}), named_struct('m', 0, 'u', 0), (s, i) -> named_struct(
+def _estimate(a: str, b: str) -> str:
+    """SQL: registers that agree and registers in use of two sketches, as a struct (m, u)."""
+    return f"""aggregate(sequence(0, {BANDS - 1}), named_struct('m', 0, 'u', 0), (s, i) -> named_struct(
         'm', s.m + {' + '.join(_register(a, b, k)[0] for k in range(ROWS))},
         'u', s.u + {' + '.join(_register(a, b, k)[1] for k in range(ROWS))}))"""
-    return regs
 
 
 def _register(a: str, b: str, k: int) -> tuple[str, str]:
@@ -134,18 +136,81 @@ def _register(a: str, b: str, k: int) -> tuple[str, str]:
     return f"if({x} > 0 and {x} = {y}, 1, 0)", f"if({x} > 0 or {y} > 0, 1, 0)"
 
 
-def _comparer(num: int, den: int):
+def _comparer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, shared, total) of pairs with the sets' bytes."""
+    for batch in batches:
+        shared, total = [], []
+        for x, y in zip(batch.column(2), batch.column(3)):
+            both = np.concatenate([np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)])
+            both.sort()
+            n = int((both[1:] == both[:-1]).sum())
+            shared.append(n)
+            total.append(len(both) - n)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["a", "b", "shared", "total"])
+
+
+def _block_pairs(t: float):
+    """Pairs of each group of rows (sorted by key, i, j) that may still be links: of different components, at like
+    distance from the bucket's pivot (distances differ by 1 - t at most, as the Jaccard distance is a metric),
+    with sketches and sizes that allow it. In a block (i, j) with i < j only pairs over both parts are made."""
+    def of_group(key: np.ndarray, part: np.ndarray, cross: bool, comp: np.ndarray, far: np.ndarray, n: np.ndarray, regs: np.ndarray) -> tuple:
+        some = np.flatnonzero(part == part.min())
+        rest = np.flatnonzero(part != part.min()) if cross else some
+        if not len(rest):
+            return some[:0], some[:0]
+        got = []
+        for lo in range(0, len(some), 64):
+            x, y = some[lo:lo + 64], rest
+            ok = comp[x][:, None] != comp[y][None, :]
+            if not cross:
+                ok &= x[:, None] < y[None, :]
+            ok &= ~(np.abs(far[x][:, None] - far[y][None, :]) > 1 - t + 1e-9)  # not known: no reason to drop
+            small, large = np.minimum(n[x][:, None], n[y][None, :]), np.maximum(n[x][:, None], n[y][None, :])
+            ok &= small >= t * large
+            r, c = np.nonzero(ok)
+            if len(r):
+                same = (regs[x[r]] == regs[y[c]]).mean(1)
+                j = (same - CHANCE) / (1 - CHANCE)
+                fine = j >= t - SLACK * np.sqrt(t * (1 - t) / np.minimum(small[r, c], regs.shape[1]))
+                got.append((x[r[fine]], y[c[fine]]))
+        if not got:
+            return some[:0], some[:0]
+        return np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(table: pa.Table) -> pa.RecordBatch:
+            cols = {c: table[c].combine_chunks() for c in table.column_names}
+            num = {c: cols[c].to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "part", "far", "n")}
+            comp = cols["comp"].dictionary_encode()
+            comp = (comp.combine_chunks() if isinstance(comp, pa.ChunkedArray) else comp).indices.to_numpy()
+            regs = cols["bands"].flatten().to_numpy().astype(np.int64).reshape(-1, BANDS)
+            regs = np.stack([(regs >> (16 * (ROWS - 1 - k))) & 65535 for k in range(ROWS)], 2).reshape(len(regs), -1).astype(np.uint16)
+            change = np.ones(table.num_rows, bool)
+            change[1:] = (num["key"][1:] != num["key"][:-1]) | (num["i"][1:] != num["i"][:-1]) | (num["j"][1:] != num["j"][:-1])
+            edges = np.append(np.flatnonzero(change), table.num_rows)
+            xs, ys = [], []
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                p = slice(lo, hi)
+                x, y = of_group(num["key"][p], num["part"][p], bool(num["i"][lo] != num["j"][lo]), comp[p], num["far"][p], num["n"][p], regs[p])
+                xs.append(x + lo)
+                ys.append(y + lo)
+            x, y = np.concatenate(xs), np.concatenate(ys)
+            pair = np.unique(np.stack([x, y], 1), axis=0) if len(x) else np.zeros((0, 2), np.int64)
+            return pa.RecordBatch.from_arrays([cols["node"].take(pa.array(pair[:, 0])), cols["node"].take(pa.array(pair[:, 1]))], ["a", "b"])
+
+        held: pa.Table | None = None
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                both = np.concatenate([p, q])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                ok.append(den * shared >= num * (len(both) - shared))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            key = [table[c].combine_chunks().to_numpy() for c in ("key", "i", "j")]
+            same = np.logical_and.reduce([k == k[-1] for k in key]) if table.num_rows else np.zeros(0, bool)
+            cut = int(np.flatnonzero(~same)[-1]) + 1 if (~same).any() else 0  # the last group may go on
+            if cut:
+                yield done(table.slice(0, cut))
+            held = table.slice(cut)
+        if held is not None and held.num_rows:
+            yield done(held)
     return run
 
 
@@ -167,10 +232,17 @@ class Matcher:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int):
         self.size, self.num, self.den = size, num, den
         self.docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        self.rows = staged(sketch(docs, id_col, text_col, size), "neardup-sketch")
-        self.nodes = staged(self.rows.where("node is not null").groupBy("node").agg(
-            F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("copies")), "neardup-nodes")
-        self.keys = (self.nodes.select("node", F.explode("bands").alias("key")).where("key >= 0"))
+        sketched = staged(sketch(docs, id_col, text_col, size), "neardup-sketch")
+        self.rows = sketched.select("id", "n", "node")
+        self.nodes = staged(sketched.where("node is not null").groupBy("node").agg(
+            F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "neardup-nodes")
+        every = self.nodes.select("node", F.explode("bands").alias("key")).where("key >= 0")
+        bucket = W.partitionBy("key")
+        self.keys = staged(every.withColumns({"a": F.min("node").over(bucket), "z": F.max("node").over(bucket)}).where("a < z").select("key", "node", "a"), "neardup-keys")
+
+    def stars(self) -> DataFrame:
+        """In each bucket, every member with the smallest one."""
+        return self.keys.where("a < node").selectExpr("a", "node b").distinct()
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sizes and sketches allow the similarity."""
@@ -182,40 +254,46 @@ class Matcher:
         j = f"((s.m / s.u - {CHANCE}) / (1 - {CHANCE}))"
         return both.where(f"{j} >= {t} - {SLACK} * sqrt({t * (1 - t)} / least(na, nb, s.u))").select("a", "b")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of nodes whose full sets are similar enough; written once."""
-        pairs = staged(self.likely(pairs.distinct()), "neardup-pairs")
+    def compared(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, shared, total) of different pairs of nodes, on full sets; written once."""
+        pairs = staged(pairs, "neardup-pairs")
         need = pairs.selectExpr("a node").union(pairs.selectExpr("b node")).distinct()
         need = need.join(self.nodes.select("node", "id"), "node").selectExpr("id", "node want")
-        # a null id cannot be joined back, so equality is null-safe
+        # a null id cannot be joined back by plain equality
         texts = self.docs.withColumnRenamed("id", "doc").join(need, F.col("doc").eqNullSafe(F.col("id"))).select("want", "text")
         sets = texts.mapInArrow(_setter(self.size), "want binary, node binary, hashes binary").where("want = node")
         sets = staged(sets.dropDuplicates(["node"]).select("node", "hashes"), "neardup-sets")
         a, b = sets.selectExpr("node a", "hashes ha"), sets.selectExpr("node b", "hashes hb")
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb")
-        return staged(both.mapInArrow(_comparer(self.num, self.den), "a binary, b binary"), "neardup-links")
-
-    def stars(self) -> DataFrame:
-        """In each bucket, every member with the smallest one."""
-        hub = self.keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("key", "a")
-        return self.keys.join(hub, "key").where("a < node").selectExpr("a", "node b")
-
-    def rest(self, comp: DataFrame) -> DataFrame:
-        """The pairs of different components that still share a bucket; large buckets are split by further bands."""
-        keys = self.keys.join(comp, "node", "left").selectExpr("key", "key last", "node", "coalesce(comp, node) comp")
-        out = None
-        for _ in range(BANDS):
-            open_ = keys.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo < hi")
-            keys = staged(keys.join(open_.select("key", "members"), "key"), "neardup-open")
-            small = keys.where(f"members <= {SMALL_BUCKET}")
-            pairs = small.alias("x").join(small.alias("y"), "key").where("x.comp < y.comp").selectExpr("least(x.node, y.node) a", "greatest(x.node, y.node) b").distinct()
-            out = pairs if out is None else out.union(pairs)
-            large = keys.where(f"members > {SMALL_BUCKET}").drop("members")
-            if large.isEmpty():
-                break
-            more = self.nodes.select("node", "bands").join(large, "node").select("node", "comp", F.col("key").alias("old"), "last", F.explode("bands").alias("band"))
-            keys = more.where("band > last").select(F.xxhash64("old", "band").alias("key"), F.col("band").alias("last"), "node", "comp")
-        return out
+        return staged(both.mapInArrow(_comparer, "a binary, b binary, shared long, total long"), "neardup-compared")
+
+    def links(self, compared: DataFrame) -> DataFrame:
+        return compared.where(f"{self.den} * shared >= {self.num} * total").select("a", "b")
+
+    def open_buckets(self, comp: DataFrame) -> DataFrame:
+        """(key, node, comp) of the buckets that hold several components."""
+        bucket = W.partitionBy("key")
+        rows = self.keys.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        rows = rows.withColumns({"lo": F.min("comp").over(bucket), "hi": F.max("comp").over(bucket), "members": F.count("*").over(bucket)})
+        return rows.where("lo < hi").select("key", "node", "comp", "members")
+
+    def pivots(self, links: DataFrame, comp: DataFrame, rows: DataFrame) -> DataFrame:
+        """(key, pivot): for each open bucket with linked members, the best linked node of its largest component."""
+        degree = links.selectExpr("a node").union(links.selectExpr("b node")).groupBy("node").agg(F.count("*").alias("links"))
+        hub = comp.join(degree, "node").groupBy("comp").agg(F.max(F.struct("links", "node")).alias("hub"), F.count("*").alias("size"))
+        hub = hub.select("comp", F.col("hub.node").alias("pivot"), "size")
+        held = rows.select("key", "comp").distinct().join(hub, "comp")
+        return held.groupBy("key").agg(F.max(F.struct("size", "pivot")).alias("p")).select("key", "p.pivot")
+
+    def rest(self, rows: DataFrame, far: DataFrame) -> DataFrame:
+        """Pairs of different components in open buckets, made in blocks of bounded size; far: (key, node, distance to the pivot)."""
+        rows = rows.join(far, ["key", "node"], "left").join(self.nodes.select("node", "n", "bands"), "node")
+        parts = F.expr(f"(members - 1) div {BLOCK_ROWS} + 1")
+        rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        rows = rows.selectExpr("key", "least(part, other) i", "greatest(part, other) j", "part", "node", "comp", "coalesce(distance, double('nan')) far", "n", "bands")
+        rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return rows.mapInArrow(_block_pairs(self.num / self.den), "a binary, b binary").selectExpr("least(a, b) a", "greatest(a, b) b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -241,9 +319,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     similarity: tuple[int, int] = (75, 100)) -> DataFrame:
     """One row per document: id, n_shingles, component (smallest id reachable; its own for a text without words)."""
     m = Matcher(docs, id_col, text_col, size, *similarity)
-    links = m.confirmed(m.stars())
+    first = m.compared(m.likely(m.stars()))
+    links = m.links(first)
+    comp = staged(components(links), "neardup-comp")
+    # every member of an open bucket against one pivot; distances to it then rule out most other pairs
+    rows = staged(m.open_buckets(comp), "neardup-open")
+    pivot = staged(rows.join(m.pivots(links, comp, rows), "key").where("node <> pivot").select("key", "node", "pivot"), "neardup-pivots")
+    near = m.compared(pivot.selectExpr("least(node, pivot) a", "greatest(node, pivot) b").distinct())
+    links = links.union(m.links(near)).distinct()
     comp = staged(components(links), "neardup-comp")
-    more = m.confirmed(m.rest(comp))
+    d = near.selectExpr("a", "b", "1 - shared / total distance")
+    far = pivot.join(d.union(d.selectExpr("b a", "a b", "distance")).selectExpr("a node", "b pivot", "distance"), ["node", "pivot"]).select("key", "node", "distance")
+    more = m.links(m.compared(m.rest(m.open_buckets(comp), far)))
     if not more.isEmpty():
         comp = staged(components(links.union(more)), "neardup-comp")
     named = m.nodes.join(comp, "node", "left").select("node", "id", F.coalesce("comp", "node").alias("comp"))
