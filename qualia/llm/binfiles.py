@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_records(df: DataFrame, column: str, path: str, end: str = "\n", most: int = 0) -> None:
+def write_records(df: DataFrame, column: str, path: str, end: str = "\n", most: int = 0, compression: str = "none") -> None:
     """``most``: records of a file, if over 0."""
-    out = df.select(F.col(column).cast("string").alias("value")).write.option("lineSep", end)
+    out = df.select(F.col(column).cast("string").alias("value")).write.option("lineSep", end).option("compression", compression)
     out.option("maxRecordsPerFile", most).text(path)
 
 

@@ -17,6 +17,7 @@ gives no records.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -69,9 +70,9 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return VERSION + b"\r\n" + head.encode() + b"\r\n" + block
 
 
-def records(content: memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
+def records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers in lower case, block) of each record of a file."""
-    raw, at, end = bytes(content), 0, len(content)
+    at, end = 0, len(raw)
     while at < end:
         head_end = raw.index(b"\r\n\r\n", at)
         lines = raw[at:head_end].split(b"\r\n")
@@ -149,7 +150,7 @@ def _reader(segmented: bool):
         for batch in batches:
             for value in batch.column(1):
                 rows = []
-                for h, block in records(memoryview(value.as_buffer())):
+                for h, block in records(gzip.decompress(value.as_buffer())):
                     kind = h["warc-type"]
                     if kind not in ("response", "revisit", "continuation"):
                         continue
@@ -203,13 +204,13 @@ def plan_records(pages: DataFrame, *, min_bytes: int = 0, page_id: str = "page_i
 
 def write_warc(pages: DataFrame, path: str, *, min_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES,
                file_records: int = FILE_RECORDS, date: str = "2026-01-31T00:00:00Z", **columns) -> None:
-    """One response or revisit for each row, as WARC/1.1 files of at most ``file_records`` records (so of bounded size).
+    """One response or revisit for each row, as gzipped WARC/1.1 files of at most ``file_records`` records (so of bounded size).
 
     The lookup of equal payloads deals the pages out; its partitions are written as they are.
     """
     ship(pages.sparkSession)
     made = plan_records(pages, min_bytes=min_bytes, **columns).mapInArrow(_writer(segment_bytes, chunk_bytes, date), "record binary")
-    write_records(made, "record", path, end="\r\n\r\n", most=file_records)
+    write_records(made, "record", path, end="\r\n\r\n", most=file_records, compression="gzip")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
