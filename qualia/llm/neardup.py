@@ -6,10 +6,10 @@
 2. Bands of registers are bucket keys. In each bucket the members are linked to one
    centre (no pairs), the collision-corrected Jaccard estimate of the sketches drops the
    hopeless, and full sets decide. Empty registers of short texts are filled from others.
-3. In buckets that still hold several components, every member is compared with a pivot, the
-   best linked node of the largest component. By the triangle inequality of the Jaccard
-   distance and by the sketches, nearly all other pairs are ruled out inside blocks of a
-   bucket; the few that remain are compared on full sets.
+3. Buckets that still hold several components and share a pivot, the best linked node of the
+   largest component there, are one family. Its members are compared with the pivot, and
+   then, where the triangle inequality of the Jaccard distance to the pivot leaves it open, with
+   each other on full sets, in blocks of bounded size that give out true links only.
 4. Components by alternating large-star and small-star steps over tables.
 
 Defined results: a text without words is linked with nothing; fewer words than a shingle
@@ -38,8 +38,8 @@ ROWS, BANDS, MANTISSA = 3, 32, 10
 CHANCE = 0.169919487159739093975 / 2**MANTISSA
 #: Standard deviations by which an estimate may fall short of the threshold.
 SLACK = 5.0
-#: Rows of a part of a bucket; larger buckets are compared part against part.
-BLOCK_ROWS = 512
+#: Rows of a part of a family; larger families are compared part against part.
+BLOCK_ROWS = 256
 
 
 def shingle_sets(col: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -149,66 +149,72 @@ def _comparer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["a", "b", "shared", "total"])
 
 
-def _block_pairs(t: float):
-    """Pairs of each group of rows (sorted by key, i, j) that may still be links: of different components, at like
-    distance from the bucket's pivot (distances differ by 1 - t at most, as the Jaccard distance is a metric),
-    with sketches and sizes that allow it. In a block (i, j) with i < j only pairs over both parts are made."""
-    def of_group(key: np.ndarray, part: np.ndarray, cross: bool, comp: np.ndarray, far: np.ndarray, n: np.ndarray, regs: np.ndarray) -> tuple:
+def _block_links(num: int, den: int):
+    """Links between different components inside each group of rows (sorted by family, i, j), one for
+    each row and component. In a block (i, j) with i < j only pairs over both parts are looked at.
+
+    A row is passed over for partners whose distance from the family's pivot differs by more than the
+    Jaccard distance allowed (a metric, so such a pair can't be near enough); the others are counted on full sets.
+    """
+    limit = 1 - num / den + 1e-9
+
+    def of_group(part: np.ndarray, cross: bool, comp: np.ndarray, far: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
         some = np.flatnonzero(part == part.min())
         rest = np.flatnonzero(part != part.min()) if cross else some
-        if not len(rest):
-            return some[:0], some[:0]
-        got = []
-        for lo in range(0, len(some), 64):
-            x, y = some[lo:lo + 64], rest
-            ok = comp[x][:, None] != comp[y][None, :]
+        if not len(rest) or len(np.unique(comp)) < 2:
+            return []
+        known, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        size = np.array([len(x) for x in sets])
+        at = np.cumsum(size) - size
+        other = np.concatenate([ids[at[y]:at[y] + size[y]] for y in rest])
+        starts = np.cumsum(size[rest]) - size[rest]
+        flag = np.zeros(len(known), np.int64)
+        out = []
+        for x in some.tolist():
+            ok = (comp[rest] != comp[x]) & ~(np.abs(far[rest] - far[x]) > limit)
             if not cross:
-                ok &= x[:, None] < y[None, :]
-            ok &= ~(np.abs(far[x][:, None] - far[y][None, :]) > 1 - t + 1e-9)  # not known: no reason to drop
-            small, large = np.minimum(n[x][:, None], n[y][None, :]), np.maximum(n[x][:, None], n[y][None, :])
-            ok &= small >= t * large
-            r, c = np.nonzero(ok)
-            if len(r):
-                same = (regs[x[r]] == regs[y[c]]).mean(1)
-                j = (same - CHANCE) / (1 - CHANCE)
-                fine = j >= t - SLACK * np.sqrt(t * (1 - t) / np.minimum(small[r, c], regs.shape[1]))
-                got.append((x[r[fine]], y[c[fine]]))
-        if not got:
-            return some[:0], some[:0]
-        return np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+                ok &= rest > x
+            if not ok.any():
+                continue
+            own = ids[at[x]:at[x] + size[x]]
+            flag[own] = 1
+            shared = np.add.reduceat(flag[other], starts)
+            flag[own] = 0
+            near = np.flatnonzero(ok & (den * shared >= num * (size[rest] + size[x] - shared)))
+            if len(near):
+                _, first = np.unique(comp[rest[near]], return_index=True)
+                out += [(x, y) for y in rest[near[first]].tolist()]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(table: pa.Table) -> pa.RecordBatch:
-            cols = {c: table[c].combine_chunks() for c in table.column_names}
-            num = {c: cols[c].to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "part", "far", "n")}
-            comp = cols["comp"].dictionary_encode()
-            comp = (comp.combine_chunks() if isinstance(comp, pa.ChunkedArray) else comp).indices.to_numpy()
-            regs = cols["bands"].flatten().to_numpy().astype(np.int64).reshape(-1, BANDS)
-            regs = np.stack([(regs >> (16 * (ROWS - 1 - k))) & 65535 for k in range(ROWS)], 2).reshape(len(regs), -1).astype(np.uint16)
-            change = np.ones(table.num_rows, bool)
-            change[1:] = (num["key"][1:] != num["key"][:-1]) | (num["i"][1:] != num["i"][:-1]) | (num["j"][1:] != num["j"][:-1])
-            edges = np.append(np.flatnonzero(change), table.num_rows)
-            xs, ys = [], []
+            i, j, part, far = (table[c].to_numpy() for c in ("i", "j", "part", "far"))
+            comp = table["comp"].combine_chunks().dictionary_encode().indices.to_numpy()
+            edges = np.append(np.flatnonzero(changes(table)), table.num_rows)
+            hashes, node = table["hashes"].combine_chunks(), table["node"].combine_chunks()
+            pairs = []
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 p = slice(lo, hi)
-                x, y = of_group(num["key"][p], num["part"][p], bool(num["i"][lo] != num["j"][lo]), comp[p], num["far"][p], num["n"][p], regs[p])
-                xs.append(x + lo)
-                ys.append(y + lo)
-            x, y = np.concatenate(xs), np.concatenate(ys)
-            pair = np.unique(np.stack([x, y], 1), axis=0) if len(x) else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([cols["node"].take(pa.array(pair[:, 0])), cols["node"].take(pa.array(pair[:, 1]))], ["a", "b"])
+                sets = [np.frombuffer(hashes[k].as_buffer(), U64) for k in range(lo, hi)]
+                pairs += [(x + lo, y + lo) for x, y in of_group(part[p], bool(i[lo] != j[lo]), comp[p], far[p], sets)]
+            a, b = pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())
+            return pa.RecordBatch.from_arrays([node.take(a), node.take(b)], ["a", "b"])
+
+        def changes(table: pa.Table) -> np.ndarray:
+            keys = [table["family"].combine_chunks().dictionary_encode().indices.to_numpy(), table["i"].to_numpy(), table["j"].to_numpy()]
+            new = np.ones(table.num_rows, bool)
+            new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+            return new
 
         held: pa.Table | None = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             if held is not None:
                 table = pa.concat_tables([held, table])
-            key = [table[c].combine_chunks().to_numpy() for c in ("key", "i", "j")]
-            same = np.logical_and.reduce([k == k[-1] for k in key]) if table.num_rows else np.zeros(0, bool)
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if (~same).any() else 0  # the last group may go on
-            if cut:
-                yield done(table.slice(0, cut))
-            held = table.slice(cut)
+            last = int(np.flatnonzero(changes(table))[-1]) if table.num_rows else 0  # the last group may go on
+            if last:
+                yield done(table.slice(0, last))
+            held = table.slice(last)
         if held is not None and held.num_rows:
             yield done(held)
     return run
@@ -254,15 +260,19 @@ class Matcher:
         j = f"((s.m / s.u - {CHANCE}) / (1 - {CHANCE}))"
         return both.where(f"{j} >= {t} - {SLACK} * sqrt({t * (1 - t)} / least(na, nb, s.u))").select("a", "b")
 
-    def compared(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, shared, total) of different pairs of nodes, on full sets; written once."""
-        pairs = staged(pairs, "neardup-pairs")
-        need = pairs.selectExpr("a node").union(pairs.selectExpr("b node")).distinct()
-        need = need.join(self.nodes.select("node", "id"), "node").selectExpr("id", "node want")
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, hashes: the full set) of different nodes; written once."""
+        need = nodes.join(self.nodes.select("node", "id"), "node").selectExpr("id", "node want")
         # a null id cannot be joined back by plain equality
         texts = self.docs.withColumnRenamed("id", "doc").join(need, F.col("doc").eqNullSafe(F.col("id"))).select("want", "text")
         sets = texts.mapInArrow(_setter(self.size), "want binary, node binary, hashes binary").where("want = node")
-        sets = staged(sets.dropDuplicates(["node"]).select("node", "hashes"), "neardup-sets")
+        return staged(sets.dropDuplicates(["node"]).select("node", "hashes"), "neardup-sets")
+
+    def compared(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """(a, b, shared, total) of different pairs of nodes, on full sets; written once."""
+        pairs = staged(pairs, "neardup-pairs")
+        if sets is None:
+            sets = self.sets(pairs.selectExpr("a node").union(pairs.selectExpr("b node")).distinct())
         a, b = sets.selectExpr("node a", "hashes ha"), sets.selectExpr("node b", "hashes hb")
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb")
         return staged(both.mapInArrow(_comparer, "a binary, b binary, shared long, total long"), "neardup-compared")
@@ -271,11 +281,11 @@ class Matcher:
         return compared.where(f"{self.den} * shared >= {self.num} * total").select("a", "b")
 
     def open_buckets(self, comp: DataFrame) -> DataFrame:
-        """(key, node, comp) of the buckets that hold several components."""
+        """(key, node, comp) of the buckets that hold several components; in those of two members the pair was compared."""
         bucket = W.partitionBy("key")
         rows = self.keys.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         rows = rows.withColumns({"lo": F.min("comp").over(bucket), "hi": F.max("comp").over(bucket), "members": F.count("*").over(bucket)})
-        return rows.where("lo < hi").select("key", "node", "comp", "members")
+        return rows.where("lo < hi and members > 2").select("key", "node", "comp")
 
     def pivots(self, links: DataFrame, comp: DataFrame, rows: DataFrame) -> DataFrame:
         """(key, pivot): for each open bucket with linked members, the best linked node of its largest component."""
@@ -285,15 +295,15 @@ class Matcher:
         held = rows.select("key", "comp").distinct().join(hub, "comp")
         return held.groupBy("key").agg(F.max(F.struct("size", "pivot")).alias("p")).select("key", "p.pivot")
 
-    def rest(self, rows: DataFrame, far: DataFrame) -> DataFrame:
-        """Pairs of different components in open buckets, made in blocks of bounded size; far: (key, node, distance to the pivot)."""
-        rows = rows.join(far, ["key", "node"], "left").join(self.nodes.select("node", "n", "bands"), "node")
-        parts = F.expr(f"(members - 1) div {BLOCK_ROWS} + 1")
-        rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    def rest(self, rows: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between components of a family, found in blocks of bounded size. rows: (family, node, comp, distance)."""
+        family = rows.groupBy("family").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+        rows = rows.join(family.selectExpr("family", f"(members - 1) div {BLOCK_ROWS} + 1 parts"), "family")
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-        rows = rows.selectExpr("key", "least(part, other) i", "greatest(part, other) j", "part", "node", "comp", "coalesce(distance, double('nan')) far", "n", "bands")
-        rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        return rows.mapInArrow(_block_pairs(self.num / self.den), "a binary, b binary").selectExpr("least(a, b) a", "greatest(a, b) b").distinct()
+        rows = rows.selectExpr("family", "least(part, other) i", "greatest(part, other) j", "part", "node", "comp", "coalesce(distance, double('nan')) far")
+        rows = rows.join(sets, "node").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+        return rows.mapInArrow(_block_links(self.num, self.den), "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -322,15 +332,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     first = m.compared(m.likely(m.stars()))
     links = m.links(first)
     comp = staged(components(links), "neardup-comp")
-    # every member of an open bucket against one pivot; distances to it then rule out most other pairs
+    # open buckets with one pivot are a family: every member is compared with the pivot, then inside the family
     rows = staged(m.open_buckets(comp), "neardup-open")
-    pivot = staged(rows.join(m.pivots(links, comp, rows), "key").where("node <> pivot").select("key", "node", "pivot"), "neardup-pivots")
-    near = m.compared(pivot.selectExpr("least(node, pivot) a", "greatest(node, pivot) b").distinct())
+    rows = rows.join(m.pivots(links, comp, rows), "key", "left")
+    rows = staged(rows.select(F.coalesce("pivot", F.col("key").cast("string").cast("binary")).alias("family"), "pivot", "node").distinct(), "neardup-family")
+    sets = m.sets(rows.select("node").union(rows.where("pivot is not null").select("pivot")).distinct())
+    near = m.compared(rows.where("node <> pivot").selectExpr("least(node, pivot) a", "greatest(node, pivot) b").distinct(), sets)
     links = links.union(m.links(near)).distinct()
     comp = staged(components(links), "neardup-comp")
     d = near.selectExpr("a", "b", "1 - shared / total distance")
-    far = pivot.join(d.union(d.selectExpr("b a", "a b", "distance")).selectExpr("a node", "b pivot", "distance"), ["node", "pivot"]).select("key", "node", "distance")
-    more = m.links(m.compared(m.rest(m.open_buckets(comp), far)))
+    far = d.union(d.selectExpr("b a", "a b", "distance")).selectExpr("a node", "b pivot", "distance").distinct()
+    rows = rows.join(far, ["node", "pivot"], "left").join(comp, "node", "left").select(
+        "family", "node", F.coalesce("comp", "node").alias("comp"), F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("distance")).alias("distance"))
+    more = staged(m.rest(rows, sets), "neardup-more")
     if not more.isEmpty():
         comp = staged(components(links.union(more)), "neardup-comp")
     named = m.nodes.join(comp, "node", "left").select("node", "id", F.coalesce("comp", "node").alias("comp"))
