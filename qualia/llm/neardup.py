@@ -50,7 +50,7 @@ def shingle_sets(col: pa.Array, size: int) -> Iterator[np.ndarray]:
         n = len(w)
         run = np.zeros(n, U64)
         with np.errstate(over="ignore"):
-            for k in range(size):  # a run that reaches into the next text is not used
+            for k in range(min(size, n)):  # a run that reaches into the next text is not used
                 run[:n - k] = run[:n - k] * BASE + w[k:]
             full = mix64(run)
             for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
