@@ -15,7 +15,7 @@ import numpy as np
 U = np.uint64
 BLOCK = 8192
 #: Blocks coded side by side.
-LANES = 512
+LANES = 256
 SLOTS = 1 << 13
 #: Confidence levels, weight gained by the source that was right, and the sum at which weights halve.
 LEVELS, GAIN, MOST = 8, 24, 4096

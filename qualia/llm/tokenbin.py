@@ -29,7 +29,7 @@ from qualia.llm.shared import fresh_path, ship, staged
 MAGIC = b"QTB1"
 HEAD = struct.Struct("<4scIIII")
 #: Bytes of text in a file, about.
-FILE_BYTES = 10 << 20
+FILE_BYTES = 5 << 20
 INDEX_ROWS = 1 << 16
 
 
