@@ -46,7 +46,7 @@ class RowGroup:
 
 def row_metrics(base: DataFrame, groups: list[RowGroup]) -> DataFrame:
     """One-row aggregate: ``__n{g}`` rows under filter g, ``__p{g}_{i}`` of them passing
-    predicate i. The OR of the filters is applied first so it reaches the scan."""
+    predicate i (evaluated only where the filter holds). The OR of the filters is applied first so it reaches the scan."""
     if groups and all(g.filter is not None for g in groups):
         base = base.where(_any([g.filter for g in groups]))
     aggs = []
@@ -56,7 +56,7 @@ def row_metrics(base: DataFrame, groups: list[RowGroup]) -> DataFrame:
             aggs += [F.count_if(p).alias(f"__p{gi}_{i}") for i, p in enumerate(g.predicates)]
         else:
             aggs.append(F.count_if(g.filter).alias(f"__n{gi}"))
-            aggs += [F.count_if(g.filter & p).alias(f"__p{gi}_{i}") for i, p in enumerate(g.predicates)]
+            aggs += [F.count_if(F.when(g.filter, p)).alias(f"__p{gi}_{i}") for i, p in enumerate(g.predicates)]
     return base.agg(*aggs)
 
 

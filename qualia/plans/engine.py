@@ -370,7 +370,8 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
     g0 = groups[0]
     spark = base.sparkSession
     # the description reaches the jobs of the helper threads below (event logs)
-    spark.sparkContext.setJobDescription(f"quality checks on {full_table_name(g0.schema, g0.table_name)}")
+    callers_text = spark.sparkContext.getLocalProperty("spark.job.description")
+    spark.sparkContext.setJobDescription(f"table checks on {full_table_name(g0.schema, g0.table_name)}")
     data = base
     cache = cache and any(p.unique for p in live) and any(p.row for p in live)
     if cache:
@@ -401,7 +402,7 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
     finally:
         if cache:
             data.unpersist()
-        spark.sparkContext.setJobDescription(None)
+        spark.sparkContext.setJobDescription(callers_text)
     return plans
 
 

@@ -1,43 +1,39 @@
 """Entry point that takes its inputs as a bundle, for callers that pass named inputs.
 
-``input_data`` is one DataFrame (the rule table) or a dict of DataFrames. In a dict,
-the rule table is found under ``rules_input_name`` (default
-``sql_parametria_quality``), else it is the first entry; the catalog under
-``catalog_input_name`` (default ``catalogo_metodos``), else it is the first entry
-that is not the rule table. With no catalog every rule is ``NO_EVALUADA``.
-``param_dict`` may also name a ``dataset`` (only that table's rules are run).
+``input_data`` is one DataFrame (the rule table) or a dict of DataFrames. ``param_dict``
+may name the entries (``rules_input_name``, ``catalog_input_name``); otherwise the rule table
+is the entry with the required rule columns and the catalog the one with the catalog
+columns. With no catalog every rule is ``NO_EVALUADA``. ``param_dict`` may also name a
+``dataset`` (only that table's rules are run).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from qualia.plans.engine import run_rules
-
-# --- Fixed values: default input names ----------------------------------------------------
-RULES_INPUT = "sql_parametria_quality"
-CATALOG_INPUT = "catalogo_metodos"
+from qualia.schema import CATALOG_INPUT_COLUMNS, REQUIRED_RULE_COLUMNS
 
 
 def pick_inputs(input_data: DataFrame | Mapping[str, DataFrame],
                 param_dict: Mapping[str, Any] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(rules, catalog or None) out of an input bundle."""
-    params = dict(param_dict or {})
     if isinstance(input_data, DataFrame):
         return input_data, None
-    if not input_data:
-        raise ValueError("no input given")
-    rules_key = params.get("rules_input_name", RULES_INPUT)
-    catalog_key = params.get("catalog_input_name", CATALOG_INPUT)
-    keys = list(input_data)
-    rules_key = rules_key if rules_key in input_data else keys[0]
-    if catalog_key in input_data and catalog_key != rules_key:
-        return input_data[rules_key], input_data[catalog_key]
-    others = [k for k in keys if k != rules_key]
-    return input_data[rules_key], (input_data[others[0]] if others else None)
+    asked = param_dict or {}
+
+    def find(option: str, columns: Iterable[str]) -> DataFrame | None:
+        if asked.get(option):
+            return input_data.get(asked[option])
+        return next((df for df in input_data.values() if set(columns) <= set(df.columns)), None)
+
+    rules = find("rules_input_name", REQUIRED_RULE_COLUMNS)
+    if rules is None:
+        raise ValueError("no input has the columns of a rule table")
+    return rules, find("catalog_input_name", CATALOG_INPUT_COLUMNS)
 
 
 def transform(spark: SparkSession, input_data: DataFrame | Mapping[str, DataFrame],

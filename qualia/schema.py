@@ -50,7 +50,7 @@ RULE_COLUMNS = [
     ("usuario_cambio", "changed_by"),
     ("fecha_cambio", "changed_at"),
 ]
-REQUIRED_RULE_COLUMNS = ("id_calidad_tabla", "nombre_columna", "id_calidad_regla")
+REQUIRED_RULE_COLUMNS = ("id_calidad_tabla", "nombre_columna", "id_calidad_regla", "estado")
 
 # --- Fixed values: catalog input columns -----------------------------------------------
 CATALOG_INPUT_COLUMNS = ["id_calidad_regla", "dimension", "descripcion", "metodo"]

@@ -14,15 +14,16 @@ from qualia.functions.text import quote_ident
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (a bare local test session) a folder of our
-    own is made and set as the checkpoint folder.
+    A session that names none gets a temporary folder only when its master is local;
+    elsewhere that is an error, as executors would write to disks of their own.
     """
     current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="qualia-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return "file://" + tempfile.mkdtemp(prefix="qualia-")
 
 
 def fresh_path(spark: SparkSession, stem: str) -> str:
@@ -39,7 +40,8 @@ def save_table(df: DataFrame, schema: str | None, table: str, *, location: str |
     spark = df.sparkSession
     name = quote_ident(table)
     if schema:
-        loc = f" LOCATION '{location}'" if location else ""
+        text = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+        loc = f" LOCATION '{text}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_ident(schema)}{loc}")
         name = f"{quote_ident(schema)}.{name}"
     df.write.mode("overwrite").saveAsTable(name)

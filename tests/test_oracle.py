@@ -6,6 +6,8 @@ import __spark_entry__ as E
 import oracle_compare
 
 SF = "/root/testdata/sf0.001"
+#: The corpus queries have tests of their own.
+RULE_KEYS = sorted(k for k in E.oracle_sql() if k not in getattr(E._corpus, "QUERIES", {}))
 
 
 def test_every_query_has_an_oracle():
@@ -22,10 +24,10 @@ def test_entry_returns_rows(spark):
 
 @pytest.fixture(scope="module")
 def outcomes(spark):
-    return oracle_compare.run(spark, SF)
+    return oracle_compare.run(spark, SF, RULE_KEYS)
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", RULE_KEYS)
 def test_query_matches_oracle(outcomes, key):
     assert outcomes[key] is None, outcomes[key]
 

@@ -105,11 +105,11 @@ def test_input_bundle(spark, catalog):
     rules = rules_df(spark, S.SAMPLE_RULES[:2])
     tables = {f"{S.SCHEMA}.{S.TABLE}": S.logs_df(spark)}
     assert pick_inputs(rules) == (rules, None)
-    assert pick_inputs({"sql_parametria_quality": rules, "otro": catalog}) == (rules, catalog)
+    assert pick_inputs({"reglas": rules, "otro": catalog}) == (rules, catalog)
     assert pick_inputs({"x": rules, "catalogo_metodos": catalog}) == (rules, catalog)
     assert pick_inputs({"r": rules, "c": catalog}, {"rules_input_name": "r", "catalog_input_name": "c"}) \
         == (rules, catalog)
-    res = transform(spark, {"sql_parametria_quality": rules, "catalogo_metodos": catalog},
+    res = transform(spark, {"reglas": rules, "catalogo_metodos": catalog},
                     {"dataset": S.TABLE}, tables=tables, stamps=False).collect()
     assert [r["estado_calidad"] for r in res] == ["NO_CUMPLE", "CUMPLE"]
     assert transform(spark, rules, {"dataset": "other"}, tables=tables).count() == 0
