@@ -315,3 +315,17 @@ def test_nested_field_and_dotted_name(spark, catalog):
     assert nested["registros_fallidos"] == dotted["registros_fallidos"] == 1
     uniq = one(spark, "address.city", "COM_DUPLICADOS", "", catalog, df)
     assert uniq["porcentaje_cumplimiento"] == pytest.approx(100 / 3)
+
+
+def test_predicates_run_only_under_their_filter(spark, catalog):
+    from qualia import run_rules
+
+    t = spark.createDataFrame([(1, 0, 2.0), (4, 2, 1.0), (None, 1, 3.0)], "a int, b int, x double")
+    ddl = ("id_calidad_tabla string, coleccion string, nombre_columna string, id_calidad_regla string, "
+           "parametros string, filtros string, estado boolean, umbral double")
+    rules = spark.createDataFrame([("t", "d", "a", "COM_PREDICADO", "a / b > 1", "b <> 0", True, 50.0),
+                                   ("t", "d", "a", "COM_PREDICADO", "a / b < 9", "b <> 0", True, 50.0),
+                                   ("t", "d", "x", "COM_NULOS", "", "", True, 100.0)], ddl)
+    for eager in (True, False):
+        got = [(r["total_registros"], r["registros_fallidos"]) for r in run_rules(spark, rules, catalog, tables={"d.t": t}, eager=eager).collect()]
+        assert got == [(2, 1), (2, 1), (3, 0)]
