@@ -11,7 +11,7 @@ import datetime as _dt
 import os
 import sys
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
@@ -21,8 +21,9 @@ import pyarrow as pa  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from qualia import run_rules  # noqa: E402
+from qualia import run_rules, transform  # noqa: E402
 from qualia.plans.engine import evaluate_rules  # noqa: E402
+from qualia.operators.checks import ROW, Check, CheckContext, register_check  # noqa: E402
 from qualia.operators.classify import check_outcomes, metric_report  # noqa: E402
 from qualia.schema import RESULT_BODY_COLUMNS  # noqa: E402
 from qualia.sources import (  # noqa: E402
@@ -32,7 +33,6 @@ from qualia.sources import (  # noqa: E402
     read_catalog_csv,
     read_result_csv,
     save_table,
-    write_catalog_csv,
     write_result_csv,
 )
 
@@ -53,11 +53,14 @@ EXTRA_CATALOG = [
     ("COM_NULOS_LISTA", "completitud", "Cuenta los nulos de la columna", "collectNulls()"),
     ("CONF_PREDICADO", "conformidad", "Valida un predicado SQL", "satisfies()"),
     ("VAL_MAYOR_CERO", "validez", "Valores estrictamente positivos", "isPositive()"),
+    ("CONF_MULTIPLO", "conformidad", "Múltiplo de un número", "isMultipleOf()"),
 ]
 
+# --- Fixed values: remark texts
 MSG_OK = "Regla cumplida exitosamente."
 MSG_EMPTY = "Sin registros tras aplicar filtros; regla considerada cumplida."
 MSG_NO_VALUES = "Sin valores no nulos: la métrica no se puede calcular."
+MSG_NOT_EVALUABLE = "Regla no evaluable"
 
 
 # ---------------------------------------------------------------------------------------
@@ -80,6 +83,7 @@ class R:
     ofilter: str | None = None      # DuckDB filter when it differs from ``filters``
 
 
+# --- Fixed values: columns of the rule table
 RULE_DDL = ("id_calidad_tabla string, coleccion string, nombre_columna string, "
             "id_calidad_regla string, parametros string, filtros string, estado boolean, "
             "descripcion string, umbral double, macrodominio string, dominio string, "
@@ -135,6 +139,7 @@ def _tables(spark: SparkSession, d: str) -> dict[str, Callable[[SparkSession], D
         return o.withColumns({
             "o_priority_n": F.expr("nullif(o_orderpriority, '5-LOW')"),
             "o_nothing": F.expr("nullif(o_orderstatus, o_orderstatus)"),
+            "o_wide": F.expr("CAST(9007199254740992 + o_orderkey AS STRING)"),
         })
 
     out["doc_labels"] = doc_labels
@@ -152,7 +157,8 @@ ORACLE_FROM = {
                 "FROM (SELECT d.doc_id, d.text, d.lang, l.quality, l.toxic FROM documents d "
                 "LEFT JOIN labels l ON d.doc_id = l.doc_id))",
     "orders_n": "(SELECT *, nullif(o_orderpriority, '5-LOW') AS o_priority_n, "
-                "CAST(NULL AS VARCHAR) AS o_nothing FROM orders)",
+                "CAST(NULL AS VARCHAR) AS o_nothing, "
+                "CAST(9007199254740992 + o_orderkey AS VARCHAR) AS o_wide FROM orders)",
 }
 
 
@@ -264,6 +270,26 @@ CUSTOMER_RULES = [
 ]
 
 
+# Rules that divide by a column that only their filter keeps from being zero.
+GUARDED_RULES = [
+    R("lineitem", "l_tax", "CONF_PREDICADO", "l_tax / l_discount > 0.5", 50.0, filters="l_discount > 0",
+      pred="l_tax / l_discount > 0.5"),
+    R("lineitem", "l_tax", "CONF_PREDICADO", "l_tax / l_discount < 2", 50.0, filters="l_discount > 0",
+      pred="l_tax / l_discount < 2"),
+    R("lineitem", "l_quantity", "VAL_RANGO_VALORES", "5,45", 90.0, pred="l_quantity BETWEEN 5 AND 45"),
+]
+
+# More counts than one scan takes (45 rules under three filters) and more uniqueness
+# columns than one query takes.
+MANY_RULES = [
+    R("lineitem", "l_quantity", "VAL_RANGO_VALORES", f"{i},{i + 30}", 50.0, filters=flt,
+      pred=f"l_quantity BETWEEN {i} AND {i + 30}")
+    for flt in ("", "l_returnflag = 'R'", "l_returnflag = 'A'") for i in range(1, 16)
+] + [R("lineitem", c, "COM_DUPLICADOS", threshold=0.0, kind="unique")
+     for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+               "l_discount", "l_tax", "l_returnflag", "l_shipdate")]
+
+
 def _run(rules: list[R], *, catalog: str = "full", body: bool = True, **kw) -> Callable:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         cat = {"full": _catalog, "none": lambda s: None}[catalog](spark)
@@ -280,7 +306,7 @@ Q: dict[str, tuple[list[R], dict]] = {
     "chk_collect_nulls": ([R("orders_n", "o_priority_n", "COM_NULOS_LISTA", threshold=99.0,
                              pred="o_priority_n IS NOT NULL")], {}),
     "chk_unique": ([R("orders", "o_custkey", "COM_DUPLICADOS", kind="unique"),
-                    R("doc_labels", "text", "COM_DUPLICADOS", threshold=90.0, kind="unique"),
+                    R("documents", "text", "COM_DUPLICADOS", threshold=90.0, kind="unique"),
                     R("doc_labels", "quality", "COM_DUPLICADOS", threshold=1.0, kind="unique")], {}),
     "chk_unique_multi": ([R("orders_n", "o_orderkey", "COM_DUPLICADOS", kind="unique"),
                           R("orders_n", "o_custkey", "COM_DUPLICADOS", kind="unique"),
@@ -297,7 +323,7 @@ Q: dict[str, tuple[list[R], dict]] = {
                             pred="c_acctbal IS NULL OR c_acctbal >= 0"),
                           R("lineitem", "l_discount", "VAL_POSITIVOS",
                             pred="l_discount IS NULL OR l_discount >= 0")], {}),
-    "chk_pattern": ([R("doc_labels", "text", "CONF_REGEX", EMAIL, 1.0,
+    "chk_pattern": ([R("documents", "text", "CONF_REGEX", EMAIL, 1.0,
                        pred=f"regexp_extract(text, '{EMAIL}', 0) <> ''"),
                      R("pages", "url", "CONF_REGEX", "utm_", 10.0,
                        pred="regexp_extract(url, 'utm_', 0) <> ''"),
@@ -308,7 +334,9 @@ Q: dict[str, tuple[list[R], dict]] = {
     "chk_between_number": ([R("lineitem", "l_quantity", "VAL_RANGO_VALORES", "5,45", 90.0,
                               pred="l_quantity BETWEEN 5 AND 45"),
                             R("part", "p_size", "VAL_RANGO_VALORES", "10, 40", 50.0,
-                              pred="p_size BETWEEN 10 AND 40")], {}),
+                              pred="p_size BETWEEN 10 AND 40"),
+                            R("orders_n", "o_wide", "VAL_RANGO_VALORES", "9007199254740993,9007199254741992", 10.0,
+                              pred="CAST(o_wide AS HUGEINT) BETWEEN 9007199254740993 AND 9007199254741992")], {}),
     "chk_between_date": ([R("orders", "o_orderdate", "VAL_RANGO_VALORES", "'1995-01-01','1999-12-31'", 90.0,
                             pred="o_orderdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1999-12-31'"),
                           R("events", "ts", "VAL_RANGO_VALORES", "'2024-01-05', '2024-01-25 12:00:00'", 50.0,
@@ -331,7 +359,16 @@ Q: dict[str, tuple[list[R], dict]] = {
     "check_after_empty_filter": ([R("orders", "o_orderkey", "COM_NULOS", filters="o_orderstatus = 'Z'",
                                     pred="o_orderkey IS NOT NULL"),
                                   R("orders", "o_custkey", "COM_DUPLICADOS", filters="o_orderstatus = 'Z'",
-                                    kind="unique")], {}),
+                                    kind="unique"),
+                                  R("orders", "no_such_column", "COM_NULOS", filters="o_orderstatus = 'Z'",
+                                    pred="false")], {}),
+    "report_cached": ([R("doc_labels", "quality", "VAL_PERMITIDOS", "1", 50.0,
+                         pred="quality IS NULL OR CAST(quality AS VARCHAR) IN ('1')"),
+                       R("doc_labels", "lang", "COM_OBLIGATORIO", pred="trim(lang) <> '' AND lang IS NOT NULL"),
+                       R("doc_labels", "doc_id", "COM_DUPLICADOS", kind="unique")], {"cache": True}),
+    "report_guarded_filters": (GUARDED_RULES, {}),
+    "report_guarded_filters_lazy": (GUARDED_RULES, {"eager": False}),
+    "report_many_rules": (MANY_RULES, {}),
     "check_groups": ([R("lineitem", "l_quantity", "VAL_RANGO_VALORES", "1,25", 50.0, filters="l_returnflag = 'R'",
                         pred="l_quantity BETWEEN 1 AND 25"),
                       R("lineitem", "l_quantity", "VAL_RANGO_VALORES", "1,25", 50.0, filters="l_returnflag = 'A'",
@@ -452,6 +489,64 @@ def o_report_missing_table() -> str:
            f"UNION ALL\n{lits}"
 
 
+_BROKEN = [
+    R("orders", "o_totalprice", "CONF_PREDICADO", "max(o_totalprice) > 0", kind="skip", message=MSG_NOT_EVALUABLE),
+    R("orders", "o_orderkey", "COM_NULOS", pred="o_orderkey IS NOT NULL"),
+    R("orders", "o_totalprice", "CONF_PREDICADO", "row_number() OVER (ORDER BY o_orderkey) > 1", kind="skip",
+      message=MSG_NOT_EVALUABLE),
+    R("orders", "no_such_column", "COM_DUPLICADOS", kind="skip", message=MSG_NOT_EVALUABLE),
+    R("orders", "o_custkey", "COM_DUPLICADOS", threshold=50.0, kind="unique"),
+]
+
+
+def _q_broken(eager: bool):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        res = _run(_BROKEN, eager=eager)(spark, sf_dir)
+        return res.withColumn("observacion_tecnica", F.substring_index("observacion_tecnica", ": ", 1))
+    return q
+
+
+def o_report_broken_rules() -> str:
+    return (f"SELECT * REPLACE (split_part(observacion_tecnica, ': ', 1) AS observacion_tecnica) "
+            f"FROM ({_oracle(_BROKEN)})")
+
+
+def q_report_session_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders rules over a table of the session's catalog, as most users run them."""
+    loc = fresh_path(spark, "session-db")
+    db = "qualia_" + os.path.basename(loc).replace("-", "_")
+    save_table(_read(spark, sf_dir, "orders"), db, "orders", location=loc)
+    try:
+        rules = _rules_df(spark, [replace(r, schema=db) for r in ORDERS_RULES])
+        return run_rules(spark, rules, _catalog(spark), stamps=False)
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def q_report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = {"control": _rules_df(spark, _ACTIVE), "methods": _catalog(spark)}
+    return transform(spark, inputs, {"dataset": "supplier"}, tables=_tables(spark, sf_dir), stamps=False)
+
+
+_OWN_CHECK = [
+    R("part", "p_size", "CONF_MULTIPLO", "5", 10.0, pred="p_size % 5 = 0"),
+    R("part", "p_size", "CONF_MULTIPLO", "five", kind="skip",
+      message="Parámetros inválidos para el método isMultipleOf()."),
+]
+
+
+def _multiple_of(ctx: CheckContext) -> Check | None:
+    if not ctx.params.isdigit() or int(ctx.params) == 0:
+        return None
+    ok = F.coalesce(F.pmod(ctx.col, F.lit(int(ctx.params))) == 0, F.lit(False))
+    return Check(ROW, ctx.column, "Compliance", f"{ctx.column} multiple of {ctx.params}", ok)
+
+
+def q_report_own_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_check("ismultipleof", _multiple_of)
+    return _run(_OWN_CHECK)(spark, sf_dir)
+
+
 _NO_CAT = [R("orders", "o_orderkey", "COM_NULOS", kind="skip", message="Método 'None' no soportado"),
            R("orders", "o_custkey", "COM_DUPLICADOS", kind="skip", message="Método 'None' no soportado"),
            R("customer", "c_acctbal", "VAL_POSITIVOS", kind="skip", message="Método 'None' no soportado")]
@@ -480,6 +575,7 @@ def _standardize_rules() -> tuple[list[tuple], list[R]]:
     return raw, meant
 
 
+# --- Fixed values: columns of the rule table, all as text
 RAW_RULE_DDL = ("id_calidad_tabla string, coleccion string, nombre_columna string, id_calidad_regla string, "
                 "parametros string, filtros string, estado string, umbral string")
 
@@ -525,7 +621,9 @@ _CAT_CSV = [
 
 def q_catalog_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "catalog")
-    write_catalog_csv(_catalog(spark), path)
+    # columns in another order, and one more
+    _catalog(spark).selectExpr("metodo", "'x' AS nota", "id_calidad_regla", "descripcion", "dimension") \
+        .coalesce(1).write.option("header", True).csv(path)
     cat = read_catalog_csv(spark, path)
     return run_rules(spark, _rules_df(spark, _CAT_CSV), cat, tables=_tables(spark, sf_dir), stamps=False)
 
@@ -579,8 +677,11 @@ def o_metric_report() -> str:
 
 
 def q_check_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = evaluate_rules(spark, _rules_df(spark, _METRIC_RULES), _catalog(spark), tables=_tables(spark, sf_dir))
-    return check_outcomes(m)
+    rules = _METRIC_RULES + [R("customer", "no_such_column", "COM_NULOS")]
+    m = evaluate_rules(spark, _rules_df(spark, rules), _catalog(spark), tables=_tables(spark, sf_dir))
+    text = F.col("constraint_message")
+    return check_outcomes(m).withColumn("constraint_message", F.when(
+        text.startswith(MSG_NOT_EVALUABLE), F.lit(MSG_NOT_EVALUABLE)).otherwise(text))
 
 
 def o_check_outcomes() -> str:
@@ -595,6 +696,8 @@ def o_check_outcomes() -> str:
             f"CASE WHEN passed = denom THEN 'Success' ELSE 'Failure' END AS constraint_status, "
             f"CASE WHEN passed = denom THEN '' ELSE 'Value: ' || CAST(passed::DOUBLE / denom AS VARCHAR) "
             f"|| ' does not meet the constraint requirement!' END AS constraint_message FROM ({_stats(r)})")
+    parts.append(f"SELECT 'COM_NULOS:no_such_column:{len(_METRIC_RULES)}', 'Warning', 'isComplete(no_such_column)', "
+                 f"'Failure', {_lit(MSG_NOT_EVALUABLE)}")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -653,6 +756,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[key] = _run(rules, **kw)
     out["report_missing_table"] = q_report_missing_table
     out["report_lazy_two_groups"] = _run(Q["report_two_groups"][0] + CUSTOMER_RULES, eager=False)
+    out["report_broken_rules"] = _q_broken(True)
+    out["report_broken_rules_lazy"] = _q_broken(False)
+    out["report_session_tables"] = q_report_session_tables
+    out["report_bundle"] = q_report_bundle
+    out["report_own_check"] = q_report_own_check
     out["report_no_catalog"] = _run(_NO_CAT, catalog="none")
     out["rules_standardize"] = q_rules_standardize
     out["catalog_standardize"] = q_catalog_standardize
@@ -676,6 +784,10 @@ def oracle_sql() -> dict[str, str]:
     out = {key: _oracle(rules, kw.get("policy", "strict")) for key, (rules, kw) in Q.items()}
     out["report_missing_table"] = o_report_missing_table()
     out["report_lazy_two_groups"] = _oracle(Q["report_two_groups"][0] + CUSTOMER_RULES)
+    out["report_broken_rules"] = out["report_broken_rules_lazy"] = o_report_broken_rules()
+    out["report_session_tables"] = _oracle(ORDERS_RULES)
+    out["report_bundle"] = _oracle([r for r in _ACTIVE if r.table == "supplier"])
+    out["report_own_check"] = _oracle(_OWN_CHECK)
     out["report_no_catalog"] = _oracle(_NO_CAT)
     out["rules_standardize"] = _oracle(_standardize_rules()[1])
     out["catalog_standardize"] = _oracle(_CAT_STD)

@@ -1,27 +1,19 @@
 from qualia.functions.text import (
     col_of,
-    normalize_method,
     normalize_method_col,
-    percent_text,
     percent_text_sql,
     py_float_sql,
     quote_ident,
-    split_params,
     split_params_col,
     strip_ws,
-    with_py_float_text,
 )
 
 __all__ = [
     "col_of",
-    "normalize_method",
     "normalize_method_col",
-    "percent_text",
     "percent_text_sql",
     "py_float_sql",
     "quote_ident",
-    "split_params",
     "split_params_col",
     "strip_ws",
-    "with_py_float_text",
 ]

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +37,9 @@ from pyspark.sql.types import (
     BooleanType,
     DataType,
     DateType,
+    DecimalType,
+    DoubleType,
+    FractionalType,
     NumericType,
     StringType,
     StructType,
@@ -44,7 +47,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from qualia.functions.text import col_of, split_params
+from qualia.functions.text import col_of
 
 ROW = "row"
 UNIQUE = "unique"
@@ -67,6 +70,7 @@ class CheckContext:
     column: str
     params: str
     schema: StructType | None = None   # df.schema, read once per group by the caller
+    param_list: Sequence[str] = ()      # the parameters as a list, blanks left out
 
     @property
     def col(self) -> Column:
@@ -110,7 +114,7 @@ def _unique(ctx: CheckContext) -> Check:
 
 
 def _contained_in(ctx: CheckContext) -> Check | None:
-    values = split_params(ctx.params)
+    values = list(ctx.param_list)
     if not values:
         return None
     # Compared as text, whatever the column type (no ANSI cast of the list).
@@ -126,13 +130,22 @@ def _non_negative(ctx: CheckContext) -> Check:
 
 _REGEX: dict[str, str | None] = {}   # pattern -> None (compiles) or the error text
 _REGEX_LOCK = threading.Lock()
+REMEMBERED_PATTERNS = 10_000         # forgotten past this many, then compiled again
+
+
+def _bad_pattern(e: Exception) -> bool:
+    get = getattr(e, "getCondition", None)
+    return bool(get) and (get() or "").startswith(("INVALID_PARAMETER_VALUE", "INVALID_REGEXP"))
 
 
 def validate_patterns(spark, patterns) -> None:
     """Compile patterns on the driver, all in one go, without a Spark job. A pattern
     that does not compile is remembered with its error, and its rule fails alone
-    instead of the scan."""
+    instead of the scan. Any other failure (a cancelled job, a lost connection) says
+    nothing about a pattern and is not remembered."""
     with _REGEX_LOCK:
+        if len(_REGEX) > REMEMBERED_PATTERNS:
+            _REGEX.clear()
         todo = sorted({p for p in patterns if p and p not in _REGEX})
     if not todo:
         return
@@ -149,7 +162,8 @@ def validate_patterns(spark, patterns) -> None:
                 probe.select(F.regexp_extract("s", p, 0)).collect()
                 found[p] = None
             except Exception as e:
-                found[p] = " ".join(str(e).split())
+                if _bad_pattern(e):
+                    found[p] = " ".join(str(e).split())
     with _REGEX_LOCK:
         _REGEX.update(found)
 
@@ -264,11 +278,21 @@ def _pattern(ctx: CheckContext) -> Check | None:
 _DATETIME = (DateType, TimestampType, TimestampNTZType)
 
 
+def _reading_type(bound: DataType) -> DataType:
+    """Type that reads text for a comparison with a numeric bound: a decimal for whole
+    and decimal bounds, so long ids keep every digit (fractions are rounded at 18
+    digits, or fewer where the bound needs the room); a double for floating bounds."""
+    if isinstance(bound, DecimalType):
+        whole = bound.precision - bound.scale
+        return DecimalType(38, max(bound.scale, min(18, 38 - whole)))
+    return DoubleType() if isinstance(bound, FractionalType) else DecimalType(38, 18)
+
+
 def _coerce(x: Column, xt: DataType, b: Column, bt: DataType) -> tuple[Column, Column]:
     """Make a comparison safe under ANSI mode: text is read with ``try_cast`` so that
     an unreadable value gives NULL (the row fails) instead of a runtime error."""
     if isinstance(xt, StringType) and isinstance(bt, NumericType):
-        return x.try_cast("double"), b
+        return x.try_cast(_reading_type(bt)), b
     if isinstance(xt, NumericType) and isinstance(bt, StringType):
         return x, b.try_cast("double")
     if isinstance(xt, _DATETIME) and isinstance(bt, StringType):
@@ -279,7 +303,7 @@ def _coerce(x: Column, xt: DataType, b: Column, bt: DataType) -> tuple[Column, C
 
 
 def _between(ctx: CheckContext) -> Check | None:
-    bounds = split_params(ctx.params)
+    bounds = ctx.param_list
     if len(bounds) != 2:
         return None
     lo, hi = F.expr(bounds[0]), F.expr(bounds[1])
@@ -338,17 +362,19 @@ register_check("satisfies", _satisfies)
 
 
 def build_check(method_key: str, df: DataFrame, column: str | None, params: str | None,
-                schema: StructType | None = None, *, resolve: bool = True) -> Check | None:
+                schema: StructType | None = None, *, param_list: Sequence[str] = (),
+                resolve: bool = True) -> Check | None:
     """Check of one rule, or ``None`` for unusable parameters (also: no column).
 
     Raises ``KeyError`` for an unknown method, and Spark's analysis errors for a
     column or expression that does not resolve on ``df``. ``resolve=False`` leaves
-    the predicate unresolved, for a caller that resolves many at once.
+    the predicate unresolved, for a caller that resolves many at once. ``param_list``:
+    the parameters as a list (see :func:`qualia.plans.rules.param_list`).
     """
     builder = REGISTRY[method_key]
     if column is None:
         return None
-    check = builder(CheckContext(df, column, params or "", schema))
+    check = builder(CheckContext(df, column, params or "", schema, param_list))
     if resolve and check is not None and check.predicate is not None:
         df.select(check.predicate)  # resolve now, so a bad rule fails alone
     return check

@@ -29,7 +29,8 @@ from qualia.schema import (
 )
 
 EVALUATED = "evaluated"
-SKIPPED = "skipped"
+SKIPPED = "skipped"          # no check: unknown method, unusable parameters
+UNRESOLVED = "unresolved"    # a check that could not run: unknown column, bad expression
 ERROR = "error"
 
 METRICS_SCHEMA = StructType([
@@ -42,7 +43,7 @@ METRICS_SCHEMA = StructType([
     StructField("metodo", StringType(), True),
     StructField("params", StringType(), True),
     StructField("threshold", DoubleType(), True),
-    StructField("outcome", StringType(), False),      # evaluated / skipped / error
+    StructField("outcome", StringType(), False),      # evaluated / skipped / unresolved / error
     StructField("total", LongType(), True),           # rows after the row filter
     StructField("passed", LongType(), True),          # passing rows; unique values
     StructField("denom", LongType(), True),           # total; non-NULL rows (uniqueness)
@@ -72,8 +73,8 @@ def classify(metrics: DataFrame, policy: str = "strict") -> DataFrame:
     its threshold; the threshold is shown in the remark. ``policy="threshold"``:
     a rule passes when its percentage reaches the threshold.
 
-    Each rule falls in one case (``__k``): E error, S skipped, Z no rows after the
-    filter, N no metric (nothing to measure), C passed, F failed. The expressions
+    Each rule falls in one case (``__k``): E error, S skipped or not resolvable,
+    Z no rows after the filter (also where the check could not run), N no metric (nothing to measure), C passed, F failed. The expressions
     are SQL text, one per column, so building them costs a handful of calls.
     """
     if policy not in POLICIES:
@@ -89,7 +90,7 @@ def classify(metrics: DataFrame, policy: str = "strict") -> DataFrame:
     })
     m = m.withColumns({
         "__k": F.expr(f"CASE WHEN outcome = '{ERROR}' THEN 'E' WHEN outcome = '{SKIPPED}' THEN 'S' "
-                      f"WHEN total = 0 THEN 'Z' WHEN __m IS NULL THEN 'N' WHEN {ok} THEN 'C' ELSE 'F' END"),
+                      f"WHEN total = 0 THEN 'Z' WHEN outcome = '{UNRESOLVED}' THEN 'S' WHEN __m IS NULL THEN 'N' WHEN {ok} THEN 'C' ELSE 'F' END"),
         **{k: F.expr(v) for k, v in helpers.items()},
     })
     alert = (f"concat({_sql_lit(MSG_ALERT_HEAD)}, {percent_text_sql('__m * 100')}, "
@@ -127,16 +128,20 @@ def metric_report(metrics: DataFrame) -> DataFrame:
 
 
 def check_outcomes(metrics: DataFrame) -> DataFrame:
-    """One row per evaluated rule: ``check, check_level, constraint, constraint_status,
-    constraint_message``. Success only for a metric of exactly 1.0 (every row passes)."""
+    """One row per check: ``check, check_level, constraint, constraint_status,
+    constraint_message``. Success only for a metric of exactly 1.0 (every row passes). A
+    check that could not run is a Failure with its error; a rule that makes no check
+    (unknown method, unusable parameters) has no row."""
     m = metric_value()
     ok = m.isNotNull() & (F.col("passed") == F.col("denom"))
     message = (F.when(ok, F.lit(""))
                .when(m.isNull(), F.coalesce(F.col("message"), F.lit(MSG_NO_VALUES)))
                .otherwise(F.concat(F.lit("Value: "), m.cast("string"),
                                    F.lit(" does not meet the constraint requirement!"))))
-    return (metrics.where(F.col("outcome") == EVALUATED)
+    name = F.coalesce(F.col("metric_name"), F.regexp_replace("metodo", r"\(\)$", ""))
+    instance = F.coalesce(F.col("instance"), F.col("column_name"))
+    return (metrics.where(F.col("outcome").isin(EVALUATED, UNRESOLVED))
             .select(F.col("check_name").alias("check"), F.lit("Warning").alias("check_level"),
-                    F.concat(F.col("metric_name"), F.lit("("), F.col("instance"), F.lit(")")).alias("constraint"),
+                    F.concat(name, F.lit("("), instance, F.lit(")")).alias("constraint"),
                     F.when(ok, F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("constraint_status"),
                     message.alias("constraint_message")))

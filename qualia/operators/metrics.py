@@ -13,8 +13,12 @@ rows). A filter is applied per check as ``CASE WHEN filter THEN column END``:
 rows outside the filter become NULL, and NULLs are left out of uniqueness anyway;
 rows that give no value to any check are dropped at the scan.
 
-How many checks go into one query is the engine's choice (see ``MAX_AGGS_PER_SCAN``
-and ``MAX_UNIQUE_PER_QUERY`` in :mod:`qualia.plans.engine`).
+How many checks go into one query is the caller's choice (``aggs_per_scan`` and
+``unique_per_query`` of :func:`qualia.plans.engine.evaluate_rules`).
+
+Long texts are never shuffled: a text or binary value of 32 bytes or more is grouped
+by its SHA-256 digest (32 bytes), a shorter one by its bytes, so the two never meet.
+Text of another collation than UTF8_BINARY is grouped as it is.
 
 Skew: both aggregates are algebraic (counts), so a hot value is collapsed by the
 map-side partial aggregate to one row per task before the shuffle; a value that
@@ -28,6 +32,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType, StringType
 
 from qualia.functions.text import col_of
 
@@ -68,14 +73,24 @@ class UniqueSpec:
     filter: Column | None = None
 
 
+def _short_key(c: Column, t: DataType) -> Column:
+    """A grouping key of at most 32 bytes for texts and binaries, other types as they are."""
+    plain_text = isinstance(t, StringType) and t.collation == "UTF8_BINARY"
+    if not plain_text and not isinstance(t, BinaryType):
+        return c
+    raw = c.cast("binary")
+    return F.when(F.octet_length(raw) < 32, raw).otherwise(F.unhex(F.sha2(raw, 256)))
+
+
 def unique_metrics(base: DataFrame, specs: list[UniqueSpec]) -> DataFrame:
     """One-row aggregate: ``__u{j}`` values seen exactly once, ``__d{j}`` non-NULL rows,
     for each spec j. ``__d{j}`` is 0 when the column holds no value at all."""
     keys, wanted = [], []
-    columns = base.columns
-    for j, s in enumerate(specs):
-        c = col_of(s.column, columns)
-        keys.append((c if s.filter is None else F.when(s.filter, c)).alias(f"__k{j}"))
+    cols = [col_of(s.column, base.columns) for s in specs]
+    types = [f.dataType for f in base.select(*[c.alias(f"__c{j}") for j, c in enumerate(cols)]).schema.fields]
+    for j, (s, c, t) in enumerate(zip(specs, cols, types)):
+        k = _short_key(c, t)
+        keys.append((k if s.filter is None else F.when(s.filter, k)).alias(f"__k{j}"))
         wanted.append(c.isNotNull() if s.filter is None else (s.filter & c.isNotNull()))
     names = [f"__k{j}" for j in range(len(specs))]
     # rows that give no key to any spec are dropped at the scan (pushed down)

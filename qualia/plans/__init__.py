@@ -2,7 +2,6 @@ from qualia.plans.engine import assemble, evaluate_rules, run_rules, verificatio
 from qualia.plans.inputs import pick_inputs, transform
 from qualia.plans.rules import (
     active_rules,
-    check_groups,
     collect_rules,
     group_rules,
     join_catalog,
@@ -13,7 +12,6 @@ from qualia.plans.rules import (
 __all__ = [
     "active_rules",
     "assemble",
-    "check_groups",
     "collect_rules",
     "evaluate_rules",
     "group_rules",

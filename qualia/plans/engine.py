@@ -6,9 +6,9 @@ Plan of a run::
       -> group by (schema, table, filter)
       -> per table (in parallel threads):
            one fused scan aggregate for every row-level rule of every filter
-             (chunks of MAX_AGGS_PER_SCAN aggregates, side by side)
+             (chunks of ``aggs_per_scan`` aggregates, side by side)
            one GROUPING SETS query for every uniqueness rule of every filter
-             (chunks of MAX_UNIQUE_PER_QUERY columns, side by side)
+             (chunks of ``unique_per_query`` columns, side by side)
       -> per-rule counts (a local relation) -> classification (SQL expressions)
 
 Data never reaches the driver: each table returns one aggregate row per query.
@@ -43,6 +43,7 @@ from qualia.operators.classify import (
     EVALUATED,
     METRICS_SCHEMA,
     SKIPPED,
+    UNRESOLVED,
     check_outcomes,
     classify,
     metric_report,
@@ -55,6 +56,7 @@ from qualia.plans.rules import (
     collect_rules,
     group_rules,
     join_catalog,
+    number_rules,
     standardize_rules,
 )
 from qualia.schema import (
@@ -82,16 +84,16 @@ def _inherit(src: DataFrame | SparkSession, fn):
 
 
 def _rule_fault(e: BaseException) -> bool:
-    """True for a data error raised by an expression (SQLSTATE class 22: division
-    by zero, invalid cast, bad pattern ...), which re-running a subset of the rules
-    can pin down. Anything else (lost executors past Spark's own retries, I/O) is a
+    """True for an error raised by an expression (SQLSTATE class 22: division by zero,
+    invalid cast, bad pattern ...; class 42: an expression that cannot be planned), which
+    re-running a subset of the rules can pin down. Anything else (lost executors past Spark's own retries, I/O) is a
     failure of the group as a whole and is not re-run rule by rule."""
     get = getattr(e, "getSqlState", None)
     try:
         state = get() if callable(get) else None
     except Exception:
         state = None
-    return bool(state) and state.startswith("22")
+    return bool(state) and state.startswith(("22", "42"))
 
 
 @dataclass
@@ -102,10 +104,11 @@ class _Planned:
     fcol: Column | None
     row: list[tuple[Rule, Check]] = field(default_factory=list)
     unique: list[tuple[Rule, Check]] = field(default_factory=list)
-    broken: list[tuple[Rule, str]] = field(default_factory=list)    # did not resolve
+    broken: list[tuple[Rule, Check | None, str]] = field(default_factory=list)  # did not resolve
     skipped: list[tuple[Rule, str]] = field(default_factory=list)   # method / params
     error: str | None = None          # whole group failed
     total: int | None = None
+    totals: dict[int, int] = field(default_factory=dict)       # rule index -> rows of its own scan
     passed: dict[int, int] = field(default_factory=dict)       # rule index -> count
     uniq: dict[int, tuple[int, int]] = field(default_factory=dict)
     rule_error: dict[int, str] = field(default_factory=dict)
@@ -120,9 +123,10 @@ def _plan_group(df: DataFrame, group: RuleGroup) -> _Planned:
             p.skipped.append((r, MSG_UNSUPPORTED.format(method=r.metodo)))
             continue
         try:
-            check = build_check(key, df, r.column_name, r.params, schema, resolve=False)
+            check = build_check(key, df, r.column_name, r.params, schema,
+                                param_list=r.param_list, resolve=False)
         except Exception as e:  # analysis error of this rule only
-            p.broken.append((r, MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]))
+            p.broken.append((r, None, _not_evaluable(e)))
             continue
         if check is None:
             p.skipped.append((r, MSG_BAD_PARAMS.format(method=r.metodo)))
@@ -130,37 +134,48 @@ def _plan_group(df: DataFrame, group: RuleGroup) -> _Planned:
             p.unique.append((r, check))
         else:
             p.row.append((r, check))
-    # Resolve all pass predicates of the group at once (analysis only, no job); if
-    # that fails, one by one, so that only the rules at fault are set aside.
-    if p.row:
-        try:
-            df.select(*[c.predicate for _, c in p.row])
-        except Exception:
-            good = []
-            for r, c in p.row:
-                try:
-                    df.select(c.predicate)
-                    good.append((r, c))
-                except Exception as e:
-                    p.broken.append((r, MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]))
-            p.row = good
+    p.row = _resolvable(p, p.row, lambda cs: row_metrics(df, [RowGroup(None, [c.predicate for c in cs])]))
+    p.unique = _resolvable(p, p.unique, lambda cs: unique_metrics(df, [UniqueSpec(c.column) for c in cs]))
     return p
 
 
-# Aggregate expressions per scan job. Beyond about a hundred output fields Spark
+def _not_evaluable(e: BaseException) -> str:
+    return MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]
+
+
+def _resolvable(p: _Planned, items: list[tuple[Rule, Check]], aggregate) -> list[tuple[Rule, Check]]:
+    """The rules whose aggregates resolve: all at once (analysis only, no job); if that
+    fails, one by one, so that only the rules at fault are set aside."""
+    if not items:
+        return items
+    try:
+        aggregate([c for _, c in items])
+        return items
+    except Exception:
+        good = []
+    for r, c in items:
+        try:
+            aggregate([c])
+            good.append((r, c))
+        except Exception as e:
+            p.broken.append((r, c, _not_evaluable(e)))
+    return good
+
+
+# Default of ``aggs_per_scan``: aggregate expressions per scan job. Beyond about a hundred output fields Spark
 # turns whole-stage codegen off for the aggregate and it runs several times slower
 # (measured: 50 rules 1 s, 100 rules 13 s on lineitem sf0.1), so a table with many
 # rules is split into chunks of this size, run side by side. Raising
 # spark.sql.codegen.maxFields does not help: the generated method then grows past
 # what the JIT compiles (120 rules: 4.6 s -> 9.7 s; 400 rules: 44 s).
-MAX_AGGS_PER_SCAN = 40
+AGGS_PER_SCAN = 40
 
 _Part = tuple  # (plan, [(rule, check), ...]): some rules of one filter
 
 
-def _chunks(plans: list[_Planned]) -> list[list[_Part]]:
+def _chunks(plans: list[_Planned], most: int) -> list[list[_Part]]:
     """Pack the row-level rules of a table into scan jobs of at most
-    ``MAX_AGGS_PER_SCAN`` aggregates (one count per filter plus one per rule).
+    ``most`` aggregates (one count per filter plus one per rule).
     Rules on the same column stay together, so each chunk reads few columns."""
     chunks: list[list[_Part]] = []
     cur: list[_Part] = []
@@ -169,10 +184,10 @@ def _chunks(plans: list[_Planned]) -> list[list[_Part]]:
         items = sorted(p.row, key=lambda rc: rc[1].column)
         i = 0
         while True:
-            if size + 1 > MAX_AGGS_PER_SCAN or (items and size + 2 > MAX_AGGS_PER_SCAN):
+            if size + 1 > most or (items and size + 2 > most):
                 chunks.append(cur)
                 cur, size = [], 0
-            take = items[i:i + MAX_AGGS_PER_SCAN - size - 1]
+            take = items[i:i + most - size - 1]
             cur.append((p, take))
             size += 1 + len(take)
             i += len(take)
@@ -190,7 +205,7 @@ def _run_chunk(base: DataFrame, chunk: list[_Part]) -> None:
         for gi, (p, items) in enumerate(chunk):
             p.total = row[f"__n{gi}"]
             for i, (r, _) in enumerate(items):
-                p.passed[r.index] = row[f"__p{gi}_{i}"]
+                p.passed[r.index], p.totals[r.index] = row[f"__p{gi}_{i}"], row[f"__n{gi}"]
         return
     except Exception as e:
         if not _rule_fault(e):
@@ -211,16 +226,17 @@ def _run_chunk(base: DataFrame, chunk: list[_Part]) -> None:
         _bisect(base, p, items[half:])
 
 
-def _run_row_level(base: DataFrame, plans: list[_Planned]) -> None:
-    """Fill ``total`` and ``passed`` of each plan: one scan job for all row-level
-    rules of the table (several, side by side, past ``MAX_AGGS_PER_SCAN``).
+def _run_row_level(base: DataFrame, plans: list[_Planned], most: int) -> None:
+    """Fill ``total``, ``totals`` and ``passed`` of each plan: one scan job for all
+    row-level rules of the table (several, side by side, past ``most`` aggregates). A
+    rule's rows are counted by the scan that counts its passing rows.
 
     If a job fails at run time, each filter's count is re-run alone; a failing
     count makes the filter's rules an error group; otherwise the rules are bisected
     (halves re-run fused) down to the ones that fail, so one bad rule among n costs
     about 2*log2(n) extra scans, not n.
     """
-    chunks = _chunks(plans)
+    chunks = _chunks(plans, most)
     if len(chunks) == 1:
         _run_chunk(base, chunks[0])
     else:
@@ -234,26 +250,26 @@ def _bisect(base: DataFrame, p: _Planned, items: list[tuple[Rule, Check]]) -> No
     try:
         row = row_metrics(base, [RowGroup(p.fcol, [c.predicate for _, c in items])]).collect()[0]
         for i, (r, _) in enumerate(items):
-            p.passed[r.index] = row[f"__p0_{i}"]
+            p.passed[r.index], p.totals[r.index] = row[f"__p0_{i}"], row["__n0"]
         return
     except Exception as e:
         if not _rule_fault(e):
             p.error = _err_text(e)
             return
         if len(items) == 1:
-            p.rule_error[items[0][0].index] = MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]
+            p.rule_error[items[0][0].index] = _not_evaluable(e)
             return
     half = len(items) // 2
     _bisect(base, p, items[:half])
     _bisect(base, p, items[half:])
 
 
-# Uniqueness columns per GROUPING SETS query. Expand writes one copy of each row per
+# Default of ``unique_per_query``: uniqueness columns per GROUPING SETS query. Expand writes one copy of each row per
 # column, padded with NULLs for the others, so a query over many columns has wide
 # rows (and past ~50 columns its final aggregate leaves whole-stage codegen). Each
 # column is read once either way, so wide rule sets are split into queries of
 # this many columns, run side by side.
-MAX_UNIQUE_PER_QUERY = 8
+UNIQUE_PER_QUERY = 8
 
 
 def _unique_specs(plans: list[_Planned]) -> tuple[list[UniqueSpec], dict[tuple[int, str], int]]:
@@ -283,17 +299,16 @@ def _unique_chunk(base: DataFrame, specs: list[UniqueSpec], first: int) -> dict[
             row = unique_metrics(base, [s]).collect()[0]
             out[first + j] = (row["__u0"], row["__d0"])
         except Exception as e:
-            out[first + j] = MSG_NOT_EVALUABLE.format(error=_err_text(e))[:MAX_ERROR_CHARS]
+            out[first + j] = _not_evaluable(e)
     return out
 
 
-def _run_unique(base: DataFrame, plans: list[_Planned]) -> None:
+def _run_unique(base: DataFrame, plans: list[_Planned], step: int) -> None:
     """Fill ``uniq`` of each plan: one GROUPING SETS job for the table's uniqueness
-    rules (several, side by side, past ``MAX_UNIQUE_PER_QUERY`` columns)."""
+    rules (several, side by side, past ``step`` columns)."""
     spec_list, specs = _unique_specs(plans)
     if not spec_list:
         return
-    step = MAX_UNIQUE_PER_QUERY
     starts = list(range(0, len(spec_list), step))
     results: dict[int, tuple[int, int] | str] = {}
     try:
@@ -363,7 +378,8 @@ def _plan_table(resolver: TableResolver, groups: list[RuleGroup]
     return base, plans, live
 
 
-def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: bool) -> list[_Planned]:
+def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: bool,
+                    sizes: tuple[int, int]) -> list[_Planned]:
     base, plans, live = _plan_table(resolver, groups)
     if not live:
         return plans
@@ -393,12 +409,12 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
         if any(p.unique for p in live):
             # the two queries of a table are independent: run them side by side
             with ThreadPoolExecutor(max_workers=2) as pool:
-                jobs = [pool.submit(_inherit(data, _run_row_level), data, live),
-                        pool.submit(_inherit(data, _run_unique), data, live)]
+                jobs = [pool.submit(_inherit(data, _run_row_level), data, live, sizes[0]),
+                        pool.submit(_inherit(data, _run_unique), data, live, sizes[1])]
                 for j in jobs:
                     j.result()
         else:
-            _run_row_level(data, live)
+            _run_row_level(data, live, sizes[0])
     finally:
         if cache:
             data.unpersist()
@@ -416,11 +432,11 @@ def _count_rows(agg: DataFrame, cells: list[tuple[int, str, str, str]]) -> DataF
     return agg.select(F.expr(f"inline(array({structs}))"))
 
 
-def _lazy_counts(base: DataFrame, live: list[_Planned]) -> list[DataFrame]:
+def _lazy_counts(base: DataFrame, live: list[_Planned], sizes: tuple[int, int]) -> list[DataFrame]:
     """The table's aggregates as unexecuted plans, reshaped to per-rule count rows."""
     frames = []
     with_total: set[int] = set()
-    for chunk in _chunks(live):
+    for chunk in _chunks(live, sizes[0]):
         agg = row_metrics(base, [RowGroup(p.fcol, [c.predicate for _, c in items]) for p, items in chunk])
         cells = []
         for gi, (p, items) in enumerate(chunk):
@@ -428,12 +444,12 @@ def _lazy_counts(base: DataFrame, live: list[_Planned]) -> list[DataFrame]:
             cells += [(r.index, n, f"__p{gi}_{i}", n) for i, (r, _) in enumerate(items)]
             if id(p) not in with_total:  # the group's total, for its other rules
                 with_total.add(id(p))
-                others = [r for r, _ in p.unique] + [r for r, _ in p.broken] + [r for r, _ in p.skipped]
+                others = [r for r, _ in p.unique] + [r for r, _, _ in p.broken] + [r for r, _ in p.skipped]
                 cells += [(r.index, n, _NULL_LONG, _NULL_LONG) for r in others]
         if cells:
             frames.append(_count_rows(agg, cells))
     spec_list, specs = _unique_specs(live)
-    step = MAX_UNIQUE_PER_QUERY
+    step = sizes[1]
     for start in range(0, len(spec_list), step):
         cells = []
         for pi, p in enumerate(live):
@@ -469,14 +485,15 @@ def _metric_rows(plans: list[_Planned]) -> list[tuple[tuple, dict]]:
             out += [row(r, 0, ERROR, total=0, message=msg) for r in g.rules]
             continue
         for r, c in p.row + p.unique:
+            n = p.totals.get(r.index, p.total)
             if r.index in p.rule_error:
-                out.append(row(r, 0, SKIPPED, total=p.total, message=p.rule_error[r.index], check=c))
+                out.append(row(r, 0, UNRESOLVED, total=n, message=p.rule_error[r.index], check=c))
             elif c.kind == UNIQUE:
                 u, d = p.uniq.get(r.index, (None, None))
-                out.append(row(r, 0, EVALUATED, p.total, u, d, check=c))
+                out.append(row(r, 0, EVALUATED, n, u, d, check=c))
             else:
-                out.append(row(r, 0, EVALUATED, p.total, p.passed.get(r.index), p.total, check=c))
-        out += [row(r, 0, SKIPPED, total=p.total, message=m) for r, m in p.broken]
+                out.append(row(r, 0, EVALUATED, n, p.passed.get(r.index), n, check=c))
+        out += [row(r, 0, UNRESOLVED, total=p.total, message=m, check=c) for r, c, m in p.broken]
         out += [row(r, 1, SKIPPED, total=p.total, message=m) for r, m in p.skipped]
     return out
 
@@ -492,6 +509,8 @@ def evaluate_rules(
     parallelism: int = 4,
     cache: bool = False,
     eager: bool = True,
+    aggs_per_scan: int = AGGS_PER_SCAN,
+    unique_per_query: int = UNIQUE_PER_QUERY,
 ) -> DataFrame:
     """Run the active rules and return the *metrics relation*: one row per rule with
     its counts (``total``, ``passed``, ``denom``) and outcome, in result order.
@@ -503,9 +522,16 @@ def evaluate_rules(
     ``eager=False``: run nothing yet; return the unexecuted plan of every table's
     aggregates, so that the caller's action checks all tables in one Spark job.
     Analysis faults are still isolated per rule and per group, but a run-time error
-    then fails that action (no re-run, no cache).
+    then fails that action (no re-run, no cache). ``aggs_per_scan`` (2 or more): counts
+    in one scan job, one per filter and one per rule; ``unique_per_query`` (1 or more):
+    columns in one uniqueness query. A table with more runs several jobs side by side;
+    every rule is evaluated either way.
     """
-    plan = active_rules(join_catalog(standardize_rules(rules), catalog), dataset)
+    if aggs_per_scan < 2 or unique_per_query < 1:
+        raise ValueError("aggs_per_scan must be at least 2 and unique_per_query at least 1")
+    sizes = (aggs_per_scan, unique_per_query)
+    kept = number_rules(active_rules(standardize_rules(rules, with_seq=False), dataset))
+    plan = join_catalog(kept, catalog)
     active = collect_rules(plan)
     groups = group_rules(active)
     resolver = TableResolver(spark, tables)
@@ -517,13 +543,13 @@ def evaluate_rules(
         units.setdefault(key, []).append(g)
     work = list(units.values())
     if not eager:
-        return _lazy_metrics(spark, resolver, work)
+        return _lazy_metrics(spark, resolver, work, sizes)
 
     if parallelism > 1 and len(work) > 1:
         with ThreadPoolExecutor(max_workers=min(parallelism, len(work))) as pool:
-            done = list(pool.map(_inherit(spark, lambda gs: _evaluate_table(resolver, gs, cache)), work))
+            done = list(pool.map(_inherit(spark, lambda gs: _evaluate_table(resolver, gs, cache, sizes)), work))
     else:
-        done = [_evaluate_table(resolver, gs, cache) for gs in work]
+        done = [_evaluate_table(resolver, gs, cache, sizes) for gs in work]
 
     return _metrics_frame(spark, done)
 
@@ -544,7 +570,8 @@ def _metrics_frame(spark: SparkSession, done: list[list[_Planned]], schema=METRI
 _LAZY_SCHEMA = StructType(METRICS_SCHEMA.fields + [StructField("rule_index", LongType(), False)])
 
 
-def _lazy_metrics(spark: SparkSession, resolver: TableResolver, work: list[list[RuleGroup]]) -> DataFrame:
+def _lazy_metrics(spark: SparkSession, resolver: TableResolver, work: list[list[RuleGroup]],
+                  sizes: tuple[int, int]) -> DataFrame:
     """Metrics relation as one plan: per-rule rows of every table's aggregates, merged
     by rule (a group-by over one row per rule and query), joined to the rule rows."""
     done, frames = [], []
@@ -552,7 +579,7 @@ def _lazy_metrics(spark: SparkSession, resolver: TableResolver, work: list[list[
         base, plans, live = _plan_table(resolver, groups)
         done.append(plans)
         if live:
-            frames += _lazy_counts(base, live)
+            frames += _lazy_counts(base, live, sizes)
     meta = _metrics_frame(spark, done, _LAZY_SCHEMA)
     if not frames:
         return meta.drop("rule_index")
@@ -601,6 +628,8 @@ def run_rules(
     parallelism: int = 4,
     cache: bool = False,
     eager: bool = True,
+    aggs_per_scan: int = AGGS_PER_SCAN,
+    unique_per_query: int = UNIQUE_PER_QUERY,
 ) -> DataFrame:
     """Check a table's data against its rules: one result row per active rule.
 
@@ -612,11 +641,11 @@ def run_rules(
     session catalog. ``policy``: ``"strict"`` (every row must pass) or
     ``"threshold"`` (percentage >= ``umbral``). ``as_of``: fixed run stamp.
     ``eager=False`` returns an unexecuted plan that checks all tables in one job
-    (see :func:`evaluate_rules`).
+    (see :func:`evaluate_rules`, also for the other options).
     """
     metrics = evaluate_rules(spark, rules, catalog, dataset=dataset, tables=tables,
                              fuse_filters=fuse_filters, parallelism=parallelism, cache=cache,
-                             eager=eager)
+                             eager=eager, aggs_per_scan=aggs_per_scan, unique_per_query=unique_per_query)
     return assemble(metrics, policy=policy, as_of=as_of, wide=wide, stamps=stamps)
 
 

@@ -40,9 +40,14 @@ def standardize_rules(rules: DataFrame, *, with_seq: bool = True) -> DataFrame:
             out.append(src(name).try_cast("double").alias(std))
         else:
             out.append(F.trim(src(name).cast("string")).alias(std))
-    if with_seq:
-        out.append(F.monotonically_increasing_id().alias("seq"))
-    return rules.select(*out)
+    std = rules.select(*out)
+    return number_rules(std) if with_seq else std
+
+
+def number_rules(rules: DataFrame) -> DataFrame:
+    """Add ``seq``, the input order. Number after filtering where both are wanted: a
+    filter is not pushed below the numbering."""
+    return rules.withColumn("seq", F.monotonically_increasing_id())
 
 
 def param_list(rules: DataFrame) -> DataFrame:
@@ -88,6 +93,7 @@ class Rule:
     metodo: str | None
     method_key: str | None
     dimension: str | None
+    param_list: list[str] = field(default_factory=list)
 
 
 @dataclass
@@ -110,7 +116,7 @@ def collect_rules(plan: DataFrame) -> list[Rule]:
 
     A rule code listed twice in the catalog makes its rules appear twice (left
     join); they are kept, as the join says, and a warning names the codes."""
-    rows = plan.select("seq", *_RULE_FIELDS).collect()
+    rows = param_list(plan).select("seq", *_RULE_FIELDS, "param_list").collect()
     rows = sorted(rows, key=lambda r: r["seq"])
     seen, doubled = set(), set()
     for r in rows:
@@ -118,7 +124,7 @@ def collect_rules(plan: DataFrame) -> list[Rule]:
     if doubled:
         codes = sorted({r["rule_code"] for r in rows if r["seq"] in doubled})
         warnings.warn(f"rule codes listed more than once in the catalog: {', '.join(codes)}", stacklevel=2)
-    return [Rule(i, *[r[f] for f in _RULE_FIELDS]) for i, r in enumerate(rows)]
+    return [Rule(i, *[r[f] for f in _RULE_FIELDS], r["param_list"]) for i, r in enumerate(rows)]
 
 
 def group_rules(rules: list[Rule]) -> list[RuleGroup]:
@@ -131,11 +137,3 @@ def group_rules(rules: list[Rule]) -> list[RuleGroup]:
             groups[key] = RuleGroup(len(groups), r.schema, r.table_name, r.filters or "")
         groups[key].rules.append(r)
     return list(groups.values())
-
-
-def check_groups(plan: DataFrame) -> DataFrame:
-    """The grouping as a relation: one row per (schema, table, filter) with its rule
-    count and the position of its first rule."""
-    return (plan.withColumn("filtro", F.coalesce(F.col("filters"), F.lit("")))
-            .groupBy("schema", "table_name", "filtro")
-            .agg(F.count(F.lit(1)).alias("n_rules"), F.min("seq").alias("first_seq")))

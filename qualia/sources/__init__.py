@@ -14,7 +14,7 @@ from qualia.sources.sinks import (
     shared_dir,
     write_result_csv,
 )
-from qualia.sources.tables import TableResolver, full_table_name, parquet_tables
+from qualia.sources.tables import TableResolver, full_table_name
 
 __all__ = [
     "DEFAULT_CATALOG",
@@ -24,7 +24,6 @@ __all__ = [
     "export_format",
     "fresh_path",
     "full_table_name",
-    "parquet_tables",
     "read_catalog_csv",
     "read_result_csv",
     "save_table",

@@ -42,12 +42,10 @@ def empty_catalog(spark: SparkSession) -> DataFrame:
 
 
 def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Catalog CSV with a header; every column read as text (no inference)."""
-    return (spark.read.schema(CATALOG_SCHEMA)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("encoding", "UTF-8")
-            .csv(path))
+    """Catalog CSV with a header; every column read as text (no inference). The four
+    columns are taken by their header names, in any order; further columns are left out."""
+    rows = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    return rows.select(*CATALOG_SCHEMA.fieldNames())
 
 
 def write_catalog_csv(catalog: DataFrame, path: str) -> None:

@@ -34,8 +34,3 @@ class TableResolver:
                 src = self.tables[key]
                 return src(self.spark) if callable(src) else src
         return self.spark.table(full_table_name(schema, table))
-
-
-def parquet_tables(spark: SparkSession, base_dir: str, names: list[str]) -> dict[str, DataFrame]:
-    """``{name: spark.read.parquet(f"{base_dir}/{name}.parquet")}`` for the given names."""
-    return {n: spark.read.parquet(f"{base_dir}/{n}.parquet") for n in names}

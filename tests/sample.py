@@ -1,27 +1,28 @@
-"""Golden sample: a notification log of six rows with planted faults, and seven
-rules over it (FIXTURES.md sections 3-4)."""
+"""Golden sample: eight cargo rows with planted faults, and one rule per kind of check
+over them (FIXTURES.md sections 3-4)."""
 
 from __future__ import annotations
 
-TABLE = "logs_notificador"
-SCHEMA = "repo_calidad"
-
-# email pattern as the rule table writes it (raw text with a doubled backslash),
-# and the corrected one with a single backslash
-EMAIL_AS_WRITTEN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}$"
-EMAIL_FIXED = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
-
-LOG_DDL = ("estadoEnvioNotificacion string, fechaCarga string, montoTransaccion double, "
-           "documentId string, guid string, remitenteNotificador string, emailOrigen string, "
-           "codigoEstadoNotificacion long")
-
-LOG_ROWS = [
-    ("success", "2026-02-20 13:45:10", 152.35, "1234567890", "GUID-0001", "APP", "ana@banco.com", 200),
-    ("failed", "2026-02-20 13:46:03", -25.0, "9876543", "GUID-0002", None, "luis@banco", 503),
-    ("pending", "2026-02-20 13:46:35", 45.12, "1111111111", "GUID-0003", "APP", "eva@banco.com", 404),
-    ("success", "2026-02-20 13:48:20", 3100.75, "0987654321", "GUID-0004", "APP", "rui@banco.com", 201),
-    ("success", "2026-02-20 13:49:02", 8.99, "2222222222", "GUID-0005", "APP", "sol@banco.com", 450),
-    ("unknown", "2026-02-20 13:52:10", 75.0, "3333333333", "GUID-0006", "APP", "max@banco", 600),
+TABLE = "embarques"
+SCHEMA = "puerto"
+
+# a pattern with a doubled backslash, as rule tables often hold it (it asks for a literal
+# backslash, so nothing matches), and the meant one
+CODE_DOUBLED = r"^[A-Z]{2}\\.[0-9]{3}$"
+CODE_FIXED = r"^[A-Z]{2}\.[0-9]{3}$"
+
+CARGO_DDL = ("guia string, destino string, situacion string, peso_kg double, contenedor string, "
+             "codigo string, bultos long, nota string")
+
+CARGO_ROWS = [
+    ("E-11", "Vigo", "cargado", 1200.0, "CONT-000017", "VG.104", 12, "fragil"),
+    ("E-12", "Oporto", "en ruta", -3.5, "CONT-000018", "OP.220", 40, "\t"),
+    ("E-13", None, "cargado", 87.25, "CONT-19", "VG.105", 1, "frio"),
+    ("E-14", "Cork", "perdido", 0.0, "CONT-000020", "ck.007", 0, "   "),
+    ("E-15", "Vigo", None, -1.0, None, "VG.106", 41, None),
+    ("E-16", "Brest", "entregado", 640.0, "CONT-000022", "BR.31", None, "seco"),
+    ("E-17", "Oporto", "en ruta", None, "CONT-0000230", "OP.221", 7, "seco"),
+    ("E-18", "Cork", "cargado", 15.0, "CONT-000024", "CK.008", 39, "frio"),
 ]
 
 
@@ -30,12 +31,13 @@ def rule(column, code, params="", threshold=100.0, *, table=TABLE, schema=SCHEMA
     return {
         "id_calidad_tabla": table, "coleccion": schema, "nombre_columna": column,
         "id_calidad_regla": code, "parametros": params, "filtros": filters, "estado": active,
-        "descripcion": f"{code} on {column}", "umbral": threshold, "macrodominio": "CANALES",
-        "dominio": "Canales_Digitales", "usuario_cambio": "tester",
-        "fecha_cambio": "2026-02-27 17:20:00",
+        "descripcion": f"{code} on {column}", "umbral": threshold, "macrodominio": "CARGA",
+        "dominio": "muelle", "usuario_cambio": "grua",
+        "fecha_cambio": "2025-11-03 06:00:00",
     }
 
 
+# --- Fixed values: columns of the rule table
 RULE_DDL = ("id_calidad_tabla string, coleccion string, nombre_columna string, "
             "id_calidad_regla string, parametros string, filtros string, estado boolean, "
             "descripcion string, umbral double, macrodominio string, dominio string, "
@@ -43,13 +45,14 @@ RULE_DDL = ("id_calidad_tabla string, coleccion string, nombre_columna string, "
 RULE_FIELDS = [f.split()[0] for f in RULE_DDL.split(", ")]
 
 SAMPLE_RULES = [
-    rule("remitenteNotificador", "COM_NULOS", threshold=99.0),
-    rule("guid", "COM_DUPLICADOS", threshold=100.0),
-    rule("estadoEnvioNotificacion", "VAL_PERMITIDOS", "success,failed", 98.5),
-    rule("montoTransaccion", "VAL_POSITIVOS", threshold=99.5),
-    rule("documentId", "CONF_LONG_EXACTA", "10", 99.0),
-    rule("emailOrigen", "CONF_REGEX", EMAIL_AS_WRITTEN, 97.0),
-    rule("codigoEstadoNotificacion", "VAL_RANGO_VALORES", "200,500", 96.0),
+    rule("destino", "COM_NULOS", threshold=99.0),
+    rule("guia", "COM_DUPLICADOS", threshold=100.0),
+    rule("situacion", "VAL_PERMITIDOS", "cargado,en ruta,entregado", 92.5),
+    rule("peso_kg", "VAL_POSITIVOS", threshold=70.5),
+    rule("contenedor", "CONF_LONG_EXACTA", "11", 60.0),
+    rule("codigo", "CONF_REGEX", CODE_DOUBLED, 80.0),
+    rule("bultos", "VAL_RANGO_VALORES", "1,40", 96.0),
+    rule("nota", "COM_OBLIGATORIO", threshold=75.0),
 ]
 
 
@@ -57,5 +60,5 @@ def rules_df(spark, rules):
     return spark.createDataFrame([tuple(r.get(f) for f in RULE_FIELDS) for r in rules], RULE_DDL)
 
 
-def logs_df(spark):
-    return spark.createDataFrame(LOG_ROWS, LOG_DDL)
+def cargo_df(spark):
+    return spark.createDataFrame(CARGO_ROWS, CARGO_DDL)

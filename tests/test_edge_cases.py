@@ -252,9 +252,7 @@ def test_bisection_finds_every_faulty_rule(spark, catalog):
     assert all(s == "CUMPLE" for i, s in enumerate(status) if i not in (3, len(status) - 1))
 
 
-def test_many_rules_are_chunked_with_same_results(spark, catalog, monkeypatch):
-    import qualia.plans.engine as engine
-
+def test_many_rules_are_chunked_with_same_results(spark, catalog):
     df = spark.createDataFrame([(i, i % 7, f"v{i % 5}") for i in range(60)], "a int, b int, v string")
     rules = [rule("a", "VAL_RANGO_VALORES", f"{i},{i + 30}", table="t", schema=None) for i in range(12)]
     rules += [rule("b", "COM_PREDICADO", f"b <> {i}", table="t", schema=None, filters="a > 10")
@@ -262,8 +260,7 @@ def test_many_rules_are_chunked_with_same_results(spark, catalog, monkeypatch):
     rules += [rule("v", "COM_PREDICADO", "a / (b - b) > 0", table="t", schema=None),
               rule("v", "COM_DUPLICADOS", table="t", schema=None)]
     whole = run(spark, rules, catalog, {"t": df})
-    monkeypatch.setattr(engine, "MAX_AGGS_PER_SCAN", 4)
-    chunked = run(spark, rules, catalog, {"t": df})
+    chunked = run(spark, rules, catalog, {"t": df}, aggs_per_scan=4)
     assert chunked == whole
     assert [r["estado_calidad"] for r in whole].count("NO_EVALUADA") == 1
     filtered = next(r for r in whole if r["parametros"] == "b <> 0")
@@ -271,17 +268,14 @@ def test_many_rules_are_chunked_with_same_results(spark, catalog, monkeypatch):
 
 
 @pytest.mark.parametrize("eager", [True, False])
-def test_many_uniqueness_columns_are_chunked(spark, catalog, monkeypatch, eager):
-    import qualia.plans.engine as engine
-
+def test_many_uniqueness_columns_are_chunked(spark, catalog, eager):
     cols = [f"c{i}" for i in range(7)]
     df = spark.createDataFrame([tuple((r * (i + 1)) % (3 + i) for i in range(7)) for r in range(40)],
                                ", ".join(f"{c} int" for c in cols))
     rules = [rule(c, "COM_DUPLICADOS", table="t", schema=None) for c in cols]
     rules += [rule(c, "COM_DUPLICADOS", table="t", schema=None, filters="c0 = 1") for c in cols[:3]]
     whole = run(spark, rules, catalog, {"t": df}, eager=eager)
-    monkeypatch.setattr(engine, "MAX_UNIQUE_PER_QUERY", 3)
-    chunked = run(spark, rules, catalog, {"t": df}, eager=eager)
+    chunked = run(spark, rules, catalog, {"t": df}, eager=eager, unique_per_query=3)
     assert chunked == whole
     alone = [run(spark, [x], catalog, {"t": df})[0] for x in rules]
     assert alone == whole
@@ -329,3 +323,61 @@ def test_predicates_run_only_under_their_filter(spark, catalog):
     for eager in (True, False):
         got = [(r["total_registros"], r["registros_fallidos"]) for r in run_rules(spark, rules, catalog, tables={"d.t": t}, eager=eager).collect()]
         assert got == [(2, 1), (2, 1), (3, 0)]
+
+
+@pytest.mark.parametrize("eager", [True, False])
+def test_guarded_filter_next_to_an_unfiltered_rule(spark, catalog, eager):
+    df = spark.createDataFrame([(i, i % 3) for i in range(30)], "a int, b int")
+    rules = [rule("a", "COM_PREDICADO", "a / b > 4", table="t", schema=None, filters="b <> 0"),
+             rule("a", "COM_PREDICADO", "a / b < 9", table="t", schema=None, filters="b <> 0"),
+             rule("a", "COM_NULOS", table="t", schema=None)]
+    rows = run(spark, rules, catalog, {"t": df}, eager=eager)
+    assert [r["total_registros"] for r in rows] == [20, 20, 30]
+    want = [sum(not ok(i / (i % 3)) for i in range(30) if i % 3) for ok in (lambda x: x > 4, lambda x: x < 9)]
+    assert [r["registros_fallidos"] for r in rows] == want + [0]
+
+
+@pytest.mark.parametrize("eager", [True, False])
+def test_one_unplannable_rule_leaves_its_group_alone(spark, catalog, eager):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").selectExpr("*", "parse_json('1') AS j")
+    rules = [rule("k", "COM_PREDICADO", "max(k) > 0", table="t", schema=None),
+             rule("k", "COM_PREDICADO", "row_number() OVER (ORDER BY k) > 0", table="t", schema=None),
+             rule("j", "COM_DUPLICADOS", table="t", schema=None),
+             rule("k", "COM_DUPLICADOS", table="t", schema=None),
+             rule("v", "COM_NULOS", table="t", schema=None)]
+    rows = run(spark, rules, catalog, {"t": df}, eager=eager)
+    by = {(r["columna"], r["parametros"]): r["estado_calidad"] for r in rows}
+    assert [by[("k", "max(k) > 0")], by[("k", "row_number() OVER (ORDER BY k) > 0")], by[("j", "")]] == ["NO_EVALUADA"] * 3
+    assert by[("k", "")] == by[("v", "")] == "CUMPLE"
+
+
+def test_text_against_whole_bounds_is_exact(spark, catalog):
+    df = _df(spark, ["9007199254740993", "9007199254740992", "x", None, "1.5"])
+    r = one(spark, "v", "VAL_RANGO_VALORES", "0,9007199254740992", catalog, df)
+    assert r["registros_fallidos"] == 3
+
+
+def test_uniqueness_of_long_and_short_text(spark, catalog):
+    long = "x" * 31
+    vals = [long, long + "a", long + "a", long + "b", "a", "a", "b", None, ""]
+    r = one(spark, "v", "COM_DUPLICADOS", "", catalog, _df(spark, vals))
+    assert r["porcentaje_cumplimiento"] == pytest.approx(100 * 4 / 8)
+
+
+def test_uniqueness_shuffles_no_long_text(spark):
+    from qualia.operators.metrics import UniqueSpec, unique_metrics
+
+    df = spark.range(10).selectExpr("id", "repeat(cast(id AS string), 1000) AS t")
+    plan = unique_metrics(df, [UniqueSpec("t"), UniqueSpec("id")])._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" in plan and "Aggregate [t#" not in plan
+
+
+def test_unresolvable_rule_on_an_empty_group_is_met(spark, catalog):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    r = one(spark, "no_such", "COM_NULOS", "", catalog, df, filters="k > 5")
+    assert (r["estado_calidad"], r["total_registros"]) == ("CUMPLE", 0)
+
+
+def test_sizes_of_a_job_are_checked(spark, catalog):
+    with pytest.raises(ValueError, match="aggs_per_scan"):
+        run(spark, [rule("v", "COM_NULOS", table="t", schema=None)], catalog, {"t": _df(spark, ["a"])}, aggs_per_scan=1)

@@ -5,7 +5,9 @@ import re
 
 import pytest
 
-from qualia.functions.text import percent_text, with_py_float_text
+from pyspark.sql import functions as F
+
+from qualia.functions.text import PY_FLOAT_HELPERS, percent_text_sql, py_float_sql
 from qualia.operators.checks import required_literal
 
 FLOATS = [0.0, 99.0, 98.5, 97.25, 100.0, 1e-05, 0.0001, 0.001, 1e7, 12345678.9, 1e16, 1.5e16,
@@ -13,9 +15,15 @@ FLOATS = [0.0, 99.0, 98.5, 97.25, 100.0, 1e-05, 0.0001, 0.001, 1e7, 12345678.9,
 # (Java 17 prints a few subnormals with more digits than needed, e.g. 4.9E-324; not covered)
 
 
+def _float_texts(df):
+    first, helpers, text = py_float_sql("x")
+    df = df.withColumn(PY_FLOAT_HELPERS[0], F.expr(first)).withColumns({k: F.expr(v) for k, v in helpers.items()})
+    return [r[0] for r in df.select(F.expr(text)).collect()]
+
+
 def test_py_float_text_matches_python(spark):
     df = spark.createDataFrame([(x,) for x in FLOATS], "x double")
-    got = [r["t"] for r in with_py_float_text(df, "x", "t").collect()]
+    got = _float_texts(df)
     assert got == [str(x) for x in FLOATS]
 
 
@@ -26,14 +34,14 @@ def test_py_float_text_on_threshold_like_values(spark):
     xs = [round(rnd.uniform(0, 100), rnd.randint(0, 4)) for _ in range(1000)]
     xs += [float(f"{rnd.randint(1, 999999)}e{rnd.randint(-16, 6)}") for _ in range(1000)]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    got = [r["t"] for r in with_py_float_text(df, "x", "t").collect()]
+    got = _float_texts(df)
     assert got == [str(x) for x in xs]
 
 
 def test_percent_text_rounds_the_binary_value(spark):
     xs = [3.125, 2.675, 0.295, 1.005, 83.33333333333334, 100.0, 0.0, 66.66666666666666]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    got = [r[0] for r in df.select(percent_text(df["x"])).collect()]
+    got = [r[0] for r in df.select(F.expr(percent_text_sql("x"))).collect()]
     assert got == [f"{x:.2f}" for x in xs]
 
 

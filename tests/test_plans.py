@@ -26,8 +26,8 @@ def plan_text(df) -> str:
 def test_row_level_checks_share_one_pruned_scan(spark):
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
     preds = [build_check("iscomplete", li, "l_orderkey", "").predicate,
-             build_check("between", li, "l_quantity", "5,45").predicate,
-             build_check("iscontainedin", li, "l_returnflag", "A,N").predicate]
+             build_check("between", li, "l_quantity", "5,45", param_list=["5", "45"]).predicate,
+             build_check("iscontainedin", li, "l_returnflag", "A,N", param_list=["A", "N"]).predicate]
     groups = [RowGroup(F.expr("l_linestatus = 'O'"), preds), RowGroup(F.expr("l_linestatus = 'F'"), preds[:1])]
     text = plan_text(row_metrics(li, groups))
     assert scans(text) == 1

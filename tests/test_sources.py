@@ -24,7 +24,7 @@ AS_OF = dt.datetime(2026, 2, 3, 4, 5, 6, 789000)
 
 def _result(spark, catalog):
     return run_rules(spark, rules_df(spark, S.SAMPLE_RULES), catalog,
-                     tables={f"{S.SCHEMA}.{S.TABLE}": S.logs_df(spark)}, as_of=AS_OF)
+                     tables={f"{S.SCHEMA}.{S.TABLE}": S.cargo_df(spark)}, as_of=AS_OF)
 
 
 def test_shared_dir_comes_from_the_session(spark):
@@ -41,6 +41,13 @@ def test_catalog_csv_roundtrip(spark):
     assert all(f.dataType.typeName() == "string" for f in back.schema.fields)
 
 
+def test_catalog_csv_by_header_name(spark):
+    path = fresh_path(spark, "cat2")
+    mixed = default_catalog(spark).selectExpr("metodo", "'x' AS nota", "descripcion", "id_calidad_regla", "dimension")
+    mixed.coalesce(1).write.option("header", True).csv(path)
+    assert sorted(tuple(r) for r in read_catalog_csv(spark, path).collect()) == sorted(DEFAULT_CATALOG)
+
+
 def test_result_csv_roundtrip(spark, catalog):
     res = _result(spark, catalog)
     path = fresh_path(spark, "res")
@@ -71,7 +78,7 @@ def test_managed_table_overwrite(spark, catalog):
 
 def test_rules_on_a_metastore_table(spark, catalog):
     loc = fresh_path(spark, "db2")
-    save_table(S.logs_df(spark), "qualia_logs_db", S.TABLE, location=loc)
-    rules = [S.rule("guid", "COM_DUPLICADOS", schema="qualia_logs_db")]
+    save_table(S.cargo_df(spark), "qualia_cargo_db", S.TABLE, location=loc)
+    rules = [S.rule("guia", "COM_DUPLICADOS", schema="qualia_cargo_db")]
     (row,) = run_rules(spark, rules_df(spark, rules), catalog, stamps=False).collect()
-    assert (row["estado_calidad"], row["total_registros"]) == ("CUMPLE", 6)
+    assert (row["estado_calidad"], row["total_registros"]) == ("CUMPLE", 8)
