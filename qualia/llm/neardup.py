@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -111,16 +111,21 @@ def _sketcher(size: int):
                 key = (r[:, :, 0] << 32) | (r[:, :, 1] << 16) | r[:, :, 2]
                 key = np.where(key > 0, key | tag, -1).ravel()
                 bands = pa.ListArray.from_arrays(np.arange(0, len(key) + 1, BANDS, dtype=np.int32), pa.array(key))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count, pa.int64()), pa.array(digest, pa.binary()), bands],
-                                                 ["id", "n", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(count, pa.int64()), pa.array(digest, pa.binary()), bands],
+                                                 ["id", "mark", "n", "node", "bands"])
     return run
 
 
+def text_mark(text_col: str) -> Column:
+    """Digest of a text: with the id it names a row, up to rows of the same id and text."""
+    return F.unhex(F.sha2(text_col, 256))
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, n shingles, node: digest of the set or null, bands: the registers by band)."""
+    """(id, mark: digest of the text, n shingles, node: digest of the set or null, bands: the registers by band)."""
     ship(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return docs.mapInArrow(_sketcher(size), "id long, n long, node binary, bands array<long>")
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_mark(text_col).alias("mark"))
+    return docs.mapInArrow(_sketcher(size), "id long, mark binary, n long, node binary, bands array<long>")
 
 
 def _estimate(a: str, b: str) -> str:
@@ -239,7 +244,7 @@ class Matcher:
         self.size, self.num, self.den = size, num, den
         self.docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
         sketched = staged(sketch(docs, id_col, text_col, size), "neardup-sketch")
-        self.rows = sketched.select("id", "n", "node")
+        self.rows = sketched.select("id", "mark", "n", "node")
         self.nodes = staged(sketched.where("node is not null").groupBy("node").agg(
             F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "neardup-nodes")
         every = self.nodes.select("node", F.explode("bands").alias("key")).where("key >= 0")
@@ -325,10 +330,8 @@ def components(links: DataFrame) -> DataFrame:
     return edges.selectExpr("b node", "a comp").union(edges.selectExpr("a node", "a comp")).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
-                    similarity: tuple[int, int] = (75, 100)) -> DataFrame:
-    """One row per document: id, n_shingles, component (smallest id reachable; its own for a text without words)."""
-    m = Matcher(docs, id_col, text_col, size, *similarity)
+def _families(m: Matcher) -> DataFrame:
+    """(node, comp: smallest node reachable) for the nodes with links."""
     first = m.compared(m.likely(m.stars()))
     links = m.links(first)
     comp = staged(components(links), "neardup-comp")
@@ -347,6 +350,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     more = staged(m.rest(rows, sets), "neardup-more")
     if not more.isEmpty():
         comp = staged(components(links.union(more)), "neardup-comp")
+    return comp
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+                    similarity: tuple[int, int] = (75, 100)) -> DataFrame:
+    """One row per document: id, n_shingles, component (smallest id reachable; its own for a text without words)."""
+    m = Matcher(docs, id_col, text_col, size, *similarity)
+    comp = _families(m)
     named = m.nodes.join(comp, "node", "left").select("node", "id", F.coalesce("comp", "node").alias("comp"))
     least = named.groupBy("comp").agg(F.min("id").alias("component"))
     by_node = named.join(least, "comp").select("node", "component")
@@ -354,10 +365,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"))
 
 
-def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each component: the one whose id names it (one row, if that id repeats); same columns."""
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+                         similarity: tuple[int, int] = (75, 100)) -> DataFrame:
+    """One row of each component, that of the smallest id (null last), and every row without words; same columns.
+
+    Ids need not be unique: a row goes only if a row kept has the same set or is linked with it.
+    """
     plain, name = plain_names(docs)
-    key = name[id_col]
-    found = near_duplicates(plain, id_col=key, text_col=name[text_col], **options).where("id <=> component").select(F.col("id").alias("_kept")).distinct()
-    kept = plain.join(found, F.col(key).cast("long").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([key])
-    return kept.select(*plain.columns).toDF(*docs.columns)
+    key, text = name[id_col], name[text_col]
+    m = Matcher(plain, key, text, size, *similarity)
+    rows = m.rows.where("node is not null").join(_families(m), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    best = rows.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node", "mark")).alias("best"))
+    best = best.selectExpr("best.id _kept", "best.mark _kept_mark")
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    with_words = plain.where(worded).withColumn("_mark", text_mark(text))
+    same = F.col(key).cast("long").eqNullSafe(F.col("_kept")) & (F.col("_mark") == F.col("_kept_mark"))
+    kept = with_words.join(best, same, "left_semi").dropDuplicates([key, "_mark"])  # one of the rows of that id and text
+    return kept.select(*plain.columns).union(plain.where(~worded)).toDF(*docs.columns)

@@ -84,6 +84,17 @@ def test_filters_and_mix_keep_columns_and_take_empty_tables(spark, odd):
     assert toxicity.score(odd, toxicity.train(odd, labels, labels.toxic)).count() == odd.count()
 
 
+def test_rows_kept_of_null_and_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(None, a, 0), (None, b, 1), (None, None, 2), (None, " \n", 3), (7, c, 4), (7, d, 5), (7, c + " tail", 6), (3, c + " end", 7), (7, c, 8), (7, "", 9), (7, "", 10), (8, b, 11)]
+    kept = {r.k for r in neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, k int")).collect()}
+    assert kept == {0, 11, 2, 3, 7, 5, 9, 10}
+    # the smallest id stands twice, with linked texts and with one that is linked with nothing; equal rows count once
+    rows = [(1, a, 0), (1, a + " x", 1), (1, b, 2), (2, a, 3), (None, d, 4), (None, d, 4), (None, d + " y", 5)]
+    kept = [r.k for r in neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, k int")).collect()]
+    assert len(kept) == 3 and len({0, 1} & set(kept)) == 1 and 2 in kept and len({4, 5} & set(kept)) == 1
+
+
 def test_encoder_equals_the_library():
     import pyarrow as pa
 
