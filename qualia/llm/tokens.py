@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from qualia.llm.textops import span_hashes, text_slices
 
-#: Pieces that a worker remembers; when full, it forgets all of them and goes on.
+#: Pieces that a worker remembers; when full, it forgets all of them and goes on. A text may hold any number of pieces.
 REMEMBERED = 1 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -135,23 +135,25 @@ class Encoder:
         start = cuts(data, off)
         end = np.append(start[1:], len(data))
         h = span_hashes(data, start, end, None) | np.uint64(1)
-        while True:
-            slot = self._slot(h)
-            new = np.flatnonzero(self.key[slot] != h)
-            if not len(new):
-                break
-            uniq, first = np.unique(h[new], return_index=True)
-            room = uniq[:REMEMBERED // 2]
-            first = new[first[:len(room)]]
-            raw = data.tobytes()
-            before = self.count
-            self._learn(room, [raw[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist())])
-            if self.count < before and len(uniq) > len(room):
-                raise ValueError("one slice holds more different pieces than a worker remembers")
-        size, at = self.size[slot].astype(np.int64), self.at[slot]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        ids = self.pool[np.repeat(at - ends[:-1], size) + np.arange(ends[-1])]
-        return ids, ends[np.searchsorted(start, off)]
+        raw = data.tobytes()
+        run = max(REMEMBERED // 2, 1)  # pieces of a run always fit together, so a run is learned in two turns at most
+        found, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(h), run):
+            part = h[lo:lo + run]
+            while True:
+                slot = self._slot(part)
+                new = np.flatnonzero(self.key[slot] != part)
+                if not len(new):
+                    break
+                uniq, first = np.unique(part[new], return_index=True)
+                first = new[first] + lo
+                self._learn(uniq, [raw[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist())])
+            size, at = self.size[slot].astype(np.int64), self.at[slot]
+            before = np.cumsum(size) - size
+            found.append(self.pool[np.repeat(at - before, size) + np.arange(size.sum())])
+            sizes.append(size)
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        return np.concatenate(found), ends[np.searchsorted(start, off)]
 
     def encode(self, col: pa.Array):
         """(first row, last row + 1, ids, first id of each text and the total), slice by slice."""

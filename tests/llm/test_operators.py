@@ -104,6 +104,18 @@ def test_encoder_equals_the_library():
     assert got == [x.ids for x in e.lib.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("most", [1, 2, 16, 50])
+def test_encoder_of_more_pieces_than_it_remembers(monkeypatch, most):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "REMEMBERED", most)
+    e = tokens.Encoder(queries.tokenizer_path())
+    texts = ["a few words", " ".join(str(i * 7919) for i in range(300)) + "\nwords", "", "few " * 60 + "x\ty  z"]
+    for _ in range(2):  # the second time with a full memory
+        got = [ids[a:b].tolist() for _, _, ids, first in e.encode(pa.array(texts)) for a, b in zip(first[:-1], first[1:])]
+        assert got == [x.ids for x in e.lib.encode_batch(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("n", [0, 1, 9000, 20000])
 def test_range_coder_round_trip(n):
     rng = np.random.default_rng(n)
