@@ -223,15 +223,22 @@ def graph(found: list[tuple[str, int, int, _Element]]) -> tuple[list[float], dic
     place: dict[int, int] = {}
 
     def node(e: _Element) -> int:
-        k = place.get(e.number)
-        if k is None:
-            k = place[e.number] = len(odds)
-            odds.append(0.0)
-            if e.parent is not None and e.parent.parent is not None:
-                up = _container(e.parent)
-                if up.parent is not None:
-                    join(k, node(up), CONTAINERS)
-        return k
+        way: list[int] = []  # the container and those around it, up to the first that was known
+        while True:
+            k = place.get(e.number)
+            known = k is not None
+            if not known:
+                k = place[e.number] = len(odds)
+                odds.append(0.0)
+            way.append(k)
+            if known or e.parent is None or e.parent.parent is None:
+                break
+            e = _container(e.parent)
+            if e.parent is None:
+                break
+        for k in range(len(way) - 1, 0, -1):
+            join(way[k - 1], way[k], CONTAINERS)
+        return way[0]
 
     def join(a: int, b: int, capacity: float) -> None:
         key = (a, b) if a < b else (b, a)

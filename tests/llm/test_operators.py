@@ -169,6 +169,14 @@ def test_main_text():
     assert htmlcut.main_text(None) == ("", 0, 0) and htmlcut.main_text("<p") == ("", 0, 0)
 
 
+@pytest.mark.parametrize("tag", ["div", "section", "ul", "table"])
+def test_main_text_of_deep_pages(tag):
+    text = "A sentence of the page that is long enough to count. And one more."
+    for end in ("", f"</{tag}>" * 5000):
+        page = f"<body><article>{f'<{tag}>' * 5000}<p>{text}</p><p>{text}</p>{end}</article>"
+        assert htmlcut.main_text(page) == (f"{text}\n\n{text}", 2, 2)
+
+
 def test_min_cut_is_least():
     import itertools
 
