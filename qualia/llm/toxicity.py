@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ MOST, ENTRIES, LEAST_DOCS, LEAST_ODDS = 24_000, 1500, 4, 2.0
 STEMS, STEM_WORDS, FUZZY_LENGTH = (4, 5, 6), 4, 5
 #: Letters on either side in which quote marks are looked for, and words in which other hits count.
 QUOTE_REACH, NEAR_WORDS = 40, 12
+#: Code points.
+CODES = 0x110000
 QUOTES = "\"'“”„‟«»‹›‘’「」『』"
 
 _WORD = re.compile(r"[^\W_]+")
@@ -69,10 +72,9 @@ class Automaton:
             (self.stem_at if e.stem else self.word_at)[node] = k
         letters = sorted({c for e in entries for c in e.text})
         self.letter = [""] + letters  # class 0: any other letter
-        self.classes = np.zeros(0x3000, np.int16)
+        self.classes = np.zeros(CODES, np.int16)
         for k, c in enumerate(letters, 1):
-            if ord(c) < 0x3000:
-                self.classes[ord(c)] = k
+            self.classes[ord(c)] = k
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.table = np.full((1024, len(self.letter)), -1, np.int32)
@@ -153,19 +155,19 @@ class Automaton:
         return self.found[state]
 
 
+@lru_cache(1)
 def _is_word_letter() -> np.ndarray:
-    return np.array([chr(c).isalnum() for c in range(0x3000)], bool)
+    return np.fromiter((chr(c).isalnum() for c in range(CODES)), bool, CODES)
 
 
 def hits(text: str, automaton: Automaton, letters: np.ndarray) -> tuple:
     """(words, match of each word, starts, ends, code points) of a text."""
     code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    low = np.minimum(code, 0x2FFF)
     m = np.zeros(len(code) + 2, np.int8)
-    m[1:-1] = letters[low] | (code >= 0x3000)
+    m[1:-1] = letters[code]
     step = np.diff(m)
     start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    return automaton.run(automaton.classes[low], start, end), start, end, code
+    return automaton.run(automaton.classes[code], start, end), start, end, code
 
 
 _QUOTE_CODES = np.array([ord(c) for c in QUOTES], np.uint32)

@@ -205,6 +205,17 @@ def test_automaton_is_levenshtein():
         assert (found[0] >= 0) == (best is not None), text
 
 
+def test_letters_of_all_planes():
+    words = ["바보멍청이", "ばかやろう", "𐐨𐐩𐐪𐐫𐐬"]
+    a = toxicity.Automaton([toxicity.Entry(w, False, 3.0) for w in words])
+    letters = toxicity._is_word_letter()
+    for k, w in enumerate(words):
+        for text, match in ((w, 2 * k), (w[:-1], 2 * k + 1), (w[:2], -1), (f"「{w}」", 2 * k), (f"、{w}。", 2 * k)):
+            found, start, end, _ = toxicity.hits(text, a, letters)
+            assert found.tolist() == [match], text
+    assert toxicity.describe(f"『{words[1]}』", a, letters)[toxicity.FEATURES.index("exact_quoted")] > 0
+
+
 def test_ordinal_grades_are_ordered():
     rng = np.random.default_rng(5)
     grade = rng.integers(0, 5, 400)
