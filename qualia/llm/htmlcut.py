@@ -45,6 +45,17 @@ BOILERPLATE_WORDS = frozenset("ad ads advert adverts advertisement advertising a
                               "share sharing social related recommended recommendations newsletter subscribe subscription signup login search pagination pager widget "
                               "copyright disclaimer tags toc skip".split())
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond discussion".split())
+COMMENT_LISTS = COMMENT_WORDS - frozenset("reply respond discussion".split())
+#: Words that make a class or id tell what the page has, not what the element is: no-sidebar, comments-open.
+STATE_WORDS = frozenset("no not has have with without open opened closed enabled disabled allowed off layout template".split())
+#: Elements whose class or id never speaks against their text.
+WHOLE_TAGS = frozenset("html body main article".split())
+#: How firmly an element speaks against its text, and so what makes content of a part of it: any container called content; an article
+#: or one whose id says content; the main element; nothing, but other elements may still say worse; nothing.
+LOOSE, NAMED, COMMENTS, ASIDE, HIDDEN = range(5)
+ASIDE_TAGS = frozenset("nav aside menu dialog".split())
+ASIDE_ROLES = frozenset("navigation complementary dialog alertdialog menu menubar".split())
+LOOSE_TAGS = frozenset("form fieldset".split())
 
 # The classifier's weights: log-odds of content.
 WEIGHTS = {"bias": -0.5, "word": 0.08, "words_most": 2.5, "sentence": 1.0, "links": -4.0, "heading": 1.0,
@@ -60,48 +71,67 @@ _RAW_END: dict[str, re.Pattern] = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "hint", "link", "heading", "number")
+    __slots__ = ("tag", "parent", "depth", "hint", "firm", "link", "heading", "number")
 
-    def __init__(self, tag: str, parent: "_Element | None", hint: str, number: int):
-        self.tag, self.parent, self.hint, self.number = tag, parent, hint, number
+    def __init__(self, tag: str, parent: "_Element | None", hint: tuple[str, int], number: int):
+        self.tag, self.parent, self.number = tag, parent, number
+        self.hint, self.firm = hint
         self.depth = parent.depth + 1 if parent else 0
         self.link = tag == "a" or bool(parent and parent.link)
         self.heading = tag in HEADING or bool(parent and parent.heading)
 
 
-def _hint(tag: str, attrs: str, parent: str) -> str:
-    """What an element says of its text, given what its parent says: content, boilerplate, article_header, banned or nothing."""
-    if parent == "banned":
-        return parent
-    own = ""
+def _hint(tag: str, attrs: str, parent: str, firm: int) -> tuple[str, int]:
+    """What an element says of its text, given what its parent says: content, boilerplate, article_header, banned or nothing;
+    and how firmly, if that is boilerplate or banned."""
+    if firm == HIDDEN:
+        return parent, firm
+    own, own_firm, lifts = "", LOOSE, LOOSE
+    words: set[str] = set()
     if attrs and "=" in attrs or "hidden" in attrs:
         a = {(m[1] or m[5]).lower(): next((x for x in m.groups()[1:4] if x is not None), "") for m in _ATTR.finditer(attrs)}
         style = a.get("style", "").replace(" ", "").lower()
         if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style:
-            return "banned"
-        words = {w.lower() for k in ("class", "id") if k in a for w in _WORDS.findall(_html.unescape(a[k]))}
+            return "banned", HIDDEN
+        names = [(k, {w.lower() for w in _WORDS.findall(x)}) for k in ("class", "id") if k in a for x in _html.unescape(a[k]).split()]
+        names = [(k, w) for k, w in names if w and not w & STATE_WORDS and not ("page" in w and w & COMMENT_WORDS)]
+        words = {x for _, w in names for x in w}
         role = a.get("role", "").lower()
-        if words & COMMENT_WORDS:
-            return "banned"
-        if role in BOILERPLATE_ROLES or words & BOILERPLATE_WORDS:
-            own = "boilerplate"
+        called = any(w <= CONTENT_WORDS for _, w in names)
+        if words & COMMENT_WORDS and tag not in WHOLE_TAGS:
+            own, own_firm = "banned", LOOSE if called else COMMENTS if words & COMMENT_LISTS else NAMED
+        elif role in BOILERPLATE_ROLES:
+            own, own_firm = "boilerplate", ASIDE if role in ASIDE_ROLES else NAMED
+        elif words & BOILERPLATE_WORDS and tag not in WHOLE_TAGS:
+            own, own_firm = "boilerplate", NAMED if not called and any(w <= BOILERPLATE_WORDS for _, w in names) else LOOSE
         elif role in CONTENT_ROLES or words & CONTENT_WORDS:
             own = "content"
-    if tag in CONTENT_TAGS:
-        return own or "content"
-    if tag == "header" and parent in ("content", "article_header"):
-        return "article_header"
-    if tag in BOILERPLATE_TAGS:
-        return "boilerplate"
-    if own == "content" and parent == "boilerplate":
-        return parent  # a word alone doesn't make content of a part of a menu or advert
-    return own or parent
+            if role in CONTENT_ROLES:
+                lifts = COMMENTS if role == "main" else NAMED
+            elif any(k == "id" and w <= CONTENT_WORDS for k, w in names):
+                lifts = NAMED
+    below = parent in ("boilerplate", "banned")
+    if tag in CONTENT_TAGS and own in ("", "content"):
+        own, lifts = "content", COMMENTS if tag == "main" else max(lifts, NAMED)
+    elif tag == "header" and parent in ("content", "article_header") and own != "banned":
+        return "article_header", LOOSE
+    elif tag in BOILERPLATE_TAGS:
+        own = own if own == "banned" else "boilerplate"
+        own_firm = max(own_firm, ASIDE if tag in ASIDE_TAGS else LOOSE if tag in LOOSE_TAGS else NAMED)
+    if own in ("boilerplate", "banned"):
+        return "banned" if "banned" in (own, parent) else own, max(own_firm, firm if below else LOOSE)
+    if below and own == "content":
+        if tag != "main" and words & BOILERPLATE_WORDS:
+            lifts = LOOSE
+        if lifts < firm or parent == "banned" and tag != "main" and words & COMMENT_WORDS:
+            return parent, firm
+    return (own, LOOSE) if own else (parent, firm)
 
 
 def blocks(page: str) -> list[tuple[str, int, int, _Element]]:
     """(text, words, words in links, element) of each block, in page order."""
     out: list = []
-    root = top = _Element("", None, "", 0)
+    root = top = _Element("", None, ("", LOOSE), 0)
     made = 1
     parts: list[tuple[str, bool]] = []
     home = root
@@ -180,7 +210,7 @@ def blocks(page: str) -> list[tuple[str, int, int, _Element]]:
                 e = e.parent
             if cut is not None:
                 top = cut.parent
-        top = _Element(tag, top, _hint(tag, m["attrs"] or "", top.hint), made)
+        top = _Element(tag, top, _hint(tag, m["attrs"] or "", top.hint, top.firm), made)
         made += 1
     close()
     return out

@@ -169,6 +169,33 @@ def test_main_text():
     assert htmlcut.main_text(None) == ("", 0, 0) and htmlcut.main_text("<p") == ("", 0, 0)
 
 
+@pytest.mark.parametrize("page, kept", [
+    ("<body class='single no-sidebar'><div id='content'>{}</div>", True),
+    ("<html class='cookie-consent'><body class='sidebar comments social'><p>{}</p>", True),
+    ("<article class='post comments-open related'>{}</article>", True),
+    ("<main class='social notice discussion'>{}</main>", True),
+    ("<div class='has-sidebar'><div class='entry-content'>{}</div></div>", True),
+    ("<div class='side'><div><article>{}</article></div></div>", True),
+    ("<div class='share tags'><div id='content'>{}</div></div>", True),
+    ("<div class='comments-open post'><div class='entry'>{}</div></div>", True),
+    ("<div class='discussion'><article>{}</article></div>", True),
+    ("<div class='comments'><main>{}</main></div>", True),
+    ("<form id='aspnet'><div class='content'>{}</div></form>", True),
+    ("<aside><article>{}</article></aside>", False),
+    ("<div role='navigation'><div id='content'>{}</div></div>", False),
+    ("<nav class='main'><main>{}</main></nav>", False),
+    ("<section id='comments'><article>{}</article></section>", False),
+    ("<ol class='comment-list'><li class='comment'><div class='content'>{}</div></li></ol>", False),
+    ("<div class='discussion'><article class='comment'>{}</article></div>", False),
+    ("<div class='ad'><div class='content'>{}</div></div>", False),
+    ("<article><div class='sidebar'>{}</div></article>", False),
+    ("<main><div class='comments'><nav><div id='content'>{}</div></nav></div></main>", False),
+    ("<article hidden><main>{}</main></article>", False)])
+def test_main_text_of_containers_named_for_other_things(page, kept):
+    text = "A sentence of the page that is long enough to count, with some more words. And one more sentence."
+    assert htmlcut.main_text(page.format(text))[0] == (text if kept else "")
+
+
 @pytest.mark.parametrize("tag", ["div", "section", "ul", "table"])
 def test_main_text_of_deep_pages(tag):
     text = "A sentence of the page that is long enough to count. And one more."
