@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualia.llm import annsearch, decontam, htmlcut, lengths, mixing, neardup, ordinal, tokenbin, toxicity, warc
+from qualia.llm import annsearch, decontam, htmlcut, lengths, mixing, neardup, ordinal, sharding, tokenbin, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,7 +89,15 @@ def op10_ordinal_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "expected_grade", tail[0].alias("p_grade_1"), tail[1].alias("p_grade_2"), (tail[0] >= 0.5).alias("kept"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op4_toxicity, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates, op10_ordinal_grades)}
+def op12_interleave_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its shard of 16 and its place there; every shard has the sources' mixture."""
+    text = F.coalesce("text", F.lit(""))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    found = sharding.interleave(docs, ["doc_id", "size", "text_crc32"])
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op4_toxicity, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates, op10_ordinal_grades, op12_interleave_shards)}
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -140,4 +148,18 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = d.doc_id"""
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op7_mix_sources": OP7_SQL, "op8_warc": OP8_SQL, "op9_near_duplicates": OP9_SQL}
+_HALF = "xor({c} >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][1 + (xor({c}, {x}) & 15)])"
+_BYTE = _HALF.format(c="(" + _HALF.format(c="c", x="x") + ")", x="(x >> 4)")
+#: crc32 of a text, half a byte at a time. The polynomial's table of half bytes.
+CRC32 = f"""xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({{}})), '..'), lambda h: ('0x' || h)::BIGINT)), lambda c, x: {_BYTE}))"""
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS g FROM documents),
+s AS (SELECT doc_id, g, strlen(t)::BIGINT + 1 AS size, {crc}::BIGINT AS text_crc32 FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY md5('shard/' || coalesce(doc_id::VARCHAR, '') || '/' || size || '/' || text_crc32)) - 1 AS rank, count(*) OVER (PARTITION BY g) AS n FROM s),
+k AS (SELECT g, (row_number() OVER (ORDER BY n, g) - 1)::DOUBLE * 0.6180339887498949::DOUBLE AS x FROM (SELECT DISTINCT g, n FROM r)),
+p AS (SELECT *, row_number() OVER (ORDER BY (rank + (x - floor(x))) / n, g, rank) - 1 AS pos, count(*) OVER () AS total FROM r JOIN k USING (g))
+SELECT doc_id, size, text_crc32, 'rows' AS law, (pos * 16 // total)::INTEGER AS shard,
+       (pos - ((pos * 16 // total) * total + 15) // 16)::BIGINT AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM p""".replace("{crc}", CRC32.format("t"))
+
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op7_mix_sources": OP7_SQL, "op8_warc": OP8_SQL, "op9_near_duplicates": OP9_SQL, "op12_interleave_shards": OP12_SQL}
