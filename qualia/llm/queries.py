@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualia.llm import annsearch, decontam, htmlcut, lengths, mixing, neardup, ordinal, sharding, tokenbin, toxicity, warc
+from qualia.llm import annsearch, decontam, htmlcut, lengths, mixing, neardup, ordinal, runs, sharding, tokenbin, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,7 +97,34 @@ def op12_interleave_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op4_toxicity, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates, op10_ordinal_grades, op12_interleave_shards)}
+def replayed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the words of every tenth document, by the crc32 of its id, played again from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def again(w):
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        words = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(words, " ")).otherwise("")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return docs.select("doc_id", F.when(h % 10 == 0, F.transform(F.array(words), again)[0]).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its runs, the longest of them, and the text without their repeats."""
+    found = runs.with_runs(replayed(read(spark, sf_dir, "documents")))
+    best = found.withColumn("best", F.expr("array_max(transform(runs, r -> named_struct('length', r.length, 'start', -r.start, 'period', -r.period)))"))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op4_toxicity, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates, op10_ordinal_grades, op12_interleave_shards, op13_periodic_runs)}
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -162,4 +189,20 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, (pos * 16 // total)::INTEGER AS
        (pos - ((pos * 16 // total) * total + 15) // 16)::BIGINT AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM p""".replace("{crc}", CRC32.format("t"))
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op7_mix_sources": OP7_SQL, "op8_warc": OP8_SQL, "op9_near_duplicates": OP9_SQL, "op12_interleave_shards": OP12_SQL}
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {crc} AS h FROM (SELECT *, doc_id::VARCHAR AS s FROM documents)),
+p AS (SELECT doc_id, w, h, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) ELSE len(w) END AS a FROM d),
+tok AS (SELECT doc_id, unnest(w) AS v, unnest(range(len(w))) AS i FROM p),
+pos AS (SELECT doc_id, n, i, CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END AS src FROM (SELECT *, unnest(range(n)) AS i FROM p)),
+t AS (SELECT pos.doc_id, pos.i, pos.n, tok.v FROM pos JOIN tok ON tok.doc_id = pos.doc_id AND tok.i = pos.src),
+m AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.v = y.v AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+isl AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS grp FROM m),
+run AS (SELECT doc_id, s, l, min(q) AS q FROM (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM isl GROUP BY doc_id, q, grp) WHERE l >= greatest(6, 4 * q) GROUP BY doc_id, s, l),
+out AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM run),
+kept AS (SELECT t.doc_id, string_agg(v, ' ' ORDER BY t.i) AS c FROM t ANTI JOIN out ON out.doc_id = t.doc_id AND out.i = t.i GROUP BY t.doc_id),
+agg AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS r, min(struct_pack(a := -l, b := s, c := q)) AS best FROM run GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.b::BIGINT AS start, (-best.a)::BIGINT AS length, best.c::BIGINT AS period,
+       (1000 * -best.a // best.c)::BIGINT AS exponent_milli, sha256(coalesce(r, '')) AS runs_sha256, sha256(coalesce(kept.c, '')) AS collapsed_sha256
+FROM d LEFT JOIN agg USING (doc_id) LEFT JOIN kept USING (doc_id)""".replace("{crc}", CRC32.format("s"))
+
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op7_mix_sources": OP7_SQL, "op8_warc": OP8_SQL, "op9_near_duplicates": OP9_SQL, "op12_interleave_shards": OP12_SQL, "op13_periodic_runs": OP13_SQL}
