@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualia.llm import annsearch, decontam, htmlcut, lengths, mixing, neardup, ordinal, runs, sharding, tokenbin, toxicity, warc
+from qualia.llm import align, annsearch, decontam, htmlcut, lengths, mixing, neardup, ordinal, runs, sharding, tokenbin, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +23,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("leak_n_hit") > 0).alias("contaminated"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +89,13 @@ def op10_ordinal_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "expected_grade", tail[0].alias("p_grade_1"), tail[1].alias("p_grade_2"), (tail[0] >= 0.5).alias("kept"))
 
 
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: how its ids by two tokenizers line up, and how usual its linked pairs are in the corpus."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = align.Alignment(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model")).result()
+    return found.withColumn("groups_sha256", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")).drop("groups")
+
+
 def op12_interleave_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its shard of 16 and its place there; every shard has the sources' mixture."""
     text = F.coalesce("text", F.lit(""))
@@ -124,7 +131,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op4_toxicity, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates, op10_ordinal_grades, op12_interleave_shards, op13_periodic_runs)}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_main_text, op3_token_counts, op4_toxicity, op5_nearest, op6_token_files, op7_mix_sources, op8_warc, op9_near_duplicates, op10_ordinal_grades, op11_align_tokenizers, op12_interleave_shards, op13_periodic_runs)}
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""

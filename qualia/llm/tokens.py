@@ -51,6 +51,8 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of Arrow text columns. One for each worker process and file."""
 
+    cuts = staticmethod(cuts)
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -132,7 +134,7 @@ class Encoder:
             todo = todo[~got]
 
     def _pieces(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start = cuts(data, off)
+        start = self.cuts(data, off)
         end = np.append(start[1:], len(data))
         h = span_hashes(data, start, end, None) | np.uint64(1)
         raw = data.tobytes()
