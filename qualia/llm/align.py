@@ -34,13 +34,15 @@ from pyspark.sql import functions as F
 from qualia.llm.mph import PerfectHash
 from qualia.llm.shared import plain_names, ship, staged
 from qualia.llm.textops import U64, mix64, text_slices
-from qualia.llm.tokens import Encoder
+from qualia.llm.tokens import BYTE_LETTERS, Encoder
 
 BUCKETS = 128
 #: Rows that one task of a tree joins.
 FAN = 16
 #: Different pairs that a task sums up before it gives them out, and tokens aligned in one go.
-HELD, GO = 1 << 21, 1 << 20
+HELD, GO = 1 << 19, 1 << 19
+#: Bytes of text aligned in one go, and pieces that a worker remembers of each tokenizer.
+SLICE, REMEMBERED = 1 << 18, 1 << 19
 BLOCK_PAIRS = 1 << 22
 NAMES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
 
@@ -48,6 +50,8 @@ NAMES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
 class PlainEncoder(Encoder):
     """A file's encoder that takes special strings for ordinary text."""
 
+    remembered = REMEMBERED
+
     def __init__(self, path: str):
         super().__init__(path)
         self.lib.encode_special_tokens = True
@@ -61,6 +65,8 @@ class PieceEncoder(Encoder):
     cut is encoded once. Files with other rules are encoded whole.
     """
 
+    remembered = REMEMBERED
+
     def __init__(self, path: str):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
@@ -106,24 +112,19 @@ class _Bytes:
         return self.pool[np.repeat(self.at[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that byte-level files write for each byte: printable Latin-1 stands for itself, the rest for U+0100 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
-
-
 class Pair:
     """Both tokenizers of a worker."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = PlainEncoder(path_a), PieceEncoder(path_b)
-        letters = byte_letters()
+        letters = {c: b for b, c in BYTE_LETTERS.items()}
         names = {i: t for t, i in self.a.lib.get_vocab(with_added_tokens=True).items()}
         pieces = [names.get(i, "") for i in range(max(names) + 1)]
         self.bytes_a = _Bytes([bytes(letters[c] for c in p) if all(c in letters for c in p) else p.encode() for p in pieces])
         lib = self.b.lib
         self.bytes_b = _Bytes([bytes([int(lib.id_to_piece(i)[1:-1], 16)]) if lib.is_byte(i) else lib.id_to_piece(i).replace("▁", " ").encode() for i in range(lib.get_piece_size())])
         self.width = len(self.bytes_b.size)
+        self.kind_a, self.kind_b = (np.dtype("<u2" if len(t.size) <= 1 << 16 else "<u4") for t in (self.bytes_a, self.bytes_b))
         self.digits = _Bytes([b"%d," % i for i in range(max(len(self.bytes_a.size), self.width))])
 
 
@@ -236,7 +237,7 @@ def _encoded(path_a: str, path_b: str, others: list[str], types: list[pa.DataTyp
         names = [*others, "_a", "_b", "_bucket", "_task", "_keys", "_docs"]
 
         def rows(n: int, columns: list, **own) -> pa.RecordBatch:
-            kinds = {"_a": pa.list_(pa.int32()), "_b": pa.list_(pa.int32()), "_bucket": pa.int32(), "_task": pa.int64(), "_keys": pa.binary(), "_docs": pa.binary()}
+            kinds = {"_a": pa.binary(), "_b": pa.binary(), "_bucket": pa.int32(), "_task": pa.int64(), "_keys": pa.binary(), "_docs": pa.binary()}
             return pa.RecordBatch.from_arrays([*columns, *(own.get(c, pa.nulls(n, t)) for c, t in kinds.items())], names)
 
         def summed() -> pa.RecordBatch:
@@ -250,14 +251,13 @@ def _encoded(path_a: str, path_b: str, others: list[str], types: list[pa.DataTyp
                         _keys=pa.array([keys[x].astype("<i8").tobytes() for x in own], pa.binary()), _docs=pa.array([docs[x].astype("<i8").tobytes() for x in own], pa.binary()))
 
         for batch in batches:
-            for lo, hi, data, off in text_slices(batch.column(0), 1 << 20):
+            for lo, hi, data, off in text_slices(batch.column(0), SLICE):
                 (a, fa), (b, fb) = p.a._pieces(data, off), p.b._pieces(data, off)
                 ok = (np.diff(off) > 1) & _spells(p.bytes_a, a, fa, data, off) & _spells(p.bytes_b, b, fb, data, off)
                 (a, fa), (b, fb) = _kept(a, fa, ok), _kept(b, fb, ok)
                 counts.add(Links(p, a, fa, b, fb))
                 part = batch.slice(lo, hi - lo)
-                lists = [pa.ListArray.from_arrays(pa.array(f.astype(np.int32)), pa.array(x.astype(np.int32))) for x, f in ((a, fa), (b, fb))]
-                yield rows(hi - lo, part.columns[1:], _a=lists[0], _b=lists[1])
+                yield rows(hi - lo, part.columns[1:], _a=_packed(a, fa, p.kind_a), _b=_packed(b, fb, p.kind_b))
                 if len(counts.keys) > HELD:
                     yield summed()
         yield summed()
@@ -364,13 +364,13 @@ def _looked_up(path_a: str, path_b: str, block, block_id: str, others: int, fina
             _TABLE.update(id=block_id, table=_Table(block.value, p.width))
         table = _TABLE["table"]
         for batch in batches:
-            tokens = np.concatenate([[0], np.cumsum(np.asarray(batch.column(others).value_lengths()).astype(np.int64))])
+            tokens = _offsets(batch.column(others)) // p.kind_a.itemsize
             lo = 0
             while lo < batch.num_rows:
                 hi = max(int(np.searchsorted(tokens, tokens[lo] + GO, "right")) - 1, lo + 1)
                 part = batch.slice(lo, hi - lo)
                 lo = hi
-                (a, fa), (b, fb) = (_flat(part.column(others + k)) for k in (0, 1))
+                (a, fa), (b, fb) = _flat(part.column(others), p.kind_a), _flat(part.column(others + 1), p.kind_b)
                 links = Links(p, a, fa, b, fb)
                 docs, best = table.look_up(links.key)
                 sums = [pa.array(np.asarray(part.column(others + 2 + k)) + links.per_text(x)) for k, x in enumerate((best, docs))]
@@ -383,9 +383,21 @@ def _looked_up(path_a: str, path_b: str, block, block_id: str, others: int, fina
     return run
 
 
-def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    size = np.asarray(lists.value_lengths()).astype(np.int64)
-    return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(size)])
+def _packed(ids: np.ndarray, first: np.ndarray, kind: np.dtype) -> pa.BinaryArray:
+    """The ids of each text as bytes."""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((first * kind.itemsize).astype(np.int32)), pa.py_buffer(ids.astype(kind))])
+
+
+def _offsets(column: pa.BinaryArray) -> np.ndarray:
+    return np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+
+
+def _flat(column: pa.BinaryArray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The ids, and the first of each text."""
+    off = _offsets(column)
+    raw = column.buffers()[2]
+    ids = np.frombuffer(raw, np.uint8)[off[0]:off[-1]].copy().view(kind) if raw is not None else np.zeros(0, kind)
+    return ids.astype(np.int32), (off - off[0]) // kind.itemsize
 
 
 class Alignment:
@@ -407,7 +419,7 @@ class Alignment:
         self.kinds = [f"{c} {plain.schema[c].dataType.simpleString()}" for c in self.others]
         # both read a space and the text; the second's file adds it by itself
         texts = plain.select(F.concat(F.lit(" "), name[text_col]).alias("_text"), *self.others)
-        schema = ", ".join([*self.kinds, "_a array<int>, _b array<int>, _bucket int, _task long, _keys binary, _docs binary"])
+        schema = ", ".join([*self.kinds, "_a binary, _b binary, _bucket int, _task long, _keys binary, _docs binary"])
         every = staged(texts.mapInArrow(_encoded(path_a, path_b, self.others, types), schema), "align-ids")
         self.rows = every.where("_bucket is null").select(*self.others, "_a", "_b")
         self.counts = every.where("_bucket is not null").select("_bucket", F.col("_task").alias("_node"), "_keys", "_docs")
@@ -442,7 +454,7 @@ class Alignment:
         tables = self.tables()
         rows = self.rows.withColumns({"_best": F.lit(0).cast("long"), "_sum": F.lit(0).cast("long")})
         blocks = self.blocks(tables)
-        sums = ", ".join([*self.kinds, "_a array<int>, _b array<int>, _best long, _sum long"])
+        sums = ", ".join([*self.kinds, "_a binary, _b binary, _best long, _sum long"])
         last = ", ".join([*self.kinds, *(f"_{n} {'string' if n == 'groups' else 'long'}" for n in NAMES)])
         for k, some in enumerate(blocks):
             block = self.spark.sparkContext.broadcast([r.asDict() for r in tables.where(F.col("_bucket").isin(some)).collect()])

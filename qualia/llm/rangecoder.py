@@ -1,11 +1,15 @@
 """Adaptive context-mixing range coder for blocks of token ids.
 
-Every block starts anew and is coded on its own, so many blocks run side by side: one step
-codes one id of each. Order-2 and order-1 contexts (hashes of the last two ids, the last id)
-each predict an id with a confidence; the two confidences choose a set of adaptive weights
-that mixes three sources: the order-2 prediction, the order-1 prediction, and the block's
-own order-0 frequencies, from which an id not predicted is coded. The range coder keeps 64
-bits and puts out 32 at a time; where a carry could still come, it gives up a part of the range.
+Every block starts anew and is coded on its own, so thousands of blocks run side by side: one
+step codes one id of each. Order-2 and order-1 contexts (hashes of the last two ids, the last id)
+each predict an id with a confidence; the two confidences, and whether both agree, choose a set of adaptive
+weights that mixes three sources: the order-2 prediction, the order-1 prediction, and the block's
+own order-0 frequencies. Those are of the upper and the lower part of an id, so a block's model is small.
+The contexts' cells take in what was coded some steps at a time, the frequencies and weights a longer stretch
+at a time, in the coder and the decoder alike; between these times they are fixed, so all steps of a chunk are modelled at once.
+
+All sums of frequencies are powers of two. The range coder keeps 64 bits and puts out 32 at a time;
+where a carry could still come, it gives up a part of the range.
 """
 
 from __future__ import annotations
@@ -13,102 +17,170 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-BLOCK = 8192
+BLOCK = 2048
 #: Blocks coded side by side.
-LANES = 256
-SLOTS = 1 << 13
-#: Confidence levels, weight gained by the source that was right, and the sum at which weights halve.
-LEVELS, GAIN, MOST = 8, 24, 4096
-#: Order-0 weight of an occurrence beside 1 for each id of the vocabulary.
+LANES = 2048
+#: Steps after which frequencies and weights take in what was coded: soon at first.
+STRETCHES = [32, 96, 128, 256, 512, 512, 512]
+SLOTS = 1 << 9
+#: Confidence levels; bits of the weights' sum.
+LEVELS, MIX = 8, 10
+#: Steps after which the cells take in what was coded.
+CHUNK = 32
+#: Order-0 weight of an occurrence beside 1 for each part.
 COUNT = 32
+#: By confidence, first where the prediction was wrong, then where it was right: what confidence gains, and whether the id seen takes the cell.
+_SURER = np.array([0, 0, *(k // 2 - k for k in range(2, LEVELS)), *[1] * (LEVELS - 1), 0], np.int32)
+_REPLACED = np.array([1, 1] + [0] * (2 * LEVELS - 2), np.int32)
 _32 = U(32)
 _LOW = U(0xFFFFFFFF)
 
 
-def _rebuilt(t: int) -> bool:
-    """Steps before which the order-0 frequencies take in what was coded since."""
-    return t in (32, 64, 128, 256, 512) or (t and t % 1024 == 0)
+def _hash1(x: np.ndarray) -> np.ndarray:
+    return (x * 40503 >> 3) & (SLOTS - 1)
+
+
+def _hash2(x: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """x: the id before the last; h: the last one's hash."""
+    return (x * 25033 + h * 5 >> 2) & (SLOTS - 1)
+
+
+class _Part:
+    """Order-0 frequencies of one part of the ids, for each lane."""
+
+    def __init__(self, lanes: int, size: int, bits: int):
+        self.size, self.bits, self.lanes = size, bits, lanes
+        self.count = np.ones((lanes, size), np.int32)
+        self.base = np.arange(lanes) * size
+        self.slot = np.arange(lanes) << bits
+        self.every = np.arange(1, size + 1, dtype=np.int32)
+
+    def learn(self, k: int, symbols: np.ndarray) -> None:
+        seen = np.bincount((symbols + self.base[:k]).ravel(), minlength=k * self.size)
+        self.count[:k] += (COUNT * seen).reshape(k, self.size).astype(np.int32)
+
+    def settle(self, k: int, search: bool) -> None:
+        """Frequencies that sum to 2**bits, each at least 1, as start and size; search: also the symbol at each place."""
+        up = np.cumsum(self.count[:k], axis=1, dtype=np.int32)
+        spare = (1 << self.bits) - self.size
+        end = (up * (spare / up[:, -1:])).astype(np.int32)
+        end[:, -1] = spare
+        end += self.every
+        start = np.zeros_like(end)
+        start[:, 1:] = end[:, :-1]
+        end -= start
+        end <<= 16
+        end |= start
+        self.packed = end.ravel()
+        if search:
+            kind = np.uint8 if self.size <= 256 else np.uint16
+            mark = np.zeros((k, 1 << self.bits), kind)
+            np.put_along_axis(mark, start[:, 1:], 1, 1)
+            self.symbol = np.cumsum(mark, axis=1, dtype=kind).ravel()
 
 
 class _Model:
     """State of all lanes in flat arrays. An order-1 or order-2 cell is id * LEVELS + confidence."""
 
-    def __init__(self, lanes: int, vocab: int):
-        self.vocab = vocab
-        self.row = np.arange(lanes)
-        self.lanes = lanes
-        self.cell2 = np.zeros(lanes * SLOTS, np.int32)
-        self.cell1 = np.zeros(lanes * SLOTS, np.int32)
-        n = LEVELS * LEVELS * 2
+    def __init__(self, lanes: int, vocab: int, search: bool):
+        bits = max(vocab - 1, 1).bit_length()
+        self.low = (bits + 1) // 2
+        if self.low > 9:
+            raise ValueError("ids of more than 18 bits")
+        self.mask = (1 << self.low) - 1
+        self.part = self.low + 2
+        #: the sum of all frequencies is 2**total
+        self.total = MIX + 2 * self.part
+        self.search = search
+        self.upper = _Part(lanes, ((vocab - 1) >> self.low) + 1, self.part)
+        self.lower = _Part(lanes, 1 << self.low, self.part)
+        row = np.arange(lanes)
+        self.base = row * SLOTS
+        self.cell1, self.cell2 = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
+        n = self.contexts = LEVELS * LEVELS * 2
+        self.base_ctx = row * n
         level = np.arange(n) // 2
-        start = np.stack([4 + 24 * (level // LEVELS), 4 + 12 * (level % LEVELS), np.full(n, 40)])
-        #: source-major: all lanes' weights of order 2, of order 1, of order 0
-        self.weight = np.concatenate([np.tile(x, lanes) for x in start]).astype(np.int32)
-        self.contexts, self.part = n, lanes * n
-        self.count = np.zeros(lanes * vocab, np.uint16)
-        self.cum = np.zeros((lanes, vocab + 1), np.int32)
-        self.flat = self.cum.ravel()
-        self.base_slot, self.base_ctx, self.base_id, self.base_cum = (self.row * x for x in (SLOTS, n, vocab, vocab + 1))
-        self.hash1 = np.zeros(lanes, np.int64)
-        self.hash2 = np.zeros(lanes, np.int64)
-
-    def rebuild(self, k: int) -> None:
-        step = 64  # lanes at a time: small temporaries
-        for a in range(0, k, step):
-            b = min(a + step, k)
-            f = self.count[a * self.vocab:b * self.vocab].reshape(b - a, -1) * np.int32(COUNT)
-            f += 1
-            np.cumsum(f, axis=1, out=self.cum[a:b, 1:])
-        self.total0 = self.cum[:, -1].astype(U)
-
-    def predict(self, k: int):
-        self.s1 = self.base_slot[:k] + self.hash1[:k]
-        self.s2 = self.base_slot[:k] + self.hash2[:k]
-        self.v1, self.v2 = self.cell1.take(self.s1), self.cell2.take(self.s2)
-        self.g1, self.g2 = self.v1 >> 3, self.v2 >> 3
-        self.k1, self.k2 = self.v1 & 7, self.v2 & 7
-        ctx = self.base_ctx[:k] + (((self.k2 << 3) | self.k1) << 1)
-        ctx += self.g2 == self.g1
-        self.ctx = ctx
-        a = self.weight.take(ctx)
-        b = a + self.weight.take(ctx + self.part)
-        return a, b, b + self.weight.take(ctx + 2 * self.part)
-
-    def update(self, k: int, ids: np.ndarray, source: np.ndarray, total: np.ndarray) -> None:
-        w = self.weight
-        at = self.ctx + source * self.part
-        w[at] = w.take(at) + GAIN
-        if total.max() > MOST:
-            c = self.ctx[total > MOST]
-            for x in (c, c + self.part, c + 2 * self.part):
-                w[x] = (w[x] >> 1) | 1
-        fresh = (ids << 3) | 1
-        for slot, v, g, conf, cell in ((self.s2, self.v2, self.g2, self.k2, self.cell2), (self.s1, self.v1, self.g1, self.k1, self.cell1)):
-            kept = np.where(conf < 2, fresh, (g << 3) | (conf >> 1))
-            cell[slot] = np.where(g == ids, v + (conf < LEVELS - 1), kept)
-        at = self.base_id[:k] + ids
-        self.count[at] = self.count.take(at) + np.uint16(1)
-        h = (ids * 40503 >> 3) & (SLOTS - 1)
-        self.hash2[:k] = (self.hash1[:k] * 5 + h * 3) & (SLOTS - 1)
-        self.hash1[:k] = h
-
-    def start_of(self, lanes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order-0 (start, size) of ids."""
-        at = self.base_cum.take(lanes) + ids
-        c = self.flat.take(at)
-        return c, self.flat.take(at + 1) - c
-
-    def find(self, lanes: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """The last id whose order-0 start is not above v."""
-        base = self.base_cum.take(lanes)
-        lo = base
-        step = 1 << (self.vocab.bit_length() - 1)
-        top = base + self.vocab - 1
-        while step:
-            at = np.minimum(lo + step, top)
-            lo = np.where(self.flat.take(at) <= v, at, lo)
-            step >>= 1
-        return lo - base
+        right = np.stack([1 + 6 * (level // LEVELS), 1 + 3 * (level % LEVELS), np.full(n, 10)], 1)
+        self.right = np.tile(right, (lanes, 1)).astype(np.int32)
+        self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.settle(lanes)
+
+    def settle(self, k: int) -> None:
+        self.upper.settle(k, self.search)
+        self.lower.settle(k, self.search)
+        n = k * self.contexts
+        up = np.cumsum(self.right[:n], axis=1)
+        scale = (1 << MIX) - 3
+        a = up[:, 0] * scale // up[:, 2] + 1
+        b = up[:, 1] * scale // up[:, 2] + 2
+        self.mix = (a | b << 16).astype(np.int32)
+
+    def context(self, v1: np.ndarray, v2: np.ndarray, k: int) -> np.ndarray:
+        ctx = ((v2 & 7) << 3 | (v1 & 7)) << 1
+        ctx |= v1 >> 3 == v2 >> 3
+        return ctx + self.base_ctx[:k]
+
+    def look(self, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For a stretch of ids (a row each step): cells of both orders, what they hold, the weights' context, and the source that is right."""
+        k = ids.shape[1]
+        before = np.concatenate([self.last2[None, :k], self.last1[None, :k], ids[:-1]])
+        h = _hash1(before[1:])
+        s1 = h + self.base[:k]
+        s2 = _hash2(before[:-1], h) + self.base[:k]
+        v1, v2 = self.cell1.take(s1), self.cell2.take(s2)
+        ctx = self.context(v1, v2, k)
+        other = (ids != v2 >> 3).view(np.int8)
+        source = other + (other & (ids != v1 >> 3).view(np.int8))
+        return s1, s2, v1, v2, ctx, source
+
+    def intervals(self, ids: np.ndarray, ctx: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, size) of each id's share of 2**total."""
+        k, p = ids.shape[1], self.part
+        mix = self.mix.take(ctx).astype(np.int64)
+        a, b = mix & 0xFFFF, mix >> 16
+        high = self.upper.packed.take((ids >> self.low) + self.upper.base[:k]).astype(np.int64)
+        low = self.lower.packed.take((ids & self.mask) + self.lower.base[:k]).astype(np.int64)
+        rest, size = (1 << MIX) - b, high >> 16
+        start = (b << 2 * p) + rest * (((high & 0xFFFF) << p) + size * (low & 0xFFFF))
+        size = rest * size * (low >> 16)
+        lit, second = source >> 1, (source > 0).view(np.int8)
+        known = second * a << 2 * p
+        start = known + lit * (start - known)
+        known = a + second * (b - 2 * a) << 2 * p
+        return start.view(U), (known + lit * (size - known)).view(U)
+
+    def learn(self, ids: np.ndarray, s1: np.ndarray, s2: np.ndarray, v1: np.ndarray, v2: np.ndarray) -> None:
+        """The cells take in some steps. Of cells met several times in them the last one counts."""
+        k = ids.shape[1]
+        fresh = (ids << 3 | 1).astype(np.int32)
+        for slot, v, cell in ((s2, v2, self.cell2), (s1, v1, self.cell1)):
+            case = v & 7
+            case |= ((fresh ^ v) >> 3 == 0).astype(np.int32) << 3
+            new = v + _SURER.take(case)
+            new += _REPLACED.take(case) * (fresh - new)
+            cell[slot.ravel()] = new.ravel()
+        self.last2[:k] = ids[-2] if len(ids) > 1 else self.last1[:k]
+        self.last1[:k] = ids[-1]
+
+    def count(self, ids: np.ndarray, right: np.ndarray) -> None:
+        """Frequencies and weights take in a stretch. right: context * 3 + the source that was right."""
+        k = ids.shape[1]
+        n = k * self.contexts
+        self.right[:n] += (4 * np.bincount(right.ravel(), minlength=3 * n)).reshape(n, 3).astype(np.int32)
+        self.upper.learn(k, ids >> self.low)
+        self.lower.learn(k, ids & self.mask)
+        self.settle(k)
+
+
+def _stretches(n: int, last: int):
+    """(first step, steps, whether the last, short lane is still in it): no stretch goes beyond that lane's end."""
+    at = 0
+    for size in STRETCHES:
+        end = min(at + size, n)
+        for a, b in ((at, min(end, last)), (max(at, last), end)):
+            if a < b:
+                yield a, b - a, a < last
+        at += size
 
 
 def _lens(n: int) -> np.ndarray:
@@ -126,46 +198,42 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
     padded = np.zeros(lanes * BLOCK, np.int64)
     padded[:len(ids)] = ids
     grid = np.ascontiguousarray(padded.reshape(lanes, BLOCK).T)
-    m = _Model(lanes, vocab)
+    m = _Model(lanes, vocab, False)
+    bits = U(m.total)
     low, rng = np.zeros(lanes, U), np.full(lanes, U(2**64 - 1))
-    out = np.zeros((lanes, BLOCK + 16), np.uint32)
-    pos = np.zeros(lanes, np.int64)
-
-    def narrow(at: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
-        l, r = low[at], rng[at]
-        r //= total.astype(U)
-        l += start.astype(U) * r
-        r *= size.astype(U)
-        cut = np.flatnonzero(r <= _LOW)
-        if len(cut):
-            cl, cr = l[cut], r[cut]
-            open_ = (cl >> _32) != ((cl + cr - U(1)) >> _32)
-            cr[open_] = U(0) - cl[open_] & _LOW
-            lane = at[cut]
-            out[lane, pos[lane]] = (cl >> _32).astype(np.uint32)
-            pos[lane] += 1
-            l[cut], r[cut] = cl << _32, cr << _32
-        low[at], rng[at] = l, r
-
+    width = 2 * BLOCK + 16
+    out = np.zeros(lanes * width, np.uint32)
+    pos = np.arange(lanes) * width
     with np.errstate(over="ignore"):
-        m.rebuild(lanes)
-        for t in range(int(lens[0])):
-            k = lanes if t < lens[-1] else lanes - 1
-            if _rebuilt(t):
-                m.rebuild(k)
-            x = grid[t, :k]
-            a, b, total = m.predict(k)
-            source = np.where(x == m.g2, 0, np.where(x == m.g1, 1, 2))
-            start = np.where(source == 0, 0, np.where(source == 1, a, b))
-            narrow(m.row[:k], start, m.weight.take(m.ctx + source * m.part), total)
-            lit = np.flatnonzero(source == 2)
-            if len(lit):
-                c, size = m.start_of(lit, x[lit])
-                narrow(lit, c, size, m.total0[lit])
-            m.update(k, x, source, total)
-    out[m.row, pos] = (low >> _32).astype(np.uint32)
-    out[m.row, pos + 1] = (low & _LOW).astype(np.uint32)
-    return [out[i, :n + 2].astype("<u4").tobytes() for i, n in enumerate(pos.tolist())]
+        for at, steps, all_ in _stretches(int(lens[0]), int(lens[-1])):
+            k = lanes if all_ else lanes - 1
+            l, g, p = low[:k], rng[:k], pos[:k]
+            right = np.empty((steps, k), np.int64)
+            for t in range(steps):
+                if t % CHUNK == 0:
+                    part = grid[at + t:at + min(t + CHUNK, steps), :k]
+                    *seen, ctx, source = m.look(part)
+                    start, size = m.intervals(part, ctx, source)
+                    right[t:t + CHUNK] = ctx * 3 + source
+                    m.learn(part, *seen)
+                g >>= bits
+                l += start[t % CHUNK] * g
+                g *= size[t % CHUNK]
+                cut = np.flatnonzero(g <= _LOW)
+                if len(cut):
+                    cl, cr = l[cut], g[cut]
+                    top = cl >> _32
+                    open_ = np.flatnonzero(top != (cl + cr - U(1)) >> _32)
+                    if len(open_):
+                        cr[open_] = U(0) - cl[open_] & _LOW
+                    at_ = p[cut]
+                    out[at_] = top
+                    p[cut] = at_ + 1
+                    l[cut], g[cut] = cl << _32, cr << _32
+            m.count(grid[at:at + steps, :k], right)
+    out[pos] = low >> _32
+    out[pos + 1] = low & _LOW
+    return [out[i * width:n + 2].astype("<u4").tobytes() for i, n in enumerate(pos.tolist())]
 
 
 def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
@@ -176,51 +244,81 @@ def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
         return np.zeros(0, np.int64)
     if len(codes) != lanes:
         raise ValueError("blocks and ids do not agree")
-    m = _Model(lanes, vocab)
+    m = _Model(lanes, vocab, True)
+    bits, p, low_bits = U(m.total), m.part, m.low
     size = np.array([len(c) // 4 for c in codes])
     words = np.concatenate([np.frombuffer(c, "<u4") for c in codes] + [np.zeros(2, np.uint32)]).astype(U)
     pos = np.cumsum(size) - size
-    code = (words[pos] << _32) | words[pos + 1]
+    left = (words[pos] << _32) | words[pos + 1]  # the code less the coder's low end
     pos += 2
     low, rng = np.zeros(lanes, U), np.full(lanes, U(2**64 - 1))
     grid = np.zeros((BLOCK, lanes), np.int64)
-
-    def renew(at: np.ndarray, l: np.ndarray, r: np.ndarray) -> None:
-        cut = np.flatnonzero(r <= _LOW)
-        if len(cut):
-            cl, cr = l[cut], r[cut]
-            open_ = (cl >> _32) != ((cl + cr - U(1)) >> _32)
-            cr[open_] = U(0) - cl[open_] & _LOW
-            lane = at[cut]
-            code[lane] = (code[lane] << _32) | words[pos[lane]]
-            pos[lane] += 1
-            l[cut], r[cut] = cl << _32, cr << _32
-        low[at], rng[at] = l, r
-
     with np.errstate(over="ignore"):
-        m.rebuild(lanes)
-        for t in range(int(lens[0])):
-            k = lanes if t < lens[-1] else lanes - 1
-            if _rebuilt(t):
-                m.rebuild(k)
-            a, b, total = m.predict(k)
-            l = low[:k]
-            r = rng[:k] // total.astype(U)
-            v = ((code[:k] - l) // r).astype(np.int64)
-            source = (v >= a).astype(np.int64)
-            source += v >= b
-            start = np.where(source == 0, 0, np.where(source == 1, a, b))
-            renew(m.row[:k], l + start.astype(U) * r, r * m.weight.take(m.ctx + source * m.part).astype(U))
-            x = np.where(source == 0, m.g2, m.g1).astype(np.int64)
-            lit = np.flatnonzero(source == 2)
-            if len(lit):
-                l = low[lit]
-                r = rng[lit] // m.total0[lit]
-                v = ((code[lit] - l) // r).astype(np.int32)
-                got = m.find(lit, v)
-                c, size = m.start_of(lit, got)
-                renew(lit, l + c.astype(U) * r, r * size.astype(U))
-                x[lit] = got
-            grid[t, :k] = x
-            m.update(k, x, source, total)
+        for at, steps, all_ in _stretches(int(lens[0]), int(lens[-1])):
+            k = lanes if all_ else lanes - 1
+            c, l, g, w = left[:k], low[:k], rng[:k], pos[:k]
+            x1, x2 = m.last1[:k], m.last2[:k]
+            base, up_base, up_slot, lo_base, lo_slot = m.base[:k], m.upper.base[:k], m.upper.slot[:k], m.lower.base[:k], m.lower.slot[:k]
+            part = grid[at:at + steps, :k]
+            seen = [np.empty((CHUNK, k), kind) for kind in (np.int64, np.int64, np.int32, np.int32)]
+            right = np.empty((steps, k), np.int64)
+            for t in range(steps):
+                h = _hash1(x1)
+                s1, s2 = h + base, _hash2(x2, h) + base
+                v1, v2 = m.cell1.take(s1), m.cell2.take(s2)
+                ctx = m.context(v1, v2, k)
+                mix = m.mix.take(ctx).astype(np.int64)
+                a, b = mix & 0xFFFF, mix >> 16
+                g >>= bits
+                v = (c // g).view(np.int64)
+                top = v >> 2 * p
+                lit, second = (top >= b).view(np.int8), (top >= a).view(np.int8)
+                right[t] = ctx * 3 + (lit + second)
+                for to, x in zip(seen, (s1, s2, v1, v2)):
+                    to[t % CHUNK] = x
+                # an id of its own parts: the place left over, divided by the weights before
+                rest = (1 << MIX) - b
+                v -= b << 2 * p
+                np.maximum(v, 0, out=v)
+                v = ((v + 0.5) / rest).astype(np.int64)
+                high = m.upper.symbol.take((v >> p) + up_slot).astype(np.int64)
+                f = m.upper.packed.take(high + up_base).astype(np.int64)
+                start, f = (f & 0xFFFF) << p, f >> 16
+                v -= start
+                v = ((v + 0.5) / f).astype(np.int64)
+                lower = m.lower.symbol.take(v + lo_slot).astype(np.int64)
+                e = m.lower.packed.take(lower + lo_base).astype(np.int64)
+                start += f * (e & 0xFFFF)
+                start *= rest
+                start += b << 2 * p
+                f *= e >> 16
+                f *= rest
+                ids = (v2 + second * (v1 - v2)) >> 3
+                ids = ids + lit * ((high << low_bits | lower) - ids)
+                known = second * a
+                known <<= 2 * p
+                start = (known + lit * (start - known)).view(U)
+                known = a + second * (b - 2 * a)
+                known <<= 2 * p
+                f = (known + lit * (f - known)).view(U)
+                start *= g
+                c -= start
+                l += start
+                g *= f
+                cut = np.flatnonzero(g <= _LOW)
+                if len(cut):
+                    cl, cr = l[cut], g[cut]
+                    open_ = np.flatnonzero(cl >> _32 != (cl + cr - U(1)) >> _32)
+                    if len(open_):
+                        cr[open_] = U(0) - cl[open_] & _LOW
+                    at_ = w[cut]
+                    c[cut] = c[cut] << _32 | words[at_]
+                    w[cut] = at_ + 1
+                    l[cut], g[cut] = cl << _32, cr << _32
+                part[t] = ids
+                x2, x1 = x1, ids
+                if t % CHUNK == CHUNK - 1 or t == steps - 1:
+                    some = t % CHUNK + 1
+                    m.learn(part[t + 1 - some:t + 1], *(x[:some] for x in seen))
+            m.count(part, right)
     return grid.T.ravel()[:n] if lens[-1] == BLOCK else np.concatenate([grid[:, :-1].T.ravel(), grid[:lens[-1], -1]])

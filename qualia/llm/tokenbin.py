@@ -2,7 +2,7 @@
 
 A file holds a range of documents in ascending id order. It is a row of frames, each
 ``magic, kind, items, payload bytes, crc32 of payload, crc32 of ids, payload, line feed``
-(little-endian). Frames of kind B are blocks of up to 8192 ids, coded each on its own
+(little-endian). Frames of kind B are blocks of up to 2048 ids, coded each on its own
 (rangecoder.py) and checked by both sums; frames of kind I list documents: id, whether
 it is null, and how many ids it has. A document's ids follow the ids of the one before it.
 
@@ -26,10 +26,10 @@ from qualia.llm import rangecoder as rc
 from qualia.llm.binfiles import read_files, write_records
 from qualia.llm.shared import fresh_path, ship, staged
 
-MAGIC = b"QTB1"
+MAGIC = b"QTB2"
 HEAD = struct.Struct("<4scIIII")
-#: Bytes of text in a file, about.
-FILE_BYTES = 5 << 20
+#: Bytes of text in a file, about: at most, and at least where there would be too few files for the session's cores.
+FILE_BYTES, LEAST_BYTES = 32 << 20, 4 << 20
 INDEX_ROWS = 1 << 16
 
 
@@ -67,11 +67,10 @@ def _writer(tokenizer: str, end_id: int):
                 sizes.append(size)
                 held.append(full)
                 n += len(full)
-                if n >= group:
+                while 2 * n >= 3 * group:  # what is left at the end is neither a few blocks nor more than one and a half groups
                     ids = np.concatenate(held)
-                    for a in range(0, n - group + 1, group):
-                        yield out(list(_blocks(ids[a:a + group], vocab)))
-                    held, n = [ids[n - n % group:]], n % group
+                    yield out(list(_blocks(ids[:group], vocab)))
+                    held, n = [ids[group:]], n - group
         if n:
             yield out(list(_blocks(np.concatenate(held), vocab)))
         if names:
@@ -98,9 +97,7 @@ def frames(content: memoryview) -> Iterator[tuple[bytes, int, memoryview, int]]:
 
 def file_ids(content: memoryview, vocab: int) -> Iterator[np.ndarray]:
     """All ids of a file, some blocks at a time; checks every block's ids."""
-    some: list = []
-
-    def decoded() -> np.ndarray:
+    def decoded(some: list) -> np.ndarray:
         ids = rc.decode([bytes(p) for _, p, _ in some], sum(n for n, _, _ in some), vocab)
         at = 0
         for n, _, check in some:
@@ -109,14 +106,13 @@ def file_ids(content: memoryview, vocab: int) -> Iterator[np.ndarray]:
             at += n
         return ids
 
-    for kind, items, payload, check in frames(content):
-        if kind == b"B":
-            some.append((items, payload, check))
-            if len(some) == rc.LANES or items < rc.BLOCK:
-                yield decoded()
-                some = []
-    if some:
-        yield decoded()
+    every = [(items, payload, check) for kind, items, payload, check in frames(content) if kind == b"B"]
+    short = [k + 1 for k, (items, *_) in enumerate(every) if items < rc.BLOCK]  # only the last of those decoded together can be short
+    for lo, hi in zip([0, *short], [*short, len(every)]):
+        parts = max(round((hi - lo) / rc.LANES), 1)
+        for k in range(parts):  # groups of like size
+            if hi > lo:
+                yield decoded(every[lo + (hi - lo) * k // parts:lo + (hi - lo) * (k + 1) // parts])
 
 
 def _reader(vocab: int):
@@ -161,7 +157,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "d
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(total // file_bytes) + 1
+    n = int(max(total // file_bytes, min(total // LEAST_BYTES, 2 * docs.sparkSession.sparkContext.defaultParallelism))) + 1
     tie = F.xxhash64("text")
     rows = docs.repartitionByRange(n, F.col("id").asc_nulls_first(), tie).sortWithinPartitions(F.col("id").asc_nulls_first(), tie)
     write_records(rows.mapInArrow(_writer(tokenizer, end_id), "frame binary"), "frame", path)

@@ -1,8 +1,8 @@
 """Exact encoding of texts with a byte-level BPE file of the tokenizers library.
 
-The file's own split rule never joins a single space to the word before it, so a text is
-cut before such spaces (and around single line feeds), each different piece is encoded
-once by the library, and the ids are put together from the pieces. Texts that hold one of
+The file's own split rule never joins a single space to the word before it, nor ASCII letters, digits and
+signs other than the apostrophe to each other, so a text is cut there (and around single line feeds), each different piece is encoded
+once by the library, and the ids are put together from the pieces. Pieces of letters alone need no split rule and go to the library's model at once. Texts that hold one of
 the file's special strings, and files with another split rule, are encoded whole.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,17 @@ _MAYBE_SPACE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 #: Last bytes of those forms may be any continuation byte.
 _MAYBE_SPACE_END = _SPACE.copy()
 _MAYBE_SPACE_END[0x80:0xC0] = True
+#: ASCII letters, digits, and signs but for the apostrophe, which may begin a short form; 0: all else.
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127] = 3
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[48:58] = 2
+_KIND[39] = 0
+#: The letter that byte-level files write for each byte, by code point of that byte in Latin-1.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: chr(b) for b in _OWN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _OWN)}
+#: Letters up to this one are surely letters to the library too.
+_LAST_LETTER = "ɏ"
 
 
 def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -44,6 +56,8 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     after[1:] = feed[:-1]
     start |= feed
     start |= after
+    kind = _KIND[data]
+    start[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] != 0) & (kind[:-1] != 0)
     start[off[:-1][np.diff(off) > 0]] = True
     return np.flatnonzero(start)
 
@@ -52,6 +66,7 @@ class Encoder:
     """Ids of Arrow text columns. One for each worker process and file."""
 
     cuts = staticmethod(cuts)
+    remembered = REMEMBERED
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -87,7 +102,7 @@ class Encoder:
 
     def _learn(self, h: np.ndarray, texts: list[str]) -> None:
         """Distinct new hashes and their pieces."""
-        if self.count + len(h) > REMEMBERED:
+        if self.count + len(h) > self.remembered:
             self._forget()
         while 2 * (self.count + len(h)) > self.slots:
             old = np.flatnonzero(self.key)
@@ -104,12 +119,19 @@ class Encoder:
         self.count += len(h)
 
     def _by_library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in order, and how many each has. Texts without inner white space
+        """All ids of the texts in order, and how many each has. Texts of letters go to the model. Others without inner white space
         are encoded many at a time, parted by line feeds, which are ids of their own there."""
-        feed = self.lib.encode("\n", add_special_tokens=False).ids
-        plain = [bool(s := t.removeprefix(" ")) and s.split() == [s] and len(feed) == 1 for t in texts]
         parts: list = [None] * len(texts)
-        at = [i for i, p in enumerate(plain) if p]
+        if self.by_piece:
+            tokenize = self.lib.model.tokenize
+            for i, t in enumerate(texts):
+                if (t[1:] if t[0] == " " else t).isalpha():
+                    if t.isascii():
+                        parts[i] = [x.id for x in tokenize(t.replace(" ", BYTE_LETTERS[32]))]
+                    elif max(t) <= _LAST_LETTER:
+                        parts[i] = [x.id for x in tokenize(t.encode().decode("latin-1").translate(BYTE_LETTERS))]
+        feed = self.lib.encode("\n", add_special_tokens=False).ids
+        at = [i for i, t in enumerate(texts) if parts[i] is None and bool(s := t.removeprefix(" ")) and s.split() == [s] and len(feed) == 1]
         for lo in range(0, len(at), 20000):
             some = at[lo:lo + 20000]
             lines = ["\n".join(texts[i] for i in some[k:k + 256]) for k in range(0, len(some), 256)]
@@ -118,11 +140,12 @@ class Encoder:
             ends = np.flatnonzero(flat == feed[0])
             if len(ends) == len(some):
                 for i, a, b in zip(some, np.concatenate([[0], ends[:-1] + 1]).tolist(), ends.tolist()):
-                    parts[i] = flat[a:b]
+                    parts[i] = flat[a:b].tolist()
         rest = [i for i, p in enumerate(parts) if p is None]
         for i, e in zip(rest, self.lib.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
-            parts[i] = np.array(e.ids, np.int32)
-        return np.concatenate(parts), np.fromiter(map(len, parts), np.int32, len(parts))
+            parts[i] = e.ids
+        size = np.fromiter(map(len, parts), np.int32, len(parts))
+        return np.fromiter(chain.from_iterable(parts), np.int32, int(size.sum())), size
 
     def _put(self, h: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
         todo = np.arange(len(h))
@@ -138,7 +161,7 @@ class Encoder:
         end = np.append(start[1:], len(data))
         h = span_hashes(data, start, end, None) | np.uint64(1)
         raw = data.tobytes()
-        run = max(REMEMBERED // 2, 1)  # pieces of a run always fit together, so a run is learned in two turns at most
+        run = max(self.remembered // 2, 1)  # pieces of a run always fit together, so a run is learned in two turns at most
         found, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for lo in range(0, len(h), run):
             part = h[lo:lo + run]

@@ -26,7 +26,7 @@ def tokens(text):
     lib = Tokenizer.from_file(A)
     lib.encode_special_tokens = True
     piece = sentencepiece.SentencePieceProcessor(model_file=B)
-    letters = align.byte_letters()
+    letters = {c: b for b, c in align.BYTE_LETTERS.items()}
     a, b = lib.encode(" " + text, add_special_tokens=False).ids, piece.encode(text)
     raw_b = [bytes([int(piece.id_to_piece(i)[3:5], 16)]) if piece.is_byte(i) else piece.id_to_piece(i).replace("▁", " ").encode() for i in b]
     return a, [bytes(letters[c] for c in lib.id_to_token(i)) for i in a], b, raw_b
