@@ -55,13 +55,13 @@ class _Part:
         self.slot = np.arange(lanes) << bits
         self.every = np.arange(1, size + 1, dtype=np.int32)
 
-    def learn(self, k: int, symbols: np.ndarray) -> None:
-        seen = np.bincount((symbols + self.base[:k]).ravel(), minlength=k * self.size)
-        self.count[:k] += (COUNT * seen).reshape(k, self.size).astype(np.int32)
+    def learn(self, symbols: np.ndarray) -> None:
+        seen = np.bincount((symbols + self.base).ravel(), minlength=self.count.size)
+        self.count += (COUNT * seen).reshape(self.count.shape).astype(np.int32)
 
-    def settle(self, k: int, search: bool) -> None:
+    def settle(self, search: bool) -> None:
         """Frequencies that sum to 2**bits, each at least 1, as start and size; search: also the symbol at each place."""
-        up = np.cumsum(self.count[:k], axis=1, dtype=np.int32)
+        up = np.cumsum(self.count, axis=1, dtype=np.int32)
         spare = (1 << self.bits) - self.size
         end = (up * (spare / up[:, -1:])).astype(np.int32)
         end[:, -1] = spare
@@ -74,7 +74,7 @@ class _Part:
         self.packed = end.ravel()
         if search:
             kind = np.uint8 if self.size <= 256 else np.uint16
-            mark = np.zeros((k, 1 << self.bits), kind)
+            mark = np.zeros((self.lanes, 1 << self.bits), kind)
             np.put_along_axis(mark, start[:, 1:], 1, 1)
             self.symbol = np.cumsum(mark, axis=1, dtype=kind).ravel()
 
@@ -103,43 +103,41 @@ class _Model:
         right = np.stack([1 + 6 * (level // LEVELS), 1 + 3 * (level % LEVELS), np.full(n, 10)], 1)
         self.right = np.tile(right, (lanes, 1)).astype(np.int32)
         self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.settle(lanes)
+        self.settle()
 
-    def settle(self, k: int) -> None:
-        self.upper.settle(k, self.search)
-        self.lower.settle(k, self.search)
-        n = k * self.contexts
-        up = np.cumsum(self.right[:n], axis=1)
+    def settle(self) -> None:
+        self.upper.settle(self.search)
+        self.lower.settle(self.search)
+        up = np.cumsum(self.right, axis=1)
         scale = (1 << MIX) - 3
         a = up[:, 0] * scale // up[:, 2] + 1
         b = up[:, 1] * scale // up[:, 2] + 2
         self.mix = (a | b << 16).astype(np.int32)
 
-    def context(self, v1: np.ndarray, v2: np.ndarray, k: int) -> np.ndarray:
+    def context(self, v1: np.ndarray, v2: np.ndarray) -> np.ndarray:
         ctx = ((v2 & 7) << 3 | (v1 & 7)) << 1
         ctx |= v1 >> 3 == v2 >> 3
-        return ctx + self.base_ctx[:k]
+        return ctx + self.base_ctx
 
     def look(self, ids: np.ndarray) -> tuple[np.ndarray, ...]:
         """For a stretch of ids (a row each step): cells of both orders, what they hold, the weights' context, and the source that is right."""
-        k = ids.shape[1]
-        before = np.concatenate([self.last2[None, :k], self.last1[None, :k], ids[:-1]])
+        before = np.concatenate([self.last2[None], self.last1[None], ids[:-1]])
         h = _hash1(before[1:])
-        s1 = h + self.base[:k]
-        s2 = _hash2(before[:-1], h) + self.base[:k]
+        s1 = h + self.base
+        s2 = _hash2(before[:-1], h) + self.base
         v1, v2 = self.cell1.take(s1), self.cell2.take(s2)
-        ctx = self.context(v1, v2, k)
+        ctx = self.context(v1, v2)
         other = (ids != v2 >> 3).view(np.int8)
         source = other + (other & (ids != v1 >> 3).view(np.int8))
         return s1, s2, v1, v2, ctx, source
 
     def intervals(self, ids: np.ndarray, ctx: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, size) of each id's share of 2**total."""
-        k, p = ids.shape[1], self.part
+        p = self.part
         mix = self.mix.take(ctx).astype(np.int64)
         a, b = mix & 0xFFFF, mix >> 16
-        high = self.upper.packed.take((ids >> self.low) + self.upper.base[:k]).astype(np.int64)
-        low = self.lower.packed.take((ids & self.mask) + self.lower.base[:k]).astype(np.int64)
+        high = self.upper.packed.take((ids >> self.low) + self.upper.base).astype(np.int64)
+        low = self.lower.packed.take((ids & self.mask) + self.lower.base).astype(np.int64)
         rest, size = (1 << MIX) - b, high >> 16
         start = (b << 2 * p) + rest * (((high & 0xFFFF) << p) + size * (low & 0xFFFF))
         size = rest * size * (low >> 16)
@@ -151,7 +149,6 @@ class _Model:
 
     def learn(self, ids: np.ndarray, s1: np.ndarray, s2: np.ndarray, v1: np.ndarray, v2: np.ndarray) -> None:
         """The cells take in some steps. Of cells met several times in them the last one counts."""
-        k = ids.shape[1]
         fresh = (ids << 3 | 1).astype(np.int32)
         for slot, v, cell in ((s2, v2, self.cell2), (s1, v1, self.cell1)):
             case = v & 7
@@ -159,40 +156,28 @@ class _Model:
             new = v + _SURER.take(case)
             new += _REPLACED.take(case) * (fresh - new)
             cell[slot.ravel()] = new.ravel()
-        self.last2[:k] = ids[-2] if len(ids) > 1 else self.last1[:k]
-        self.last1[:k] = ids[-1]
+        self.last2, self.last1 = (ids[-2] if len(ids) > 1 else self.last1).copy(), ids[-1].copy()
 
     def count(self, ids: np.ndarray, right: np.ndarray) -> None:
         """Frequencies and weights take in a stretch. right: context * 3 + the source that was right."""
-        k = ids.shape[1]
-        n = k * self.contexts
-        self.right[:n] += (4 * np.bincount(right.ravel(), minlength=3 * n)).reshape(n, 3).astype(np.int32)
-        self.upper.learn(k, ids >> self.low)
-        self.lower.learn(k, ids & self.mask)
-        self.settle(k)
+        self.right += (4 * np.bincount(right.ravel(), minlength=self.right.size)).reshape(self.right.shape).astype(np.int32)
+        self.upper.learn(ids >> self.low)
+        self.lower.learn(ids & self.mask)
+        self.settle()
 
 
-def _stretches(n: int, last: int):
-    """(first step, steps, whether the last, short lane is still in it): no stretch goes beyond that lane's end."""
+def _stretches():
+    """(first step, steps) of each stretch. A short block is coded with zeros behind it, so that a block's code does not
+    depend on those beside it."""
     at = 0
-    for size in STRETCHES:
-        end = min(at + size, n)
-        for a, b in ((at, min(end, last)), (max(at, last), end)):
-            if a < b:
-                yield a, b - a, a < last
-        at += size
-
-
-def _lens(n: int) -> np.ndarray:
-    """Block sizes of n ids, longest first (only the last can be short)."""
-    full, rest = divmod(n, BLOCK)
-    return np.array([BLOCK] * full + [rest] * (rest > 0), np.int64)
+    for steps in STRETCHES:
+        yield at, steps
+        at += steps
 
 
 def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
-    """The code of each block of up to BLOCK ids; at most LANES blocks."""
-    lens = _lens(len(ids))
-    lanes = len(lens)
+    """The code of each block of up to BLOCK ids."""
+    lanes = -(-len(ids) // BLOCK)
     if not lanes:
         return []
     padded = np.zeros(lanes * BLOCK, np.int64)
@@ -205,13 +190,12 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
     out = np.zeros(lanes * width, np.uint32)
     pos = np.arange(lanes) * width
     with np.errstate(over="ignore"):
-        for at, steps, all_ in _stretches(int(lens[0]), int(lens[-1])):
-            k = lanes if all_ else lanes - 1
-            l, g, p = low[:k], rng[:k], pos[:k]
-            right = np.empty((steps, k), np.int64)
+        l, g, p = low, rng, pos
+        for at, steps in _stretches():
+            right = np.empty((steps, lanes), np.int64)
             for t in range(steps):
                 if t % CHUNK == 0:
-                    part = grid[at + t:at + min(t + CHUNK, steps), :k]
+                    part = grid[at + t:at + min(t + CHUNK, steps)]
                     *seen, ctx, source = m.look(part)
                     start, size = m.intervals(part, ctx, source)
                     right[t:t + CHUNK] = ctx * 3 + source
@@ -230,7 +214,7 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
                     out[at_] = top
                     p[cut] = at_ + 1
                     l[cut], g[cut] = cl << _32, cr << _32
-            m.count(grid[at:at + steps, :k], right)
+            m.count(grid[at:at + steps], right)
     out[pos] = low >> _32
     out[pos + 1] = low & _LOW
     return [out[i * width:n + 2].astype("<u4").tobytes() for i, n in enumerate(pos.tolist())]
@@ -238,8 +222,7 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
 
 def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
     """The n ids of consecutive blocks."""
-    lens = _lens(n)
-    lanes = len(lens)
+    lanes = -(-n // BLOCK)
     if not lanes:
         return np.zeros(0, np.int64)
     if len(codes) != lanes:
@@ -254,19 +237,18 @@ def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
     low, rng = np.zeros(lanes, U), np.full(lanes, U(2**64 - 1))
     grid = np.zeros((BLOCK, lanes), np.int64)
     with np.errstate(over="ignore"):
-        for at, steps, all_ in _stretches(int(lens[0]), int(lens[-1])):
-            k = lanes if all_ else lanes - 1
-            c, l, g, w = left[:k], low[:k], rng[:k], pos[:k]
-            x1, x2 = m.last1[:k], m.last2[:k]
-            base, up_base, up_slot, lo_base, lo_slot = m.base[:k], m.upper.base[:k], m.upper.slot[:k], m.lower.base[:k], m.lower.slot[:k]
-            part = grid[at:at + steps, :k]
-            seen = [np.empty((CHUNK, k), kind) for kind in (np.int64, np.int64, np.int32, np.int32)]
-            right = np.empty((steps, k), np.int64)
+        c, l, g, w = left, low, rng, pos
+        base, up_base, up_slot, lo_base, lo_slot = m.base, m.upper.base, m.upper.slot, m.lower.base, m.lower.slot
+        seen = [np.empty((CHUNK, lanes), kind) for kind in (np.int64, np.int64, np.int32, np.int32)]
+        x1, x2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        for at, steps in _stretches():
+            part = grid[at:at + steps]
+            right = np.empty((steps, lanes), np.int64)
             for t in range(steps):
                 h = _hash1(x1)
                 s1, s2 = h + base, _hash2(x2, h) + base
                 v1, v2 = m.cell1.take(s1), m.cell2.take(s2)
-                ctx = m.context(v1, v2, k)
+                ctx = m.context(v1, v2)
                 mix = m.mix.take(ctx).astype(np.int64)
                 a, b = mix & 0xFFFF, mix >> 16
                 g >>= bits
@@ -321,4 +303,4 @@ def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
                     some = t % CHUNK + 1
                     m.learn(part[t + 1 - some:t + 1], *(x[:some] for x in seen))
             m.count(part, right)
-    return grid.T.ravel()[:n] if lens[-1] == BLOCK else np.concatenate([grid[:, :-1].T.ravel(), grid[:lens[-1], -1]])
+    return grid.T.ravel()[:n]

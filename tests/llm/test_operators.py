@@ -133,6 +133,14 @@ def test_range_coder_of_other_vocabularies(vocab):
         rangecoder.encode(ids, (1 << 18) + 1)
 
 
+def test_blocks_are_coded_alike_whatever_is_beside_them():
+    ids = np.random.default_rng(1).zipf(1.3, 40 * 2048 + 700) % 50257
+    together = rangecoder.encode(ids, 50257)
+    assert together == [c for k in range(41) for c in rangecoder.encode(ids[k * 2048:(k + 1) * 2048], 50257)]
+    assert (rangecoder.decode(together[7:], len(ids) - 7 * 2048, 50257) == ids[7 * 2048:]).all()
+    assert (rangecoder.decode(together[:9], 9 * 2048, 50257) == ids[:9 * 2048]).all()
+
+
 def test_range_coder_learns():
     ids = np.random.default_rng(0).zipf(1.2, 200_000) % 3000
     assert sum(map(len, rangecoder.encode(ids, 50257))) < 1.5 * len(ids)
