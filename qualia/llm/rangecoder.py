@@ -32,6 +32,7 @@ COUNT = 32
 #: By confidence, first where the prediction was wrong, then where it was right: what confidence gains, and whether the id seen takes the cell.
 _SURER = np.array([0, 0, *(k // 2 - k for k in range(2, LEVELS)), *[1] * (LEVELS - 1), 0], np.int32)
 _REPLACED = np.array([1, 1] + [0] * (2 * LEVELS - 2), np.int32)
+_TEN = 1023
 _32 = U(32)
 _LOW = U(0xFFFFFFFF)
 
@@ -46,37 +47,42 @@ def _hash2(x: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 class _Part:
-    """Order-0 frequencies of one part of the ids, for each lane."""
+    """Order-0 frequencies of one part of the ids, for each lane: all sum to 2**bits, each is at least 1. An entry holds
+    start, size and symbol in ten bits each; entries are found by symbol, and by place if ``search``."""
 
-    def __init__(self, lanes: int, size: int, bits: int):
+    def __init__(self, lanes: int, size: int, bits: int, search: bool):
         self.size, self.bits, self.lanes = size, bits, lanes
         self.count = np.ones((lanes, size), np.int32)
         self.base = np.arange(lanes) * size
         self.slot = np.arange(lanes) << bits
         self.every = np.arange(1, size + 1, dtype=np.int32)
+        self.up, self.scaled = np.empty((lanes, size), np.int32), np.empty((lanes, size))
+        self.entry = np.empty((lanes, size), np.int32)
+        self.place = np.empty((lanes, 1 << bits), np.int32) if search else None
 
     def learn(self, symbols: np.ndarray) -> None:
         seen = np.bincount((symbols + self.base).ravel(), minlength=self.count.size)
         self.count += (COUNT * seen).reshape(self.count.shape).astype(np.int32)
 
-    def settle(self, search: bool) -> None:
-        """Frequencies that sum to 2**bits, each at least 1, as start and size; search: also the symbol at each place."""
-        up = np.cumsum(self.count, axis=1, dtype=np.int32)
-        spare = (1 << self.bits) - self.size
-        end = (up * (spare / up[:, -1:])).astype(np.int32)
+    def settle(self) -> None:
+        up, spare = np.cumsum(self.count, axis=1, dtype=np.int32, out=self.up), (1 << self.bits) - self.size
+        end = self.entry
+        end[:] = np.multiply(up, spare / up[:, -1:], out=self.scaled)
         end[:, -1] = spare
         end += self.every
-        start = np.zeros_like(end)
+        start = up
+        start[:, 0] = 0
         start[:, 1:] = end[:, :-1]
-        end -= start
-        end <<= 16
+        end -= start  # sizes
+        end <<= 10
         end |= start
-        self.packed = end.ravel()
-        if search:
-            kind = np.uint8 if self.size <= 256 else np.uint16
-            mark = np.zeros((self.lanes, 1 << self.bits), kind)
-            np.put_along_axis(mark, start[:, 1:], 1, 1)
-            self.symbol = np.cumsum(mark, axis=1, dtype=kind).ravel()
+        end <<= 10
+        end += self.every - 1
+        if self.place is not None:
+            self.place[:] = 0
+            step = np.diff(end, axis=1, prepend=np.int32(0))
+            np.put_along_axis(self.place, start, step, 1)
+            np.cumsum(self.place, axis=1, dtype=np.int32, out=self.place)
 
 
 class _Model:
@@ -85,15 +91,14 @@ class _Model:
     def __init__(self, lanes: int, vocab: int, search: bool):
         bits = max(vocab - 1, 1).bit_length()
         self.low = (bits + 1) // 2
-        if self.low > 9:
-            raise ValueError("ids of more than 18 bits")
+        if self.low > 8:
+            raise ValueError("ids of more than 16 bits")
         self.mask = (1 << self.low) - 1
         self.part = self.low + 2
         #: the sum of all frequencies is 2**total
         self.total = MIX + 2 * self.part
-        self.search = search
-        self.upper = _Part(lanes, ((vocab - 1) >> self.low) + 1, self.part)
-        self.lower = _Part(lanes, 1 << self.low, self.part)
+        self.upper = _Part(lanes, ((vocab - 1) >> self.low) + 1, self.part, search)
+        self.lower = _Part(lanes, 1 << self.low, self.part, search)
         row = np.arange(lanes)
         self.base = row * SLOTS
         self.cell1, self.cell2 = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
@@ -106,8 +111,8 @@ class _Model:
         self.settle()
 
     def settle(self) -> None:
-        self.upper.settle(self.search)
-        self.lower.settle(self.search)
+        self.upper.settle()
+        self.lower.settle()
         up = np.cumsum(self.right, axis=1)
         scale = (1 << MIX) - 3
         a = up[:, 0] * scale // up[:, 2] + 1
@@ -136,11 +141,11 @@ class _Model:
         p = self.part
         mix = self.mix.take(ctx).astype(np.int64)
         a, b = mix & 0xFFFF, mix >> 16
-        high = self.upper.packed.take((ids >> self.low) + self.upper.base).astype(np.int64)
-        low = self.lower.packed.take((ids & self.mask) + self.lower.base).astype(np.int64)
-        rest, size = (1 << MIX) - b, high >> 16
-        start = (b << 2 * p) + rest * (((high & 0xFFFF) << p) + size * (low & 0xFFFF))
-        size = rest * size * (low >> 16)
+        high = self.upper.entry.take((ids >> self.low) + self.upper.base).astype(np.int64) >> 10
+        low = self.lower.entry.take((ids & self.mask) + self.lower.base).astype(np.int64) >> 10
+        rest, size = (1 << MIX) - b, high >> 10
+        start = (b << 2 * p) + rest * (((high & _TEN) << p) + size * (low & _TEN))
+        size = rest * size * (low >> 10)
         lit, second = source >> 1, (source > 0).view(np.int8)
         known = second * a << 2 * p
         start = known + lit * (start - known)
@@ -175,6 +180,13 @@ def _stretches():
         at += steps
 
 
+def _truncated(low: np.ndarray, rng: np.ndarray, full: np.ndarray) -> None:
+    """Where 32 bits are about to go out but a carry could still reach them, the range ends at the carry."""
+    open_ = np.flatnonzero(full & ((low + rng - U(1) ^ low) > _LOW))
+    if len(open_):
+        rng[open_] = U(0) - low[open_] & _LOW
+
+
 def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
     """The code of each block of up to BLOCK ids."""
     lanes = -(-len(ids) // BLOCK)
@@ -186,11 +198,9 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
     m = _Model(lanes, vocab, False)
     bits = U(m.total)
     low, rng = np.zeros(lanes, U), np.full(lanes, U(2**64 - 1))
-    width = 2 * BLOCK + 16
-    out = np.zeros(lanes * width, np.uint32)
-    pos = np.arange(lanes) * width
+    out, out_here = np.empty((BLOCK + 2, lanes), np.uint32), np.ones((BLOCK + 2, lanes), bool)  # a step puts out one word at most
     with np.errstate(over="ignore"):
-        l, g, p = low, rng, pos
+        l, g = low, rng
         for at, steps in _stretches():
             right = np.empty((steps, lanes), np.int64)
             for t in range(steps):
@@ -203,21 +213,18 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
                 g >>= bits
                 l += start[t % CHUNK] * g
                 g *= size[t % CHUNK]
-                cut = np.flatnonzero(g <= _LOW)
-                if len(cut):
-                    cl, cr = l[cut], g[cut]
-                    top = cl >> _32
-                    open_ = np.flatnonzero(top != (cl + cr - U(1)) >> _32)
-                    if len(open_):
-                        cr[open_] = U(0) - cl[open_] & _LOW
-                    at_ = p[cut]
-                    out[at_] = top
-                    p[cut] = at_ + 1
-                    l[cut], g[cut] = cl << _32, cr << _32
+                full = g <= _LOW
+                _truncated(l, g, full)
+                out[at + t] = l >> _32  # kept where a word is full
+                out_here[at + t] = full
+                shift = full.astype(U) << U(5)
+                l <<= shift
+                g <<= shift
             m.count(grid[at:at + steps], right)
-    out[pos] = low >> _32
-    out[pos + 1] = low & _LOW
-    return [out[i * width:n + 2].astype("<u4").tobytes() for i, n in enumerate(pos.tolist())]
+    out[BLOCK], out[BLOCK + 1] = low >> _32, low & _LOW
+    ends = np.cumsum(out_here.sum(0)).tolist()
+    raw = memoryview(out.T[out_here.T].astype("<u4").tobytes())
+    return [bytes(raw[4 * a:4 * b]) for a, b in zip([0, *ends], ends)]
 
 
 def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
@@ -238,7 +245,7 @@ def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
     grid = np.zeros((BLOCK, lanes), np.int64)
     with np.errstate(over="ignore"):
         c, l, g, w = left, low, rng, pos
-        base, up_base, up_slot, lo_base, lo_slot = m.base, m.upper.base, m.upper.slot, m.lower.base, m.lower.slot
+        base, upper, lows = m.base, m.upper.place.ravel(), m.lower.place.ravel()
         seen = [np.empty((CHUNK, lanes), kind) for kind in (np.int64, np.int64, np.int32, np.int32)]
         x1, x2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         for at, steps in _stretches():
@@ -263,20 +270,18 @@ def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
                 v -= b << 2 * p
                 np.maximum(v, 0, out=v)
                 v = ((v + 0.5) / rest).astype(np.int64)
-                high = m.upper.symbol.take((v >> p) + up_slot).astype(np.int64)
-                f = m.upper.packed.take(high + up_base).astype(np.int64)
-                start, f = (f & 0xFFFF) << p, f >> 16
+                high = upper.take((v >> p) + m.upper.slot).astype(np.int64)
+                start, f = (high >> 10 & _TEN) << p, high >> 20
                 v -= start
                 v = ((v + 0.5) / f).astype(np.int64)
-                lower = m.lower.symbol.take(v + lo_slot).astype(np.int64)
-                e = m.lower.packed.take(lower + lo_base).astype(np.int64)
-                start += f * (e & 0xFFFF)
+                lower = lows.take(v + m.lower.slot).astype(np.int64)
+                start += f * (lower >> 10 & _TEN)
                 start *= rest
                 start += b << 2 * p
-                f *= e >> 16
+                f *= lower >> 20
                 f *= rest
                 ids = (v2 + second * (v1 - v2)) >> 3
-                ids = ids + lit * ((high << low_bits | lower) - ids)
+                ids = ids + lit * (((high & _TEN) << low_bits | lower & _TEN) - ids)
                 known = second * a
                 known <<= 2 * p
                 start = (known + lit * (start - known)).view(U)
@@ -287,16 +292,16 @@ def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
                 c -= start
                 l += start
                 g *= f
-                cut = np.flatnonzero(g <= _LOW)
-                if len(cut):
-                    cl, cr = l[cut], g[cut]
-                    open_ = np.flatnonzero(cl >> _32 != (cl + cr - U(1)) >> _32)
-                    if len(open_):
-                        cr[open_] = U(0) - cl[open_] & _LOW
-                    at_ = w[cut]
-                    c[cut] = c[cut] << _32 | words[at_]
-                    w[cut] = at_ + 1
-                    l[cut], g[cut] = cl << _32, cr << _32
+                full = g <= _LOW
+                _truncated(l, g, full)
+                shift = full.astype(U)
+                word = words.take(w) * shift
+                w += full
+                shift <<= U(5)
+                c <<= shift
+                c |= word
+                l <<= shift
+                g <<= shift
                 part[t] = ids
                 x2, x1 = x1, ids
                 if t % CHUNK == CHUNK - 1 or t == steps - 1:

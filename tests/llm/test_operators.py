@@ -125,12 +125,12 @@ def test_range_coder_round_trip(n):
         assert (rangecoder.decode(rangecoder.encode(ids, 50257), n, 50257) == ids).all()
 
 
-@pytest.mark.parametrize("vocab", [1, 2, 3, 255, 300, 1 << 16, 1 << 18])
+@pytest.mark.parametrize("vocab", [1, 2, 3, 255, 300, 1 << 16])
 def test_range_coder_of_other_vocabularies(vocab):
     ids = np.append(np.random.default_rng(vocab).integers(0, vocab, 5000), [vocab - 1, 0, vocab - 1])
     assert (rangecoder.decode(rangecoder.encode(ids, vocab), len(ids), vocab) == ids).all()
     with pytest.raises(ValueError):
-        rangecoder.encode(ids, (1 << 18) + 1)
+        rangecoder.encode(ids, (1 << 16) + 1)
 
 
 def test_blocks_are_coded_alike_whatever_is_beside_them():
