@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from qualia import run_rules, transform  # noqa: E402
 from qualia.plans.engine import evaluate_rules  # noqa: E402
-from qualia.operators.checks import ROW, Check, CheckContext, register_check  # noqa: E402
+from qualia.operators.checks import AGGREGATE, ROW, Check, CheckContext, register_check  # noqa: E402
 from qualia.operators.classify import check_outcomes, metric_report  # noqa: E402
 from qualia.schema import RESULT_BODY_COLUMNS  # noqa: E402
 from qualia.sources import (  # noqa: E402
@@ -54,6 +54,8 @@ EXTRA_CATALOG = [
     ("CONF_PREDICADO", "conformidad", "Valida un predicado SQL", "satisfies()"),
     ("VAL_MAYOR_CERO", "validez", "Valores estrictamente positivos", "isPositive()"),
     ("CONF_MULTIPLO", "conformidad", "Múltiplo de un número", "isMultipleOf()"),
+    ("CONF_SUMA", "conformidad", "Suma dentro de límites", "sumBetween()"),
+    ("CONF_PESO", "conformidad", "Parte del total de la columna bajo un predicado", "weightedShare()"),
 ]
 
 # --- Fixed values: remark texts
@@ -76,7 +78,7 @@ class R:
     filters: str = ""
     active: bool | None = True
     schema: str | None = SCHEMA
-    # oracle: "row" with a pass predicate, "unique", or a NO_EVALUADA message ("skip")
+    # oracle: "row" with a pass predicate, "unique", "metric" with the metric, or a NO_EVALUADA message ("skip")
     kind: str = "row"
     pred: str = ""
     message: str = ""
@@ -123,13 +125,13 @@ def _tables(spark: SparkSession, d: str) -> dict[str, Callable[[SparkSession], D
 
     def doc_labels(s):
         docs = _read(s, d, "documents").select("doc_id", "text", "lang")
-        return docs.join(_read(s, d, "labels"), "doc_id", "left")
+        return docs.join(_read(s, d, "labels").toDF("doc_id", "rating", "toxic"), "doc_id", "left")
 
     def doc_tags(s):
         t = doc_labels(s)
-        tag = (F.when(F.col("quality").isNull(), F.lit(None).cast("string"))
+        tag = (F.when(F.col("rating").isNull(), F.lit(None).cast("string"))
                .when(F.col("toxic") == 1, F.lit("   "))
-               .when(F.col("quality") == 0, F.lit(""))
+               .when(F.col("rating") == 0, F.lit(""))
                .when(F.col("lang") == "de", F.lit("\t"))
                .otherwise(F.col("lang")))
         return t.withColumn("tag", tag)
@@ -140,6 +142,7 @@ def _tables(spark: SparkSession, d: str) -> dict[str, Callable[[SparkSession], D
             "o_priority_n": F.expr("nullif(o_orderpriority, '5-LOW')"),
             "o_nothing": F.expr("nullif(o_orderstatus, o_orderstatus)"),
             "o_wide": F.expr("CAST(9007199254740992 + o_orderkey AS STRING)"),
+            "o_wider": F.expr("CAST(10000000000000000000000 + o_orderkey AS STRING)"),
         })
 
     out["doc_labels"] = doc_labels
@@ -150,15 +153,16 @@ def _tables(spark: SparkSession, d: str) -> dict[str, Callable[[SparkSession], D
 
 # DuckDB text of the derived tables.
 ORACLE_FROM = {
-    "doc_labels": "(SELECT d.doc_id, d.text, d.lang, l.quality, l.toxic FROM documents d "
-                  "LEFT JOIN labels l ON d.doc_id = l.doc_id)",
-    "doc_tags": "(SELECT *, CASE WHEN quality IS NULL THEN NULL WHEN toxic = 1 THEN '   ' "
-                "WHEN quality = 0 THEN '' WHEN lang = 'de' THEN chr(9) ELSE lang END AS tag "
-                "FROM (SELECT d.doc_id, d.text, d.lang, l.quality, l.toxic FROM documents d "
-                "LEFT JOIN labels l ON d.doc_id = l.doc_id))",
+    "doc_labels": "(SELECT d.doc_id, d.text, d.lang, l.rating, l.toxic FROM documents d "
+                  "LEFT JOIN labels l(doc_id, rating, toxic) ON d.doc_id = l.doc_id)",
+    "doc_tags": "(SELECT *, CASE WHEN rating IS NULL THEN NULL WHEN toxic = 1 THEN '   ' "
+                "WHEN rating = 0 THEN '' WHEN lang = 'de' THEN chr(9) ELSE lang END AS tag "
+                "FROM (SELECT d.doc_id, d.text, d.lang, l.rating, l.toxic FROM documents d "
+                "LEFT JOIN labels l(doc_id, rating, toxic) ON d.doc_id = l.doc_id))",
     "orders_n": "(SELECT *, nullif(o_orderpriority, '5-LOW') AS o_priority_n, "
                 "CAST(NULL AS VARCHAR) AS o_nothing, "
-                "CAST(9007199254740992 + o_orderkey AS VARCHAR) AS o_wide FROM orders)",
+                "CAST(9007199254740992 + o_orderkey AS VARCHAR) AS o_wide, "
+                "CAST(10000000000000000000000::HUGEINT + o_orderkey AS VARCHAR) AS o_wider FROM orders)",
 }
 
 
@@ -190,6 +194,9 @@ def _stats(r: R) -> str:
                 f"count(*) FILTER (WHERE n = 1) AS passed, coalesce(sum(n), 0) AS denom "
                 f"FROM (SELECT {c} AS v, count(*) AS n FROM {_from(r)} "
                 f"{'AND' if (r.filters or r.ofilter) else 'WHERE'} {c} IS NOT NULL GROUP BY {c})")
+    if r.kind == "metric":
+        return (f"SELECT total, m AS passed, CASE WHEN m IS NULL THEN 0 ELSE 1 END AS denom "
+                f"FROM (SELECT count(*) AS total, ({r.pred})::DOUBLE AS m FROM {_from(r)})")
     return f"SELECT count(*) AS total, NULL::BIGINT AS passed, NULL::BIGINT AS denom FROM {_from(r)}"
 
 
@@ -290,6 +297,26 @@ MANY_RULES = [
                "l_discount", "l_tax", "l_returnflag", "l_shipdate")]
 
 
+# Predicates that raise an error on some rows, beside good ones, and one that a filter saves.
+FAILING_RULES = [
+    R("lineitem", "l_tax", "CONF_PREDICADO", "l_tax / l_discount > 0.5", 50.0, kind="skip", message=MSG_NOT_EVALUABLE),
+    R("lineitem", "l_quantity", "VAL_RANGO_VALORES", "5,45", 90.0, pred="l_quantity BETWEEN 5 AND 45"),
+    R("lineitem", "l_returnflag", "CONF_PREDICADO", "CAST(l_returnflag AS INT) > 0", 50.0, kind="skip", message=MSG_NOT_EVALUABLE),
+    R("lineitem", "l_tax", "CONF_PREDICADO", "l_tax / l_discount > 0.5", 50.0, filters="l_discount > 0", pred="l_tax / l_discount > 0.5"),
+    R("lineitem", "l_linenumber", "CONF_PREDICADO", "l_linenumber * 2 > 4", 50.0, pred="l_linenumber * 2 > 4"),
+]
+
+KEY_RULES = [
+    R("orders", "o_orderkey", "COM_DUPLICADOS", kind="unique"),
+    R("orders", "o_custkey", "COM_DUPLICADOS", threshold=50.0, kind="unique"),
+    R("lineitem", "l_orderkey", "COM_DUPLICADOS", threshold=50.0, filters="l_linenumber = 1", kind="unique"),
+    R("lineitem", "l_orderkey", "COM_DUPLICADOS", threshold=50.0, kind="unique"),
+    R("lineitem", "l_returnflag", "COM_DUPLICADOS", threshold=50.0, kind="unique"),
+    R("events", "event_id", "COM_DUPLICADOS", kind="unique"),
+    R("doc_labels", "rating", "COM_DUPLICADOS", threshold=1.0, kind="unique"),
+]
+
+
 def _run(rules: list[R], *, catalog: str = "full", body: bool = True, **kw) -> Callable:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         cat = {"full": _catalog, "none": lambda s: None}[catalog](spark)
@@ -301,13 +328,13 @@ def _run(rules: list[R], *, catalog: str = "full", body: bool = True, **kw) -> C
 # Rule sets of the single-check queries
 Q: dict[str, tuple[list[R], dict]] = {
     "table_row_count": ([R("lineitem", "l_orderkey", "COM_NULOS", pred="l_orderkey IS NOT NULL")], {}),
-    "chk_complete": ([R("doc_labels", "quality", "COM_NULOS", threshold=95.0, pred="quality IS NOT NULL"),
+    "chk_complete": ([R("doc_labels", "rating", "COM_NULOS", threshold=95.0, pred="rating IS NOT NULL"),
                       R("doc_labels", "toxic", "COM_NULOS", threshold=None, pred="toxic IS NOT NULL")], {}),
     "chk_collect_nulls": ([R("orders_n", "o_priority_n", "COM_NULOS_LISTA", threshold=99.0,
                              pred="o_priority_n IS NOT NULL")], {}),
     "chk_unique": ([R("orders", "o_custkey", "COM_DUPLICADOS", kind="unique"),
                     R("documents", "text", "COM_DUPLICADOS", threshold=90.0, kind="unique"),
-                    R("doc_labels", "quality", "COM_DUPLICADOS", threshold=1.0, kind="unique")], {}),
+                    R("doc_labels", "rating", "COM_DUPLICADOS", threshold=1.0, kind="unique")], {}),
     "chk_unique_multi": ([R("orders_n", "o_orderkey", "COM_DUPLICADOS", kind="unique"),
                           R("orders_n", "o_custkey", "COM_DUPLICADOS", kind="unique"),
                           R("orders_n", "o_priority_n", "COM_DUPLICADOS", kind="unique"),
@@ -317,8 +344,8 @@ Q: dict[str, tuple[list[R], dict]] = {
                              R("orders_n", "o_orderkey", "COM_DUPLICADOS", kind="unique")], {}),
     "chk_contained_in": ([R("orders", "o_orderstatus", "VAL_PERMITIDOS", "F, O ,,", 60.0,
                             pred="o_orderstatus IS NULL OR o_orderstatus IN ('F', 'O')"),
-                          R("doc_labels", "quality", "VAL_PERMITIDOS", "1", 50.0,
-                            pred="quality IS NULL OR CAST(quality AS VARCHAR) IN ('1')")], {}),
+                          R("doc_labels", "rating", "VAL_PERMITIDOS", "1", 50.0,
+                            pred="rating IS NULL OR CAST(rating AS VARCHAR) IN ('1')")], {}),
     "chk_non_negative": ([R("customer", "c_acctbal", "VAL_POSITIVOS", threshold=90.0,
                             pred="c_acctbal IS NULL OR c_acctbal >= 0"),
                           R("lineitem", "l_discount", "VAL_POSITIVOS",
@@ -336,7 +363,13 @@ Q: dict[str, tuple[list[R], dict]] = {
                             R("part", "p_size", "VAL_RANGO_VALORES", "10, 40", 50.0,
                               pred="p_size BETWEEN 10 AND 40"),
                             R("orders_n", "o_wide", "VAL_RANGO_VALORES", "9007199254740993,9007199254741992", 10.0,
-                              pred="CAST(o_wide AS HUGEINT) BETWEEN 9007199254740993 AND 9007199254741992")], {}),
+                              pred="CAST(o_wide AS HUGEINT) BETWEEN 9007199254740993 AND 9007199254741992"),
+                            R("orders_n", "o_wider", "VAL_RANGO_VALORES", "0,10000000000000000000500", 10.0,
+                              pred="CAST(o_wider AS HUGEINT) BETWEEN 0 AND 10000000000000000000500"),
+                            R("orders_n", "o_wider", "VAL_RANGO_VALORES", "0.1234567890123456789,10000000000000000000900", 10.0,
+                              pred="CAST(o_wider AS HUGEINT) BETWEEN 1 AND 10000000000000000000900"),
+                            R("orders_n", "o_wider", "VAL_RANGO_VALORES", "10000000000000000000100,10000000000000000000000000", 10.0,
+                              pred="CAST(o_wider AS HUGEINT) >= 10000000000000000000100")], {}),
     "chk_between_date": ([R("orders", "o_orderdate", "VAL_RANGO_VALORES", "'1995-01-01','1999-12-31'", 90.0,
                             pred="o_orderdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1999-12-31'"),
                           R("events", "ts", "VAL_RANGO_VALORES", "'2024-01-05', '2024-01-25 12:00:00'", 50.0,
@@ -362,13 +395,14 @@ Q: dict[str, tuple[list[R], dict]] = {
                                     kind="unique"),
                                   R("orders", "no_such_column", "COM_NULOS", filters="o_orderstatus = 'Z'",
                                     pred="false")], {}),
-    "report_cached": ([R("doc_labels", "quality", "VAL_PERMITIDOS", "1", 50.0,
-                         pred="quality IS NULL OR CAST(quality AS VARCHAR) IN ('1')"),
+    "report_cached": ([R("doc_labels", "rating", "VAL_PERMITIDOS", "1", 50.0,
+                         pred="rating IS NULL OR CAST(rating AS VARCHAR) IN ('1')"),
                        R("doc_labels", "lang", "COM_OBLIGATORIO", pred="trim(lang) <> '' AND lang IS NOT NULL"),
                        R("doc_labels", "doc_id", "COM_DUPLICADOS", kind="unique")], {"cache": True}),
     "report_guarded_filters": (GUARDED_RULES, {}),
     "report_guarded_filters_lazy": (GUARDED_RULES, {"eager": False}),
     "report_many_rules": (MANY_RULES, {}),
+    "chk_unique_bitmaps": (KEY_RULES, {"key_bitmaps": True}),
     "check_groups": ([R("lineitem", "l_quantity", "VAL_RANGO_VALORES", "1,25", 50.0, filters="l_returnflag = 'R'",
                         pred="l_quantity BETWEEN 1 AND 25"),
                       R("lineitem", "l_quantity", "VAL_RANGO_VALORES", "1,25", 50.0, filters="l_returnflag = 'A'",
@@ -511,6 +545,18 @@ def o_report_broken_rules() -> str:
             f"FROM ({_oracle(_BROKEN)})")
 
 
+def _q_failing(eager: bool):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        res = _run(FAILING_RULES, eager=eager)(spark, sf_dir)
+        return res.withColumn("observacion_tecnica", F.substring_index("observacion_tecnica", ": ", 1))
+    return q
+
+
+def o_report_failing_rows() -> str:
+    return (f"SELECT * REPLACE (split_part(observacion_tecnica, ': ', 1) AS observacion_tecnica) "
+            f"FROM ({_oracle(FAILING_RULES)})")
+
+
 def q_report_session_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders rules over a table of the session's catalog, as most users run them."""
     loc = fresh_path(spark, "session-db")
@@ -547,6 +593,44 @@ def q_report_own_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(_OWN_CHECK)(spark, sf_dir)
 
 
+_OWN_AGGREGATE = [
+    R("lineitem", "l_quantity", "CONF_SUMA", "0, 1000000000", pred="CASE WHEN sum(l_quantity) BETWEEN 0 AND 1000000000 THEN 1 ELSE 0 END", kind="metric"),
+    R("lineitem", "l_quantity", "CONF_SUMA", "0, 10", pred="CASE WHEN sum(l_quantity) BETWEEN 0 AND 10 THEN 1 ELSE 0 END", kind="metric"),
+    R("lineitem", "l_quantity", "CONF_PESO", "l_returnflag = 'N'", 40.0, kind="metric",
+      pred="sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) / sum(l_quantity)"),
+    R("lineitem", "l_quantity", "CONF_PESO", "l_returnflag = 'N'", 40.0, filters="l_linestatus = 'O'", kind="metric",
+      pred="sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) / sum(l_quantity)"),
+    R("lineitem", "l_quantity", "CONF_PESO", "l_returnflag = 'N'", 40.0, filters="l_linestatus = 'Z'", kind="metric",
+      pred="sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) / sum(l_quantity)"),
+    R("lineitem", "l_quantity", "CONF_SUMA", "0", kind="skip", message="Parámetros inválidos para el método sumBetween()."),
+    R("lineitem", "l_quantity", "VAL_RANGO_VALORES", "5,45", 90.0, pred="l_quantity BETWEEN 5 AND 45"),
+    R("orders_n", "o_nothing", "CONF_PESO", "true", 40.0, kind="metric", pred="CAST(NULL AS DOUBLE)"),
+]
+
+
+def _sum_between(ctx: CheckContext) -> Check | None:
+    if len(ctx.param_list) != 2:
+        return None
+    lo, hi = (F.lit(float(p)) for p in ctx.param_list)
+    return Check(AGGREGATE, ctx.column, "Sum", f"sum({ctx.column}) between {ctx.params}", aggregates={"s": f"sum({ctx.column})"},
+                 finish=lambda a: F.when(a["s"].between(lo, hi), 1.0).when(a["s"].isNotNull(), 0.0))
+
+
+def _weighted_share(ctx: CheckContext) -> Check | None:
+    x = f"try_cast({ctx.column} AS DOUBLE)"
+    return Check(AGGREGATE, ctx.column, "WeightedShare", f"{ctx.column} where {ctx.params}",
+                 aggregates={"hit": f"sum(CASE WHEN {ctx.params} THEN {x} ELSE 0 END)", "all": f"sum({x})"},
+                 finish=lambda a: F.when(a["all"] != 0, a["hit"] / a["all"]))
+
+
+def _q_own_aggregate(eager: bool):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register_check("sumbetween", _sum_between)
+        register_check("weightedshare", _weighted_share)
+        return _run(_OWN_AGGREGATE, eager=eager)(spark, sf_dir)
+    return q
+
+
 _NO_CAT = [R("orders", "o_orderkey", "COM_NULOS", kind="skip", message="Método 'None' no soportado"),
            R("orders", "o_custkey", "COM_DUPLICADOS", kind="skip", message="Método 'None' no soportado"),
            R("customer", "c_acctbal", "VAL_POSITIVOS", kind="skip", message="Método 'None' no soportado")]
@@ -727,17 +811,29 @@ def o_result_export_format() -> str:
 _ROUNDTRIP = ORDERS_RULES[:2] + CUSTOMER_RULES[1:3]
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A result (one row per rule) that outlives the place that it was read from."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as a table, written again over rows read from it, and read back."""
     res = run_rules(spark, _rules_df(spark, _ROUNDTRIP), _catalog(spark), tables=_tables(spark, sf_dir), as_of=AS_OF)
     loc = fresh_path(spark, "db")
     db = "qualia_" + os.path.basename(loc).replace("-", "_")
-    name = save_table(res, db, "resultados_calidad", location=loc)
-    return spark.table(name).select(*RESULT_BODY_COLUMNS)
+    try:
+        name = save_table(res, db, "resultados", location=loc)
+        name = save_table(spark.table(name), db, "resultados")
+        return _kept(spark.table(name).select(*RESULT_BODY_COLUMNS))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
 
 def q_result_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as CSV twice, the second in place of the first, and read back."""
     res = run_rules(spark, _rules_df(spark, _ROUNDTRIP), _catalog(spark), tables=_tables(spark, sf_dir), as_of=AS_OF)
     path = fresh_path(spark, "result-csv")
+    write_result_csv(res.where("columna = 'c_acctbal'"), path)
     write_result_csv(res, path)
     return read_result_csv(spark, path).select(*RESULT_BODY_COLUMNS)
 
@@ -761,6 +857,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["report_session_tables"] = q_report_session_tables
     out["report_bundle"] = q_report_bundle
     out["report_own_check"] = q_report_own_check
+    out["report_own_aggregate"] = _q_own_aggregate(True)
+    out["report_own_aggregate_lazy"] = _q_own_aggregate(False)
+    out["report_failing_rows"] = _q_failing(True)
+    out["report_failing_rows_lazy"] = _q_failing(False)
     out["report_no_catalog"] = _run(_NO_CAT, catalog="none")
     out["rules_standardize"] = q_rules_standardize
     out["catalog_standardize"] = q_catalog_standardize
@@ -788,6 +888,8 @@ def oracle_sql() -> dict[str, str]:
     out["report_session_tables"] = _oracle(ORDERS_RULES)
     out["report_bundle"] = _oracle([r for r in _ACTIVE if r.table == "supplier"])
     out["report_own_check"] = _oracle(_OWN_CHECK)
+    out["report_own_aggregate"] = out["report_own_aggregate_lazy"] = _oracle(_OWN_AGGREGATE)
+    out["report_failing_rows"] = out["report_failing_rows_lazy"] = o_report_failing_rows()
     out["report_no_catalog"] = _oracle(_NO_CAT)
     out["rules_standardize"] = _oracle(_standardize_rules()[1])
     out["catalog_standardize"] = _oracle(_CAT_STD)

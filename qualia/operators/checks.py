@@ -4,7 +4,9 @@ A builder gets the rule's column, parameters and the (filtered) table it runs on
 and returns a :class:`Check`, or ``None`` when the parameters cannot make a check.
 Row-level checks carry a *pass predicate*: a boolean Column that is never NULL, so
 the fused aggregate can count passing rows with ``count_if``. Uniqueness carries no
-predicate: it needs a grouping, see :mod:`qualia.operators.metrics`.
+predicate: it needs a grouping, see :mod:`qualia.operators.metrics`. An aggregate
+check carries SQL aggregates of its own and a function that turns them into the metric, a
+fraction in [0, 1]; they are computed in the same scan as the row-level checks.
 
 The NULL rule of each check:
 
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 import re
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -51,15 +53,21 @@ from qualia.functions.text import col_of
 
 ROW = "row"
 UNIQUE = "unique"
+AGGREGATE = "aggregate"
 
 
 @dataclass(frozen=True)
 class Check:
-    kind: str                       # ROW or UNIQUE
+    kind: str                       # ROW, UNIQUE or AGGREGATE
     column: str
     metric: str                     # Completeness, Compliance, PatternMatch, Uniqueness
     instance: str
     predicate: Column | None = None  # ROW only: pass predicate, never NULL
+    fallible: bool = True           # ROW only: whether the predicate may raise an error on some row
+    # AGGREGATE only: calls of one aggregate function each, as SQL text by name, and the metric made of
+    # them (NULL: nothing to measure). The rule's row filter is applied to each call.
+    aggregates: Mapping[str, str] | None = None
+    finish: Callable[[Mapping[str, Column]], Column] | None = None
 
 
 @dataclass
@@ -105,7 +113,7 @@ def register_check(key: str, builder: Builder) -> None:
 
 def _complete(ctx: CheckContext) -> Check:
     ctx.dtype()
-    return Check(ROW, ctx.column, "Completeness", ctx.column, ctx.col.isNotNull())
+    return Check(ROW, ctx.column, "Completeness", ctx.column, ctx.col.isNotNull(), fallible=False)
 
 
 def _unique(ctx: CheckContext) -> Check:
@@ -119,13 +127,13 @@ def _contained_in(ctx: CheckContext) -> Check | None:
         return None
     # Compared as text, whatever the column type (no ANSI cast of the list).
     pred = F.coalesce(ctx.text().isin(values), F.lit(True))
-    return Check(ROW, ctx.column, "Compliance", f"{ctx.column} contained in {','.join(values)}", pred)
+    return Check(ROW, ctx.column, "Compliance", f"{ctx.column} contained in {','.join(values)}", pred, fallible=False)
 
 
 def _non_negative(ctx: CheckContext) -> Check:
     x = ctx.col if isinstance(ctx.dtype(), NumericType) else ctx.text().try_cast("double")
     return Check(ROW, ctx.column, "Compliance", f"{ctx.column} is non-negative",
-                 F.coalesce(x >= 0, F.lit(True)))
+                 F.coalesce(x >= 0, F.lit(True)), fallible=False)
 
 
 _REGEX: dict[str, str | None] = {}   # pattern -> None (compiles) or the error text
@@ -272,27 +280,44 @@ def _pattern(ctx: CheckContext) -> Check | None:
     literal = required_literal(pattern)
     if literal:
         found = text.contains(literal) & found
-    return Check(ROW, ctx.column, "PatternMatch", ctx.column, F.coalesce(found, F.lit(False)))
+    return Check(ROW, ctx.column, "PatternMatch", ctx.column, F.coalesce(found, F.lit(False)), fallible=False)
 
 
 _DATETIME = (DateType, TimestampType, TimestampNTZType)
 
 
-def _reading_type(bound: DataType) -> DataType:
-    """Type that reads text for a comparison with a numeric bound: a decimal for whole
-    and decimal bounds, so long ids keep every digit (fractions are rounded at 18
-    digits, or fewer where the bound needs the room); a double for floating bounds."""
-    if isinstance(bound, DecimalType):
-        whole = bound.precision - bound.scale
-        return DecimalType(38, max(bound.scale, min(18, 38 - whole)))
-    return DoubleType() if isinstance(bound, FractionalType) else DecimalType(38, 18)
+def _digits(bound: DataType) -> tuple[int, int]:
+    """Whole and fraction digits of a whole or decimal type."""
+    t = bound if isinstance(bound, DecimalType) else DecimalType(20, 0)
+    return t.precision - t.scale, t.scale
+
+
+def _reading_types(lo: DataType, hi: DataType) -> list[DataType]:
+    """Types that read text for a comparison with two numeric bounds, the finest first: a double if a bound is one, else
+    decimals, so that long ids keep every digit. The last one holds every value between the bounds (with as
+    many fraction digits as there is room for, 18 at least where both bounds leave it); where it has fewer than a bound, a
+    type with all of that bound's comes first, and text too large for it is left to the last."""
+    if any(isinstance(t, FractionalType) and not isinstance(t, DecimalType) for t in (lo, hi)):
+        return [DoubleType()]
+    whole = max(_digits(t)[0] for t in (lo, hi))
+    scale = max(_digits(t)[1] for t in (lo, hi))
+    if whole + max(scale, 18) <= 38:
+        return [DecimalType(38, max(scale, 18))]
+    last = min(max(scale, 18), 38 - whole)
+    return [*([DecimalType(38, scale)] if scale > last else []), DecimalType(38, last)]
+
+
+def _text_between(x: Column, lo: Column, hi: Column, lot: DataType, hit: DataType) -> Column:
+    """``lo <= x <= hi`` of text; text that is no number, or beyond every type, gives NULL."""
+    reads = [x.try_cast(t) for t in _reading_types(lot, hit)]
+    return F.coalesce(*[r >= lo for r in reads]) & F.coalesce(*[r <= hi for r in reads])
 
 
 def _coerce(x: Column, xt: DataType, b: Column, bt: DataType) -> tuple[Column, Column]:
     """Make a comparison safe under ANSI mode: text is read with ``try_cast`` so that
     an unreadable value gives NULL (the row fails) instead of a runtime error."""
     if isinstance(xt, StringType) and isinstance(bt, NumericType):
-        return x.try_cast(_reading_type(bt)), b
+        return x.try_cast(_reading_types(bt, bt)[-1]), b
     if isinstance(xt, NumericType) and isinstance(bt, StringType):
         return x, b.try_cast("double")
     if isinstance(xt, _DATETIME) and isinstance(bt, StringType):
@@ -302,6 +327,9 @@ def _coerce(x: Column, xt: DataType, b: Column, bt: DataType) -> tuple[Column, C
     return x, b
 
 
+_PLAIN_BOUND = re.compile(r"[+-]?\d+(\.\d+)?|'[^'\\]*'")
+
+
 def _between(ctx: CheckContext) -> Check | None:
     bounds = ctx.param_list
     if len(bounds) != 2:
@@ -309,11 +337,15 @@ def _between(ctx: CheckContext) -> Check | None:
     lo, hi = F.expr(bounds[0]), F.expr(bounds[1])
     xt = ctx.dtype()
     lot, hit = ctx.types_of(lo, hi)
-    x1, lo = _coerce(ctx.col, xt, lo, lot)
-    x2, hi = _coerce(ctx.col, xt, hi, hit)
-    pred = F.coalesce((x1 >= lo) & (x2 <= hi), F.lit(False))
+    if isinstance(xt, StringType) and isinstance(lot, NumericType) and isinstance(hit, NumericType):
+        inside = _text_between(ctx.col, lo, hi, lot, hit)
+    else:
+        x1, lo = _coerce(ctx.col, xt, lo, lot)
+        x2, hi = _coerce(ctx.col, xt, hi, hit)
+        inside = (x1 >= lo) & (x2 <= hi)
     name = ctx.column
-    return Check(ROW, name, "Compliance", f"{name} >= {bounds[0]} AND {name} <= {bounds[1]}", pred)
+    return Check(ROW, name, "Compliance", f"{name} >= {bounds[0]} AND {name} <= {bounds[1]}", F.coalesce(inside, F.lit(False)),
+                 fallible=not all(_PLAIN_BOUND.fullmatch(b.strip()) for b in bounds))
 
 
 _INT = re.compile(r"[+-]?\d+")
@@ -327,14 +359,14 @@ def _length(ctx: CheckContext) -> Check | None:
     xt = ctx.dtype()
     x = ctx.col if isinstance(xt, (StringType, BinaryType)) else ctx.col.cast("string")
     pred = F.coalesce(F.length(x) == F.lit(k), F.lit(False))
-    return Check(ROW, ctx.column, "Compliance", f"length({ctx.column}) = {k}", pred)
+    return Check(ROW, ctx.column, "Compliance", f"length({ctx.column}) = {k}", pred, fallible=False)
 
 
 def _not_blank(ctx: CheckContext) -> Check:
     # trim removes the space character only: a tab is content.
     pred = F.coalesce(ctx.col.isNotNull() & (F.trim(ctx.text()) != ""), F.lit(False))
     name = ctx.column
-    return Check(ROW, name, "Compliance", f"trim({name}) != '' AND {name} IS NOT NULL", pred)
+    return Check(ROW, name, "Compliance", f"trim({name}) != '' AND {name} IS NOT NULL", pred, fallible=False)
 
 
 def _satisfies(ctx: CheckContext) -> Check | None:

@@ -47,6 +47,7 @@ METRICS_SCHEMA = StructType([
     StructField("total", LongType(), True),           # rows after the row filter
     StructField("passed", LongType(), True),          # passing rows; unique values
     StructField("denom", LongType(), True),           # total; non-NULL rows (uniqueness)
+    StructField("value", DoubleType(), True),         # metric of an aggregate check, instead of passed / denom
     StructField("message", StringType(), True),
     StructField("metric_name", StringType(), True),
     StructField("instance", StringType(), True),
@@ -58,7 +59,7 @@ POLICIES = ("strict", "threshold")
 
 def metric_value() -> Column:
     """The check's metric, a fraction in [0, 1]; NULL when nothing could be measured."""
-    return F.when(F.col("denom") > 0, F.col("passed").cast("double") / F.col("denom"))
+    return F.coalesce("value", F.when(F.col("denom") > 0, F.col("passed").cast("double") / F.col("denom")))
 
 
 def _sql_lit(text: str) -> str:
@@ -79,12 +80,12 @@ def classify(metrics: DataFrame, policy: str = "strict") -> DataFrame:
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
-    ok = "passed = denom" if policy == "strict" else "__m * 100 >= umbral"
+    ok = "coalesce(value = 1.0D, passed = denom)" if policy == "strict" else "__m * 100 >= umbral"
     umbral = "CAST(coalesce(threshold, 0.0D) AS DOUBLE)"
     _, helpers, thr_text = py_float_sql("umbral")
     # three projections: metric and threshold; case and number-text parts; outputs
     m = metrics.withColumns({
-        "__m": F.expr("CASE WHEN denom > 0 THEN CAST(passed AS DOUBLE) / denom END"),
+        "__m": F.expr("coalesce(value, CASE WHEN denom > 0 THEN CAST(passed AS DOUBLE) / denom END)"),
         "umbral": F.expr(umbral),
         PY_FLOAT_HELPERS[0]: F.expr(py_float_sql(umbral)[0]),
     })
@@ -133,7 +134,7 @@ def check_outcomes(metrics: DataFrame) -> DataFrame:
     check that could not run is a Failure with its error; a rule that makes no check
     (unknown method, unusable parameters) has no row."""
     m = metric_value()
-    ok = m.isNotNull() & (F.col("passed") == F.col("denom"))
+    ok = m.isNotNull() & F.coalesce(F.col("value") == 1.0, F.col("passed") == F.col("denom"))
     message = (F.when(ok, F.lit(""))
                .when(m.isNull(), F.coalesce(F.col("message"), F.lit(MSG_NO_VALUES)))
                .otherwise(F.concat(F.lit("Value: "), m.cast("string"),

@@ -14,8 +14,10 @@ Plan of a run::
 Data never reaches the driver: each table returns one aggregate row per query.
 Faults stay local: a missing table or a bad filter turns its own rules into
 ``ERROR_EJECUCION``; a rule whose column or expression does not resolve, or whose
-parameters are unusable, becomes ``NO_EVALUADA`` alone. If a fused job fails at
-run time with a data error, its rules are bisected down to the ones at fault;
+parameters are unusable, becomes ``NO_EVALUADA`` alone. A predicate that raises an
+error on some row does not end the scan: those rows are counted and its rule becomes
+``NO_EVALUADA``, in lazy mode too. If a fused job still fails with a data error (a
+filter, an aggregate check), its rules are bisected down to the ones at fault;
 any other job failure fails the affected groups. ``eager=False`` builds all of
 this as one unexecuted plan instead.
 """
@@ -26,7 +28,7 @@ import datetime as _dt
 import re
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import pyarrow as pa
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from qualia.functions.text import col_of, quote_ident
-from qualia.operators.checks import REGISTRY, UNIQUE, Check, build_check, validate_patterns
+from qualia.operators.checks import AGGREGATE, REGISTRY, UNIQUE, Check, build_check, validate_patterns
 from qualia.operators.classify import (
     ERROR,
     EVALUATED,
@@ -48,7 +50,7 @@ from qualia.operators.classify import (
     classify,
     metric_report,
 )
-from qualia.operators.metrics import RowGroup, UniqueSpec, row_metrics, unique_metrics
+from qualia.operators.metrics import RowGroup, UniqueSpec, bitmap_metrics, dense_keys, row_metrics, unique_metrics, weight
 from qualia.plans.rules import (
     Rule,
     RuleGroup,
@@ -64,6 +66,7 @@ from qualia.schema import (
     MSG_BAD_PARAMS,
     MSG_FATAL,
     MSG_NOT_EVALUABLE,
+    MSG_ROW_ERRORS,
     MSG_UNSUPPORTED,
     RESULT_BODY_COLUMNS,
     RESULT_COLUMNS,
@@ -110,6 +113,7 @@ class _Planned:
     total: int | None = None
     totals: dict[int, int] = field(default_factory=dict)       # rule index -> rows of its own scan
     passed: dict[int, int] = field(default_factory=dict)       # rule index -> count
+    values: dict[int, float | None] = field(default_factory=dict)  # rule index -> metric of an aggregate check
     uniq: dict[int, tuple[int, int]] = field(default_factory=dict)
     rule_error: dict[int, str] = field(default_factory=dict)
 
@@ -134,7 +138,7 @@ def _plan_group(df: DataFrame, group: RuleGroup) -> _Planned:
             p.unique.append((r, check))
         else:
             p.row.append((r, check))
-    p.row = _resolvable(p, p.row, lambda cs: row_metrics(df, [RowGroup(None, [c.predicate for c in cs])]))
+    p.row = _resolvable(p, p.row, lambda cs: row_metrics(df, [RowGroup(None, [replace(c, fallible=False) for c in cs])]))
     p.unique = _resolvable(p, p.unique, lambda cs: unique_metrics(df, [UniqueSpec(c.column) for c in cs]))
     return p
 
@@ -174,8 +178,8 @@ _Part = tuple  # (plan, [(rule, check), ...]): some rules of one filter
 
 
 def _chunks(plans: list[_Planned], most: int) -> list[list[_Part]]:
-    """Pack the row-level rules of a table into scan jobs of at most
-    ``most`` aggregates (one count per filter plus one per rule).
+    """Pack the rules of a table that one scan can count into scan jobs of at most
+    ``most`` aggregates (one count per filter, one or two per rule; a single rule with more has a job of its own).
     Rules on the same column stay together, so each chunk reads few columns."""
     chunks: list[list[_Part]] = []
     cur: list[_Part] = []
@@ -184,13 +188,16 @@ def _chunks(plans: list[_Planned], most: int) -> list[list[_Part]]:
         items = sorted(p.row, key=lambda rc: rc[1].column)
         i = 0
         while True:
-            if size + 1 > most or (items and size + 2 > most):
+            if cur and size + 1 + (weight(items[i][1]) if i < len(items) else 0) > most:
                 chunks.append(cur)
                 cur, size = [], 0
-            take = items[i:i + most - size - 1]
+            size += 1
+            take = []
+            while i < len(items) and (size + weight(items[i][1]) <= most or size == 1 and not take):
+                size += weight(items[i][1])
+                take.append(items[i])
+                i += 1
             cur.append((p, take))
-            size += 1 + len(take)
-            i += len(take)
             if i >= len(items):
                 break
     if cur:
@@ -198,14 +205,32 @@ def _chunks(plans: list[_Planned], most: int) -> list[list[_Part]]:
     return chunks
 
 
+def _group(p: _Planned, items: list[tuple[Rule, Check]]) -> RowGroup:
+    return RowGroup(p.fcol, [c for _, c in items], p.group.filter)
+
+
+def _row_errors(n: int) -> str:
+    return MSG_NOT_EVALUABLE.format(error=MSG_ROW_ERRORS.format(n=n))
+
+
+def _take_counts(p: _Planned, items: list[tuple[Rule, Check]], row, gi: int) -> None:
+    """What one scan says of a filter's rules."""
+    for i, (r, c) in enumerate(items):
+        p.totals[r.index] = row[f"__n{gi}"]
+        if c.kind == AGGREGATE:
+            p.values[r.index] = row[f"__v{gi}_{i}"]
+        elif c.fallible and row[f"__e{gi}_{i}"]:
+            p.rule_error[r.index] = _row_errors(row[f"__e{gi}_{i}"])
+        else:
+            p.passed[r.index] = row[f"__p{gi}_{i}"]
+
+
 def _run_chunk(base: DataFrame, chunk: list[_Part]) -> None:
-    groups = [RowGroup(p.fcol, [c.predicate for _, c in items]) for p, items in chunk]
     try:
-        row = row_metrics(base, groups).collect()[0]
+        row = row_metrics(base, [_group(p, items) for p, items in chunk]).collect()[0]
         for gi, (p, items) in enumerate(chunk):
             p.total = row[f"__n{gi}"]
-            for i, (r, _) in enumerate(items):
-                p.passed[r.index], p.totals[r.index] = row[f"__p{gi}_{i}"], row[f"__n{gi}"]
+            _take_counts(p, items, row, gi)
         return
     except Exception as e:
         if not _rule_fault(e):
@@ -217,7 +242,7 @@ def _run_chunk(base: DataFrame, chunk: list[_Part]) -> None:
             continue
         if p.total is None:
             try:
-                p.total = row_metrics(base, [RowGroup(p.fcol, [])]).collect()[0]["__n0"]
+                p.total = row_metrics(base, [_group(p, [])]).collect()[0]["__n0"]
             except Exception as e:
                 p.error = _err_text(e)
                 continue
@@ -248,9 +273,7 @@ def _bisect(base: DataFrame, p: _Planned, items: list[tuple[Rule, Check]]) -> No
     if not items:
         return
     try:
-        row = row_metrics(base, [RowGroup(p.fcol, [c.predicate for _, c in items])]).collect()[0]
-        for i, (r, _) in enumerate(items):
-            p.passed[r.index], p.totals[r.index] = row[f"__p0_{i}"], row["__n0"]
+        _take_counts(p, items, row_metrics(base, [_group(p, items)]).collect()[0], 0)
         return
     except Exception as e:
         if not _rule_fault(e):
@@ -303,21 +326,35 @@ def _unique_chunk(base: DataFrame, specs: list[UniqueSpec], first: int) -> dict[
     return out
 
 
-def _run_unique(base: DataFrame, plans: list[_Planned], step: int) -> None:
+def _unique_by_bitmap(base: DataFrame, spec: UniqueSpec, at: int) -> dict[int, tuple[int, int] | str]:
+    try:
+        row = bitmap_metrics(base, spec).collect()[0]
+        return {at: (row["__u0"], row["__d0"])}
+    except Exception as e:
+        if not _rule_fault(e):
+            raise
+        return {at: _not_evaluable(e)}
+
+
+def _run_unique(base: DataFrame, plans: list[_Planned], step: int, key_bitmaps: bool = False) -> None:
     """Fill ``uniq`` of each plan: one GROUPING SETS job for the table's uniqueness
-    rules (several, side by side, past ``step`` columns)."""
+    rules (several, side by side, past ``step`` columns), and with ``key_bitmaps`` a bitmap job for each dense key."""
     spec_list, specs = _unique_specs(plans)
     if not spec_list:
         return
-    starts = list(range(0, len(spec_list), step))
     results: dict[int, tuple[int, int] | str] = {}
     try:
-        if len(starts) == 1:
-            results = _unique_chunk(base, spec_list, 0)
+        dense = dense_keys(base, spec_list) if key_bitmaps else []
+        rest = [j for j in range(len(spec_list)) if j not in dense]
+        work = [lambda j=j: _unique_by_bitmap(base, spec_list[j], j) for j in dense]
+        for i in range(0, len(rest), step):
+            some = rest[i:i + step]
+            work.append(lambda some=some: {some[k]: v for k, v in _unique_chunk(base, [spec_list[j] for j in some], 0).items()})
+        if len(work) == 1:
+            results = work[0]()
         else:
-            with ThreadPoolExecutor(max_workers=min(len(starts), 8)) as pool:
-                run = _inherit(base, lambda i: _unique_chunk(base, spec_list[i:i + step], i))
-                for part in pool.map(run, starts):
+            with ThreadPoolExecutor(max_workers=min(len(work), 8)) as pool:
+                for part in pool.map(_inherit(base, lambda f: f()), work):
                     results.update(part)
     except Exception as e:
         for pi, _ in specs:
@@ -379,7 +416,7 @@ def _plan_table(resolver: TableResolver, groups: list[RuleGroup]
 
 
 def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: bool,
-                    sizes: tuple[int, int]) -> list[_Planned]:
+                    sizes: tuple[int, int], key_bitmaps: bool = False) -> list[_Planned]:
     base, plans, live = _plan_table(resolver, groups)
     if not live:
         return plans
@@ -398,8 +435,10 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
         data = base.where(reduce(lambda a, b: a | b, filters)) if all(f is not None for f in filters) else base
         pruned = data.select(*[F.col(quote_ident(c)) for c in keep]) if keep else data
         try:  # everything must still resolve on the pruned columns (analysis only)
+            for p in live:
+                pruned.agg(F.count("*"), *[F.expr(a) for _, c in p.row for a in (c.aggregates or {}).values()])
             pruned.select(*[f for f in filters if f is not None],
-                          *[c.predicate for p in live for _, c in p.row],
+                          *[c.predicate for p in live for _, c in p.row if c.predicate is not None],
                           *[col_of(c.column, base.columns) for p in live for _, c in p.unique])
             data = pruned
         except Exception:
@@ -410,7 +449,7 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
             # the two queries of a table are independent: run them side by side
             with ThreadPoolExecutor(max_workers=2) as pool:
                 jobs = [pool.submit(_inherit(data, _run_row_level), data, live, sizes[0]),
-                        pool.submit(_inherit(data, _run_unique), data, live, sizes[1])]
+                        pool.submit(_inherit(data, _run_unique), data, live, sizes[1], key_bitmaps)]
                 for j in jobs:
                     j.result()
         else:
@@ -425,10 +464,13 @@ def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: boo
 _NULL_LONG = "CAST(NULL AS BIGINT)"
 
 
-def _count_rows(agg: DataFrame, cells: list[tuple[int, str, str, str]]) -> DataFrame:
-    """One-row aggregate -> one row per rule: (rule_index, total, passed, denom)."""
-    structs = ", ".join(f"named_struct('rule_index', CAST({i} AS BIGINT), 'total', {t}, "
-                        f"'passed', {p}, 'denom', {d})" for i, t, p, d in cells)
+_NULL_DOUBLE = "CAST(NULL AS DOUBLE)"
+
+
+def _count_rows(agg: DataFrame, cells: list[tuple[int, str, str, str, str, str]]) -> DataFrame:
+    """One-row aggregate -> one row per rule: (rule_index, total, passed, denom, value, errors)."""
+    structs = ", ".join(f"named_struct('rule_index', CAST({i} AS BIGINT), 'total', {t}, 'passed', {p}, 'denom', {d}, "
+                        f"'value', {v}, 'errors', {e})" for i, t, p, d, v, e in cells)
     return agg.select(F.expr(f"inline(array({structs}))"))
 
 
@@ -437,15 +479,19 @@ def _lazy_counts(base: DataFrame, live: list[_Planned], sizes: tuple[int, int])
     frames = []
     with_total: set[int] = set()
     for chunk in _chunks(live, sizes[0]):
-        agg = row_metrics(base, [RowGroup(p.fcol, [c.predicate for _, c in items]) for p, items in chunk])
+        agg = row_metrics(base, [_group(p, items) for p, items in chunk])
         cells = []
         for gi, (p, items) in enumerate(chunk):
             n = f"__n{gi}"
-            cells += [(r.index, n, f"__p{gi}_{i}", n) for i, (r, _) in enumerate(items)]
+            for i, (r, c) in enumerate(items):
+                if c.kind == AGGREGATE:
+                    cells.append((r.index, n, _NULL_LONG, _NULL_LONG, f"__v{gi}_{i}", _NULL_LONG))
+                else:
+                    cells.append((r.index, n, f"__p{gi}_{i}", n, _NULL_DOUBLE, f"__e{gi}_{i}" if c.fallible else _NULL_LONG))
             if id(p) not in with_total:  # the group's total, for its other rules
                 with_total.add(id(p))
                 others = [r for r, _ in p.unique] + [r for r, _, _ in p.broken] + [r for r, _ in p.skipped]
-                cells += [(r.index, n, _NULL_LONG, _NULL_LONG) for r in others]
+                cells += [(r.index, n, _NULL_LONG, _NULL_LONG, _NULL_DOUBLE, _NULL_LONG) for r in others]
         if cells:
             frames.append(_count_rows(agg, cells))
     spec_list, specs = _unique_specs(live)
@@ -456,7 +502,7 @@ def _lazy_counts(base: DataFrame, live: list[_Planned], sizes: tuple[int, int])
             for r, c in p.unique:
                 j = specs[(pi, c.column)]
                 if start <= j < start + step:
-                    cells.append((r.index, _NULL_LONG, f"__u{j - start}", f"__d{j - start}"))
+                    cells.append((r.index, _NULL_LONG, f"__u{j - start}", f"__d{j - start}", _NULL_DOUBLE, _NULL_LONG))
         frames.append(_count_rows(unique_metrics(base, spec_list[start:start + step]), cells))
     return frames
 
@@ -468,13 +514,13 @@ def _metric_rows(plans: list[_Planned]) -> list[tuple[tuple, dict]]:
         full = full_table_name(g.schema, g.table_name)
         pos = {r.index: i for i, r in enumerate(g.rules)}
 
-        def row(r: Rule, phase: int, outcome: str, total=None, passed=None, denom=None,
+        def row(r: Rule, phase: int, outcome: str, total=None, passed=None, denom=None, value=None,
                 message=None, check: Check | None = None) -> tuple[tuple, dict]:
             return ((g.index, phase, r.index), {
                 "rule_index": r.index, "schema": r.schema, "table_name": r.table_name, "column_name": r.column_name,
                 "rule_code": r.rule_code, "dimension": r.dimension, "metodo": r.metodo,
                 "params": r.params, "threshold": r.threshold, "outcome": outcome,
-                "total": total, "passed": passed, "denom": denom, "message": message,
+                "total": total, "passed": passed, "denom": denom, "value": value, "message": message,
                 "metric_name": check.metric if check else None,
                 "instance": check.instance if check else None,
                 "check_name": f"{r.rule_code}:{r.column_name}:{pos[r.index]}",
@@ -491,6 +537,8 @@ def _metric_rows(plans: list[_Planned]) -> list[tuple[tuple, dict]]:
             elif c.kind == UNIQUE:
                 u, d = p.uniq.get(r.index, (None, None))
                 out.append(row(r, 0, EVALUATED, n, u, d, check=c))
+            elif c.kind == AGGREGATE:
+                out.append(row(r, 0, EVALUATED, n, value=p.values.get(r.index), check=c))
             else:
                 out.append(row(r, 0, EVALUATED, n, p.passed.get(r.index), n, check=c))
         out += [row(r, 0, UNRESOLVED, total=p.total, message=m, check=c) for r, c, m in p.broken]
@@ -511,6 +559,7 @@ def evaluate_rules(
     eager: bool = True,
     aggs_per_scan: int = AGGS_PER_SCAN,
     unique_per_query: int = UNIQUE_PER_QUERY,
+    key_bitmaps: bool = False,
 ) -> DataFrame:
     """Run the active rules and return the *metrics relation*: one row per rule with
     its counts (``total``, ``passed``, ``denom``) and outcome, in result order.
@@ -521,9 +570,12 @@ def evaluate_rules(
     ``cache``: persist the needed columns of each table between its two queries.
     ``eager=False``: run nothing yet; return the unexecuted plan of every table's
     aggregates, so that the caller's action checks all tables in one Spark job.
-    Analysis faults are still isolated per rule and per group, but a run-time error
-    then fails that action (no re-run, no cache). ``aggs_per_scan`` (2 or more): counts
-    in one scan job, one per filter and one per rule; ``unique_per_query`` (1 or more):
+    Analysis faults are still isolated per rule and per group, and so are rows on which a predicate
+    raises an error, but an error in a filter or an aggregate check
+    then fails that action (no re-run, no cache). ``key_bitmaps``: check the uniqueness of whole-number
+    and date columns whose values lie close together by bitmaps, without moving a row for each value
+    (not in lazy mode, which cannot look first). ``aggs_per_scan`` (2 or more): counts
+    in one scan job, one per filter and one or two per rule; ``unique_per_query`` (1 or more):
     columns in one uniqueness query. A table with more runs several jobs side by side;
     every rule is evaluated either way.
     """
@@ -547,9 +599,9 @@ def evaluate_rules(
 
     if parallelism > 1 and len(work) > 1:
         with ThreadPoolExecutor(max_workers=min(parallelism, len(work))) as pool:
-            done = list(pool.map(_inherit(spark, lambda gs: _evaluate_table(resolver, gs, cache, sizes)), work))
+            done = list(pool.map(_inherit(spark, lambda gs: _evaluate_table(resolver, gs, cache, sizes, key_bitmaps)), work))
     else:
-        done = [_evaluate_table(resolver, gs, cache, sizes) for gs in work]
+        done = [_evaluate_table(resolver, gs, cache, sizes, key_bitmaps) for gs in work]
 
     return _metrics_frame(spark, done)
 
@@ -585,11 +637,15 @@ def _lazy_metrics(spark: SparkSession, resolver: TableResolver, work: list[list[
         return meta.drop("rule_index")
     counts = (reduce(DataFrame.unionByName, frames).groupBy("rule_index")
               .agg(F.max("total").alias("c_total"), F.max("passed").alias("c_passed"),
-                   F.max("denom").alias("c_denom")))
+                   F.max("denom").alias("c_denom"), F.max("value").alias("c_value"), F.max("errors").alias("c_errors")))
+    before, after = _row_errors("\n").split("\n")
     merged = meta.join(counts, "rule_index", "left").withColumns({
         "total": F.coalesce("c_total", "total"),
         "passed": F.coalesce("c_passed", "passed"),
         "denom": F.coalesce("c_denom", "denom"),
+        "value": F.coalesce("c_value", "value"),
+        "outcome": F.when(F.col("c_errors") > 0, F.lit(UNRESOLVED)).otherwise(F.col("outcome")),
+        "message": F.when(F.col("c_errors") > 0, F.concat(F.lit(before), F.col("c_errors").cast("string"), F.lit(after))).otherwise(F.col("message")),
     })
     return merged.select(*METRICS_SCHEMA.fieldNames()).orderBy("seq")
 
@@ -630,6 +686,7 @@ def run_rules(
     eager: bool = True,
     aggs_per_scan: int = AGGS_PER_SCAN,
     unique_per_query: int = UNIQUE_PER_QUERY,
+    key_bitmaps: bool = False,
 ) -> DataFrame:
     """Check a table's data against its rules: one result row per active rule.
 
@@ -645,7 +702,8 @@ def run_rules(
     """
     metrics = evaluate_rules(spark, rules, catalog, dataset=dataset, tables=tables,
                              fuse_filters=fuse_filters, parallelism=parallelism, cache=cache,
-                             eager=eager, aggs_per_scan=aggs_per_scan, unique_per_query=unique_per_query)
+                             eager=eager, aggs_per_scan=aggs_per_scan, unique_per_query=unique_per_query,
+                             key_bitmaps=key_bitmaps)
     return assemble(metrics, policy=policy, as_of=as_of, wide=wide, stamps=stamps)
 
 

@@ -76,6 +76,7 @@ MAX_ERROR_CHARS = 250
 # Our own remarks (no counterpart text in the reference).
 MSG_NO_VALUES = "Sin valores no nulos: la métrica no se puede calcular."
 MSG_NOT_EVALUABLE = "Regla no evaluable: {error}"
+MSG_ROW_ERRORS = "la expresión falla en {n} fila(s)"
 
 # Check outcome vocabulary of the verification report.
 SUCCESS = "Success"

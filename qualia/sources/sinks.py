@@ -34,17 +34,37 @@ def fresh_path(spark: SparkSession, stem: str) -> str:
 def save_table(df: DataFrame, schema: str | None, table: str, *, location: str | None = None) -> str:
     """Overwrite a managed table ``schema.table`` (the database is created if missing).
 
+    The rows are written to a table of another name first; only when all are there does it take the
+    place of the old one, which stays as it was if anything fails before. ``df`` may read the old table.
     ``location`` places a new database in a given folder (e.g. the shared folder).
     Returns the qualified name.
     """
     spark = df.sparkSession
-    name = quote_ident(table)
+    before = ""
     if schema:
         text = (location or "").replace("\\", "\\\\").replace("'", "\\'")
         loc = f" LOCATION '{text}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_ident(schema)}{loc}")
-        name = f"{quote_ident(schema)}.{name}"
-    df.write.mode("overwrite").saveAsTable(name)
+        before = f"{quote_ident(schema)}."
+    tag = uuid.uuid4().hex
+    name, new, old = (before + quote_ident(t) for t in (table, f"{table}__new_{tag}", f"{table}__old_{tag}"))
+    try:
+        df.write.saveAsTable(new)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    there = spark.catalog.tableExists(name)
+    if there:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    except BaseException:
+        if there:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    if there:
+        spark.sql(f"DROP TABLE {old}")
     return name
 
 
@@ -60,12 +80,32 @@ def write_result_csv(result: DataFrame, path: str, *, single_file: bool = True)
     """Write a result as CSV with a header, from the executors (no driver collect).
 
     A result holds one row per rule, so ``single_file`` (one part, one header) is
-    the default; turn it off to keep the result's own partitioning.
+    the default; turn it off to keep the result's own partitioning. The files are written
+    beside ``path`` and take its place when all are there, so a run that fails leaves the last result.
     """
     out = export_format(result)
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    tag = uuid.uuid4().hex
+    new, old = (f"{path.rstrip('/')}__{kind}_{tag}" for kind in ("new", "old"))
+    jvm = result.sparkSession._jvm
+    at = {p: jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, old)}
+    fs = at[path].getFileSystem(result.sparkSession._jsparkSession.sessionState().newHadoopConf())
+    try:
+        out.write.option("header", True).csv(new)
+    except BaseException:
+        fs.delete(at[new], True)
+        raise
+    there = fs.exists(at[path])
+    if there and not fs.rename(at[path], at[old]):
+        fs.delete(at[new], True)
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(at[new], at[path]):
+        if there:
+            fs.rename(at[old], at[path])
+        raise OSError(f"cannot move the new result to {path}")
+    if there:
+        fs.delete(at[old], True)
 
 
 def read_result_csv(spark: SparkSession, path: str) -> DataFrame:
