@@ -19,7 +19,7 @@ import numpy as np
 U = np.uint64
 BLOCK = 2048
 #: Blocks coded side by side.
-LANES = 2048
+LANES = 1536
 #: Steps after which frequencies and weights take in what was coded: soon at first.
 STRETCHES = [32, 96, 128, 256, 512, 512, 512]
 SLOTS = 1 << 9
@@ -192,9 +192,10 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
     lanes = -(-len(ids) // BLOCK)
     if not lanes:
         return []
-    padded = np.zeros(lanes * BLOCK, np.int64)
+    padded = np.zeros(lanes * BLOCK, np.int32)
     padded[:len(ids)] = ids
     grid = np.ascontiguousarray(padded.reshape(lanes, BLOCK).T)
+    del padded
     m = _Model(lanes, vocab, False)
     bits = U(m.total)
     low, rng = np.zeros(lanes, U), np.full(lanes, U(2**64 - 1))
@@ -202,10 +203,10 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
     with np.errstate(over="ignore"):
         l, g = low, rng
         for at, steps in _stretches():
-            right = np.empty((steps, lanes), np.int64)
+            right = np.empty((steps, lanes), np.int32)
             for t in range(steps):
                 if t % CHUNK == 0:
-                    part = grid[at + t:at + min(t + CHUNK, steps)]
+                    part = grid[at + t:at + min(t + CHUNK, steps)].astype(np.int64)
                     *seen, ctx, source = m.look(part)
                     start, size = m.intervals(part, ctx, source)
                     right[t:t + CHUNK] = ctx * 3 + source
@@ -242,7 +243,7 @@ def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
     left = (words[pos] << _32) | words[pos + 1]  # the code less the coder's low end
     pos += 2
     low, rng = np.zeros(lanes, U), np.full(lanes, U(2**64 - 1))
-    grid = np.zeros((BLOCK, lanes), np.int64)
+    grid = np.zeros((BLOCK, lanes), np.int32)
     with np.errstate(over="ignore"):
         c, l, g, w = left, low, rng, pos
         base, upper, lows = m.base, m.upper.place.ravel(), m.lower.place.ravel()
@@ -250,7 +251,7 @@ def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
         x1, x2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         for at, steps in _stretches():
             part = grid[at:at + steps]
-            right = np.empty((steps, lanes), np.int64)
+            right = np.empty((steps, lanes), np.int32)
             for t in range(steps):
                 h = _hash1(x1)
                 s1, s2 = h + base, _hash2(x2, h) + base
@@ -306,6 +307,6 @@ def decode(codes: list[bytes], n: int, vocab: int) -> np.ndarray:
                 x2, x1 = x1, ids
                 if t % CHUNK == CHUNK - 1 or t == steps - 1:
                     some = t % CHUNK + 1
-                    m.learn(part[t + 1 - some:t + 1], *(x[:some] for x in seen))
+                    m.learn(part[t + 1 - some:t + 1].astype(np.int64), *(x[:some] for x in seen))
             m.count(part, right)
     return grid.T.ravel()[:n]
