@@ -26,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from qualia.llm.shared import plain_names, ship, staged
 from qualia.llm.textops import BASE, NON_SPACE, U64, mix64, span_hashes, text_slices, word_spans
@@ -242,14 +241,15 @@ class Matcher:
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int):
         self.size, self.num, self.den = size, num, den
-        self.docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+        self.docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_mark(text_col).alias("mark"))
         sketched = staged(sketch(docs, id_col, text_col, size), "neardup-sketch")
         self.rows = sketched.select("id", "mark", "n", "node")
         self.nodes = staged(sketched.where("node is not null").groupBy("node").agg(
-            F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "neardup-nodes")
+            F.min("id").alias("id"), F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands")), "neardup-nodes")
         every = self.nodes.select("node", F.explode("bands").alias("key")).where("key >= 0")
-        bucket = W.partitionBy("key")
-        self.keys = staged(every.withColumns({"a": F.min("node").over(bucket), "z": F.max("node").over(bucket)}).where("a < z").select("key", "node", "a"), "neardup-keys")
+        # least and largest of each bucket by a pre-aggregated group-by: a bucket of any size is joined back in parts
+        bucket = every.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
+        self.keys = staged(every.join(bucket.select("key", "a"), "key"), "neardup-keys")
 
     def stars(self) -> DataFrame:
         """In each bucket, every member with the smallest one."""
@@ -267,9 +267,10 @@ class Matcher:
 
     def sets(self, nodes: DataFrame) -> DataFrame:
         """(node, hashes: the full set) of different nodes; written once."""
-        need = nodes.join(self.nodes.select("node", "id"), "node").selectExpr("id", "node want")
-        # a null id cannot be joined back by plain equality
-        texts = self.docs.withColumnRenamed("id", "doc").join(need, F.col("doc").eqNullSafe(F.col("id"))).select("want", "text")
+        need = nodes.join(self.nodes.select("node", "row"), "node").selectExpr("row.id id", "row.mark need", "node want")
+        # a null id cannot be joined back by plain equality, nor alone: ids may be null or stand several times
+        same = F.col("doc").eqNullSafe(F.col("id")) & F.col("mark").eqNullSafe(F.col("need"))
+        texts = self.docs.withColumnRenamed("id", "doc").join(need, same).select("want", "text")
         sets = texts.mapInArrow(_setter(self.size), "want binary, node binary, hashes binary").where("want = node")
         return staged(sets.dropDuplicates(["node"]).select("node", "hashes"), "neardup-sets")
 
@@ -287,10 +288,9 @@ class Matcher:
 
     def open_buckets(self, comp: DataFrame) -> DataFrame:
         """(key, node, comp) of the buckets that hold several components; in those of two members the pair was compared."""
-        bucket = W.partitionBy("key")
-        rows = self.keys.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        rows = rows.withColumns({"lo": F.min("comp").over(bucket), "hi": F.max("comp").over(bucket), "members": F.count("*").over(bucket)})
-        return rows.where("lo < hi and members > 2").select("key", "node", "comp")
+        rows = staged(self.keys.select("key", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "neardup-key-comp")
+        bucket = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members"))
+        return rows.join(bucket.where("lo < hi and members > 2").select("key"), "key").select("key", "node", "comp")
 
     def pivots(self, links: DataFrame, comp: DataFrame, rows: DataFrame) -> DataFrame:
         """(key, pivot): for each open bucket with linked members, the best linked node of its largest component."""
@@ -301,11 +301,21 @@ class Matcher:
         return held.groupBy("key").agg(F.max(F.struct("size", "pivot")).alias("p")).select("key", "p.pivot")
 
     def rest(self, rows: DataFrame, sets: DataFrame) -> DataFrame:
-        """Links between components of a family, found in blocks of bounded size. rows: (family, node, comp, distance)."""
-        family = rows.groupBy("family").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        rows = rows.join(family.selectExpr("family", f"(members - 1) div {BLOCK_ROWS} + 1 parts"), "family")
-        rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        """Links between components of a family, found in blocks of bounded size. rows: (family, node, comp, distance).
+
+        A component of more than BLOCK_ROWS rows has parts of its own, smaller ones share theirs. A part meets the other
+        parts of its family, but for those of its own large component, so rows that are linked already cost nothing.
+        """
+        several = rows.groupBy("family").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("family")
+        rows = rows.join(several, "family")
+        size = rows.groupBy("family", "comp").agg(F.count("*").alias("n"))
+        size = size.withColumn("own", F.expr(f"if(n > {BLOCK_ROWS}, comp, NULL)"))
+        parts = size.groupBy("family", "own").agg(F.expr(f"(sum(n) - 1) div {BLOCK_ROWS} + 1").alias("parts"))
+        rows = rows.join(size.select("family", "comp", "own"), ["family", "comp"])
+        rows = rows.alias("r").join(parts.alias("p"), F.expr("r.family = p.family and r.own <=> p.own")).selectExpr("r.*", "pmod(xxhash64(r.node), p.parts) k")
+        other = parts.selectExpr("family f", "own other_own", "explode(sequence(0L, parts - 1)) other_k")
+        rows = rows.join(other, F.expr("family = f and (own is null or other_own is null or own <> other_own)"))
+        rows = rows.withColumns({"part": F.xxhash64("own", "k"), "other": F.xxhash64("other_own", "other_k")})
         rows = rows.selectExpr("family", "least(part, other) i", "greatest(part, other) j", "part", "node", "comp", "coalesce(distance, double('nan')) far")
         rows = rows.join(sets, "node").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
         return rows.mapInArrow(_block_links(self.num, self.den), "a binary, b binary")

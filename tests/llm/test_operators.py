@@ -95,6 +95,47 @@ def test_rows_kept_of_null_and_repeated_ids(spark):
     assert len(kept) == 3 and len({0, 1} & set(kept)) == 1 and 2 in kept and len({4, 5} & set(kept)) == 1
 
 
+def test_rows_joined_grow_with_null_ids_not_with_their_square(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    for n in (200, 400):
+        df = spark.createDataFrame([(None, f"{base} x{i}") for i in range(n)], "doc_id long, text string")
+        m = neardup.Matcher(df, "doc_id", "text", 5, 75, 100)
+        sets = m.sets(m.nodes.select("node"))
+        assert sets.count() == n
+        need = m.nodes.selectExpr("row.id id", "row.mark need")
+        assert m.docs.withColumnRenamed("id", "doc").join(need, m.docs.mark == need.need).count() == n
+        assert {r.component for r in neardup.near_duplicates(df).collect()} == {None}
+
+
+def test_family_of_one_large_component_and_some_others(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 4)
+    rng = np.random.default_rng(5)
+    core = [f"c{i}" for i in range(60)]
+    rows = []
+    for k in range(40):  # drifting copies: neighbours are linked, distant ones are not
+        w = list(core)
+        for j in range(k // 4):
+            w[j * 5 % 60] = f"d{j}"
+        rows.append((k, " ".join(w + [f"t{k % 3}"])))
+    for k in range(40, 60):
+        w = list(core)
+        for j in rng.integers(0, 60, 4):
+            w[j] = f"e{k}{j}"
+        rows.append((k, " ".join(w)))
+    got = {r.id: r.component for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {k: {tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for k, t in rows}
+    group = {k: k for k in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                    group[a] = group[b] = min(group[a], group[b])
+                    changed = True
+    assert got == group
+
+
 def test_encoder_equals_the_library():
     import pyarrow as pa
 
