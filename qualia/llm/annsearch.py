@@ -1,14 +1,15 @@
 """Approximate nearest neighbours by largest inner product: a robust-pruned directed graph per shard.
 
 Equal vectors are one point with its smallest ids, so that copies can't crowd a graph or a
-result. Points are dealt to shards of bounded size by a hash. In its shard, each point
-is inserted in batches: greedy beam searches on the graph so far propose neighbours, relaxed
-distance pruning keeps those not much nearer to a kept one than to the point, and kept links get their
+result. Points are dealt to bands of like length (a factor of at most BAND) and, by a hash, to shards of bounded
+size inside a band. In its shard, each point, scaled to length 1, is inserted in batches: greedy beam searches on the graph so far
+propose neighbours, relaxed distance pruning keeps those not much nearer to a kept one than to the point, and kept links get their
 reverse. A second pass goes over all points with the complete graph. Every query runs a
-beam search on every shard; each shard's nearest are merged by exact scores.
+beam search on every shard, by the inner product itself (vectors scaled by the shard's longest one); each shard's nearest are merged
+by exact scores.
 
-Inner products become distances by one more coordinate, sqrt(R^2 - |v|^2) with R the
-shard's longest vector, so the nearest point is the one of the largest product.
+A beam is as wide as the shard needs: when its graph is made, some of its own points are asked and compared with
+all points, and the beam is doubled until it finds enough of their nearest.
 
 Defined results: vectors that are null, all zero, or hold null or non-finite components take no
 part; a null id neither asks nor is found; vectors of another length than the query's are
@@ -31,6 +32,8 @@ from qualia.llm.shared import ship, staged
 #: Points in a shard; links of a point; width of the beam when building and when asking; slack of the pruning.
 SHARD_POINTS = 16384
 DEGREE, BUILD_BEAM, ALPHA = 32, 64, 1.2
+#: Largest ratio of two lengths of a band; points asked to set a shard's beam, nearest that count, share of them to be found.
+BAND, PROBES, PROBE_K, PROBE_RECALL = 1.25, 64, 20, 0.97
 #: Queries searched side by side, and rows of the salted first ranking.
 BATCH = 512
 #: Queries that meet a graph in one task.
@@ -134,9 +137,11 @@ class Graph:
                 at += size
 
     def _place(self, vectors: np.ndarray) -> None:
-        square = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
-        extra = np.sqrt(np.maximum(square.max(initial=0) - square, 0))
-        self.vectors = np.concatenate([vectors, extra[:, None]], 1).astype(np.float32)
+        """vectors: unit ones for the graph; scaled: those that are asked, the longest of length 1."""
+        most = np.abs(vectors).max(1, initial=0, keepdims=True)  # first, so that no square overflows or vanishes
+        length = most * np.sqrt(np.square(vectors / most).sum(1, keepdims=True))
+        self.vectors = (vectors / most / np.sqrt(np.square(vectors / most).sum(1, keepdims=True))).astype(np.float32)
+        self.scaled = (self.vectors * (length / length.max(initial=0))).astype(np.float32)
         self.norms = np.einsum("ij,ij->i", self.vectors, self.vectors)
 
     @classmethod
@@ -187,11 +192,25 @@ class Graph:
     def nearest(self, queries: np.ndarray, width: int) -> np.ndarray:
         """Rows of the ``width`` largest inner products found for each query (-1: none)."""
         out = []
-        q = np.concatenate([queries, np.zeros((len(queries), 1))], 1).astype(np.float32)
+        q = queries / np.abs(queries).max(1, initial=1e-300, keepdims=True)
+        q = (q / np.sqrt(np.square(q).sum(1, keepdims=True))).astype(np.float32)  # a query's length changes no order
         for lo in range(0, len(q), BATCH):
-            out.append(beam_search(self.vectors, self.links, self.norms, self.entries, q[lo:lo + BATCH], width)[0])
+            out.append(beam_search(self.scaled, self.links, np.zeros(len(self.scaled), np.float32), self.entries, q[lo:lo + BATCH], width)[0])
         return np.concatenate(out) if out else np.zeros((0, width), np.int64)
 
+    def width(self, least: int, seed: int = 11) -> int:
+        """The beam with which points of this graph find enough of their nearest, ``least`` at least."""
+        n = len(self.vectors)
+        asked = np.random.default_rng(seed).permutation(n)[:PROBES]
+        exact = np.argsort(-(self.scaled[asked] @ self.scaled.T), axis=1, kind="stable")[:, :PROBE_K]
+        width = least
+        while width < n:
+            found = self.nearest(self.scaled[asked], width)
+            if np.mean([np.isin(e, f).mean() for e, f in zip(exact, found)]) >= PROBE_RECALL:
+                break
+            width *= 2
+        return min(width, max(n, least))
+
 
 def clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v: doubles) of the rows that take part."""
@@ -208,18 +227,24 @@ def points(rows: DataFrame, k: int) -> DataFrame:
     return some.groupBy("digest", "v").agg(F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("ids"))  # at most SALTS * (k + 1) ids
 
 
-GRAPH = "dim int, shard long, vectors binary, links binary, entry int, ids array<array<long>>"
+GRAPH = "dim int, shard long, vectors binary, links binary, entry int, width int, ids array<array<long>>"
+
+
+def _builder(k: int, width: int):
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        """The graph of one shard as one row."""
+        v = np.stack(part["v"].to_numpy())
+        g = Graph(v)
+        return _row(key, part, v, g, g.width(max(width, k + 1)))
+    return run
 
 
-def _build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-    """The graph of one shard as one row."""
-    v = np.stack(part["v"].to_numpy())
-    g = Graph(v)
+def _row(key: tuple, part: pd.DataFrame, v: np.ndarray, g: Graph, width: int) -> pd.DataFrame:
     return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "vectors": [v.tobytes()], "links": [g.links.astype(np.int32).tobytes()],
-                         "entry": [int(g.entries[0])], "ids": [[list(map(int, x)) for x in part["ids"]]]})
+                         "entry": [int(g.entries[0])], "width": [width], "ids": [[list(map(int, x)) for x in part["ids"]]]})
 
 
-def _searcher(k: int, width: int):
+def _searcher(k: int):
     def run(key: tuple, graphs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         """One graph and one block of queries."""
         found = [pd.DataFrame({"query_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64"), "ids": pd.Series(dtype=object)})]
@@ -233,10 +258,11 @@ def _searcher(k: int, width: int):
             q = np.stack(asked["v"].to_numpy())
             ask_id = asked["id"].to_numpy()
             for lo in range(0, len(q), BATCH):
-                near = g.nearest(q[lo:lo + BATCH], max(width, k + 1))
+                near = g.nearest(q[lo:lo + BATCH], int(row["width"]))
                 r, c = np.nonzero(near >= 0)
                 p = near[r, c]
-                score = np.einsum("ij,ij->i", v[p], q[lo + r])
+                with np.errstate(over="ignore", invalid="ignore"):
+                    score = np.einsum("ij,ij->i", v[p], q[lo + r])
                 # best first; each query's first k + 1 points hold its first k answers of this shard
                 by = np.lexsort((least[p], -score, r))
                 r, p, score = r[by], p[by], score[by]
@@ -252,16 +278,20 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
     spark = vectors.sparkSession
     ship(spark)
     base = staged(points(clean(vectors, id_col, vector_col), k), "ann-points")
-    shards = base.count() // shard_points + 1
+    # bands of like length: the largest component first, so that no square overflows or vanishes
+    most = F.aggregate("v", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.col("_most")) * (x / F.col("_most")))
+    base = base.withColumns({"dim": F.size("v"), "_most": most}).withColumn("band", F.floor((F.log("_most") + F.log(squares) / 2) / float(np.log(BAND)))).drop("_most")
+    bands = base.groupBy("dim", "band").agg(F.expr(f"count(*) div {shard_points} + 1").alias("shards"))  # a row for each band
+    dealt = base.join(bands, ["dim", "band"]).withColumn("shard", F.xxhash64("band", F.pmod(F.xxhash64("v", F.lit("shard")), F.col("shards"))))
+    graphs = staged(dealt.select("dim", "shard", "v", "ids").groupBy("dim", "shard").applyInPandas(_builder(k, width), GRAPH), "ann-graphs")
     asked = clean(queries, id_col, vector_col)
     blocks = asked.count() // QUERY_BLOCK + 1
-    dealt = base.withColumns({"dim": F.size("v"), "shard": F.pmod(F.xxhash64("v", F.lit("shard")), F.lit(shards))})
-    graphs = staged(dealt.groupBy("dim", "shard").applyInPandas(_build, GRAPH), "ann-graphs")
     asked = asked.withColumns({"dim": F.size("v"), "block": F.pmod(F.xxhash64("id"), F.lit(blocks))})
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")))
+    asked = asked.join(graphs.selectExpr("dim _d", "shard _s"), F.col("dim") == F.col("_d")).selectExpr("id", "v", "dim", "_s shard", "block")
     held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
     key = ["dim", "shard", "block"]
-    found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(_searcher(k, width), "query_id long, score double, ids array<long>")
+    found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(_searcher(k), "query_id long, score double, ids array<long>")
     each = found.select("query_id", "score", F.explode("ids").alias("id")).where("id <> query_id")
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     return each.withColumn("rank", F.row_number().over(best)).where(f"rank <= {k}").select("query_id", "rank", "id", "score")

@@ -375,3 +375,38 @@ def test_pipeline_stages_against_brute_force(spark):
 
 def test_digest_of_payload():
     assert warc.payload_digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ" and hashlib.sha1(b"").hexdigest().startswith("da39")
+
+
+def _exact(v, q, k):
+    """Ids of the k largest inner products with v[q], itself left out."""
+    scale = np.abs(v).max()
+    s = (v / scale) @ (v[q] / np.abs(v[q]).max())
+    s[q] = -np.inf
+    return set(np.lexsort((np.arange(len(v)), -s))[:k].tolist())
+
+
+@pytest.mark.parametrize("kind", ["gaussian", "one long", "huge", "mixed"])
+def test_nearest_of_unequal_lengths(spark, kind):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(2500, 32))
+    if kind == "one long":
+        v[77] *= 1e4
+    if kind == "huge":
+        v[77] *= 1e20
+        v[78] *= 1e-20
+    if kind == "mixed":
+        v *= 10 ** rng.uniform(-3, 3, (2500, 1))
+    t = spark.createDataFrame([(i, [float(x) for x in r], "x") for i, r in enumerate(v)], "vec_id long, embedding array<double>, shard string")
+    got = {}
+    for r in annsearch.search(t, t.where("vec_id % 25 = 0"), k=20, shard_points=1000).collect():
+        got.setdefault(r.query_id, set()).add(r.id)
+    assert len(got) == 100 and all(len(x) == 20 for x in got.values())
+    assert np.mean([len(got[q] & _exact(v, q, 20)) / 20 for q in got]) >= 0.95
+
+
+def test_nearest_of_empty_tables_and_repeated_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.5]), (2, [1.0, 0.5]), (3, [1.0]), (4, [0.0, 0.0]), (5, None)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.id, round(r.score, 3)) for r in annsearch.search(t, t.where("vec_id in (2, 3)"), k=3).collect())
+    assert got == [(2, 1, 0.5), (2, 1, 1.0)]
+    assert annsearch.search(t.limit(0), t, k=3).count() == 0 and annsearch.search(t, t.limit(0), k=3).count() == 0
