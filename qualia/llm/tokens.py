@@ -18,7 +18,7 @@ import pyarrow as pa
 from qualia.llm.textops import span_hashes, text_slices
 
 #: Pieces that a worker remembers; when full, it forgets all of them and goes on. A text may hold any number of pieces.
-REMEMBERED = 1 << 20
+REMEMBERED = 3 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
@@ -79,12 +79,18 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                          and not spec.get("normalizer"))
+        # where no token but those of white space alone has a space inside, words that begin with a space can be given to the model in a row
+        space, back = BYTE_LETTERS[32], {c: b for b, c in BYTE_LETTERS.items()}
+        vocab = self.lib.get_vocab()
+        self.in_rows = self.by_piece and all(space not in t[1:] or bytes(back.get(c, 255) for c in t).decode(errors="replace").isspace() for t in vocab)
+        self.at_space = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.at_space[[i for t, i in vocab.items() if t.startswith(space)]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.slots = 1 << 16
         self.key = np.zeros(self.slots, np.uint64)
-        self.at = np.zeros(self.slots, np.int64)
+        self.at = np.zeros(self.slots, np.int32)
         self.size = np.zeros(self.slots, np.int32)
         self.pool = np.zeros(1 << 18, np.int32)
         self.used = self.count = 0
@@ -108,7 +114,7 @@ class Encoder:
             old = np.flatnonzero(self.key)
             key, at, size = self.key[old], self.at[old], self.size[old]
             self.slots *= 2
-            self.key, self.at, self.size = np.zeros(self.slots, np.uint64), np.zeros(self.slots, np.int64), np.zeros(self.slots, np.int32)
+            self.key, self.at, self.size = np.zeros(self.slots, np.uint64), np.zeros(self.slots, np.int32), np.zeros(self.slots, np.int32)
             self._put(key, at, size)
         flat, size = self._by_library(texts)
         if self.used + len(flat) > len(self.pool):
@@ -123,13 +129,18 @@ class Encoder:
         are encoded many at a time, parted by line feeds, which are ids of their own there."""
         parts: list = [None] * len(texts)
         if self.by_piece:
-            tokenize = self.lib.model.tokenize
-            for i, t in enumerate(texts):
-                if (t[1:] if t[0] == " " else t).isalpha():
-                    if t.isascii():
-                        parts[i] = [x.id for x in tokenize(t.replace(" ", BYTE_LETTERS[32]))]
-                    elif max(t) <= _LAST_LETTER:
-                        parts[i] = [x.id for x in tokenize(t.encode().decode("latin-1").translate(BYTE_LETTERS))]
+            words = [i for i, t in enumerate(texts) if (t[1:] if t[0] == " " else t).isalpha() and (t.isascii() or max(t) <= _LAST_LETTER)]
+            rows = [i for i in words if self.in_rows and texts[i][0] == " "]
+            for lo in range(0, len(rows), 64):
+                some = rows[lo:lo + 64]
+                ids = self._by_model("".join([texts[i] for i in some]))
+                starts = np.flatnonzero(self.at_space[ids]).tolist()
+                if len(starts) == len(some) and starts[0] == 0:
+                    for i, a, b in zip(some, starts, [*starts[1:], len(ids)]):
+                        parts[i] = ids[a:b]
+            for i in words:
+                if parts[i] is None:
+                    parts[i] = self._by_model(texts[i])
         feed = self.lib.encode("\n", add_special_tokens=False).ids
         at = [i for i, t in enumerate(texts) if parts[i] is None and bool(s := t.removeprefix(" ")) and s.split() == [s] and len(feed) == 1]
         for lo in range(0, len(at), 20000):
@@ -147,6 +158,10 @@ class Encoder:
         size = np.fromiter(map(len, parts), np.int32, len(parts))
         return np.fromiter(chain.from_iterable(parts), np.int32, int(size.sum())), size
 
+    def _by_model(self, letters: str) -> list[int]:
+        letters = letters.replace(" ", BYTE_LETTERS[32]) if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return [x.id for x in self.lib.model.tokenize(letters)]
+
     def _put(self, h: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
         todo = np.arange(len(h))
         while len(todo):  # several may want one free slot: the last of them gets it
@@ -173,7 +188,7 @@ class Encoder:
                 uniq, first = np.unique(part[new], return_index=True)
                 first = new[first] + lo
                 self._learn(uniq, [raw[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist())])
-            size, at = self.size[slot].astype(np.int64), self.at[slot]
+            size, at = self.size[slot].astype(np.int64), self.at[slot].astype(np.int64)
             before = np.cumsum(size) - size
             found.append(self.pool[np.repeat(at - before, size) + np.arange(size.sum())])
             sizes.append(size)
