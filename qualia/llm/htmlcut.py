@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections import deque
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,7 +28,7 @@ from qualia.llm.shared import ship
 
 # Fixed values of HTML: elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp svg math canvas object audio video head".split())
+RAW = frozenset("script style template textarea title iframe noembed noframes xmp head".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                   "header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody tfoot thead tr ul".split())
 CELL = frozenset("br td th".split())
@@ -57,21 +57,30 @@ ASIDE_TAGS = frozenset("nav aside menu dialog".split())
 ASIDE_ROLES = frozenset("navigation complementary dialog alertdialog menu menubar".split())
 LOOSE_TAGS = frozenset("form fieldset".split())
 
-# The classifier's weights: log-odds of content.
-WEIGHTS = {"bias": -0.5, "word": 0.08, "words_most": 2.5, "sentence": 1.0, "links": -4.0, "heading": 1.0,
-           "content": 4.0, "boilerplate": -8.0, "article_header": 2.0, "banned": -40.0}
-#: Smoothness: neighbours with the same parent, with other parents (shared by distance), block and container, container and parent.
-SAME_PARENT, NEIGHBOUR, IN_CONTAINER, CONTAINERS = 1.0, 0.6, 0.3, 0.15
+# The classifier's weights: log-odds of content. What elements say of their text weighs about as much as the text itself; only what the
+# contract of a main text rules out (reader comments, hidden elements) is beyond the reach of neighbours.
+WEIGHTS = {"bias": -0.5, "word": 0.08, "words_most": 2.0, "sentence": 1.0, "links": -4.0, "heading": 0.5,
+           "content": 2.0, "boilerplate": -4.5, "article_header": 1.0, "banned": -40.0}
+#: Smoothness, in the same units: neighbours with the same parent, with other parents (shared by distance), block and container, container and parent.
+SAME_PARENT, NEIGHBOUR, IN_CONTAINER, CONTAINERS = 1.2, 0.8, 0.8, 0.4
 
-_TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|[!?][^>]*>|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*?)/?(?:>|\Z))", re.S)
+_OPEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_MARK = re.compile(r"[>\"']")
 _ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/>"']+)""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SENTENCE = re.compile(r"[.!?…。][\"'”»)]*(?:\s|$)")
 _RAW_END: dict[str, re.Pattern] = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 
 
+#: Elements that others end, the elements that each of them ends, and those beyond which none is looked for.
+_CLOSABLE = frozenset("p li dt dd tr td th option".split())
+_ENDS = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
+_KEEPS = frozenset("ul ol menu dl table select article section div nav body main aside blockquote form button".split())
+_CONTAINERS = BLOCK - frozenset("p li tr option legend summary caption dt dd".split()) - HEADING
+
+
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "hint", "firm", "link", "heading", "number")
+    __slots__ = ("tag", "parent", "depth", "hint", "firm", "link", "heading", "number", "near", "box")
 
     def __init__(self, tag: str, parent: "_Element | None", hint: tuple[str, int], number: int):
         self.tag, self.parent, self.number = tag, parent, number
@@ -79,6 +88,9 @@ class _Element:
         self.depth = parent.depth + 1 if parent else 0
         self.link = tag == "a" or bool(parent and parent.link)
         self.heading = tag in HEADING or bool(parent and parent.heading)
+        #: the element itself or the nearest around it that may end without an end tag or keeps others from it; that is a container
+        self.near = self if parent is None or tag in _CLOSABLE or tag in _KEEPS else parent.near
+        self.box = self if parent is None or tag in _CONTAINERS else parent.box
 
 
 def _hint(tag: str, attrs: str, parent: str, firm: int) -> tuple[str, int]:
@@ -157,6 +169,33 @@ def blocks(page: str) -> list[tuple[str, int, int, _Element]]:
             parts.append((text, top.link))
 
     at, n = 0, len(page)
+    unclosed: set[str] = set()  # quote marks that do not occur any more
+    open_tags: Counter = Counter()
+
+    def tag_end(at: int) -> int:
+        """The place of the > that ends a tag, or the page's end; quoted values are passed over, each place is looked at once."""
+        while m := _MARK.search(page, at):
+            q, at = m[0], m.end()
+            if q == ">":
+                return at - 1
+            if page[m.start() - 1] == "=" or page[:m.start()][-20:].rstrip().endswith("="):
+                end = -1 if q in unclosed else page.find(q, at)
+                if end < 0:
+                    unclosed.add(q)
+                else:
+                    at = end + 1
+        return n
+
+    def leave(e: _Element) -> None:
+        """Everything up to and with e ends."""
+        nonlocal top
+        while True:
+            open_tags[top.tag] -= 1
+            done = top is e
+            top = top.parent
+            if done:
+                return
+
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -164,53 +203,55 @@ def blocks(page: str) -> list[tuple[str, int, int, _Element]]:
             break
         if lt > at:
             add(page[at:lt])
-        m = _TAG.match(page, lt)
+        m = _OPEN.match(page, lt)
         if not m:
             add("<")
             at = lt + 1
             continue
-        at = m.end()
-        if m["cdata"] is not None:
-            continue
-        name = m["name"]
-        if name is None:
+        if m[5] is None:
+            end = "-->" if m[1] else "]]>" if m[2] else ">"
+            at = page.find(end, m.end())
+            at = n if at < 0 else at + len(end)
             continue
-        tag = name.lower()
-        if m["end"]:
+        tag = m[5].lower()
+        gt = tag_end(m.end())
+        attrs = page[m.end():gt]
+        at = min(gt + 1, n)
+        whole = attrs.endswith("/")
+        if m[4]:
             if tag == "p" or tag in BLOCK:
                 close()
             elif tag in CELL:
                 add(" ")
-            e = top
-            while e is not root and e.tag != tag:
-                e = e.parent
-            if e is not root:
-                top = e.parent
+            if open_tags[tag] > 0:
+                e = top
+                while e.tag != tag:
+                    e = e.parent
+                leave(e)
             continue
         if tag in BLOCK:
             close()
         elif tag in CELL:
             add(" ")
         if tag in RAW and tag != "head":
-            if not page.endswith("/>", lt, at):
+            if not whole:
                 end = _RAW_END[tag].search(page, at)
                 at = end.end() if end else n
             continue
-        if tag in VOID or page.endswith("/>", lt, at) and tag not in BLOCK:
+        if tag in VOID or whole and tag not in BLOCK:
             continue
         # elements whose end may be left out
-        if tag in ENDS_P or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            ends = {"p"} if tag in ENDS_P else set()
-            ends |= {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}.get(tag, set())
-            stop = {"ul", "ol", "menu", "dl", "table", "select", "article", "section", "div", "nav", "body", "main", "aside", "blockquote", "form", "button"}
-            e, cut = top, None
-            while e is not root and e.tag not in stop:
+        if tag in ENDS_P or tag in _CLOSABLE:
+            ends = _ENDS.get(tag, frozenset()) | ({"p"} if tag in ENDS_P else frozenset())
+            e, cut = top.near, None
+            while e is not root and e.tag not in _KEEPS:
                 if e.tag in ends:
                     cut = e
-                e = e.parent
+                e = e.parent.near
             if cut is not None:
-                top = cut.parent
-        top = _Element(tag, top, _hint(tag, m["attrs"] or "", top.hint, top.firm), made)
+                leave(cut)
+        top = _Element(tag, top, _hint(tag, attrs, top.hint, top.firm), made)
+        open_tags[tag] += 1
         made += 1
     close()
     return out
@@ -237,15 +278,6 @@ def _distance(a: _Element, b: _Element) -> int:
     return n
 
 
-_CONTAINERS = BLOCK - frozenset("p li tr option legend summary caption dt dd".split()) - HEADING
-
-
-def _container(e: _Element) -> _Element:
-    while e.parent is not None and e.tag not in _CONTAINERS:
-        e = e.parent
-    return e
-
-
 def graph(found: list[tuple[str, int, int, _Element]]) -> tuple[list[float], dict[tuple[int, int], float]]:
     """(log-odds of each node, capacity of each edge): the blocks, then their containers."""
     odds = [log_odds(n, linked, text, e) for text, n, linked, e in found]
@@ -263,7 +295,7 @@ def graph(found: list[tuple[str, int, int, _Element]]) -> tuple[list[float], dic
             way.append(k)
             if known or e.parent is None or e.parent.parent is None:
                 break
-            e = _container(e.parent)
+            e = e.parent.box
             if e.parent is None:
                 break
         for k in range(len(way) - 1, 0, -1):
@@ -278,7 +310,7 @@ def graph(found: list[tuple[str, int, int, _Element]]) -> tuple[list[float], dic
         if k:
             d = _distance(found[k - 1][3], e)
             join(k - 1, k, SAME_PARENT if d <= 2 and found[k - 1][3].parent is e.parent else NEIGHBOUR / max(d, 1))
-        c = _container(e)
+        c = e.box
         if c.parent is not None:
             join(k, node(c), IN_CONTAINER)
     return odds, edges
@@ -289,7 +321,7 @@ def min_cut(odds: list[float], edges: dict[tuple[int, int], float]) -> list[bool
 
     A node whose terminal outweighs all its edges takes that side in some minimum cut; it is
     fixed and its edges become terminal capacity of its neighbours. The rest goes through
-    augmenting paths, shortest first.
+    blocking flows along shortest paths.
     """
     n = len(odds)
     odds = list(odds)
@@ -311,38 +343,70 @@ def min_cut(odds: list[float], edges: dict[tuple[int, int], float]) -> list[bool
     left = [a for a in range(n) if side[a] is None]
     if not left:
         return side
-    source, sink = n, n + 1
-    cap: dict[int, dict[int, float]] = {a: dict(near[a]) for a in left}
-    cap[source], cap[sink] = {}, {}
+    # arcs in pairs, each the other's reverse; terminals come last
+    place = {a: k for k, a in enumerate(left)}
+    source, sink = len(left), len(left) + 1
+    arcs: list[list[int]] = [[] for _ in range(len(left) + 2)]
+    to: list[int] = []
+    cap: list[float] = []
+
+    def arc(a: int, b: int, there: float, back: float) -> None:
+        arcs[a].append(len(to))
+        arcs[b].append(len(to) + 1)
+        to.extend((b, a))
+        cap.extend((there, back))
+
     for a in left:
+        for b, c in near[a].items():
+            if a < b:
+                arc(place[a], place[b], c, c)
         if odds[a] > 0:
-            cap[source][a] = odds[a]
-            cap[a][source] = 0.0
+            arc(source, place[a], odds[a], 0.0)
         elif odds[a] < 0:
-            cap[a][sink] = -odds[a]
-            cap[sink][a] = 0.0
+            arc(place[a], sink, -odds[a], 0.0)
     tiny = 1e-9
-    while True:
-        came = {source: source}
-        queue = deque([source])
-        while queue and sink not in came:
-            a = queue.popleft()
-            for b, c in cap[a].items():
-                if c > tiny and b not in came:
-                    came[b] = a
-                    queue.append(b)
-        if sink not in came:
+    while True:  # a blocking flow along shortest paths, again and again (no path is looked for twice in a round)
+        level = {source: 0}
+        row = [source]
+        while row and sink not in level:
+            later = []
+            for a in row:
+                for x in arcs[a]:
+                    if cap[x] > tiny and to[x] not in level:
+                        level[to[x]] = level[a] + 1
+                        later.append(to[x])
+            row = later
+        if sink not in level:
             break
-        path, b = [], sink
-        while b != source:
-            path.append((came[b], b))
-            b = came[b]
-        flow = min(cap[a][b] for a, b in path)
-        for a, b in path:
-            cap[a][b] -= flow
-            cap[b][a] = cap[b].get(a, 0.0) + flow
+        tried = [0] * len(arcs)
+        path: list[int] = []
+        at = source
+        while True:
+            if at == sink:
+                flow = min(cap[x] for x in path)
+                for x in path:
+                    cap[x] -= flow
+                    cap[x ^ 1] += flow
+                first = next(k for k, x in enumerate(path) if cap[x] <= tiny)
+                at = to[path[first] ^ 1]
+                del path[first:]
+                continue
+            while tried[at] < len(arcs[at]):
+                x = arcs[at][tried[at]]
+                if cap[x] > tiny and level.get(to[x]) == level[at] + 1:
+                    break
+                tried[at] += 1
+            if tried[at] < len(arcs[at]):
+                path.append(arcs[at][tried[at]])
+                at = to[path[-1]]
+            elif path:
+                x = path.pop()
+                at = to[x ^ 1]
+                tried[at] += 1
+            else:
+                break
     for a in left:
-        side[a] = a in came
+        side[a] = place[a] in level
     return side
 
 
