@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualia.llm.shared import plain_names, ship
+from qualia.llm.shared import plain_names, ship, staged
 from qualia.llm.textops import ALNUM, span_hashes, text_slices, word_spans, words_of
 
 SHARD_WORDS = 1 << 19
@@ -162,20 +162,31 @@ def judge(words: np.ndarray, first: np.ndarray, tests: tuple, window: int, prior
     lo, hi, need, longest, best_lo, best_hi, item = sa.search(items, item_first, window)
     size = first[-1] + n_texts
     delta = np.zeros(size + 1, np.int64)
+    # windows that are the same words stand in one interval of the array: their places are looked at once, for all items
     got = np.flatnonzero(hi > lo)
-    who, at = _spread(lo[got], hi[got])
-    pos, tail = sa.order[at], got[who]
-    true = sa.same(pos, items, tail, need[tail])
-    pos, tail = pos[true], tail[true]
+    _, rep, same = np.unique((lo[got] * (size + 1) + hi[got]) * (window + 1) + need[got], return_index=True, return_inverse=True)
+    rep = got[rep]
+    which, at = _spread(lo[rep], hi[rep])
+    pos = sa.order[at]
+    true = sa.same(pos, items, rep[which], need[rep[which]])
+    pos, which = pos[true], which[true]
     np.add.at(delta, pos, 1)
-    np.add.at(delta, pos + need[tail], -1)
+    np.add.at(delta, pos + need[rep[which]], -1)
     if prior is not None:
         for t, spans in enumerate(prior):
             for s in spans or ():
                 delta[sa.text_at[t] + s["start"]] += 1
                 delta[sa.text_at[t] + s["end"]] -= 1
-    text = np.searchsorted(sa.text_at, pos, "right") - 1
-    pairs = np.unique(text * len(ids) + item[tail]) if len(pos) else np.zeros(0, np.int64)
+    held = np.unique((np.searchsorted(sa.text_at, pos, "right") - 1) * max(len(rep), 1) + which)  # windows of each text
+    by = np.argsort(same, kind="stable")
+    edge = np.searchsorted(same[by], np.arange(len(rep) + 1)).tolist()
+    by = item[got[by]]
+    found: list = [[] for _ in range(n_texts)]
+    text, which = held // max(len(rep), 1), held % max(len(rep), 1)
+    cut = np.append(np.flatnonzero(np.diff(text, prepend=-1)), len(text)).tolist()
+    for lo_, hi_ in zip(cut[:-1], cut[1:]):  # the items of one text at a time
+        some = np.unique(np.concatenate([by[edge[w]:edge[w + 1]] for w in which[lo_:hi_].tolist()]))
+        found[text[lo_]] = sorted({ids[k] for k in some.tolist() if ids[k] is not None})
     hit = np.zeros(size + 2, np.int8)
     hit[1:-1] = np.cumsum(delta[:-1]) > 0
     edge = np.diff(hit)
@@ -184,16 +195,15 @@ def judge(words: np.ndarray, first: np.ndarray, tests: tuple, window: int, prior
     spans: list = [[] for _ in range(n_texts)]
     for t, a, b in zip(s_text.tolist(), (start - sa.text_at[s_text]).tolist(), (end - sa.text_at[s_text]).tolist()):
         spans[t].append({"start": a, "end": b})
-    found: list = [[] for _ in range(n_texts)]
-    for p in pairs.tolist():
-        found[p // len(ids)].append(ids[p % len(ids)])
     most = np.zeros(n_texts, np.int64)
     some = np.flatnonzero((longest >= need) & (need > 0))
+    _, rep = np.unique((best_lo[some] * (size + 1) + best_hi[some]) * (depth + 1) + longest[some], return_index=True)
+    some = some[rep]
     who, at = _spread(best_lo[some], best_hi[some])
     pos, tail = sa.order[at], some[who]
     true = sa.same(pos, items, tail, longest[tail])
     np.maximum.at(most, np.searchsorted(sa.text_at, pos[true], "right") - 1, longest[tail[true]])
-    return spans, [sorted({x for x in f if x is not None}) for f in found], most
+    return spans, found, most
 
 
 def _mapper(names: list[str], text_col: str, tests_bc, window: int, again: bool):
@@ -254,11 +264,16 @@ def find_leaks(docs: DataFrame, bench: DataFrame, *, text_col: str = "text", ite
     docs = docs.drop(*ADDED.names)  # columns so named are replaced
     names = docs.columns
     out, again = docs, False
-    blocks = list(_blocks(bench, item_id, item_text, block_bytes)) or [(np.zeros(0, np.uint64), np.zeros(1, np.int64), [])]
-    for tests in blocks:
-        schema = T.StructType(docs.schema.fields + ADDED.fields)
-        out = out.mapInArrow(_mapper(names, text_col, spark.sparkContext.broadcast(tests), window, again), schema)
-        again = True
+    schema = T.StructType(docs.schema.fields + ADDED.fields)
+    blocks = _blocks(bench, item_id, item_text, block_bytes)
+    tests = next(blocks, (np.zeros(0, np.uint64), np.zeros(1, np.int64), []))
+    while tests is not None:  # one block at a time: its hits are written before the next one is read
+        sent = spark.sparkContext.broadcast(tests)
+        out = out.mapInArrow(_mapper(names, text_col, sent, window, again), schema)
+        again, tests = True, next(blocks, None)
+        if tests is not None:
+            out = staged(out, "leaks")
+            sent.destroy()
     return out
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from qualia.llm.shared import ship
+from qualia.llm.shared import ship, staged
 
 #: Lengths in a range of the two-step running sums.
 RANGE = 4096
@@ -57,7 +57,7 @@ def histogram(counts: DataFrame) -> DataFrame:
 
 def running(hist: DataFrame) -> DataFrame:
     """The histogram with documents and tokens up to each length and from longer ones (suffix sums)."""
-    hist = hist.withColumn("range", F.expr(f"length div {RANGE}"))
+    hist = staged(hist, "histogram").withColumn("range", F.expr(f"length div {RANGE}"))  # read twice, made once
     up = W.partitionBy("range").orderBy("length").rowsBetween(W.unboundedPreceding, 0)
     over = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     ranges = hist.groupBy("range").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))

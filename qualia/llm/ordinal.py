@@ -166,6 +166,12 @@ def select(docs: DataFrame, model: Model, at_least: int = 1, probability: float
 LEVELS = 3
 
 
+def rated(labels: DataFrame) -> DataFrame:
+    """(doc_id, rating, toxic) of the given table of labels; the rating is the column after the id."""
+    after = labels.columns[labels.columns.index("doc_id") + 1:]
+    return labels.select("doc_id", F.col(next(c for c in after if c != "toxic")).alias("rating"), "toxic")
+
+
 def label_grade() -> Column:
-    """0: rated poor; 1: rated good but toxic; 2: rated good and not toxic."""
-    return F.when(F.col("quality") == 0, 0).when(F.coalesce("toxic", F.lit(0)) == 1, 1).when(F.col("quality") == 1, 2)
+    """0: rated poor; 1: rated good but toxic; 2: rated good and not toxic. For a table of ``rated``."""
+    return F.when(F.col("rating") == 0, 0).when(F.coalesce("toxic", F.lit(0)) == 1, 1).when(F.col("rating") == 1, 2)

@@ -83,7 +83,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ordinal_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: expected grade, tail probabilities, and whether it is kept."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = ordinal.train(docs, read(spark, sf_dir, "labels"), ordinal.label_grade(), ordinal.LEVELS)
+    model = ordinal.train(docs, ordinal.rated(read(spark, sf_dir, "labels")), ordinal.label_grade(), ordinal.LEVELS)
     found = ordinal.score(docs.select("doc_id", "text"), model)
     tail = F.col("tail_probability")
     return found.select("doc_id", "expected_grade", tail[0].alias("p_grade_1"), tail[1].alias("p_grade_2"), (tail[0] >= 0.5).alias("kept"))

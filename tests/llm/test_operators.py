@@ -55,6 +55,23 @@ def test_suffix_search_matches_brute_force():
         assert found[t] == sorted(ids)
 
 
+def test_windows_shared_by_many_items_and_texts():
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    n = 1500
+    shared = rng.integers(1, 2**62, 10).astype(np.uint64)
+    own = lambda: rng.integers(1, 2**62, 5).astype(np.uint64)
+    texts, items = ([np.concatenate([own(), shared, own()]) for _ in range(n)] for _ in range(2))
+    first = np.arange(n + 1) * 20
+    tracemalloc.start()
+    spans, found, longest = decontam.judge(np.concatenate(texts), first, (np.concatenate(items), first, [str(k) for k in range(n)]), 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(s == [{"start": 5, "end": 15}] for s in spans) and (longest == 10).all()
+    assert all(len(f) == n for f in found) and peak < 25 * n * n  # the lists found take eight bytes for each
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, odd):
     bench = spark.createDataFrame([(1, "w3 w4 w5 w6 w7 w8 w9 w10 w11 w12"), (2, "one two"), (None, "w20 w21 w22 w23 w24 w25 w26 w27 w28 w29"), (3, None)], "item_id long, text string")
     rows = []
@@ -77,7 +94,7 @@ def test_filters_and_mix_keep_columns_and_take_empty_tables(spark, odd):
     assert len(taken) == odd.count() and all(r.taken <= 2 * r.size for r in taken)
     assert mixing.mixed(odd, key=["doc_id"]).columns == odd.columns
     assert mixing.taken(none, key=["doc_id"]).count() == 0
-    labels = spark.createDataFrame([(1, 1, 0), (5, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(1, 1, 0), (5, 0, 0), (None, 1, 1)], "doc_id long, rating int, toxic int")
     model = ordinal.train(odd, labels, ordinal.label_grade(), 3)
     assert ordinal.select(odd, model).columns == odd.columns
     assert ordinal.score(none, model).count() == 0
