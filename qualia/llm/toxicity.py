@@ -33,8 +33,9 @@ from qualia.llm.neardup import shingle_sets
 from qualia.llm.sample import labelled
 from qualia.llm.shared import ship, staged
 
-#: Labelled documents of a fit, entries of the lexicon, documents that must hold an entry, least log-odds of an entry.
-MOST, ENTRIES, LEAST_DOCS, LEAST_ODDS = 24_000, 1500, 4, 2.0
+#: Labelled documents of a fit; documents of them that must hold an entry of the lexicon, and its least log-odds. All entries that
+#: these admit are taken: their number is bounded by the words of the sample.
+MOST, LEAST_DOCS, LEAST_ODDS = 24_000, 4, 2.0
 #: Letters of stems; different words that a stem must cover; letters from which one error is allowed.
 STEMS, STEM_WORDS, FUZZY_LENGTH = (4, 5, 6), 4, 5
 #: Letters on either side in which quote marks are looked for, and words in which other hits count.
@@ -224,7 +225,7 @@ def _signer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[1:], pa.array(least, pa.int64())], [*batch.schema.names, "least"])
 
 
-def learn_lexicon(rows: DataFrame, *, most: int = ENTRIES) -> list[Entry]:
+def learn_lexicon(rows: DataFrame) -> list[Entry]:
     """Entries for documents (text, label 0 or 1), strongest first."""
     n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
@@ -233,22 +234,25 @@ def learn_lexicon(rows: DataFrame, *, most: int = ENTRIES) -> list[Entry]:
     terms = rows.select("text", "label").mapInArrow(_term_counter, "term string, stem int, label int, docs long")
     t = terms.groupBy("term", "stem").agg(F.sum(F.when(F.col("label") == 1, F.col("docs")).otherwise(0)).alias("a"), F.sum(F.when(F.col("label") == 0, F.col("docs")).otherwise(0)).alias("c"))
     t = t.withColumn("odds", F.expr(f"ln((a + 0.5) / {toxic + 1}) - ln((c + 0.5) / {clean + 1})"))
-    t = t.where(f"a >= {LEAST_DOCS} and odds >= {LEAST_ODDS}").orderBy(F.expr("odds * sqrt(a)").desc(), "term", "stem").limit(4 * most)
-    got = [(r["term"], bool(r["stem"]), r["a"], r["odds"]) for r in t.collect()]  # at most 4 * most rows
-    words = {w for w, stem, _, _ in got if not stem}
+    t = t.where(f"a >= {LEAST_DOCS} and odds >= {LEAST_ODDS}").orderBy(F.expr("odds * sqrt(a)").desc(), "term", "stem")
+    got = [(r["term"], bool(r["stem"]), r["a"], r["odds"]) for r in t.collect()]  # terms of the bounded sample
+    covered: Counter = Counter(w[:k] for w, stem, _, _ in got if not stem for k in STEMS if len(w) > k)  # words of each stem
+    strongest: dict[str, int] = {}
+    for w, stem, a, _ in got:
+        for k in STEMS:
+            if not stem and len(w) >= k:
+                strongest[w[:k]] = max(strongest.get(w[:k], 1), a)
     stems = {w: (a, odds) for w, stem, a, odds in got if stem}
     out = []
     for w, stem, a, odds in got:
         shorter = next((stems[w[:k]] for k in STEMS if k < len(w) + (not stem) and w[:k] in stems), None)
         if stem:
             # a stem stands for many endings; a shorter one that is as sure makes it needless
-            if sum(x.startswith(w) and x != w for x in words) < STEM_WORDS and a < 3 * max([1, *(y for x, s, y, _ in got if not s and x.startswith(w))]):
+            if covered[w] < STEM_WORDS and a < 3 * strongest.get(w, 1):
                 continue
             if shorter and shorter[1] >= odds - 0.5:
                 continue
         out.append(Entry(w, stem, float(odds)))
-        if len(out) == most:
-            break
     return out
 
 
