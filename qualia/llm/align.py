@@ -15,7 +15,7 @@ linked; places where tokens of both end cut the text into groups.
 
 Defined results: a null or empty text, and one whose tokens do not spell it byte for byte (say with U+2581
 in it), has no tokens, no groups and no links; repeated rows count each; no rows give no rows.
-Columns of any name are kept; those added are called NAMES.
+Other columns of any name are kept; those called NAMES are replaced.
 """
 
 from __future__ import annotations
@@ -406,8 +406,7 @@ class Alignment:
     def __init__(self, docs: DataFrame, path_a: str, path_b: str, *, text_col: str = "text", block_pairs: int = BLOCK_PAIRS):
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        if set(NAMES) & set(docs.columns) - {text_col}:
-            raise ValueError(f"the table has a column called {', '.join(NAMES)}")
+        docs = docs.drop(*set(NAMES) - {text_col})
         self.spark = docs.sparkSession
         ship(self.spark)
         self.paths, self.block_pairs = (path_a, path_b), block_pairs

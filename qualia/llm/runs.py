@@ -13,7 +13,8 @@
    period those inside another go; of equal intervals the smallest period stays.
 4. The runs are checked on the words themselves; should hashes have erred, that slice's ends are counted word by word.
 
-Texts are read whole, each inside one task. Defined results: a null or empty text has no words and no runs.
+Texts are read whole, each inside one task. Defined results: a null or empty text has no words and no runs; repeated
+rows are read each; an empty table gives no rows; other columns of any name are kept.
 """
 
 from __future__ import annotations
@@ -290,9 +291,8 @@ def _runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_runs(docs: DataFrame, *, text_col: str = "text", names: tuple[str, str, str] = ("n_words", "runs", "collapsed")) -> DataFrame:
     """``docs`` without its text, with the number of words, all runs by start and period (words numbered from 0), and the
-    text of the words that no run holds after its first period, joined by single spaces."""
-    if set(names) & set(docs.columns) - {text_col}:
-        raise ValueError(f"the table has a column called {', '.join(names)}")
+    text of the words that no run holds after its first period, joined by single spaces. Columns called ``names`` are replaced."""
+    docs = docs.drop(*set(names) - {text_col})
     ship(docs.sparkSession)
     plain, name = plain_names(docs)
     others = [name[c] for c in docs.columns if c != text_col]

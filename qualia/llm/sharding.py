@@ -10,7 +10,7 @@ Both sorts are range shuffles (ranks.py): no source, however large, passes throu
 
 Defined results: null texts and ids are rows like others; a null source is a source of its own, before
 the others; equal rows are placed each; with fewer rows than shards some shards are empty; an
-empty table gives no rows. Columns of any name are kept; those added are called as asked.
+empty table gives no rows. Other columns of any name are kept; one that is called like those added is replaced.
 """
 
 from __future__ import annotations
@@ -36,8 +36,7 @@ def interleave(df: DataFrame, key: list[str], *, source_col: str = "source", sha
     key: the columns that tell rows apart; the seeded digest is of their texts. Rows with equal keys stand side by side in
     the shuffle, in the order in which they are read.
     """
-    if set(names) & set(df.columns):
-        raise ValueError(f"the table has a column called {' or '.join(names)}")
+    df = df.drop(*names)
     plain, name = plain_names(df)
     keys = [F.coalesce(F.col(name[k]).cast("string"), F.lit("")) for k in key]
     rows = plain.withColumns({"_source": source_code(F.col(name[source_col])), "_digest": F.md5(F.concat_ws("/", F.lit(seed), *keys)),

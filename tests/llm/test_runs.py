@@ -101,5 +101,4 @@ def test_on_spark(spark):
         drop = {i for s, l, q in want for i in range(s + q, s + l)}
         assert got[k].collapsed == " ".join(x for i, x in enumerate(w) if i not in drop)
     assert runs.with_runs(df.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        runs.with_runs(df.withColumnRenamed("_runs", "runs"))
+    assert runs.with_runs(df.withColumnRenamed("_runs", "runs")).columns == ["doc_id", "_words", "n_words", "runs", "collapsed"]

@@ -57,8 +57,10 @@ def test_toxicity_of_documents_held_out(spark):
     got = queries.op4_toxicity(spark, sf).where("held_out").join(labels, "doc_id").where("toxic is not null").collect()
     toxic, clean = [r for r in got if r.toxic == 1], [r for r in got if r.toxic == 0]
     assert len(toxic) > 10 and len(clean) > 100
-    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
-    assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
+    a, b = (np.array([r.score for r in x]) for x in (toxic, clean))
+    above = np.mean([(x > b).mean() + (x == b).mean() / 2 for x in a])  # of a toxic one against a clean one
+    print("area", above, "found", np.mean(a >= 0.3), "clean marked", np.mean(b >= 0.3))
+    assert above >= 0.9 and np.mean(a >= 0.3) >= 0.8 and np.mean(b >= 0.3) <= 0.02
 
 
 def test_grades_of_documents_held_out(spark):
