@@ -33,6 +33,7 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.util import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,7 +119,8 @@ class _Planned:
     rule_error: dict[int, str] = field(default_factory=dict)
 
 
-def _plan_group(df: DataFrame, group: RuleGroup) -> _Planned:
+def _plan_group(df: DataFrame, group: RuleGroup, resolve: bool = True) -> _Planned:
+    """``resolve``: set aside at once the rules that do not resolve; else the scan that meets one does."""
     p = _Planned(group, None)
     schema = df.schema
     for r in group.rules:
@@ -138,6 +140,8 @@ def _plan_group(df: DataFrame, group: RuleGroup) -> _Planned:
             p.unique.append((r, check))
         else:
             p.row.append((r, check))
+    if not resolve:
+        return p
     p.row = _resolvable(p, p.row, lambda cs: row_metrics(df, [RowGroup(None, [replace(c, fallible=False) for c in cs])]))
     p.unique = _resolvable(p, p.unique, lambda cs: unique_metrics(df, [UniqueSpec(c.column) for c in cs]))
     return p
@@ -225,9 +229,22 @@ def _take_counts(p: _Planned, items: list[tuple[Rule, Check]], row, gi: int) ->
             p.passed[r.index] = row[f"__p{gi}_{i}"]
 
 
+def _resolved(base: DataFrame, p: _Planned, items: list[tuple[Rule, Check]]) -> list[tuple[Rule, Check]]:
+    return _resolvable(p, items, lambda cs: row_metrics(base, [RowGroup(p.fcol, [replace(c, fallible=False) for c in cs], p.group.filter)]))
+
+
 def _run_chunk(base: DataFrame, chunk: list[_Part]) -> None:
+    groups = [_group(p, items) for p, items in chunk]
     try:
-        row = row_metrics(base, [_group(p, items) for p, items in chunk]).collect()[0]
+        if any(c.fallible for p, items in chunk for _, c in items):
+            # a guarded predicate is projected first, where a window would pass for a predicate: not so inside an aggregate
+            base.agg(F.count("*"), *[F.count_if(c.predicate) for _, items in chunk for _, c in items if c.predicate is not None and c.fallible])
+        counts = row_metrics(base, groups)
+    except AnalysisException:  # no job has run: the rules at fault are set aside, the others run together
+        chunk = [(p, _resolved(base, p, items)) for p, items in chunk]
+        counts = row_metrics(base, [_group(p, items) for p, items in chunk])
+    try:
+        row = counts.collect()[0]
         for gi, (p, items) in enumerate(chunk):
             p.total = row[f"__n{gi}"]
             _take_counts(p, items, row, gi)
@@ -267,6 +284,9 @@ def _run_row_level(base: DataFrame, plans: list[_Planned], most: int) -> None:
     else:
         with ThreadPoolExecutor(max_workers=min(len(chunks), 8)) as pool:
             list(pool.map(_inherit(base, lambda ch: _run_chunk(base, ch)), chunks))
+    for p in plans:
+        broken = {r.index for r, _, _ in p.broken}
+        p.row = [rc for rc in p.row if rc[0].index not in broken]
 
 
 def _bisect(base: DataFrame, p: _Planned, items: list[tuple[Rule, Check]]) -> None:
@@ -317,6 +337,15 @@ def _unique_chunk(base: DataFrame, specs: list[UniqueSpec], first: int) -> dict[
         if not _rule_fault(e):
             raise
     out: dict[int, tuple[int, int] | str] = {}
+    for j, s in enumerate(specs):
+        try:
+            unique_metrics(base, [s])
+        except AnalysisException as e:
+            out[first + j] = _not_evaluable(e)
+    good = [j for j in range(len(specs)) if first + j not in out]
+    if out:  # the others run together
+        found = _unique_chunk(base, [specs[j] for j in good], 0) if good else {}
+        return out | {first + good[k]: v for k, v in found.items()}
     for j, s in enumerate(specs):
         try:
             row = unique_metrics(base, [s]).collect()[0]
@@ -390,7 +419,7 @@ def _referenced_columns(base: DataFrame, plans: list[_Planned]) -> list[str]:
     return [c for c in base.columns if c.lower() in words]
 
 
-def _plan_table(resolver: TableResolver, groups: list[RuleGroup]
+def _plan_table(resolver: TableResolver, groups: list[RuleGroup], resolve: bool = True
                 ) -> tuple[DataFrame | None, list[_Planned], list[_Planned]]:
     """Resolve a table and plan its rule groups (analysis only, no job).
     Returns (table, all plans, plans that can run)."""
@@ -408,7 +437,7 @@ def _plan_table(resolver: TableResolver, groups: list[RuleGroup]
         except Exception as e:
             plans.append(_Planned(g, None, error=_err_text(e)))
             continue
-        p = _plan_group(fdf, g)
+        p = _plan_group(fdf, g, resolve)
         p.fcol = fcol
         plans.append(p)
         live.append(p)
@@ -417,7 +446,7 @@ def _plan_table(resolver: TableResolver, groups: list[RuleGroup]
 
 def _evaluate_table(resolver: TableResolver, groups: list[RuleGroup], cache: bool,
                     sizes: tuple[int, int], key_bitmaps: bool = False) -> list[_Planned]:
-    base, plans, live = _plan_table(resolver, groups)
+    base, plans, live = _plan_table(resolver, groups, resolve=cache or key_bitmaps)
     if not live:
         return plans
     g0 = groups[0]

@@ -54,7 +54,7 @@ def test_failing_rows_need_no_second_scan(spark, monkeypatch):
     rules = rules_of(spark, [("a", "satisfies", f"a / b > {k}", "") for k in range(6)] + [("a", "iscomplete", "", "")])
     got = run_rules(spark, rules, catalog_of(spark, "satisfies", "iscomplete"), tables={"t": df}).collect()
     assert [r.estado_calidad for r in got] == ["NO_EVALUADA"] * 6 + ["CUMPLE"]
-    assert len(runs) == 2  # one resolves the rules (no job), one runs
+    assert len(runs) == 1
 
 
 def test_predicates_of_tables_need_no_column(spark):
