@@ -297,7 +297,7 @@ class Matcher:
         degree = links.selectExpr("a node").union(links.selectExpr("b node")).groupBy("node").agg(F.count("*").alias("links"))
         hub = comp.join(degree, "node").groupBy("comp").agg(F.max(F.struct("links", "node")).alias("hub"), F.count("*").alias("size"))
         hub = hub.select("comp", F.col("hub.node").alias("pivot"), "size")
-        held = rows.select("key", "comp").distinct().join(hub, "comp")
+        held = rows.select("key", "comp").join(hub, "comp")  # of rows that repeat the largest is the same
         return held.groupBy("key").agg(F.max(F.struct("size", "pivot")).alias("p")).select("key", "p.pivot")
 
     def rest(self, rows: DataFrame, sets: DataFrame) -> DataFrame:
