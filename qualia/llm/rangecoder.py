@@ -19,7 +19,7 @@ import numpy as np
 U = np.uint64
 BLOCK = 2048
 #: Blocks coded side by side.
-LANES = 2048
+LANES = 1536
 #: Steps after which frequencies and weights take in what was coded: soon at first.
 STRETCHES = [32, 96, 128, 256, 512, 512, 512]
 SLOTS = 1 << 9

@@ -29,7 +29,7 @@ from qualia.llm.shared import fresh_path, ship, staged
 MAGIC = b"QTB2"
 HEAD = struct.Struct("<4scIIII")
 #: Bytes of text in a file, about: at most, and at least where there would be too few files for the session's cores.
-FILE_BYTES, LEAST_BYTES = 12 << 20, 4 << 20
+FILE_BYTES, LEAST_BYTES = 9 << 20, 4 << 20
 INDEX_ROWS = 1 << 16
 
 
