@@ -26,7 +26,7 @@ from qualia.llm import rangecoder as rc
 from qualia.llm.binfiles import read_files, write_records
 from qualia.llm.shared import fresh_path, ship, staged
 
-MAGIC = b"QTB2"
+MAGIC = b"QTB3"
 HEAD = struct.Struct("<4scIIII")
 #: Bytes of text in a file, about: at most, and at least where there would be too few files for the session's cores.
 FILE_BYTES, LEAST_BYTES = 9 << 20, 4 << 20

@@ -206,6 +206,40 @@ def test_range_coder_learns():
     assert sum(map(len, rangecoder.encode(again, 50257))) < 0.5 * len(again)
 
 
+def test_models_take_in_only_what_is_coded_after(monkeypatch):
+    counted, count = [], rangecoder._Model.count
+    monkeypatch.setattr(rangecoder._Model, "count", lambda m, ids, right: counted.append(ids.shape[1]) or count(m, ids, right))
+    ids = np.random.default_rng(2).zipf(1.3, 3 * 2048) % 50257
+    assert (rangecoder.decode(rangecoder.encode(ids, 50257), len(ids), 50257) == ids).all()
+    assert counted == 2 * rangecoder.STRETCHES[:-1]  # nothing follows the last stretch
+
+
+def test_carries_go_through_full_words():
+    words = np.array([5, 2**32 - 1, 2**32 - 1, 7, 8, 9], np.uint32)
+    rangecoder._carry(words, np.array([2, 4]))
+    assert words.tolist() == [6, 0, 0, 7, 9, 9]
+
+
+def test_new_words_are_learned_in_rows():
+    import pyarrow as pa
+
+    e = tokens.Encoder(queries.tokenizer_path())
+    odd = "".join(map(chr, range(0xA0, 0x260)))
+    words = [w + c + w[::-1] for w in ("nu", "\u0163e", "") for c in odd] + [f"{a}{b}x" for a in odd[32:] for b in "ab\u00e9"]
+    texts = [" " + " ".join(words), " a", "", "  ", "\u00d7 \u00f7 \u024f \u0250 \u00e9"]
+    calls = []
+
+    class Counted:
+        def encode_batch_fast(self, rows, **options):
+            calls.append(len(rows))
+            return tokens_of(rows, **options)
+
+    tokens_of, e.plain = e.plain.encode_batch_fast, Counted()
+    got = [ids[a:b].tolist() for _, _, ids, first in e.encode(pa.array(texts)) for a, b in zip(first[:-1], first[1:])]
+    assert got == [x.ids for x in e.lib.encode_batch(texts, add_special_tokens=False)]
+    assert max(calls) < len(words) / 16
+
+
 def test_token_file_of_several_groups(monkeypatch):
     import pyarrow as pa
 
